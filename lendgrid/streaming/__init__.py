@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The ledger job is a batch parameterised by one business date; it has no
+stream input, watermark, trigger or stateful operator. History tables are
+the *result* of change capture, read as-of a date (see ``sources.history``).
+"""
