@@ -23,13 +23,16 @@ def run_oracle(sql: str, sf_dir: str) -> tuple[list[str], list[tuple]]:
     return cols, cur.fetchall()
 
 
+STRICT = False
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, bool):
         return int(v)
     if isinstance(v, decimal.Decimal):
-        return format(v.normalize(), "f") if v == v.to_integral_value() or True else str(v)
+        return str(v) if STRICT else format(v.normalize(), "f")
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"

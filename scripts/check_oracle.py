@@ -18,6 +18,11 @@ from lendgrid.session import local_session  # noqa: E402
 
 
 def main(argv: list[str]) -> int:
+    import lendgrid.plans.compare as cmp
+
+    if argv and argv[0] == "--strict":
+        cmp.STRICT = True
+        argv = argv[1:]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     keys = argv[1:] or sorted(QUERIES)
     spark = local_session()
