@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,4 +29,4 @@ def effective_rate(base: Column | str, spread: Column | str, adj_pct: Column | s
     b = F.coalesce(rate(base), F.lit(0).cast(RATE))
     s = F.coalesce(rate(spread), F.lit(0).cast(RATE))
     a = F.coalesce(rate(adj_pct), F.lit(0).cast(RATE))
-    return F.round((b + s) * (F.lit(1) + a / F.lit(100)), 6).cast(RATE)
+    return F.round((b + s) * (F.lit(1) + a * F.lit(Decimal("0.01"))), 6).cast(RATE)
