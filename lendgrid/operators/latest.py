@@ -66,7 +66,7 @@ def first_flag(
     firsts = latest_by(df.select(*group, *order, *[k for k in row_key if k not in order]),
                        group, [F.col(c).asc_nulls_last() for c in order] +
                        [F.col(k).asc_nulls_last() for k in row_key if k not in order])
-    marks = firsts.select(*group, *row_key).withColumn("__first", F.lit(True))
+    marks = firsts.select(*group, *row_key).withColumn("__mark", F.lit(True))
     keys = list(dict.fromkeys([*group, *row_key]))
     out = df.join(marks, on=keys, how="left")
-    return out.withColumn(flag, F.when(F.col("__first"), F.lit(yes)).otherwise(F.lit(no))).drop("__first")
+    return out.withColumn(flag, F.when(F.col("__mark"), F.lit(yes)).otherwise(F.lit(no))).drop("__mark")

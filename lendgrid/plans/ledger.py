@@ -1 +1,228 @@
-"""(filled below)"""
+"""Ledger-level queries: six tagged segments unioned into the canonical
+ledger, the first-loan flag, per-segment row counts, the prior-period
+self-lookup, the idempotent slice rewrite and the flagship loan overview.
+
+The driver tables carry one loan system, so the six segments are carved out
+of it by priority/status; each segment fills its own subset of ledger
+columns with its own conventions (e.g. overdue days +1 in CL_1, plain in
+PL_2), exactly as the six source systems do.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lendgrid.functions import decode, overdue_days
+from lendgrid.operators import agg_join, first_flag
+from lendgrid.operators.ledger import LEDGER, flag_first_loan, union_segments
+from lendgrid.plans.frames import RUN, SCHED_SQL, loans, schedule, tables, with_sql
+from lendgrid.plans.registry import query
+from lendgrid.rundate import RunDate
+from lendgrid.session import ensure_checkpoint_dir
+from lendgrid.sources import Tables, read_slice, replace_slice
+
+OUT_COLS = ["loan_num", "date_sourcesd", "data_date", "cust_id", "drawdown_dt", "drawdown_amt", "maturity_dt",
+            "od_days", "od_flg", "acct_sts", "p_od_dt", "i_od_dt", "year_int_incom", "od_loan_acct_bal",
+            "draft_nbr", "is_first_loan_tag", "is_first_report_loan_tag"]
+
+# Segment membership on the driver tables.
+SEGMENT_PRIORITY = {"CL_1": "1-URGENT", "PL_2": "2-HIGH", "NL_3": "3-MEDIUM", "WBYXNL_4": "4-NOT SPECIFIED"}
+
+
+def base_measures(t: Tables, run: RunDate) -> DataFrame:
+    """Loans drawn by the run date with the schedule measures every segment
+    uses, aggregated once per loan."""
+    due = F.col("due_dt") <= F.lit(run.d)
+    return agg_join(loans(t, run), schedule(t), ["loan_num"], [
+        F.min(F.when((F.col("rtn_flag") == "N") & due, F.col("due_dt"))).alias("p_od_dt"),
+        F.min(F.when((F.col("line_sts") == "O") & due, F.col("due_dt"))).alias("i_od_dt"),
+        F.max("due_dt").alias("maturity_dt"),
+        F.sum(F.when((F.col("rtn_flag") == "N") & due, F.col("prcp_amt"))).alias("od_prcp_amt"),
+        F.sum(F.when(F.col("due_dt").between(F.lit(run.year_start), F.lit(run.d)), F.col("int_amt"))).alias("ytd_int"),
+    ])
+
+
+def segments(base: DataFrame, run: RunDate) -> dict[str, DataFrame]:
+    d = F.lit(run.d)
+    common = ["loan_num", "cust_id", "drawdown_dt", F.col("loan_amt").alias("drawdown_amt")]
+    pri, sts = F.col("priority"), F.col("loan_sts")
+    seg = {}
+    cl_days = overdue_days(run.d, "p_od_dt", "i_od_dt")
+    seg["CL_1"] = base.where(pri == SEGMENT_PRIORITY["CL_1"]).select(
+        *common, "maturity_dt", cl_days.alias("od_days"),
+        F.when(cl_days > 0, "Y").otherwise("N").alias("od_flg"),
+        F.when(sts == "F", "03").otherwise("01").alias("acct_sts"))
+    seg["PL_2"] = base.where(pri == SEGMENT_PRIORITY["PL_2"]).select(
+        *common, "p_od_dt", "i_od_dt", F.datediff(d, F.col("p_od_dt")).alias("od_days"),
+        F.col("ytd_int").alias("year_int_incom"))
+    seg["NL_3"] = base.where(pri == SEGMENT_PRIORITY["NL_3"]).select(
+        *common, decode("loan_sts", {"F": "03", "O": "01", "P": "02"}).alias("acct_sts"),
+        F.col("od_prcp_amt").alias("od_loan_acct_bal"))
+    seg["WBYXNL_4"] = base.where(pri == SEGMENT_PRIORITY["WBYXNL_4"]).select(
+        *common, "maturity_dt", F.when(F.col("p_od_dt").isNotNull(), "Y").otherwise("N").alias("od_flg"))
+    low = pri == "5-LOW"
+    seg["BS_5"] = base.where(low & (sts == "F")).select(
+        *common, F.concat(F.lit("B"), F.col("loan_num").cast("string")).alias("draft_nbr"),
+        F.when(F.col("maturity_dt") < d, F.datediff(d, F.col("maturity_dt"))).otherwise(F.lit(0)).alias("od_days"))
+    seg["XL_6"] = base.where(low & ~(sts == "F")).select(
+        *common, F.when(F.col("loan_amt") > 100000, "1").otherwise("2").alias("is_first_loan_tag"),
+        F.col("ytd_int").alias("year_int_incom"))
+    return seg
+
+
+def ledger_slice(t: Tables, run: RunDate) -> DataFrame:
+    """The full 137-column ledger slice of one business date, first-loan
+    flag included."""
+    base = base_measures(t, run)
+    return flag_first_loan(union_segments(segments(base, run), run.d8))
+
+
+def _ledger_sql(d: str, name: str = "ledger") -> str:
+    """SQL twin of ``ledger_slice`` for business date ``d`` (ISO)."""
+    dd = f"DATE '{d}'"
+    ys = f"DATE '{d[:4]}-01-01'"
+    d8 = d.replace("-", "")
+    b = f"{name}_base"
+    return f"""{b} AS (
+  SELECT l.loan_num, l.cust_id, l.drawdown_dt, l.loan_amt, l.loan_sts, l.priority,
+    MIN(s.due_dt) FILTER (WHERE s.rtn_flag = 'N' AND s.due_dt <= {dd}) AS p_od_dt,
+    MIN(s.due_dt) FILTER (WHERE s.line_sts = 'O' AND s.due_dt <= {dd}) AS i_od_dt,
+    MAX(s.due_dt) AS maturity_dt,
+    SUM(s.prcp_amt) FILTER (WHERE s.rtn_flag = 'N' AND s.due_dt <= {dd}) AS od_prcp_amt,
+    SUM(s.int_amt) FILTER (WHERE s.due_dt BETWEEN {ys} AND {dd}) AS ytd_int
+  FROM (SELECT o_orderkey AS loan_num, o_custkey AS cust_id, CAST(o_orderdate AS DATE) AS drawdown_dt,
+               CAST(o_totalprice AS DECIMAL(18,2)) AS loan_amt, o_orderstatus AS loan_sts, o_orderpriority AS priority
+        FROM orders WHERE CAST(o_orderdate AS DATE) <= {dd}) l
+  LEFT JOIN sched s ON s.loan_num = l.loan_num
+  GROUP BY l.loan_num, l.cust_id, l.drawdown_dt, l.loan_amt, l.loan_sts, l.priority),
+{name}_u AS (
+  SELECT loan_num, 'CL_1' AS date_sourcesd, cust_id, drawdown_dt, loan_amt AS drawdown_amt, maturity_dt,
+    GREATEST(CASE WHEN p_od_dt IS NOT NULL THEN date_diff('day', p_od_dt, {dd}) + 1 ELSE 0 END,
+             CASE WHEN i_od_dt IS NOT NULL THEN date_diff('day', i_od_dt, {dd}) + 1 ELSE 0 END) AS od_days,
+    CASE WHEN GREATEST(CASE WHEN p_od_dt IS NOT NULL THEN date_diff('day', p_od_dt, {dd}) + 1 ELSE 0 END,
+             CASE WHEN i_od_dt IS NOT NULL THEN date_diff('day', i_od_dt, {dd}) + 1 ELSE 0 END) > 0 THEN 'Y' ELSE 'N' END AS od_flg,
+    CASE WHEN loan_sts = 'F' THEN '03' ELSE '01' END AS acct_sts,
+    NULL::DATE AS p_od_dt, NULL::DATE AS i_od_dt, NULL::DECIMAL(20,2) AS year_int_incom,
+    NULL::DECIMAL(20,2) AS od_loan_acct_bal, NULL::VARCHAR AS draft_nbr, NULL::VARCHAR AS is_first_loan_tag
+  FROM {b} WHERE priority = '1-URGENT'
+  UNION ALL
+  SELECT loan_num, 'PL_2', cust_id, drawdown_dt, loan_amt, NULL, date_diff('day', p_od_dt, {dd}), NULL, NULL,
+    p_od_dt, i_od_dt, ytd_int, NULL, NULL, NULL
+  FROM {b} WHERE priority = '2-HIGH'
+  UNION ALL
+  SELECT loan_num, 'NL_3', cust_id, drawdown_dt, loan_amt, NULL, NULL, NULL,
+    CASE loan_sts WHEN 'F' THEN '03' WHEN 'O' THEN '01' WHEN 'P' THEN '02' END,
+    NULL, NULL, NULL, od_prcp_amt, NULL, NULL
+  FROM {b} WHERE priority = '3-MEDIUM'
+  UNION ALL
+  SELECT loan_num, 'WBYXNL_4', cust_id, drawdown_dt, loan_amt, maturity_dt, NULL,
+    CASE WHEN p_od_dt IS NOT NULL THEN 'Y' ELSE 'N' END, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+  FROM {b} WHERE priority = '4-NOT SPECIFIED'
+  UNION ALL
+  SELECT loan_num, 'BS_5', cust_id, drawdown_dt, loan_amt, NULL,
+    CASE WHEN maturity_dt < {dd} THEN date_diff('day', maturity_dt, {dd}) ELSE 0 END, NULL, NULL,
+    NULL, NULL, NULL, NULL, 'B' || CAST(loan_num AS VARCHAR), NULL
+  FROM {b} WHERE priority = '5-LOW' AND loan_sts = 'F'
+  UNION ALL
+  SELECT loan_num, 'XL_6', cust_id, drawdown_dt, loan_amt, NULL, NULL, NULL, NULL,
+    NULL, NULL, ytd_int, NULL, NULL, CASE WHEN loan_amt > 100000 THEN '1' ELSE '2' END
+  FROM {b} WHERE priority = '5-LOW' AND NOT (loan_sts = 'F')),
+{name} AS (
+  SELECT CAST(loan_num AS VARCHAR) AS loan_num, date_sourcesd, '{d8}' AS data_date, CAST(cust_id AS VARCHAR) AS cust_id,
+    drawdown_dt, CAST(drawdown_amt AS DECIMAL(20,2)) AS drawdown_amt, maturity_dt, CAST(od_days AS INTEGER) AS od_days,
+    od_flg, acct_sts, p_od_dt, i_od_dt, CAST(year_int_incom AS DECIMAL(20,2)) AS year_int_incom,
+    CAST(od_loan_acct_bal AS DECIMAL(20,2)) AS od_loan_acct_bal, draft_nbr, is_first_loan_tag,
+    CASE WHEN ROW_NUMBER() OVER (PARTITION BY CAST(cust_id AS VARCHAR)
+                                 ORDER BY drawdown_dt, CAST(loan_num AS VARCHAR)) = 1 THEN 'Y' ELSE 'N' END
+      AS is_first_report_loan_tag
+  FROM {name}_u)"""
+
+
+_OUT_SQL = ", ".join(OUT_COLS)
+
+
+@query("ledger_union", with_sql(SCHED_SQL, _ledger_sql("1998-06-30")) + f"""
+SELECT {_OUT_SQL} FROM ledger""")
+def ledger_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger_slice(tables(spark, sf_dir), RUN).select(*OUT_COLS)
+
+
+@query("segment_rowcounts", with_sql(SCHED_SQL, _ledger_sql("1998-06-30")) + """
+SELECT date_sourcesd, COUNT(*) AS row_count FROM ledger GROUP BY date_sourcesd""")
+def segment_rowcounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    led = ledger_slice(tables(spark, sf_dir), RUN)
+    return led.groupBy("date_sourcesd").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+PRIOR = RunDate(RUN.prior_month)
+
+
+@query("prior_period_lookup", with_sql(SCHED_SQL, _ledger_sql("1998-06-30"),
+                                       _ledger_sql(PRIOR.d.isoformat(), "prior")) + """
+SELECT c.loan_num, c.date_sourcesd, c.od_days, p.od_days AS prev_od_days,
+  CASE WHEN p.loan_num IS NULL THEN 'Y' ELSE 'N' END AS new_loan_flg
+FROM ledger c LEFT JOIN prior p ON p.loan_num = c.loan_num AND p.date_sourcesd = c.date_sourcesd""")
+def prior_period_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = tables(spark, sf_dir)
+    cur = ledger_slice(t, RUN).select("loan_num", "date_sourcesd", "od_days")
+    prev = ledger_slice(t, PRIOR).select(F.col("loan_num").alias("p_loan"), F.col("date_sourcesd").alias("p_src"),
+                                         F.col("od_days").alias("prev_od_days"))
+    j = cur.join(prev, (F.col("p_loan") == F.col("loan_num")) & (F.col("p_src") == F.col("date_sourcesd")), "left")
+    return j.select("loan_num", "date_sourcesd", "od_days", "prev_od_days",
+                    F.when(F.col("p_loan").isNull(), "Y").otherwise("N").alias("new_loan_flg"))
+
+
+@query("replace_slice", with_sql(SCHED_SQL, _ledger_sql("1998-06-30")) + f"""
+SELECT {_OUT_SQL} FROM ledger""")
+def replace_slice_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the prior slice and the current slice into the shared folder,
+    rewrite the current slice (a rerun), then read the current slice back
+    with the ledger schema. The result must equal the ledger slice exactly:
+    no duplicates from the rerun and the other date untouched."""
+    t = tables(spark, sf_dir)
+    root = ensure_checkpoint_dir(spark).rstrip("/") + f"/lendgrid-ledger-{uuid.uuid4().hex}"
+    for run in (PRIOR, RUN, RUN):
+        replace_slice(ledger_slice(t, run), root, ["data_date"])
+    return read_slice(spark, root, LEDGER, data_date=RUN.d8).select(*OUT_COLS)
+
+
+@query("loan_overview", with_sql(SCHED_SQL) + """,
+loans AS (SELECT o_orderkey AS loan_num, o_custkey AS cust_id, CAST(o_orderdate AS DATE) AS drawdown_dt,
+                 CAST(o_totalprice AS DECIMAL(18,2)) AS loan_amt, o_orderstatus AS loan_sts
+          FROM orders WHERE o_orderdate < TIMESTAMP '1998-07-01'),
+a AS (SELECT loan_num,
+        MIN(due_dt) FILTER (WHERE rtn_flag = 'N' AND due_dt <= DATE '1998-06-30') AS earliest_unpaid_dt,
+        MIN(due_dt) FILTER (WHERE line_sts = 'O' AND due_dt <= DATE '1998-06-30') AS i_od_dt,
+        SUM(prcp_amt) FILTER (WHERE rtn_flag = 'N' AND due_dt <= DATE '1998-06-30') AS od_prcp_amt
+      FROM sched GROUP BY loan_num),
+b AS (SELECT l.*, c.c_name AS cust_nam, a.earliest_unpaid_dt, a.od_prcp_amt,
+        GREATEST(CASE WHEN a.earliest_unpaid_dt IS NOT NULL THEN date_diff('day', a.earliest_unpaid_dt, DATE '1998-06-30') + 1 ELSE 0 END,
+                 CASE WHEN a.i_od_dt IS NOT NULL THEN date_diff('day', a.i_od_dt, DATE '1998-06-30') + 1 ELSE 0 END) AS od_days
+      FROM loans l LEFT JOIN a ON a.loan_num = l.loan_num LEFT JOIN customer c ON c.c_custkey = l.cust_id)
+SELECT loan_num, cust_id, cust_nam, drawdown_dt, loan_amt,
+  CASE WHEN loan_sts = 'F' THEN '03' WHEN od_days > 90 THEN '02' WHEN od_days > 0 THEN '04' ELSE '01' END AS acct_sts,
+  earliest_unpaid_dt, od_days, CASE WHEN od_days > 0 THEN 'Y' ELSE 'N' END AS od_flg, od_prcp_amt,
+  CASE WHEN ROW_NUMBER() OVER (PARTITION BY cust_id ORDER BY drawdown_dt, loan_num) = 1 THEN 'Y' ELSE 'N' END AS is_first_loan
+FROM b""")
+def loan_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: every loan as of D with its earliest unpaid due date, days
+    overdue, account status, customer name and first-loan flag."""
+    t = tables(spark, sf_dir)
+    due = F.col("due_dt") <= F.lit(RUN.d)
+    j = agg_join(loans(t), schedule(t), ["loan_num"], [
+        F.min(F.when((F.col("rtn_flag") == "N") & due, F.col("due_dt"))).alias("earliest_unpaid_dt"),
+        F.min(F.when((F.col("line_sts") == "O") & due, F.col("due_dt"))).alias("i_od_dt"),
+        F.sum(F.when((F.col("rtn_flag") == "N") & due, F.col("prcp_amt"))).alias("od_prcp_amt"),
+    ])
+    c = t.read("customer", "c_custkey", "c_name")
+    j = j.join(c, F.col("cust_id") == c.c_custkey, "left")
+    j = j.withColumn("od_days", overdue_days(RUN.d, "earliest_unpaid_dt", "i_od_dt"))
+    j = first_flag(j, ["cust_id"], ["drawdown_dt", "loan_num"], ["loan_num"], "is_first_loan")
+    od = F.col("od_days")
+    sts = F.when(F.col("loan_sts") == "F", "03").when(od > 90, "02").when(od > 0, "04").otherwise("01")
+    return j.select("loan_num", "cust_id", F.col("c_name").alias("cust_nam"), "drawdown_dt", "loan_amt",
+                    sts.alias("acct_sts"), "earliest_unpaid_dt", "od_days",
+                    F.when(od > 0, "Y").otherwise("N").alias("od_flg"), "od_prcp_amt", "is_first_loan")
