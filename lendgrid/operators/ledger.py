@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,6 +85,34 @@ def union_segments(segments: Mapping[str, DataFrame], data_date: str,
     return conform(out, schema)
 
 
+def split_segments(base: DataFrame, specs: Sequence[tuple[str, Column, Mapping[str, Column]]],
+                   data_date: str, schema: T.StructType = LEDGER) -> DataFrame:
+    """Ledger rows for segments carved out of ONE input by disjoint
+    predicates, in a single pass.
+
+    Equivalent to ``union_segments`` over ``base.where(pred).select(cols)``
+    per segment, but the input (and any aggregate feeding it) is scanned
+    once: the row's tag is the first matching predicate and every column is
+    a ``CASE`` over the tag, NULL where the segment does not fill it.
+    ``specs`` is ``[(tag, predicate, {column: expression}), ...]``.
+    """
+    tag = None
+    for t, pred, _ in specs:
+        tag = F.when(pred, F.lit(t)) if tag is None else tag.when(pred, F.lit(t))
+    tagged = base.withColumn("date_sourcesd", tag).where(F.col("date_sourcesd").isNotNull())
+    names = list(dict.fromkeys(c for _, _, cols in specs for c in cols))
+    out = []
+    for name in names:
+        expr = None
+        for t, _, cols in specs:
+            if name in cols:
+                cond = F.col("date_sourcesd") == t
+                expr = F.when(cond, cols[name]) if expr is None else expr.when(cond, cols[name])
+        out.append(expr.alias(name))
+    rows = tagged.select("date_sourcesd", *out).withColumn("data_date", F.lit(data_date))
+    return conform(rows, schema)
+
+
 def flag_first_loan(ledger: DataFrame, flag: str = "is_first_report_loan_tag",
                     cust: str = "cust_id", order: tuple[str, ...] = ("drawdown_dt", "loan_num"),
                     row_key: tuple[str, ...] = ("loan_num", "date_sourcesd")) -> DataFrame:

@@ -12,12 +12,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendgrid.functions import decode, overdue_days
 from lendgrid.operators import agg_join, first_flag
-from lendgrid.operators.ledger import LEDGER, flag_first_loan, union_segments
+from lendgrid.operators.ledger import LEDGER, flag_first_loan, split_segments, union_segments  # noqa: F401
 from lendgrid.plans.frames import RUN, SCHED_SQL, loans, schedule, tables, with_sql
 from lendgrid.plans.registry import query
 from lendgrid.rundate import RunDate
@@ -45,39 +45,51 @@ def base_measures(t: Tables, run: RunDate) -> DataFrame:
     ])
 
 
-def segments(base: DataFrame, run: RunDate) -> dict[str, DataFrame]:
+def segment_specs(run: RunDate) -> list[tuple[str, Column, dict[str, Column]]]:
+    """The six segments: membership predicate and the ledger columns each
+    fills, with its own conventions."""
     d = F.lit(run.d)
-    common = ["loan_num", "cust_id", "drawdown_dt", F.col("loan_amt").alias("drawdown_amt")]
     pri, sts = F.col("priority"), F.col("loan_sts")
-    seg = {}
+    common = {"loan_num": F.col("loan_num"), "cust_id": F.col("cust_id"),
+              "drawdown_dt": F.col("drawdown_dt"), "drawdown_amt": F.col("loan_amt")}
     cl_days = overdue_days(run.d, "p_od_dt", "i_od_dt")
-    seg["CL_1"] = base.where(pri == SEGMENT_PRIORITY["CL_1"]).select(
-        *common, "maturity_dt", cl_days.alias("od_days"),
-        F.when(cl_days > 0, "Y").otherwise("N").alias("od_flg"),
-        F.when(sts == "F", "03").otherwise("01").alias("acct_sts"))
-    seg["PL_2"] = base.where(pri == SEGMENT_PRIORITY["PL_2"]).select(
-        *common, "p_od_dt", "i_od_dt", F.datediff(d, F.col("p_od_dt")).alias("od_days"),
-        F.col("ytd_int").alias("year_int_incom"))
-    seg["NL_3"] = base.where(pri == SEGMENT_PRIORITY["NL_3"]).select(
-        *common, decode("loan_sts", {"F": "03", "O": "01", "P": "02"}).alias("acct_sts"),
-        F.col("od_prcp_amt").alias("od_loan_acct_bal"))
-    seg["WBYXNL_4"] = base.where(pri == SEGMENT_PRIORITY["WBYXNL_4"]).select(
-        *common, "maturity_dt", F.when(F.col("p_od_dt").isNotNull(), "Y").otherwise("N").alias("od_flg"))
     low = pri == "5-LOW"
-    seg["BS_5"] = base.where(low & (sts == "F")).select(
-        *common, F.concat(F.lit("B"), F.col("loan_num").cast("string")).alias("draft_nbr"),
-        F.when(F.col("maturity_dt") < d, F.datediff(d, F.col("maturity_dt"))).otherwise(F.lit(0)).alias("od_days"))
-    seg["XL_6"] = base.where(low & ~(sts == "F")).select(
-        *common, F.when(F.col("loan_amt") > 100000, "1").otherwise("2").alias("is_first_loan_tag"),
-        F.col("ytd_int").alias("year_int_incom"))
-    return seg
+    return [
+        ("CL_1", pri == SEGMENT_PRIORITY["CL_1"], {
+            **common, "maturity_dt": F.col("maturity_dt"), "od_days": cl_days,
+            "od_flg": F.when(cl_days > 0, "Y").otherwise("N"),
+            "acct_sts": F.when(sts == "F", "03").otherwise("01")}),
+        ("PL_2", pri == SEGMENT_PRIORITY["PL_2"], {
+            **common, "p_od_dt": F.col("p_od_dt"), "i_od_dt": F.col("i_od_dt"),
+            "od_days": F.datediff(d, F.col("p_od_dt")), "year_int_incom": F.col("ytd_int")}),
+        ("NL_3", pri == SEGMENT_PRIORITY["NL_3"], {
+            **common, "acct_sts": decode("loan_sts", {"F": "03", "O": "01", "P": "02"}),
+            "od_loan_acct_bal": F.col("od_prcp_amt")}),
+        ("WBYXNL_4", pri == SEGMENT_PRIORITY["WBYXNL_4"], {
+            **common, "maturity_dt": F.col("maturity_dt"),
+            "od_flg": F.when(F.col("p_od_dt").isNotNull(), "Y").otherwise("N")}),
+        ("BS_5", low & (sts == "F"), {
+            **common, "draft_nbr": F.concat(F.lit("B"), F.col("loan_num").cast("string")),
+            "od_days": F.when(F.col("maturity_dt") < d, F.datediff(d, F.col("maturity_dt"))).otherwise(F.lit(0))}),
+        ("XL_6", low & ~(sts == "F"), {
+            **common, "is_first_loan_tag": F.when(F.col("loan_amt") > 100000, "1").otherwise("2"),
+            "year_int_incom": F.col("ytd_int")}),
+    ]
+
+
+def segments(base: DataFrame, run: RunDate) -> dict[str, DataFrame]:
+    """The segments as separate frames (one filtered projection each)."""
+    return {tag: base.where(pred).select(*[c.alias(n) for n, c in cols.items()])
+            for tag, pred, cols in segment_specs(run)}
 
 
 def ledger_slice(t: Tables, run: RunDate) -> DataFrame:
     """The full 137-column ledger slice of one business date, first-loan
-    flag included."""
+    flag included. The segments share one input here, so they are built in
+    a single pass (``split_segments``); separate source systems go through
+    ``union_segments``."""
     base = base_measures(t, run)
-    return flag_first_loan(union_segments(segments(base, run), run.d8))
+    return flag_first_loan(split_segments(base, segment_specs(run), run.d8))
 
 
 def _ledger_sql(d: str, name: str = "ledger") -> str:
@@ -184,8 +196,9 @@ def replace_slice_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     no duplicates from the rerun and the other date untouched."""
     t = tables(spark, sf_dir)
     root = ensure_checkpoint_dir(spark).rstrip("/") + f"/lendgrid-ledger-{uuid.uuid4().hex}"
-    for run in (PRIOR, RUN, RUN):
-        replace_slice(ledger_slice(t, run), root, ["data_date"])
+    # first load writes two dates in one job; the rerun rewrites one date
+    replace_slice(ledger_slice(t, PRIOR).unionByName(ledger_slice(t, RUN)), root, ["data_date"])
+    replace_slice(ledger_slice(t, RUN), root, ["data_date"])
     return read_slice(spark, root, LEDGER, data_date=RUN.d8).select(*OUT_COLS)
 
 

@@ -43,3 +43,13 @@ def test_flag_keeps_existing_values(spark):
         "loan_num string, cust_id string, drawdown_dt date, is_first_report_loan_tag string")}, "20240131")
     got = {r.loan_num: r.is_first_report_loan_tag for r in flag_first_loan(led).collect()}
     assert got == {"L1": "Y", "L2": "N"}
+
+
+def test_split_segments_equals_union(spark):
+    from lendgrid.operators.ledger import split_segments
+    from lendgrid.plans.ledger import base_measures, segment_specs, segments
+    t = tables(spark, SF)
+    base = base_measures(t, RUN)
+    one_pass = split_segments(base, segment_specs(RUN), RUN.d8)
+    unioned = union_segments(segments(base, RUN), RUN.d8)
+    assert one_pass.exceptAll(unioned).count() == 0 and unioned.exceptAll(one_pass).count() == 0
