@@ -84,6 +84,7 @@ def schedule(t: Tables) -> DataFrame:
         money("l_discount").alias("disc_rate"),
         F.col("l_returnflag").alias("rtn_flag"),
         F.col("l_linestatus").alias("line_sts"),
+        F.col("l_shipdate").alias("due_ts"),
     )
 
 

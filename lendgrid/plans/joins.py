@@ -16,7 +16,7 @@ from lendgrid.plans.frames import (
     EV_RUN, HIST_SQL, LOANS_SQL, RUN, SCHED_SQL, hist, loans, schedule, tables, with_sql,
 )
 from lendgrid.plans.registry import query
-from lendgrid.sources import as_of, dated_dim
+from lendgrid.sources import as_of, dated_dim, event_window
 
 D = RUN.d
 # Nation and region have a fixed domain (25 and 5 rows); the bound is still
@@ -173,7 +173,7 @@ def detail_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo = loans(t).where(F.col("loan_sts") != "F")
     od = (s.where((F.col("rtn_flag") == "N") & (F.col("due_dt") <= F.lit(D)))
           .groupBy("loan_num").agg(F.sum("prcp_amt").alias("od_prcp_amt")))
-    ytd = (loans(t).join(s.where(F.col("due_dt").between(F.lit(RUN.year_start), F.lit(D))), "loan_num")
+    ytd = (loans(t).join(event_window(s, "due_dt", RUN.year_start, D, raw_ts="due_ts"), "loan_num")
            .groupBy("cust_id").agg(F.sum("int_amt").alias("cust_ytd_int")))
     last = s.groupBy("loan_num").agg(F.max("due_dt").alias("last_due_dt"))
     c = t.read("customer", "c_custkey", "c_name", "c_nationkey")

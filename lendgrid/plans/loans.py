@@ -116,7 +116,9 @@ SELECT loan_num, perd_no AS next_perd_no, due_dt AS next_due_dt, int_amt AS next
             ORDER BY due_dt, perd_no, part_id, supp_id, prcp_amt, int_amt) AS rn
   FROM sched WHERE due_dt > DATE '1998-06-30') WHERE rn = 1""")
 def next_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = schedule(tables(spark, sf_dir)).where(F.col("due_dt") > F.lit(D))
+    # due_dt > D, stated on the raw timestamp too so the scan can skip row groups
+    after = F.lit(dt.datetime.combine(D + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
+    s = schedule(tables(spark, sf_dir)).where((F.col("due_dt") > F.lit(D)) & (F.col("due_ts") >= after))
     return latest_by(s, ["loan_num"], _asc(SCHED_ORDER_ASC)).select(
         "loan_num", F.col("perd_no").alias("next_perd_no"), F.col("due_dt").alias("next_due_dt"),
         F.col("int_amt").alias("next_int_amt"))
@@ -350,7 +352,7 @@ WHERE s.due_dt BETWEEN date_trunc('year', DATE '1998-06-30') AND last_day(DATE '
 GROUP BY l.cust_id""")
 def ytd_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables(spark, sf_dir)
-    s = event_window(schedule(t), "due_dt", RUN.year_start, RUN.month_end)
+    s = event_window(schedule(t), "due_dt", RUN.year_start, RUN.month_end, raw_ts="due_ts")
     return loans(t).join(s, "loan_num").groupBy("cust_id").agg(
         F.sum(F.coalesce("int_amt", F.lit(0))).alias("ytd_int"), F.count(F.lit(1)).alias("ytd_lines"))
 
@@ -361,7 +363,7 @@ SELECT loan_num, perd_no, due_dt, prcp_amt, int_amt FROM (
      ORDER BY due_dt DESC, perd_no DESC, part_id DESC, supp_id DESC, prcp_amt DESC, int_amt DESC) AS rn
   FROM sched WHERE due_dt BETWEEN DATE '1998-06-01' AND DATE '1998-06-30') WHERE rn = 1""")
 def mtd_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = event_window(schedule(tables(spark, sf_dir)), "due_dt", RUN.month_start, RUN.d)
+    s = event_window(schedule(tables(spark, sf_dir)), "due_dt", RUN.month_start, RUN.d, raw_ts="due_ts")
     return latest_by(s, ["loan_num"], _desc(SCHED_ORDER_ASC)).select(
         "loan_num", "perd_no", "due_dt", "prcp_amt", "int_amt")
 

@@ -33,11 +33,22 @@ def partition_only(df: DataFrame, run: RunDate, part: str = "partid") -> DataFra
     return df.where(F.col(part) == F.lit(run.partid))
 
 
-def event_window(df: DataFrame, col: Column | str, start: dt.date, end: dt.date) -> DataFrame:
+def event_window(df: DataFrame, col: Column | str, start: dt.date, end: dt.date,
+                 raw_ts: str | None = None) -> DataFrame:
     """Rows whose event date lies in ``[start, end]`` (year-to-date,
-    month-to-date, ``BETWEEN trunc(D,'YYYY') AND last_day(D)``)."""
+    month-to-date, ``BETWEEN trunc(D,'YYYY') AND last_day(D)``).
+
+    When the date is derived from a stored timestamp (``to_date(ts)``), pass
+    the raw column as ``raw_ts``: the equivalent range on the raw column is
+    added so the bounds reach the Parquet scan (row-group skipping); the
+    derived-date predicate stays, so the result is unchanged."""
     c = F.col(col) if isinstance(col, str) else col
-    return df.where(c.between(F.lit(start), F.lit(end)))
+    out = df.where(c.between(F.lit(start), F.lit(end)))
+    if raw_ts:
+        lo = F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz")
+        hi = F.lit(dt.datetime.combine(end + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
+        out = out.where((F.col(raw_ts) >= lo) & (F.col(raw_ts) < hi))
+    return out
 
 
 def dated_dim(df: DataFrame, run: RunDate, col: str = "data_date") -> DataFrame:
