@@ -40,15 +40,19 @@ SEGMENT_TAGS = ("CL_1", "PL_2", "NL_3", "WBYXNL_4", "BS_5", "XL_6")
 AMOUNT = T.DecimalType(20, 2)
 RATE = T.DecimalType(12, 6)
 
-_AMOUNT_NAMES = {"od_int", "od_int_obs", "loan_buy_int", "loan_sell_int", "discount_interest",
+_AMOUNT_NAMES = {"od_int", "od_int_obs", "discount_interest",
                  "security_amt", "year_int_incom", "mon_int_incom", "int_adjest_amt", "green_balance",
                  "od_loan_acct_bal", "loan_acct_bal", "sp_prov_amt"}
-_RATE_NAMES = {"loan_ratio", "security_rate"}
+_RATE_NAMES = {"security_rate"}
+# flags and percent text whose names look numeric
+_TEXT_NAMES = {"loan_buy_int", "loan_sell_int", "loan_ratio"}
 _INT_NAMES = {"consecute_term_num", "cumulate_term_num", "current_term_num", "repay_term_num",
               "od_days", "orig_term", "orig_term_bc"}
 
 
 def _ledger_type(name: str) -> T.DataType:
+    if name in _TEXT_NAMES:
+        return T.StringType()
     if name in _INT_NAMES:
         return T.IntegerType()
     if name in _AMOUNT_NAMES or name.endswith("_amt"):
