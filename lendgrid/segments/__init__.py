@@ -7,7 +7,8 @@ them, flags first loans and writes the slice.
 
 from lendgrid.segments.catalog import Catalog
 from lendgrid.segments.online import online_loans
+from lendgrid.segments.tax import tax_loans
 
-SEGMENTS = {"NL_3": online_loans}
+SEGMENTS = {"NL_3": online_loans, "WBYXNL_4": tax_loans}
 
-__all__ = ["SEGMENTS", "Catalog", "online_loans"]
+__all__ = ["SEGMENTS", "Catalog", "online_loans", "tax_loans"]
