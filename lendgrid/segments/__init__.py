@@ -5,10 +5,11 @@ columns (by name) for one lending system; ``lendgrid.job.LedgerJob`` unions
 them, flags first loans and writes the slice.
 """
 
+from lendgrid.segments.bills import bill_loans
 from lendgrid.segments.catalog import Catalog
 from lendgrid.segments.online import online_loans
 from lendgrid.segments.tax import tax_loans
 
-SEGMENTS = {"NL_3": online_loans, "WBYXNL_4": tax_loans}
+SEGMENTS = {"NL_3": online_loans, "WBYXNL_4": tax_loans, "BS_5": bill_loans}
 
-__all__ = ["SEGMENTS", "Catalog", "online_loans", "tax_loans"]
+__all__ = ["SEGMENTS", "Catalog", "bill_loans", "online_loans", "tax_loans"]
