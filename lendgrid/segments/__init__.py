@@ -7,9 +7,10 @@ them, flags first loans and writes the slice.
 
 from lendgrid.segments.bills import bill_loans
 from lendgrid.segments.catalog import Catalog
+from lendgrid.segments.micro import micro_loans
 from lendgrid.segments.online import online_loans
 from lendgrid.segments.tax import tax_loans
 
-SEGMENTS = {"NL_3": online_loans, "WBYXNL_4": tax_loans, "BS_5": bill_loans}
+SEGMENTS = {"NL_3": online_loans, "WBYXNL_4": tax_loans, "BS_5": bill_loans, "XL_6": micro_loans}
 
-__all__ = ["SEGMENTS", "Catalog", "bill_loans", "online_loans", "tax_loans"]
+__all__ = ["SEGMENTS", "Catalog", "bill_loans", "micro_loans", "online_loans", "tax_loans"]
