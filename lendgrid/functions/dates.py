@@ -22,9 +22,10 @@ def _col(c: Column | str) -> Column:
 
 
 def norm_date(c: Column | str) -> Column:
-    """Text in any known layout -> DATE, NULL when empty/invalid."""
+    """Text in any known layout (or a DATE/TIMESTAMP) -> DATE, NULL when
+    empty/invalid. Text timestamps fall back to the default timestamp parse."""
     s = F.trim(_col(c).cast("string"))
-    return F.coalesce(*[F.try_to_date(s, p) for p in DATE_PATTERNS])
+    return F.coalesce(*[F.try_to_date(s, p) for p in DATE_PATTERNS], F.to_date(F.try_to_timestamp(s)))
 
 
 def as_date(c: Column | str) -> Column:
