@@ -14,27 +14,46 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from lendgrid.operators.ledger import flag_first_loan, union_segments
 from lendgrid.rundate import RunDate
 from lendgrid.segments.catalog import Catalog
-from lendgrid.sources import RunLog, replace_slice
+from lendgrid.sources import RunLog, read_slice, replace_slice
 
 SegmentFn = Callable[[Catalog, RunDate], DataFrame]
 
 PROCEDURE = "SP_L_ACCT_LOAN"
+DETAIL_TABLE = "URDM.PL_LBI_R_LOAN_DETAIL_HS"
+PRIOR_LEDGER_TABLE = "URDM.L_ACCT_LOAN"
 
 
 class LedgerJob:
     def __init__(self, spark: SparkSession, catalog: Catalog, run: RunDate | str, target: str,
-                 segments: Mapping[str, SegmentFn], run_log: str | None = None):
+                 segments: Mapping[str, SegmentFn], run_log: str | None = None,
+                 detail: SegmentFn | None = None, detail_target: str | None = None):
         self.spark = spark
         self.catalog = catalog
         self.run = run if isinstance(run, RunDate) else RunDate.parse(run)
         self.target = target
         self.segments = dict(segments)
         self.run_log_path = run_log
+        self.detail = detail
+        self.detail_target = detail_target
         self.log = RunLog(self.run.d8, PROCEDURE)
 
+    def _write_detail(self) -> int:
+        """Write the loan-detail slice (``rpt_dt = D``) and point the catalog
+        at the written table: later segments read it back from storage, which
+        also cuts the lineage between the two loads."""
+        obs = Observation("detail_rows")
+        df = self.detail(self.catalog, self.run)
+        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+        replace_slice(df.observe(obs, F.count(F.lit(1)).alias("rows")), self.detail_target, ["rpt_dt"])
+        back = read_slice(self.spark, self.detail_target, schema).where(F.col("rpt_dt") == F.lit(self.run.d))
+        self.catalog = self.catalog.with_tables({DETAIL_TABLE: back})
+        return int(obs.get["rows"])
+
     def build(self) -> DataFrame:
         """The flagged ledger slice (lazy)."""
         frames = {tag: fn(self.catalog, self.run) for tag, fn in self.segments.items()}
@@ -44,6 +63,8 @@ class LedgerJob:
         """Build and write the slice; returns rows written per segment."""
         self.log.log(0, "start", 0)
         try:
+            if self.detail is not None:
+                self.log.log(len(self.segments) + 2, "load detail", 1, self._write_detail())
             ledger = self.build()
             obs = Observation("ledger_rows")
             counted = ledger.observe(obs, *[

@@ -37,6 +37,11 @@ class Catalog:
         by_name = {k.lower(): v for k, v in frames.items()}
         return cls(lambda name: by_name[name.lower()])
 
+    def with_tables(self, frames: Mapping[str, DataFrame]) -> "Catalog":
+        """A catalog in which ``frames`` replace (or add) the named tables."""
+        by_name = {k.lower(): v for k, v in frames.items()}
+        return Catalog(lambda name: by_name[name.lower()] if name.lower() in by_name else self._resolve(name))
+
     def read(self, name: str) -> DataFrame:
         """The table with lower-case column names."""
         df = self._resolve(name)

@@ -49,7 +49,7 @@ def loan(**kw):
     return base
 
 
-def test_personal_segment_rows(spark):
+def build_frames(spark):
     sched_s = {"loan_loan_no": "string", "loan_lnpa_loan_typ": "string", "perd_no": "int", "due_dt": "string",
                "prcp_amt": "decimal(20,2)", "setl_prcp": "decimal(20,2)", "int_amt": "decimal(20,2)",
                "setl_int": "decimal(20,2)", "int_rate": "decimal(12,6)", "last_setl_dt": "string"}
@@ -142,6 +142,11 @@ def test_personal_segment_rows(spark):
         "M_DICT_REMAPPING_DL": spark.createDataFrame(maps, "business_type string, dict_code string, ori_values string, "
                                                            "new_values string"),
     }
+    return frames
+
+
+def test_personal_segment_rows(spark):
+    frames = build_frames(spark)
     rows = {r.acct_num: r for r in personal_loans(Catalog.frames(frames), RUN).collect()}
     assert set(rows) == {"P1", "P2", "P6"}                 # unsettled-without-date, reversed, zero principal dropped
     p1, p2, p6 = rows["P1"], rows["P2"], rows["P6"]
@@ -175,3 +180,25 @@ def test_personal_segment_rows(spark):
     assert (p1.od_type_js, p1.loan_status_js, p1.loan_type_js) == ("03", "LS03", "经营")
     assert (p2.od_type_js, p2.loan_status_js, p2.renew_flg) == ("", "LS04", "Y")
     assert p1.year_int_incom == "0" and p1.departmentd == "grdk"
+
+
+def test_job_writes_detail_then_reads_it_back(spark):
+    import os
+    import tempfile
+
+    from lendgrid.job import LedgerJob
+    from lendgrid.operators.ledger import LEDGER
+    from lendgrid.sources import read_slice
+
+    frames = build_frames(spark)
+    detail = frames.pop("URDM.PL_LBI_R_LOAN_DETAIL_HS")
+    root = tempfile.mkdtemp(prefix="lendgrid-pl-")
+    job = LedgerJob(spark, Catalog.frames(frames), RUN, os.path.join(root, "ledger"), {"PL_2": personal_loans},
+                    run_log=os.path.join(root, "log"),
+                    detail=lambda cat, run: detail.where(detail.rpt_dt == run.d),
+                    detail_target=os.path.join(root, "detail"))
+    assert job.execute() == {"PL_2": 3}
+    led = {r.loan_num: r for r in read_slice(spark, os.path.join(root, "ledger"), LEDGER, data_date=RUN.d8).collect()}
+    assert led["DRW1"].od_type_js == "03" and led["DRW1"].loan_type_js == "经营"
+    log = spark.read.parquet(os.path.join(root, "log"))
+    assert log.where("step_desc = 'load detail'").first().row_count == 2
