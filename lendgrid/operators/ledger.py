@@ -79,14 +79,16 @@ def conform(df: DataFrame, schema: T.StructType = LEDGER) -> DataFrame:
 
 def union_segments(segments: Mapping[str, DataFrame], data_date: str,
                    schema: T.StructType = LEDGER) -> DataFrame:
-    """Tag each segment with its source, union by name (a segment's missing
-    columns are NULL) and conform to the ledger schema. No shuffle: a union
+    """Tag each segment with its source, conform it to the ledger schema
+    (columns it does not fill become typed NULLs, every column is cast to its
+    ledger type) and union the segments by name. Conforming before the union
+    means no implicit type widening between segments. No shuffle: a union
     only concatenates partitions."""
     out = None
     for tag, seg in segments.items():
-        tagged = seg.withColumn("date_sourcesd", F.lit(tag)).withColumn("data_date", F.lit(data_date))
-        out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
-    return conform(out, schema)
+        tagged = conform(seg.withColumn("date_sourcesd", F.lit(tag)).withColumn("data_date", F.lit(data_date)), schema)
+        out = tagged if out is None else out.unionByName(tagged)
+    return out
 
 
 def split_segments(base: DataFrame, specs: Sequence[tuple[str, Column, Mapping[str, Column]]],

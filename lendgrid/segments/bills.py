@@ -15,6 +15,7 @@ from lendgrid.functions import decode, norm_date, term_months
 from lendgrid.operators import code_map
 from lendgrid.rundate import RunDate
 from lendgrid.segments.catalog import Catalog
+from lendgrid.segments.codes import CULTURE_INDUSTRIES
 
 # Source table names.
 DETAILS = "OMI.BS_BUY_DETAILS_VIEW_HS"
@@ -44,17 +45,6 @@ MAP_BUSINESS_TYPE = "RSUM"
 GRADE = {"01": "1", "02": "2", "03": "3", "04": "4", "05": "5"}
 ITEM_CD = {"1": "11410601"}
 ITEM_CD_OTHER = "11410701"
-# Industry codes (characters 2-5 of the loan direction) of
-# culture and related industries, in source order.
-CULTURE_INDUSTRIES = """
-    8610 8622 8710 8720 8740 6421 6429 8621 8623 8624 8625 8626 8629 8730 8770 8810 8870 8890 6572
-    6422 8831 8832 8840 8850 8860 2431 2432 2433 2434 2435 2436 2437 2438 2439 3075 3076 7251 7259
-    7491 7492 5143 5144 5145 5243 5244 7124 7125 6321 6322 6331 8750 8760 8820 5183 5184 5146 5245
-    5246 9011 9012 9013 9019 9020 9090 7850 7861 7862 7869 7712 7715 7716 9030 5622 2222 2642 2644
-    2664 2311 2312 2319 2320 2330 8060 7281 7284 7289 9051 9053 9059 7298 7121 7123 7350 8393 3542
-    3474 3931 3932 3933 3934 3939 5178 3471 3953 3472 3473 5248 3873 2461 2462 2469 2421 2422 2423
-    2429 5147 5247 2411 5141 5241 2412 2414 2451 2456 2459 2672 3951 3952 5137 5271 5149 5249
-""".split()
 CONSTANTS = {
     "accu_int_amt": 0, "accu_int_flg": "Y", "book_type": "2", "campus_consu_loan_flg": "N", "cancel_flg": "N",
     "circle_loan_flg": "N", "current_term_num": 1, "curr_cd": "CNY", "departmentd": "pjtx", "drawdown_type": "A",

@@ -16,7 +16,7 @@ def hist(spark, rows, schema):
     return spark.createDataFrame([(*r, B, O, P) for r in rows], schema + ", " + H)
 
 
-def test_bill_segment_rows(spark):
+def build_frames(spark):
     bdv_s = ("id string, contract_id string, account_status string, warrant_no string, payment_date string, "
              "maturity_date string, draft_type string, interest decimal(20,2), mix_flag string, draft_number string, "
              "org_cd_range string, pay_amount decimal(20,2), rate decimal(12,6), payment_days int, "
@@ -68,6 +68,11 @@ def test_bill_segment_rows(spark):
                                                      "business_type string, dict_code string, ori_values string, "
                                                      "new_values string"),
     }
+    return frames
+
+
+def test_bill_segment_rows(spark):
+    frames = build_frames(spark)
     rows = {r.loan_num: r for r in bill_loans(Catalog.frames(frames), RUN).collect()}
     assert set(rows) == {"W1", "W2", "W3"}
     w1, w2, w3 = rows["W1"], rows["W2"], rows["W3"]

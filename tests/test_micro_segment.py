@@ -54,7 +54,7 @@ def vouchers(spark):
     return hist(spark, rows, ", ".join(f"{c} {t}" for c, t in VCH_COLS))
 
 
-def test_micro_segment_rows(spark):
+def build_frames(spark):
     z = d("0")
     sched_s = ("vchno string, currcnt int, rependdate string, curramt decimal(20,2), paysum decimal(20,2), "
                "currint decimal(20,2), payint decimal(20,2), over_int decimal(20,2), pay_over_int decimal(20,2), "
@@ -111,6 +111,11 @@ def test_micro_segment_rows(spark):
                                                      "business_type string, dict_code string, ori_values string, "
                                                      "new_values string"),
     }
+    return frames
+
+
+def test_micro_segment_rows(spark):
+    frames = build_frames(spark)
     out = micro_loans(Catalog.frames(frames), RUN).collect()
     rows = {r.loan_num: r for r in out}
     assert len(out) == 2 and set(rows) == {"CON001", "123456789012341"}

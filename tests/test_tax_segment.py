@@ -16,7 +16,7 @@ def hist(spark, rows, schema):
     return spark.createDataFrame([(*r, B, O, P) for r in rows], schema + ", " + H)
 
 
-def test_tax_segment_rows(spark):
+def build_frames(spark):
     g_s = ("credit_num string, status string, int_bal decimal(20,2), ovd_int_bal decimal(20,2), "
            "ovd_prin_pnlt_bal decimal(20,2), ovd_int_pnlt_bal decimal(20,2), clear_date string, ovd_terms int, "
            "current_terms int, cust_no string, encash_amt decimal(20,2), encash_date string, "
@@ -65,6 +65,11 @@ def test_tax_segment_rows(spark):
             ("OTHER", GREEN_TYPE_DICT, "GP2", "x")],
             "business_type string, dict_code string, ori_values string, new_values string"),
     }
+    return frames
+
+
+def test_tax_segment_rows(spark):
+    frames = build_frames(spark)
     rows = {r.loan_num: r for r in tax_loans(Catalog.frames(frames), RUN).collect()}
     assert set(rows) == {"T1", "T2", "T3", "T4"}
     t1, t2, t3, t4 = rows["T1"], rows["T2"], rows["T3"], rows["T4"]
