@@ -69,12 +69,17 @@ LEDGER = T.StructType([T.StructField(c, _ledger_type(c), True) for c in LEDGER_C
 
 def conform(df: DataFrame, schema: T.StructType = LEDGER) -> DataFrame:
     """Project a frame onto ``schema`` by name: missing columns become typed
-    NULLs, extra columns are dropped, every column is cast to its type."""
-    have = set(df.columns)
-    return df.select(*[
-        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ])
+    NULLs, extra columns are dropped, every column is cast to its type.
+
+    Built as one list of SQL expressions (a single call into the JVM) rather
+    than one Column object per field: the ledger is 137 columns wide."""
+    have = {c.lower(): c for c in df.columns}
+    exprs = []
+    for f in schema.fields:
+        src = have.get(f.name.lower())
+        value = f"`{src}`" if src is not None else "NULL"
+        exprs.append(f"CAST({value} AS {f.dataType.simpleString()}) AS `{f.name}`")
+    return df.selectExpr(*exprs)
 
 
 def union_segments(segments: Mapping[str, DataFrame], data_date: str,
@@ -92,7 +97,7 @@ def union_segments(segments: Mapping[str, DataFrame], data_date: str,
 
 
 def split_segments(base: DataFrame, specs: Sequence[tuple[str, Column, Mapping[str, Column]]],
-                   data_date: str, schema: T.StructType = LEDGER) -> DataFrame:
+                   data_date: str, schema: T.StructType | None = LEDGER) -> DataFrame:
     """Ledger rows for segments carved out of ONE input by disjoint
     predicates, in a single pass.
 
@@ -116,7 +121,7 @@ def split_segments(base: DataFrame, specs: Sequence[tuple[str, Column, Mapping[s
                 expr = F.when(cond, cols[name]) if expr is None else expr.when(cond, cols[name])
         out.append(expr.alias(name))
     rows = tagged.select("date_sourcesd", *out).withColumn("data_date", F.lit(data_date))
-    return conform(rows, schema)
+    return conform(rows, schema) if schema is not None else rows
 
 
 def flag_first_loan(ledger: DataFrame, flag: str = "is_first_report_loan_tag",
@@ -124,8 +129,13 @@ def flag_first_loan(ledger: DataFrame, flag: str = "is_first_report_loan_tag",
                     row_key: tuple[str, ...] = ("loan_num", "date_sourcesd")) -> DataFrame:
     """Mark each customer's first loan across all sources with ``Y`` (the rest
     keep their own value, ``N`` when unset), computed before the write
-    instead of a MERGE on the written slice."""
+    instead of a MERGE on the written slice. Works on any frame holding the
+    key columns; flag before widening a frame to the full ledger when
+    possible, so the join shuffles narrow rows."""
     flagged = first_flag(ledger, [cust], list(order), list(row_key), "__first")
-    cols = [F.when(F.col("__first") == "Y", F.lit("Y")).otherwise(F.coalesce(F.col(flag), F.lit("N"))).alias(flag)
-            if c == flag else F.col(c) for c in ledger.columns]
-    return flagged.select(*cols)
+    own = f"`{flag}`" if flag in ledger.columns else "NULL"
+    value = f"CASE WHEN __first = 'Y' THEN 'Y' ELSE COALESCE({own}, 'N') END AS `{flag}`"
+    cols = [value if c == flag else f"`{c}`" for c in ledger.columns]
+    if flag not in ledger.columns:
+        cols.append(value)
+    return flagged.selectExpr(*cols)

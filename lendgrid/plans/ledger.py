@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lendgrid.functions import decode, overdue_days
 from lendgrid.operators import agg_join, first_flag
-from lendgrid.operators.ledger import LEDGER, flag_first_loan, split_segments, union_segments  # noqa: F401
+from lendgrid.operators.ledger import LEDGER, conform, flag_first_loan, split_segments, union_segments  # noqa: F401
 from lendgrid.plans.frames import RUN, SCHED_SQL, loans, schedule, tables, with_sql
 from lendgrid.plans.registry import query
 from lendgrid.rundate import RunDate
@@ -89,7 +89,9 @@ def ledger_slice(t: Tables, run: RunDate) -> DataFrame:
     a single pass (``split_segments``); separate source systems go through
     ``union_segments``."""
     base = base_measures(t, run)
-    return flag_first_loan(split_segments(base, segment_specs(run), run.d8))
+    narrow = split_segments(base, segment_specs(run), run.d8, schema=None)
+    # flag on the narrow frame (the join shuffles ~20 columns), then widen
+    return conform(flag_first_loan(narrow))
 
 
 def _ledger_sql(d: str, name: str = "ledger") -> str:
