@@ -198,9 +198,13 @@ def replace_slice_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     no duplicates from the rerun and the other date untouched."""
     t = tables(spark, sf_dir)
     root = ensure_checkpoint_dir(spark).rstrip("/") + f"/lendgrid-ledger-{uuid.uuid4().hex}"
-    # first load writes two dates in one job; the rerun rewrites one date
-    replace_slice(ledger_slice(t, PRIOR).unionByName(ledger_slice(t, RUN)), root, ["data_date"])
-    replace_slice(ledger_slice(t, RUN), root, ["data_date"])
+    # first load writes two dates in one job; the rerun rewrites one date.
+    # The current slice is persisted between the two writes (a lost executor
+    # only recomputes its blocks from lineage).
+    current = ledger_slice(t, RUN).persist()
+    replace_slice(ledger_slice(t, PRIOR).unionByName(current), root, ["data_date"])
+    replace_slice(current, root, ["data_date"])
+    current.unpersist()
     return read_slice(spark, root, LEDGER, data_date=RUN.d8).select(*OUT_COLS)
 
 
