@@ -2,7 +2,7 @@
 
 from lendgrid.operators.aggregates import agg_join, collect_concat
 from lendgrid.operators.flags import exists_flag, having_multi, membership_flag
-from lendgrid.operators.latest import first_flag, latest_by, top1_by_max
+from lendgrid.operators.latest import first_flag, first_last_aggs, latest_by, top1_by_max
 from lendgrid.operators.ledger import flag_first_loan, union_segments
 from lendgrid.operators.lookup import bounded_broadcast, code_map, coalesce_lookup, lookup_unique
 
@@ -14,6 +14,7 @@ __all__ = [
     "collect_concat",
     "exists_flag",
     "first_flag",
+    "first_last_aggs",
     "flag_first_loan",
     "having_multi",
     "latest_by",

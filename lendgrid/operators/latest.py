@@ -70,3 +70,28 @@ def first_flag(
     keys = list(dict.fromkeys([*group, *row_key]))
     out = df.join(marks, on=keys, how="left")
     return out.withColumn(flag, F.when(F.col("__mark"), F.lit(yes)).otherwise(F.lit(no))).drop("__mark")
+
+
+def first_last_aggs(order: Sequence[str], payload: Sequence[str], first: str | None = "first",
+                    last: str | None = "last") -> list[Column]:
+    """Aggregate expressions giving, per group, the payload of the first row
+    under ascending ``order`` and of the last row (the first under descending
+    order), NULLs ordered last both ways -- the ``ROW_NUMBER() = 1`` rows --
+    as ``min`` / ``max`` of a struct.
+
+    Used inside one ``groupBy().agg()`` this reads the data once and
+    aggregates map-side (a hot key collapses before the shuffle), where
+    two windows would sort and shuffle every row twice. Each order field is
+    preceded by its NULL indicator so NULLs sort after values for ``min``;
+    ``max`` already treats NULL fields as smallest.
+    """
+    out = []
+    if first:
+        fields = []
+        for c in order:
+            fields += [F.col(c).isNull().alias(f"__n_{c}"), F.col(c).alias(f"__o_{c}")]
+        out.append(F.min(F.struct(*fields, *[F.col(p).alias(p) for p in payload])).alias(first))
+    if last:
+        fields = [F.col(c).alias(f"__o_{c}") for c in order]
+        out.append(F.max(F.struct(*fields, *[F.col(p).alias(p) for p in payload])).alias(last))
+    return out

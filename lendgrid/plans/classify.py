@@ -13,7 +13,7 @@ from lendgrid.functions import (
     case_map, coalesce_dates, concat_null_as_empty, decode, effective_rate, in_code_set, money, overdue_days,
     prefix_map, rate_text, term_months as term_months_expr, text_after,
 )
-from lendgrid.operators import agg_join, latest_by, lookup_unique
+from lendgrid.operators import agg_join, first_last_aggs, latest_by, lookup_unique
 from lendgrid.plans.frames import LOANS_SQL, RUN, SCHED_SQL, loans, schedule, tables, with_sql
 from lendgrid.plans.registry import query
 
@@ -216,20 +216,20 @@ FROM loans l JOIN t1 ON t1.loan_num = l.loan_num
 LEFT JOIN t2 ON t2.loan_num = l.loan_num
 LEFT JOIN ph ON ph.loan_num = l.loan_num""")
 def repay_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # one aggregate over the schedule: first and last line per loan (min /
+    # max of a struct), interest-only count and distinct flag counts
     t = tables(spark, sf_dir)
     s = schedule(t)
     tie = ["perd_no", "due_dt", "part_id", "supp_id", "prcp_amt", "int_amt"]
-    last = latest_by(s, ["loan_num"], [F.col(c).desc_nulls_last() for c in tie]).select(
-        "loan_num", F.col("prcp_amt").alias("last_prcp"),
-        decode("rtn_flag", {"A": "T", "R": "A", "N": "P"}).alias("repaym_typ"))
-    first = latest_by(s, ["loan_num"], [F.col(c).asc_nulls_last() for c in tie]).select(
-        "loan_num", F.col("prcp_amt").alias("first_prcp"))
-    t1 = last.join(first, "loan_num").select("loan_num", (F.col("last_prcp") - F.col("first_prcp")).alias("pgs"),
-                                             "repaym_typ")
-    aggs = s.groupBy("loan_num").agg(
+    per_loan = s.groupBy("loan_num").agg(
+        *first_last_aggs(tie, ["prcp_amt", "rtn_flag"]),
         F.count(F.when(F.col("disc_rate") == 0, 1)).alias("ip_n"),
-        F.count_distinct("rtn_flag").alias("prcp_freq"), F.count_distinct("line_sts").alias("int_freq"))
-    j = loans(t).join(t1, "loan_num").join(aggs, "loan_num", "left")
+        F.size(F.collect_set("rtn_flag")).alias("prcp_freq"), F.size(F.collect_set("line_sts")).alias("int_freq"))
+    agg = per_loan.select(
+        "loan_num", (F.col("last.prcp_amt") - F.col("first.prcp_amt")).alias("pgs"),
+        decode(F.col("last.rtn_flag"), {"A": "T", "R": "A", "N": "P"}).alias("repaym_typ"),
+        "ip_n", "prcp_freq", "int_freq")
+    j = loans(t).join(agg, "loan_num")
     ip = F.when(F.col("ip_n") > 0, F.col("ip_n"))  # no IO lines = no T2 row
     ip0 = F.coalesce(ip, F.lit(0))
     pgs = F.coalesce(F.col("pgs"), F.lit(0))

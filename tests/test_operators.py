@@ -92,3 +92,20 @@ def test_bounded_broadcast(spark):
     j2 = spark.range(100).join(bounded_broadcast(big, 100), "id")
     assert "broadcast" in j1._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in j2._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_first_last_aggs_match_row_number(spark):
+    from pyspark.sql import Window
+
+    from lendgrid.operators import first_last_aggs
+    rows = [("a", 1, "x", "p1"), ("a", None, "y", "p2"), ("a", 3, None, "p3"), ("a", 3, "b", "p4"),
+            ("b", None, None, "q1"), ("b", None, "z", "q2"), ("c", 2, "k", "r1")]
+    df = spark.createDataFrame(rows, "k string, o1 int, o2 string, v string")
+    agg = df.groupBy("k").agg(*first_last_aggs(["o1", "o2"], ["v"]))
+    got = {r.k: (r.first.v, r.last.v) for r in agg.collect()}
+    asc = Window.partitionBy("k").orderBy(F.col("o1").asc_nulls_last(), F.col("o2").asc_nulls_last())
+    desc = Window.partitionBy("k").orderBy(F.col("o1").desc_nulls_last(), F.col("o2").desc_nulls_last())
+    ranked = df.withColumn("ra", F.row_number().over(asc)).withColumn("rd", F.row_number().over(desc))
+    first = {r.k: r.v for r in ranked.where("ra = 1").collect()}
+    last = {r.k: r.v for r in ranked.where("rd = 1").collect()}
+    assert got == {k: (first[k], last[k]) for k in first}
