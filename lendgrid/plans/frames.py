@@ -24,8 +24,16 @@ EV_RUN = RunDate(dt.date(2024, 1, 15))
 _NEXT_DAY = dt.datetime(1998, 7, 1)
 
 
+_CATALOGUES: dict[tuple[int, str], Tables] = {}
+
+
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(spark, sf_dir)
+    """One table catalogue per (session, dataset root)."""
+    key = (id(spark._jsparkSession), sf_dir)
+    cat = _CATALOGUES.get(key)
+    if cat is None or cat.spark is not spark:
+        cat = _CATALOGUES[key] = Tables(spark, sf_dir)
+    return cat
 
 
 def loans(t: Tables, run: RunDate = RUN) -> DataFrame:

@@ -13,10 +13,16 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._loaded: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
 
     def read(self, name: str, *columns: str) -> DataFrame:
-        df = self.spark.read.parquet(self.path(name))
+        """The table as a lazy frame. The loaded frame (file listing and
+        footer schema) is kept per catalogue, so repeated reads of the same
+        immutable dataset skip schema discovery; no data is cached."""
+        df = self._loaded.get(name)
+        if df is None:
+            df = self._loaded[name] = self.spark.read.parquet(self.path(name))
         return df.select(*columns) if columns else df
