@@ -54,22 +54,34 @@ def first_flag(
     flag: str,
     yes: str = "Y",
     no: str = "N",
+    match_group: bool = True,
 ) -> DataFrame:
     """Flag the first row per ``group`` under ascending ``order`` without
     putting a whole group into one task.
 
-    The first row per group is found with the skew-safe top-1 plan above, and
-    joined back on ``group + row_key`` (near-unique keys, so the join has no
-    hot partition). Every input row is kept; the flag is ``yes`` on exactly
-    one row per group.
+    The first row per group is found with the skew-safe top-1 plan above
+    (``row_key`` completes the tie-break) and joined back on near-unique keys,
+    so the join has no hot partition: ``group + row_key`` by default, with
+    NULL group values matching each other (they form one group, as in
+    ``PARTITION BY``); with ``match_group=False`` on ``row_key`` alone,
+    with plain equality (an update matched on the row key). Every input row
+    is kept.
     """
-    firsts = latest_by(df.select(*group, *order, *[k for k in row_key if k not in order]),
-                       group, [F.col(c).asc_nulls_last() for c in order] +
-                       [F.col(k).asc_nulls_last() for k in row_key if k not in order])
-    marks = firsts.select(*group, *row_key).withColumn("__mark", F.lit(True))
-    keys = list(dict.fromkeys([*group, *row_key]))
-    out = df.join(marks, on=keys, how="left")
-    return out.withColumn(flag, F.when(F.col("__mark"), F.lit(yes)).otherwise(F.lit(no))).drop("__mark")
+    extra = [k for k in row_key if k not in order]
+    firsts = latest_by(df.select(*group, *order, *extra), group,
+                       [F.col(c).asc_nulls_last() for c in [*order, *extra]])
+    match = list(dict.fromkeys([*group, *row_key] if match_group else row_key))
+    marks = firsts.select(*[F.col(k).alias(f"__m_{k}") for k in match], F.lit(True).alias("__hit"))
+    cond = None
+    for k in match:
+        if match_group and k in group:
+            eq = F.col(k).eqNullSafe(F.col(f"__m_{k}"))
+        else:
+            eq = F.col(k) == F.col(f"__m_{k}")
+        cond = eq if cond is None else cond & eq
+    out = df.join(marks, cond, "left")
+    flagged = F.when(F.col("__hit"), F.lit(yes)).otherwise(F.lit(no))
+    return out.withColumn(flag, flagged).drop("__hit", *[f"__m_{k}" for k in match])
 
 
 def first_last_aggs(order: Sequence[str], payload: Sequence[str], first: str | None = "first",

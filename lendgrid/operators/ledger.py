@@ -132,7 +132,9 @@ def flag_first_loan(ledger: DataFrame, flag: str = "is_first_report_loan_tag",
     instead of a MERGE on the written slice. Works on any frame holding the
     key columns; flag before widening a frame to the full ledger when
     possible, so the join shuffles narrow rows."""
-    flagged = first_flag(ledger, [cust], list(order), list(row_key), "__first")
+    # ranked per customer, matched back on the row key (the source's MERGE
+    # matches on loan number and source only)
+    flagged = first_flag(ledger, [cust], list(order), list(row_key), "__first", match_group=False)
     own = f"`{flag}`" if flag in ledger.columns else "NULL"
     value = f"CASE WHEN __first = 'Y' THEN 'Y' ELSE COALESCE({own}, 'N') END AS `{flag}`"
     cols = [value if c == flag else f"`{c}`" for c in ledger.columns]

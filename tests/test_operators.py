@@ -109,3 +109,15 @@ def test_first_last_aggs_match_row_number(spark):
     first = {r.k: r.v for r in ranked.where("ra = 1").collect()}
     last = {r.k: r.v for r in ranked.where("rd = 1").collect()}
     assert got == {k: (first[k], last[k]) for k in first}
+
+
+def test_first_flag_null_group_and_row_key_match(spark):
+    d1 = dt.date(2024, 1, 1)
+    rows = [(None, "L1", "A", d1), (None, "L2", "A", dt.date(2024, 2, 1)), ("c", "L3", "B", d1),
+            ("c", "L3", "B", d1)]
+    df = spark.createDataFrame(rows, "cust string, loan string, src string, d date")
+    grouped = first_flag(df, ["cust"], ["d", "loan"], ["loan", "src"], "f").collect()
+    # NULL customers form one group (like PARTITION BY); duplicated rows of a first key all match
+    assert sorted((r.loan, r.f) for r in grouped) == [("L1", "Y"), ("L2", "N"), ("L3", "Y"), ("L3", "Y")]
+    by_key = first_flag(df, ["cust"], ["d", "loan"], ["loan", "src"], "f", match_group=False).collect()
+    assert sorted((r.loan, r.f) for r in by_key) == [("L1", "Y"), ("L2", "N"), ("L3", "Y"), ("L3", "Y")]
