@@ -67,9 +67,10 @@ def _ledger_type(name: str) -> T.DataType:
 LEDGER = T.StructType([T.StructField(c, _ledger_type(c), True) for c in LEDGER_COLUMNS])
 
 
-def conform(df: DataFrame, schema: T.StructType = LEDGER) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType = LEDGER, fill_missing: bool = True) -> DataFrame:
     """Project a frame onto ``schema`` by name: missing columns become typed
-    NULLs, extra columns are dropped, every column is cast to its type.
+    NULLs (or are left out with ``fill_missing=False``), extra columns are
+    dropped, every column is cast to its type.
 
     Built as one list of SQL expressions (a single call into the JVM) rather
     than one Column object per field: the ledger is 137 columns wide."""
@@ -77,6 +78,8 @@ def conform(df: DataFrame, schema: T.StructType = LEDGER) -> DataFrame:
     exprs = []
     for f in schema.fields:
         src = have.get(f.name.lower())
+        if src is None and not fill_missing:
+            continue
         value = f"`{src}`" if src is not None else "NULL"
         exprs.append(f"CAST({value} AS {f.dataType.simpleString()}) AS `{f.name}`")
     return df.selectExpr(*exprs)

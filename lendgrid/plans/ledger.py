@@ -89,8 +89,10 @@ def ledger_slice(t: Tables, run: RunDate) -> DataFrame:
     a single pass (``split_segments``); separate source systems go through
     ``union_segments``."""
     base = base_measures(t, run)
-    narrow = split_segments(base, segment_specs(run), run.d8, schema=None)
-    # flag on the narrow frame (the join shuffles ~20 columns), then widen
+    # typed to the ledger (loan numbers are text there, which decides the
+    # first-loan order) but not yet widened: the flag's join shuffles ~20
+    # columns instead of 137
+    narrow = conform(split_segments(base, segment_specs(run), run.d8, schema=None), fill_missing=False)
     return conform(flag_first_loan(narrow))
 
 
