@@ -60,7 +60,9 @@ class LedgerJob:
         return flag_first_loan(union_segments(frames, self.run.d8))
 
     def execute(self) -> dict[str, int]:
-        """Build and write the slice; returns rows written per segment."""
+        """Build and write the slice; returns rows written per segment. Each
+        execution appends its own step rows to the run log."""
+        self.log = RunLog(self.run.d8, PROCEDURE)
         self.log.log(0, "start", 0)
         try:
             if self.detail is not None:

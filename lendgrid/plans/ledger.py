@@ -160,10 +160,20 @@ def _ledger_sql(d: str, name: str = "ledger") -> str:
 _OUT_SQL = ", ".join(OUT_COLS)
 
 
+def ledger_slice_by_union(t: Tables, run: RunDate) -> DataFrame:
+    """The same slice built the way the ledger job builds it from separate
+    source systems: one frame per segment, each conformed to the ledger and
+    unioned by name, then flagged."""
+    base = base_measures(t, run)
+    return flag_first_loan(union_segments(segments(base, run), run.d8))
+
+
 @query("ledger_union", with_sql(SCHED_SQL, _ledger_sql("1998-06-30")) + f"""
 SELECT {_OUT_SQL} FROM ledger""")
 def ledger_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger_slice(tables(spark, sf_dir), RUN).select(*OUT_COLS)
+    # the job's path (segments unioned by name); the other ledger keys use the
+    # single-pass split, and both are checked against the same SQL
+    return ledger_slice_by_union(tables(spark, sf_dir), RUN).select(*OUT_COLS)
 
 
 @query("segment_rowcounts", with_sql(SCHED_SQL, _ledger_sql("1998-06-30")) + """

@@ -22,8 +22,7 @@ def hist(spark, rows, schema):
     return spark.createDataFrame([(*r, B, O, P) for r in rows], schema + ", " + H)
 
 
-@pytest.fixture(scope="module")
-def catalog(spark):
+def build_frames(spark):
     loan_s = ("serialno string, loanstatus string, productid string, customerid string, contractserialno string, "
               "accountingorgid string, classifyresult string, putoutdate string, maturitydate string, "
               "originalmaturitydate string, finishdate string, businesssum decimal(20,2), "
@@ -94,7 +93,12 @@ def catalog(spark):
         "OMI.KN_KDPA_ZHDUIZ_HS": hist(spark, [("A1", "Z2", 2), ("A1", "Z1", 1)],
                                       "kehuzhao string, zhanghao string, zhhaoxuh int"),
     }
-    return Catalog.frames(frames)
+    return frames
+
+
+@pytest.fixture(scope="module")
+def catalog(spark):
+    return Catalog.frames(build_frames(spark))
 
 
 def test_online_segment_rows(spark, catalog):
