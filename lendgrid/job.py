@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from lendgrid.operators.ledger import flag_first_loan, union_segments
 from lendgrid.rundate import RunDate
 from lendgrid.segments.catalog import Catalog
+from lendgrid.session import ensure_checkpoint_dir
 from lendgrid.sources import RunLog, read_slice, replace_slice
 
 SegmentFn = Callable[[Catalog, RunDate], DataFrame]
@@ -54,10 +55,22 @@ class LedgerJob:
         self.catalog = self.catalog.with_tables({DETAIL_TABLE: back})
         return int(obs.get["rows"])
 
-    def build(self) -> DataFrame:
-        """The flagged ledger slice (lazy)."""
+    def build(self, materialize: bool = True) -> DataFrame:
+        """The flagged ledger slice.
+
+        The first-loan flag reads the unioned segments twice (a narrow pass
+        ranking each customer's loans and the join back onto every row).
+        Segments are wide join trees that Catalyst cannot prune away, so the
+        union is first materialised with a reliable ``checkpoint()`` into the
+        cluster's checkpoint folder: the segments are computed once, lineage
+        is cut, and a lost executor re-reads checkpoint files instead of
+        recomputing the joins."""
         frames = {tag: fn(self.catalog, self.run) for tag, fn in self.segments.items()}
-        return flag_first_loan(union_segments(frames, self.run.d8))
+        union = union_segments(frames, self.run.d8)
+        if materialize:
+            ensure_checkpoint_dir(self.spark)
+            union = union.checkpoint(eager=True)
+        return flag_first_loan(union)
 
     def execute(self) -> dict[str, int]:
         """Build and write the slice; returns rows written per segment. Each
