@@ -30,27 +30,29 @@ def lookup_unique(
     """Left join a value lookup whose key must be unique (a correlated scalar
     subquery: 0 matches -> NULL, 1 -> value, 2+ -> error).
 
-    The right side is reduced to one row per key with a partial/final
-    aggregate that also counts rows; in ``strict`` mode a duplicated key raises
+    In ``strict`` mode the right side is reduced to one row per key with a
+    partial/final aggregate that also counts rows, and a duplicated key raises
     at run time inside the plan (no driver collect), mirroring
     ``SCALAR_SUBQUERY_TOO_MANY_ROWS``. The aggregate's hash partitioning on the
-    key is reused by the join, so the lookup adds no extra shuffle.
+    key is reused by the join, so the check adds no extra shuffle. With
+    ``strict=False`` it is the plain left join of the source SQL, where a
+    duplicated key multiplies the left row.
     """
     pairs = list(on.items()) if isinstance(on, Mapping) else [(k, k) for k in on]
     rkeys = [r for _, r in pairs]
-    agg = right.groupBy(*rkeys).agg(
-        F.count(F.lit(1)).alias("__n"),
-        *[F.first(v, ignorenulls=False).alias(v) for v in values],
-    )
     if strict:
         msg = f"{name}: more than one row for a lookup key"
+        agg = right.groupBy(*rkeys).agg(
+            F.count(F.lit(1)).alias("__n"),
+            *[F.first(v, ignorenulls=False).alias(v) for v in values],
+        )
         agg = agg.select(
             *rkeys,
             *[F.when(F.col("__n") > 1, F.raise_error(F.lit(msg)).cast(right.schema[v].dataType))
               .otherwise(F.col(v)).alias(v) for v in values],
         )
     else:
-        agg = agg.drop("__n")
+        agg = right.select(*dict.fromkeys([*rkeys, *values]))
     if all(l == r for l, r in pairs):
         return left.join(agg, on=[l for l, _ in pairs], how="left")
     ren = agg.select(*[F.col(r).alias(f"__k{i}") for i, (_, r) in enumerate(pairs)], *values)

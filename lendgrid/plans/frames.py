@@ -21,7 +21,6 @@ from lendgrid.sources import Tables, history_from_events
 RUN = RunDate(dt.date(1998, 6, 30))
 EV_RUN = RunDate(dt.date(2024, 1, 15))
 
-_NEXT_DAY = dt.datetime(1998, 7, 1)
 
 
 _CATALOGUES: dict[tuple[int, str], Tables] = {}
@@ -39,8 +38,8 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
 def loans(t: Tables, run: RunDate = RUN) -> DataFrame:
     """Loans drawn on or before D. The predicate is on the raw timestamp
     column so it reaches the Parquet scan as a pushed filter."""
-    nxt = dt.datetime.combine(run.d + dt.timedelta(days=1), dt.time())
-    o = t.read("orders").where(F.col("o_orderdate") < F.lit(nxt).cast("timestamp_ntz"))
+    nxt = F.lit(run.d + dt.timedelta(days=1)).cast("timestamp_ntz")  # a date literal: no time zone involved
+    o = t.read("orders").where(F.col("o_orderdate") < nxt)
     return o.select(
         F.col("o_orderkey").alias("loan_num"),
         F.col("o_custkey").alias("cust_id"),

@@ -117,7 +117,7 @@ SELECT loan_num, perd_no AS next_perd_no, due_dt AS next_due_dt, int_amt AS next
   FROM sched WHERE due_dt > DATE '1998-06-30') WHERE rn = 1""")
 def next_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     # due_dt > D, stated on the raw timestamp too so the scan can skip row groups
-    after = F.lit(dt.datetime.combine(D + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
+    after = F.lit(D + dt.timedelta(days=1)).cast("timestamp_ntz")
     s = schedule(tables(spark, sf_dir)).where((F.col("due_dt") > F.lit(D)) & (F.col("due_ts") >= after))
     return latest_by(s, ["loan_num"], _asc(SCHED_ORDER_ASC)).select(
         "loan_num", F.col("perd_no").alias("next_perd_no"), F.col("due_dt").alias("next_due_dt"),

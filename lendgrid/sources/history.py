@@ -45,8 +45,8 @@ def event_window(df: DataFrame, col: Column | str, start: dt.date, end: dt.date,
     c = F.col(col) if isinstance(col, str) else col
     out = df.where(c.between(F.lit(start), F.lit(end)))
     if raw_ts:
-        lo = F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz")
-        hi = F.lit(dt.datetime.combine(end + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
+        lo = F.lit(start).cast("timestamp_ntz")        # date literals: no time zone involved
+        hi = F.lit(end + dt.timedelta(days=1)).cast("timestamp_ntz")
         out = out.where((F.col(raw_ts) >= lo) & (F.col(raw_ts) < hi))
     return out
 

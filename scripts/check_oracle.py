@@ -1,7 +1,7 @@
 """Run registered queries in Spark and their SQL oracles in DuckDB on the same
 Parquet tables; report row-count / column / value agreement per key.
 
-usage: python scripts/check_oracle.py [sf_dir] [key ...]
+usage: python scripts/check_oracle.py [--strict] [--tz=Zone/Name] [sf_dir] [key ...]
 """
 
 from __future__ import annotations
@@ -20,12 +20,18 @@ from lendgrid.session import local_session  # noqa: E402
 def main(argv: list[str]) -> int:
     import lendgrid.plans.compare as cmp
 
-    if argv and argv[0] == "--strict":
-        cmp.STRICT = True
+    tz = None
+    while argv and argv[0].startswith("--"):
+        if argv[0] == "--strict":
+            cmp.STRICT = True
+        elif argv[0].startswith("--tz="):
+            tz = argv[0].split("=", 1)[1]
         argv = argv[1:]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     keys = argv[1:] or sorted(QUERIES)
     spark = local_session()
+    if tz:
+        spark.conf.set("spark.sql.session.timeZone", tz)  # results must not depend on it
     bad = 0
     for k in keys:
         t0 = time.time()

@@ -36,7 +36,9 @@ def test_f5_fan_out_non_strict_doubles(spark):
     left = spark.createDataFrame([(1,)], "k int")
     right = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     assert left.join(right, "k", "left").count() == 2  # the reference's behaviour
-    assert lookup_unique(left, right, ["k"], ["v"], strict=False).count() == 1
+    assert lookup_unique(left, right, ["k"], ["v"], strict=False).count() == 2
+    with pytest.raises(Exception):
+        lookup_unique(left, right, ["k"], ["v"]).collect()
 
 
 def test_f7_code_map(spark):
