@@ -40,15 +40,20 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the configured checkpoint folder; only when none is configured
-    (tests, local bench) fall back to a fresh scratch folder."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """Return the shared checkpoint folder the cluster names in
+    ``spark.checkpoint.dir``. Only a local-mode session without one (tests,
+    the local bench) falls back to a fresh scratch folder; on a cluster a
+    machine-local folder would not survive a lost executor, so a missing
+    setting is an error."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir() or configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for checkpoints and slices")
     scratch = tempfile.mkdtemp(prefix="lendgrid-ckpt-")
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch
