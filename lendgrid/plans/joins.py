@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lendgrid.functions import decode
 from lendgrid.operators import (
-    bounded_broadcast, code_map, coalesce_lookup, exists_flag, having_multi, latest_by, lookup_unique,
+    code_map, coalesce_lookup, exists_flag, having_multi, latest_by, lookup_unique,
     membership_flag,
 )
 from lendgrid.plans.frames import (
@@ -24,12 +24,18 @@ D = RUN.d
 DIM_BOUND = 1000
 
 
+def _dim(t, name, *cols):
+    """A dimension frame, broadcast only when its size bound holds."""
+    df = t.read(name, *cols)
+    return F.broadcast(df) if t.fits(name, DIM_BOUND) else df
+
+
 def _nation(t, *cols):
-    return bounded_broadcast(t.read("nation", *cols), DIM_BOUND)
+    return _dim(t, "nation", *cols)
 
 
 def _region(t, *cols):
-    return bounded_broadcast(t.read("region", *cols), DIM_BOUND)
+    return _dim(t, "region", *cols)
 
 
 @query("enrich_left", with_sql(LOANS_SQL) + """
