@@ -32,14 +32,23 @@ def audit(df) -> dict:
 
 
 def main(argv):
+    markdown = "--markdown" in argv
+    argv = [a for a in argv if a != "--markdown"]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     spark = local_session()
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # audit the static plan
     bad = 0
+    if markdown:
+        print("| key | shuffles | broadcasts | scans | scans with pushed filters | codegen stages | cartesian / nested loop |")
+        print("| --- | --- | --- | --- | --- | --- | --- |")
     for name in sorted(QUERIES):
         a = audit(QUERIES[name](spark, sf_dir))
         bad += bool(a["bad"])
-        print(f"{name:24s} {a}")
+        if markdown:
+            print(f"| `{name}` | {a['exchanges']} | {a['broadcasts']} | {a['scans']} | {a['pushed']} | {a['codegen']} | "
+                  f"{', '.join(a['bad']) or 'none'} |")
+        else:
+            print(f"{name:24s} {a}")
     spark.stop()
     return 1 if bad else 0
 
