@@ -41,26 +41,36 @@ def lookup_unique(
     pairs = list(on.items()) if isinstance(on, Mapping) else [(k, k) for k in on]
     rkeys = [r for _, r in pairs]
     if strict:
-        msg = f"{name}: more than one row for a lookup key"
         agg = right.groupBy(*rkeys).agg(
             F.count(F.lit(1)).alias("__n"),
             *[F.first(v, ignorenulls=False).alias(v) for v in values],
         )
-        agg = agg.select(
-            *rkeys,
-            *[F.when(F.col("__n") > 1, F.raise_error(F.lit(msg)).cast(right.schema[v].dataType))
-              .otherwise(F.col(v)).alias(v) for v in values],
-        )
     else:
         agg = right.select(*dict.fromkeys([*rkeys, *values]))
     if all(l == r for l, r in pairs):
-        return left.join(agg, on=[l for l, _ in pairs], how="left")
-    ren = agg.select(*[F.col(r).alias(f"__k{i}") for i, (_, r) in enumerate(pairs)], *values)
-    cond = None
-    for i, (l, _) in enumerate(pairs):
-        c = left[l] == ren[f"__k{i}"]
-        cond = c if cond is None else cond & c
-    return left.join(ren, cond, "left").drop(*[f"__k{i}" for i in range(len(pairs))])
+        out = left.join(agg, on=[l for l, _ in pairs], how="left")
+    else:
+        ren = agg.select(*[F.col(r).alias(f"__k{i}") for i, (_, r) in enumerate(pairs)],
+                         *[c for c in agg.columns if c not in rkeys])
+        cond = None
+        for i, (l, _) in enumerate(pairs):
+            c = left[l] == ren[f"__k{i}"]
+            cond = c if cond is None else cond & c
+        out = left.join(ren, cond, "left").drop(*[f"__k{i}" for i in range(len(pairs))])
+    if not strict:
+        return out
+    # only keys that are actually looked up can fail, as with a scalar subquery
+    msg = f"{name}: more than one row for a lookup key"
+    checked = []
+    for c in out.columns:
+        if c == "__n":
+            continue
+        if c in values:
+            checked.append(F.when(F.col("__n") > 1, F.raise_error(F.lit(msg)).cast(right.schema[c].dataType))
+                           .otherwise(F.col(c)).alias(c))
+        else:
+            checked.append(F.col(c))
+    return out.select(*checked)
 
 
 def code_map(

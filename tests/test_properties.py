@@ -31,3 +31,37 @@ def test_as_of_returns_the_last_change_on_or_before_the_day(spark, evs, day):
     assert got == expect
     # at most one active row per key
     assert as_of(hist, run).groupBy("k").count().where("count > 1").count() == 0
+
+
+texts = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]),
+                           st.text(alphabet="019Zaé中", min_size=0, max_size=5)), min_size=1, max_size=40)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts, st.integers(1, 3))
+def test_collect_concat_equals_sorted_join(spark, rows, prefix):
+    from lendgrid.operators import collect_concat
+    df = spark.createDataFrame(rows, "k string, v string")
+    got = {r.k: r.s for r in collect_concat(df, ["k"], "v", "|", "s", chunk_prefix=prefix).collect()}
+    expect = {}
+    for k in {k for k, _ in rows}:
+        # binary (code point) order, as Spark and the SQL oracle sort strings
+        expect[k] = "|".join(sorted((v for kk, v in rows if kk == k), key=lambda x: x.encode("utf-8")))
+    assert got == expect
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(0, 5), min_size=1, max_size=12), st.lists(st.integers(0, 5), max_size=8))
+def test_lookup_unique_raises_exactly_on_duplicates(spark, left_keys, right_keys):
+    import pytest
+
+    from lendgrid.operators import lookup_unique
+    left = spark.createDataFrame([(k,) for k in left_keys], "k int")
+    right = spark.createDataFrame([(k, f"v{k}") for k in right_keys], "k int, v string")
+    dup = {k for k in right_keys if right_keys.count(k) > 1} & set(left_keys)
+    if dup:
+        with pytest.raises(Exception):
+            lookup_unique(left, right, ["k"], ["v"]).collect()
+    else:
+        got = sorted((r.k, r.v) for r in lookup_unique(left, right, ["k"], ["v"]).collect())
+        assert got == sorted((k, f"v{k}" if k in right_keys else None) for k in left_keys)
