@@ -150,3 +150,18 @@ def test_ledger_job_writes_slice_idempotently(spark, catalog):
     assert firsts == {"L1": "Y", "L2": "Y", "L3": "Y", "L6": "N"}
     log = spark.read.parquet(runlog)
     assert log.where("step_flag = 1 AND step_desc = 'load NL_3'").select("row_count").distinct().collect()[0][0] == 4
+
+
+def test_ledger_job_logs_failure_and_reraises(spark, catalog):
+    root = tempfile.mkdtemp(prefix="lendgrid-fail-")
+
+    def broken(cat, run):
+        return cat.snapshot("OMI.NO_SUCH_TABLE", run)
+
+    job = LedgerJob(spark, catalog, RUN, os.path.join(root, "ledger"), {"NL_3": online_loans, "XL_6": broken},
+                    run_log=os.path.join(root, "log"))
+    with pytest.raises(KeyError):
+        job.execute()
+    log = spark.read.parquet(os.path.join(root, "log"))
+    assert log.where("step_flag = -1").count() == 1 and log.where("step_flag = 1").count() == 0
+    assert not os.path.exists(os.path.join(root, "ledger"))   # nothing written
