@@ -96,3 +96,37 @@ class LedgerJob:
         finally:
             if self.run_log_path:
                 self.log.to_df(self.spark).write.mode("append").parquet(self.run_log_path)
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``python -m lendgrid.job --date 2024-01-31 --target <ledger path> ...``
+
+    Runs one business date end to end on the session's cluster. Source
+    tables come from the session catalogue (``--tables``, the default) or
+    from Parquet datasets under ``--parquet-root`` (one folder per table,
+    named in lower case)."""
+    import argparse
+    import json
+
+    from lendgrid.segments import SEGMENTS, loan_detail
+
+    ap = argparse.ArgumentParser(prog="lendgrid.job", description="Load one business date of the loan ledger.")
+    ap.add_argument("--date", required=True, help="business date, yyyy-MM-dd or yyyyMMdd")
+    ap.add_argument("--target", required=True, help="ledger location (partitioned by data_date)")
+    ap.add_argument("--detail-target", required=True, help="loan-detail location (partitioned by rpt_dt)")
+    ap.add_argument("--run-log", help="run-log location (appended)")
+    ap.add_argument("--parquet-root", help="read source tables from Parquet folders under this root")
+    ap.add_argument("--segments", default=",".join(SEGMENTS), help="comma-separated segment tags to load")
+    args = ap.parse_args(argv)
+
+    spark = SparkSession.builder.appName(f"lendgrid-ledger-{args.date}").getOrCreate()
+    catalog = Catalog.parquet(spark, args.parquet_root) if args.parquet_root else Catalog.tables(spark)
+    chosen = {tag: SEGMENTS[tag] for tag in args.segments.split(",") if tag}
+    job = LedgerJob(spark, catalog, args.date, args.target, chosen, run_log=args.run_log,
+                    detail=loan_detail if "PL_2" in chosen else None, detail_target=args.detail_target)
+    print(json.dumps({"data_date": job.run.d8, "rows": job.execute()}))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
