@@ -165,3 +165,20 @@ def test_ledger_job_logs_failure_and_reraises(spark, catalog):
     log = spark.read.parquet(os.path.join(root, "log"))
     assert log.where("step_flag = -1").count() == 1 and log.where("step_flag = 1").count() == 0
     assert not os.path.exists(os.path.join(root, "ledger"))   # nothing written
+
+
+def test_command_line_run_from_parquet_folders(spark, capsys):
+    import json
+
+    from lendgrid.job import main
+
+    root = tempfile.mkdtemp(prefix="lendgrid-cli-")
+    for name, df in build_frames(spark).items():
+        df.write.mode("overwrite").parquet(os.path.join(root, "src", name.lower()))
+    argv = ["--date", "20240131", "--target", os.path.join(root, "ledger"), "--detail-target",
+            os.path.join(root, "detail"), "--run-log", os.path.join(root, "log"),
+            "--parquet-root", os.path.join(root, "src"), "--segments", "NL_3"]
+    assert main(argv) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out == {"data_date": "20240131", "rows": {"NL_3": 4}}
+    assert read_slice(spark, os.path.join(root, "ledger"), LEDGER, data_date="20240131").count() == 4
