@@ -11,7 +11,7 @@ from lendgrid.functions.dates import (
     overdue_days,
     term_months,
 )
-from lendgrid.functions.money import effective_rate, money, rate
+from lendgrid.functions.money import effective_rate, money, money_sum, rate
 from lendgrid.functions.text import concat_null_as_empty, rate_text, substr1, text_after
 
 __all__ = [
@@ -25,6 +25,7 @@ __all__ = [
     "effective_rate",
     "in_code_set",
     "money",
+    "money_sum",
     "norm_date",
     "overdue_days",
     "prefix_map",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
 RATE = "decimal(12,6)"
+TOTAL = "decimal(38,2)"
 
 
 def _col(c: Column | str) -> Column:
@@ -19,6 +20,12 @@ def money(c: Column | str) -> Column:
     return _col(c).cast(MONEY)
 
 
+def money_sum(c: Column | str) -> Column:
+    """Sum of money amounts with an explicit result type (the widest
+    2-place decimal), independent of the input column's precision."""
+    return F.sum(_col(c)).cast(TOTAL)
+
+
 def rate(c: Column | str) -> Column:
     return _col(c).cast(RATE)
 

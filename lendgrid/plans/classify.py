@@ -126,8 +126,7 @@ def account_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     settled = F.col("loan_sts") == "F"
     od = F.col("od_days")
     sts = F.when(settled, "03").when(od > 90, "02").when(od > 0, "04").otherwise("01")
-    bal = F.when(settled, F.lit(0).cast("decimal(18,2)")).otherwise(
-        F.col("loan_amt") - F.coalesce("paid_prcp", F.lit(0)))
+    bal = F.when(settled, F.lit(0)).otherwise(F.col("loan_amt") - F.coalesce("paid_prcp", F.lit(0))).cast("decimal(38,2)")
     return j.select("loan_num", sts.alias("acct_sts"), F.when(settled, F.col("last_due_dt")).alias("finish_dt"),
                     bal.alias("loan_acct_bal"))
 
@@ -175,7 +174,7 @@ def bill_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(sold, "Y").otherwise("N").alias("sold_flg"),
         (F.col("disc_rate") * 100).cast("decimal(12,4)").alias("sale_rate"),
         F.concat(F.col("loan_num").cast("string"), F.lit("-"), F.col("perd_no").cast("string")).alias("draft_nbr"),
-        F.datediff(due, F.col("drawdown_dt")).alias("bill_days"))
+        F.datediff(due, F.col("drawdown_dt")).cast("bigint").alias("bill_days"))
 
 
 _LAST_FIRST_SQL = """,
@@ -286,8 +285,8 @@ def term_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     # calendar rule (whole months, +1 for a partial month forward)
     t = tables(spark, sf_dir)
     j = schedule(t).join(loans(t).select("loan_num", "drawdown_dt"), "loan_num")
-    return j.select("loan_num", "perd_no", F.datediff("due_dt", "drawdown_dt").alias("term_days"),
-                    term_months_expr("drawdown_dt", "due_dt").alias("orig_term"))
+    return j.select("loan_num", "perd_no", F.datediff("due_dt", "drawdown_dt").cast("bigint").alias("term_days"),
+                    term_months_expr("drawdown_dt", "due_dt").cast("bigint").alias("orig_term"))
 
 
 @query("coalesce_dates", with_sql(LOANS_SQL, SCHED_SQL) + """,

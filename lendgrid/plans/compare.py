@@ -11,18 +11,37 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def run_oracle(sql: str, sf_dir: str) -> tuple[list[str], list[tuple]]:
+def _connect(sf_dir: str):
     import duckdb
 
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
-    cur = con.execute(sql)
+    return con
+
+
+def run_oracle(sql: str, sf_dir: str) -> tuple[list[str], list[tuple]]:
+    cur = _connect(sf_dir).execute(sql)
     cols = [d[0] for d in cur.description]
     return cols, cur.fetchall()
 
 
+_SPARK_TYPES = {"int": "int32", "bigint": "int64", "string": "string", "date": "date", "boolean": "bool",
+                "timestamp_ntz": "timestamp", "double": "float64"}
+_DUCK_TYPES = {"INTEGER": "int32", "BIGINT": "int64", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "bool",
+               "TIMESTAMP": "timestamp", "DOUBLE": "float64"}
+
+
+def spark_types(df) -> dict[str, str]:
+    return {f.name: _SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+
+
+def oracle_types(sql: str, sf_dir: str) -> dict[str, str]:
+    rel = _connect(sf_dir).sql(sql)
+    return {c: _DUCK_TYPES.get(str(t), str(t).lower()) for c, t in zip(rel.columns, rel.types)}
+
+
 STRICT = False
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendgrid.functions import decode
+from lendgrid.functions import decode, money_sum
 from lendgrid.operators import (
     code_map, coalesce_lookup, exists_flag, having_multi, latest_by, lookup_unique,
     membership_flag,
@@ -61,7 +61,7 @@ FROM sched s LEFT JOIN pair p ON p.part_id = s.part_id AND p.supp_id = s.supp_id
 def composite_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = schedule(tables(spark, sf_dir)).select("loan_num", "perd_no", "part_id", "supp_id", "prcp_amt")
     pair = s.groupBy("part_id", "supp_id").agg(F.count(F.lit(1)).alias("pair_lines"),
-                                              F.sum("prcp_amt").alias("pair_prcp"))
+                                              money_sum("prcp_amt").alias("pair_prcp"))
     return s.join(pair, ["part_id", "supp_id"], "left").select(
         "loan_num", "perd_no", "part_id", "supp_id", "pair_lines", "pair_prcp")
 
@@ -88,7 +88,7 @@ def role_playing_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
          .join(su, F.col("supp_id") == su.s_suppkey, "left")
          .join(sn, F.col("s_nationkey") == F.col("sn_key"), "left"))
     return j.groupBy("cust_nation", "supp_nation").agg(F.count(F.lit(1)).alias("n_lines"),
-                                                       F.sum("prcp_amt").alias("prcp_sum"))
+                                                       money_sum("prcp_amt").alias("prcp_sum"))
 
 
 @query("chain_enrich", with_sql(LOANS_SQL) + """
@@ -122,7 +122,7 @@ def dated_dim_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables(spark, sf_dir)
     ev = t.read("events", "user_id", "ts", "value")
     daily = ev.groupBy("user_id", F.date_format(F.to_date("ts"), "yyyyMMdd").alias("data_date")).agg(
-        F.count(F.lit(1)).alias("day_events"), F.sum(F.col("value").cast("decimal(18,2)")).alias("day_value"))
+        F.count(F.lit(1)).alias("day_events"), money_sum(F.col("value").cast("decimal(18,2)")).alias("day_value"))
     daily = dated_dim(daily, EV_RUN).drop("data_date")
     snap = as_of(hist(t), EV_RUN).select("user_id", "event_type")
     return snap.join(daily, "user_id", "left").select("user_id", "event_type", "day_events", "day_value")
@@ -139,7 +139,7 @@ def comma_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (loans(t).join(schedule(t).where(F.col("rtn_flag") == "R"), "loan_num")
          .join(c, F.col("cust_id") == c.c_custkey))
     return j.groupBy(F.col("c_mktsegment").alias("segment")).agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum("prcp_amt").alias("prcp_sum"))
+        F.count(F.lit(1)).alias("n_lines"), money_sum("prcp_amt").alias("prcp_sum"))
 
 
 @query("bill_inner_chain", with_sql(LOANS_SQL, SCHED_SQL) + """
@@ -156,7 +156,7 @@ def bill_inner_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     su = t.read("supplier", "s_suppkey", "s_acctbal").where(F.col("s_acctbal") > 0)
     j = (loans(t).where(F.col("loan_sts") == "F").join(schedule(t), "loan_num")
          .join(p, F.col("part_id") == p.p_partkey).join(su, F.col("supp_id") == su.s_suppkey))
-    return j.groupBy("loan_num").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("prcp_amt").alias("prcp_sum"))
+    return j.groupBy("loan_num").agg(F.count(F.lit(1)).alias("n_lines"), money_sum("prcp_amt").alias("prcp_sum"))
 
 
 @query("detail_assemble", with_sql(LOANS_SQL, SCHED_SQL) + """,
@@ -178,9 +178,9 @@ def detail_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = schedule(t)
     lo = loans(t).where(F.col("loan_sts") != "F")
     od = (s.where((F.col("rtn_flag") == "N") & (F.col("due_dt") <= F.lit(D)))
-          .groupBy("loan_num").agg(F.sum("prcp_amt").alias("od_prcp_amt")))
+          .groupBy("loan_num").agg(money_sum("prcp_amt").alias("od_prcp_amt")))
     ytd = (loans(t).join(event_window(s, "due_dt", RUN.year_start, D, raw_ts="due_ts"), "loan_num")
-           .groupBy("cust_id").agg(F.sum("int_amt").alias("cust_ytd_int")))
+           .groupBy("cust_id").agg(money_sum("int_amt").alias("cust_ytd_int")))
     last = s.groupBy("loan_num").agg(F.max("due_dt").alias("last_due_dt"))
     c = t.read("customer", "c_custkey", "c_name", "c_nationkey")
     n = _nation(t, "n_nationkey", "n_name")

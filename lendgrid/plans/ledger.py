@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendgrid.functions import decode, overdue_days
+from lendgrid.functions import decode, money_sum, overdue_days
 from lendgrid.operators import agg_join, first_flag
 from lendgrid.operators.ledger import LEDGER, conform, flag_first_loan, split_segments, union_segments  # noqa: F401
 from lendgrid.plans.frames import RUN, SCHED_SQL, loans, schedule, tables, with_sql
@@ -246,7 +246,7 @@ def loan_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = agg_join(loans(t), schedule(t), ["loan_num"], [
         F.min(F.when((F.col("rtn_flag") == "N") & due, F.col("due_dt"))).alias("earliest_unpaid_dt"),
         F.min(F.when((F.col("line_sts") == "O") & due, F.col("due_dt"))).alias("i_od_dt"),
-        F.sum(F.when((F.col("rtn_flag") == "N") & due, F.col("prcp_amt"))).alias("od_prcp_amt"),
+        money_sum(F.when((F.col("rtn_flag") == "N") & due, F.col("prcp_amt"))).alias("od_prcp_amt"),
     ])
     c = t.read("customer", "c_custkey", "c_name")
     j = j.join(c, F.col("cust_id") == c.c_custkey, "left")
@@ -255,5 +255,5 @@ def loan_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = F.col("od_days")
     sts = F.when(F.col("loan_sts") == "F", "03").when(od > 90, "02").when(od > 0, "04").otherwise("01")
     return j.select("loan_num", "cust_id", F.col("c_name").alias("cust_nam"), "drawdown_dt", "loan_amt",
-                    sts.alias("acct_sts"), "earliest_unpaid_dt", "od_days",
+                    sts.alias("acct_sts"), "earliest_unpaid_dt", F.col("od_days").cast("bigint").alias("od_days"),
                     F.when(od > 0, "Y").otherwise("N").alias("od_flg"), "od_prcp_amt", "is_first_loan")

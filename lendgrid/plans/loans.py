@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendgrid.functions import overdue_days as overdue_days_expr
+from lendgrid.functions import money_sum, overdue_days as overdue_days_expr
 from lendgrid.operators import agg_join, collect_concat, first_flag, latest_by, lookup_unique, top1_by_max
 from lendgrid.plans.frames import (
     EV_RUN, HIST_SQL, LOANS_SQL, RUN, SCHED_SQL, hist, loans, schedule, tables, with_sql,
@@ -139,7 +139,7 @@ def top1_three_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = latest_by(s, ["loan_num"], _desc(["perd_no"])).select("loan_num", F.col("perd_no").alias("last_perd_w"))
     g = s.groupBy("loan_num").agg(F.max("perd_no").alias("last_perd_g"))
     c = top1_by_max(s, ["loan_num"], "perd_no").groupBy("loan_num").agg(
-        F.count(F.lit(1)).alias("n_last_lines"), F.sum("prcp_amt").alias("last_prcp_sum"))
+        F.count(F.lit(1)).alias("n_last_lines"), money_sum("prcp_amt").alias("last_prcp_sum"))
     return w.join(g, "loan_num").join(c, "loan_num")
 
 
@@ -243,7 +243,7 @@ def overdue_principal(spark: SparkSession, sf_dir: str) -> DataFrame:
     # join into an inner join (EliminateOuterJoin) and pushes it to the scan.
     t = tables(spark, sf_dir)
     j = loans(t).join(schedule(t), "loan_num", "left").where(_unpaid())
-    return j.groupBy("loan_num").agg(F.sum("prcp_amt").alias("od_prcp_amt"))
+    return j.groupBy("loan_num").agg(money_sum("prcp_amt").alias("od_prcp_amt"))
 
 
 _OD_AMOUNTS_SQL = """,
@@ -261,9 +261,9 @@ FROM loans l LEFT JOIN a ON a.loan_num = l.loan_num""")
 def overdue_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = _loan_line_aggs(
         spark, sf_dir,
-        F.sum(F.when(_unpaid(), F.col("prcp_amt"))).alias("od_prcp_amt"),
-        F.sum(F.when(_open_due(), F.col("int_amt"))).alias("od_int_amt"),
-        F.sum(F.when(F.col("rtn_flag") == "R", F.round(F.col("prcp_amt") * F.col("disc_rate"), 2))).alias("waived_amt"),
+        money_sum(F.when(_unpaid(), F.col("prcp_amt"))).alias("od_prcp_amt"),
+        money_sum(F.when(_open_due(), F.col("int_amt"))).alias("od_int_amt"),
+        money_sum(F.when(F.col("rtn_flag") == "R", F.round(F.col("prcp_amt") * F.col("disc_rate"), 2))).alias("waived_amt"),
     )
     z = F.lit(0)
     net = F.coalesce("od_prcp_amt", z) + F.coalesce("od_int_amt", z) - F.coalesce("waived_amt", z)
@@ -295,7 +295,7 @@ def overdue_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT loan_num, p_od_dt, i_od_dt, od_days, CASE WHEN od_days > 0 THEN 'Y' ELSE 'N' END AS od_flg FROM odd""")
 def overdue_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = overdue_frame(spark, sf_dir)
-    return j.select("loan_num", "p_od_dt", "i_od_dt", "od_days",
+    return j.select("loan_num", "p_od_dt", "i_od_dt", F.col("od_days").cast("bigint").alias("od_days"),
                     F.when(F.col("od_days") > 0, F.lit("Y")).otherwise(F.lit("N")).alias("od_flg"))
 
 
@@ -340,9 +340,9 @@ def cond_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     con = F.col("p_type").isin("ECONOMY", "STANDARD") | (two & (F.coalesce("s_flag", F.lit("N")) != "Y"))
     zero = F.lit(0).cast("decimal(18,2)")
     return lines.groupBy("cust_id").agg(
-        F.sum("prcp_amt").alias("sum_all"),
-        F.sum(F.when(opr, F.col("prcp_amt")).otherwise(zero)).alias("sum_opr"),
-        F.sum(F.when(con, F.col("prcp_amt")).otherwise(zero)).alias("sum_con"))
+        money_sum("prcp_amt").alias("sum_all"),
+        money_sum(F.when(opr, F.col("prcp_amt")).otherwise(zero)).alias("sum_opr"),
+        money_sum(F.when(con, F.col("prcp_amt")).otherwise(zero)).alias("sum_con"))
 
 
 @query("ytd_sum", with_sql(LOANS_SQL, SCHED_SQL) + """
@@ -354,7 +354,7 @@ def ytd_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables(spark, sf_dir)
     s = event_window(schedule(t), "due_dt", RUN.year_start, RUN.month_end, raw_ts="due_ts")
     return loans(t).join(s, "loan_num").groupBy("cust_id").agg(
-        F.sum(F.coalesce("int_amt", F.lit(0))).alias("ytd_int"), F.count(F.lit(1)).alias("ytd_lines"))
+        money_sum(F.coalesce("int_amt", F.lit(0))).alias("ytd_int"), F.count(F.lit(1)).alias("ytd_lines"))
 
 
 @query("mtd_latest", with_sql(SCHED_SQL) + """
@@ -373,7 +373,7 @@ SELECT l.loan_num, l.loan_amt, a.total_prcp, COALESCE(a.n_lines, 0) AS n_lines
 FROM loans l LEFT JOIN (SELECT loan_num, SUM(prcp_amt) AS total_prcp, COUNT(*) AS n_lines
                         FROM sched GROUP BY loan_num) a ON a.loan_num = l.loan_num""")
 def agg_then_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = _loan_line_aggs(spark, sf_dir, F.sum("prcp_amt").alias("total_prcp"),
+    j = _loan_line_aggs(spark, sf_dir, money_sum("prcp_amt").alias("total_prcp"),
                         F.count(F.lit(1)).alias("n_lines"))
     return j.select("loan_num", "loan_amt", "total_prcp",
                     F.coalesce("n_lines", F.lit(0).cast("bigint")).alias("n_lines"))
@@ -480,7 +480,7 @@ def threshold_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = t.read("customer", "c_custkey", "c_mktsegment")
     scope = F.coalesce(F.col("c_mktsegment"), F.lit("HOUSEHOLD")).isin("HOUSEHOLD", "BUILDING")
     bal = (lo.where(F.col("loan_sts") == "O").join(c, lo.cust_id == c.c_custkey).where(scope)
-           .groupBy("cust_id").agg(F.sum(F.coalesce("loan_amt", F.lit(0))).alias("balancesum")))
+           .groupBy("cust_id").agg(money_sum(F.coalesce("loan_amt", F.lit(0))).alias("balancesum")))
     j = lo.join(c, lo.cust_id == c.c_custkey, "left").join(bal, "cust_id", "left")
     b = F.col("balancesum")
     flag = F.when(((F.col("c_mktsegment") == "AUTOMOBILE") & (b <= 5000000)) |
@@ -517,6 +517,6 @@ def pivot_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.when(r == "A", 1)).alias("n_a"),
         F.count(F.when(r == "R", 1)).alias("n_r"),
         F.count(F.when(r == "N", 1)).alias("n_n"),
-        F.sum(F.when(r == "R", F.col("prcp_amt"))).alias("prcp_r"),
-        F.sum(F.when(F.col("line_sts") == "O", F.col("int_amt"))).alias("int_open"),
+        money_sum(F.when(r == "R", F.col("prcp_amt"))).alias("prcp_r"),
+        money_sum(F.when(F.col("line_sts") == "O", F.col("int_amt"))).alias("int_open"),
         F.when(F.max(F.when(F.col("line_sts") == "O", 1).otherwise(0)) == 1, "Y").otherwise("N").alias("has_open"))

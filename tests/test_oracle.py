@@ -3,7 +3,7 @@
 import pytest
 
 from lendgrid.plans import ORACLE, QUERIES
-from lendgrid.plans.compare import compare_rows, run_oracle
+from lendgrid.plans.compare import compare_rows, oracle_types, run_oracle, spark_types
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,3 +19,4 @@ def test_query_matches_oracle(spark, name):
     ocols, orows = run_oracle(ORACLE[name], SF)
     ok, msg = compare_rows(df.columns, rows, ocols, orows)
     assert ok, msg
+    assert spark_types(df) == oracle_types(ORACLE[name], SF)
