@@ -277,63 +277,72 @@ def corporate_loans(cat: Catalog, run: RunDate) -> DataFrame:
     first_serial = duebills.agg(F.min("serialno")).scalar()
     maps = cat.read(CODE_MAP).where(F.col("business_type") == MAP_BUSINESS_TYPE)
 
-    j = (bd.join(ai, ai.ai_duebillno == bd.serialno, "left")
-         .join(bdold, bdold.bdold_serialno == F.col("ai_oldduebillno"), "left")
-         .join(bcold, bcold.bcold_serialno == F.col("bdold_relativeserialno2"), "left")
+    # Left joins whose conditions only use the driving row commute, so the
+    # chain is grouped by join key: consecutive sort-merge joins on the same
+    # key reuse one hash partitioning of the (wide) driving rows instead of
+    # re-shuffling it at every key change. A join that depends on an earlier
+    # join's copy of the same key uses the driving key plus "that join
+    # matched", which keeps the partitioning and the meaning.
+    serial, contract, customer = bd.serialno, bd.relativeserialno2, bd.customerid
+    j = (bd.join(ai, ai.ai_duebillno == serial, "left")                       # keyed on the duebill
+         .join(hk, serial == hk.hk_dkjiejuh, "left")
+         .join(kd, serial == kd.kd_dkjiejuh, "left")
+         .join(tt, (tt.tt_dkjiejuh == serial) & F.col("kd_dkjiejuh").isNotNull(), "left")
+         .join(kdz, (F.col("kdz_dkjiejuh") == serial) & F.col("kd_dkjiejuh").isNotNull(), "left")
+         .join(kf, serial == kf.kf_dkjiejuh, "left")
+         .join(kkd, (kkd.kkd_dkjiejuh == serial) & F.col("kf_dkjiejuh").isNotNull(), "left")
+         .join(bpd, bpd.bpd_jjh == serial, "left")
+         .join(kz, serial == kz.kz_dkjiejuh, "left")
+         .join(ljqs, F.col("ljqs_dkjiejuh") == serial, "left")
+         .join(i9, i9.i9_asset_no == serial, "left")
+         .join(kx, F.col("kx_dkjiejuh") == serial, "left")
+         .join(bw, serial == F.col("bw_relativeserialno"), "left")
+         .join(be, F.col("be_relativeserialno") == serial, "left")
+         .join(advanced_ids, serial == F.col("adv_id"), "left")
+         .join(bc, contract == bc.bc_serialno, "left")                          # keyed on the contract
+         .join(guarantee_summary(cat, run),
+               (F.col("gc_serialno") == contract) & F.col("bc_serialno").isNotNull(), "left")
+         .join(ag, ag.ag_serialno == contract, "left")
+         .join(csp, contract == csp.csp_serialno, "left")
+         .join(bp, bp.bp_serialno == bd.relativeserialno1, "left")             # keyed on the putout
+         .join(ci, ci.ci_customerid == customer, "left")                        # keyed on the customer
+         .join(t7, customer == t7.t7_customerid, "left")
+         .join(b2, F.col("b2_customerid") == customer, "left")
+         .join(eii, customer == eii.eii_customerid, "left")
+         .join(cii, (F.col("cii_customerid") == customer) & F.col("eii_customerid").isNotNull(), "left")
+         .join(bdold, bdold.bdold_serialno == F.col("ai_oldduebillno"), "left")  # chains on other keys
          .join(adv, F.col("ai_oldduebillno") == adv.adv_warrant_no, "left")
-         .join(bc, bd.relativeserialno2 == bc.bc_serialno, "left")
-         .join(ci, ci.ci_customerid == bd.customerid, "left")
-         .join(code, code.code_itemno == bd.businesscurrency, "left")
-         .join(bt, bd.businesstype == bt.bt_typeno, "left")
-         .join(t7, bd.customerid == t7.t7_customerid, "left")
-         .join(bp, bp.bp_serialno == bd.relativeserialno1, "left")
-         .join(guarantee_summary(cat, run), F.col("gc_serialno") == F.col("bc_serialno"), "left")
-         .join(hk, bd.serialno == hk.hk_dkjiejuh, "left")
-         .join(kd, bd.serialno == kd.kd_dkjiejuh, "left")
+         .join(bcold, bcold.bcold_serialno == F.col("bdold_relativeserialno2"), "left")
          .join(ku, ku.ku_yewusx01 == F.col("kd_chanpdma"), "left")
          .join(ky, ky.ky_yewubima == F.col("ku_yewubima"), "left")
-         .join(tt, F.col("kd_dkjiejuh") == tt.tt_dkjiejuh, "left")
-         .join(kf, bd.serialno == kf.kf_dkjiejuh, "left")
          .join(hb, hb.hb_zhanghao == F.col("kf_dkrzhzhh"), "left")
          .join(ljg, F.col("hb_zhyngyjg") == ljg.ljg_org_num, "left")
-         .join(kkd, F.col("kf_dkjiejuh") == kkd.kkd_dkjiejuh, "left")
-         .join(bpd, bpd.bpd_jjh == bd.serialno, "left")
+         .join(kh, F.col("kf_dkrzhzhh") == kh.kh_kehuzhao, "left")
+         .join(h, h.h_zhanghao == F.col("kf_dkrzhzhh"), "left")
+         .join(kj, F.col("kh_kaihjigo") == kj.kj_jigouhao, "left")
          .join(trn, trn.trn_objinr == F.col("bpd_inr"), "left")
          .join(gle2, gle2.gle2_trninr == F.col("trn_inr"), "left")
-         .join(kdz, F.col("kd_dkjiejuh") == F.col("kdz_dkjiejuh"), "left")
+         .join(kk, F.col("gle2_act") == kk.kk_kehuzhao, "left")
          .join(ui, F.col("bc_manageuserid") == ui.ui_userid, "left")
          .join(bph, F.col("ui_certid") == bph.bph_id, "left")
-         .join(kh, F.col("kf_dkrzhzhh") == kh.kh_kehuzhao, "left")
-         .join(h, h.h_zhanghao == F.col("kf_dkrzhzhh"), "left")
-         .join(kk, F.col("gle2_act") == kk.kk_kehuzhao, "left")
-         .join(kz, bd.serialno == kz.kz_dkjiejuh, "left")
-         .join(ljqs, F.col("ljqs_dkjiejuh") == bd.serialno, "left")
-         .join(kj, F.col("kh_kaihjigo") == kj.kj_jigouhao, "left")
          .join(kj4, decode(bd.mforgid, ORG_REWRITE, bd.mforgid) == kj4.kj4_jigouhao, "left")
          .join(kh2, F.col("hk_huankzhh") == kh2.kh2_kehuzhao, "left")
          .join(kj2, F.col("kh2_kaihjigo") == kj2.kj2_jigouhao, "left")
          .join(kh4, F.col("hk_huankzhh") == kh4.kh4_zhanghao, "left")
          .join(kj3, F.col("kh4_zhyngyjg") == kj3.kj3_jigouhao, "left")
-         .join(b2, F.col("b2_customerid") == bd.customerid, "left")
-         .join(ag, ag.ag_serialno == bd.relativeserialno2, "left")
-         .join(csp, bd.relativeserialno2 == csp.csp_serialno, "left")
-         .join(i9, i9.i9_asset_no == bd.serialno, "left")
-         .join(kx, F.col("kx_dkjiejuh") == bd.serialno, "left"))
+         .join(code, code.code_itemno == bd.businesscurrency, "left")
+         .join(bt, bd.businesstype == bt.bt_typeno, "left")
+         .join(kc, kc.kc_kehuzhwm == F.col("cii_mfcustomerid"), "left")
+         .join(xdkh, F.col("kc_kehuhaoo") == F.col("xdkh_mfcustomerid"), "left"))
     j = j.withColumn("entry_acct", _entry_account()).withColumn(
         "repay_acct", F.coalesce(F.col("hk_huankzhh"), F.col("gle2_act")))
     j = (j.join(nbz, F.col("entry_acct") == F.col("nbz_zhanghao"), "left")
          .join(nbz1, F.col("repay_acct") == F.col("nbz1_zhanghao"), "left")
          .join(hxbz, (F.col("hxbz_dkjiejuh") == bd.serialno) & (F.col("hxbz_xshjuzhi") == F.col("repay_acct")), "left")
          .join(jg2, F.col("kk_kaihjigo") == jg2.jg2_org_num, "left")
-         .join(bw, bd.serialno == F.col("bw_relativeserialno"), "left")
          .join(nbhs, nbhs.nbhs_nbuhesdm == F.substring(F.col("ky_yeshux09"), 4, 1 << 20), "left")
          .join(kjj, kjj.kjj_kemuhaoo == F.coalesce(F.col("nbhs_kemuhaoo"), F.col("ky_yeshux09")), "left")
-         .join(be, F.col("be_relativeserialno") == bd.serialno, "left")
-         .join(eii, bd.customerid == eii.eii_customerid, "left")
-         .join(cii, F.col("cii_customerid") == F.col("eii_customerid"), "left")
-         .join(kc, kc.kc_kehuzhwm == F.col("cii_mfcustomerid"), "left")
-         .join(xdkh, F.col("kc_kehuhaoo") == F.col("xdkh_mfcustomerid"), "left")
-         .join(advanced_ids, bd.serialno == F.col("adv_id"), "left"))
+         )
     # the source looks the code up only for roles outside the excluded set
     strategic = (cat.snapshot(CODE_LIB, run).where(~F.col("itemno").isin(*EXCLUDED_STRATEGIC))
                  .select(F.col("itemno").alias("bc_ourrole"), "itemdescribe"))
