@@ -228,25 +228,29 @@ def micro_loans(cat: Catalog, run: RunDate) -> DataFrame:
     entry_acct = F.when(F.col("depacc_no").isNull() & ~F.col("vchno").like(f"{OPEN_ACCOUNT_PREFIX}%"),
                         F.col("reppriac_no")).otherwise(F.col("depacc_no"))
     a = a.withColumn("entry_acct", entry_acct)
-    j = (a.join(b, a.vchno == b.b_vchno, "left")
-         .join(c, a.contno == c.c_contno, "left")
-         .join(d, a.applyno == d.d_applyno, "left")
-         .join(avr, F.col("c_applyno") == F.col("avr_applyno"), "left")
+    # grouped by join key (see the corporate segment): voucher, contract,
+    # application, customer, accounts, then the small option list
+    sf = schedule_facts(cat, run).withColumnRenamed("vchno", "sf_vchno")
+    mi = month_income(cat, run).withColumnRenamed("vchno", "mi_vchno")
+    j = (a.join(b, a.vchno == b.b_vchno, "left")                                  # keyed on the voucher
          .join(dd, a.vchno == F.col("dd_vchno"), "left")
-         .join(e, F.col("c_applyno") == F.col("e_applyno"), "left")
-         .join(schedule_facts(cat, run), "vchno", "left")
+         .join(sf, a.vchno == F.col("sf_vchno"), "left")
          .join(av, a.vchno == av.av_vchno, "left")
-         .join(g, a.cifid == g.g_cifid, "left")
-         .join(eb, F.col("g_cifid") == eb.eb_cifid, "left")
-         .join(ib, F.col("g_cifid") == ib.ib_cifid, "left")
-         .join(kk, F.col("entry_acct") == kk.kk_kehuzhao, "left")
+         .join(mi, a.vchno == F.col("mi_vchno"), "left")
+         .join(cc, a.vchno == F.col("cc_vchno"), "left")
+         .join(guarantee_class(cat, run), a.vchno == F.col("xl_vchno"), "left")
+         .join(c, a.contno == c.c_contno, "left")                                # the contract
+         .join(avr, F.col("c_applyno") == F.col("avr_applyno"), "left")
+         .join(e, F.col("c_applyno") == F.col("e_applyno"), "left")
+         .join(d, a.applyno == d.d_applyno, "left")                              # the voucher's application
+         .join(g, a.cifid == g.g_cifid, "left")                                  # the customer
+         .join(eb, (eb.eb_cifid == a.cifid) & F.col("g_cifid").isNotNull(), "left")
+         .join(ib, (ib.ib_cifid == a.cifid) & F.col("g_cifid").isNotNull(), "left")
+         .join(kk, F.col("entry_acct") == kk.kk_kehuzhao, "left")                 # entry account
          .join(kk4, F.col("entry_acct") == kk4.kk4_acno, "left")
-         .join(kk1, a.reppriac_no == kk1.kk1_kehuzhao, "left")
+         .join(kk1, a.reppriac_no == kk1.kk1_kehuzhao, "left")                   # repayment account
          .join(kk5, a.reppriac_no == kk5.kk5_acno, "left")
-         .join(xcs, a.purpose == xcs.xcs_ddcode, "left")
-         .join(month_income(cat, run), "vchno", "left")
-         .join(cc, a.vchno == F.col("cc_vchno"), "left")
-         .join(guarantee_class(cat, run), a.vchno == F.col("xl_vchno"), "left"))
+         .join(xcs, a.purpose == xcs.xcs_ddcode, "left"))
     j = lookup_unique(j, subject_codes(cat, run), ["core_prdt_no"], ["item_acc_no"], name="subject code")
     j = code_map(j, "d_gre_industrytype_cbrc", maps, GREEN_PURPOSE_DICT, "m1_new_values")
     return j.select(*[expr.alias(name) for name, expr in _columns().items()])

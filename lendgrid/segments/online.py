@@ -150,18 +150,21 @@ def online_loans(cat: Catalog, run: RunDate) -> DataFrame:
     g = _rename(_by_object(cat.snapshot(REPAY_SEG, run)), "g", ["objectno", "termid"])
     h = _rename(_by_object(cat.snapshot(BUS_ACCT, run)), "h", ["objectno", "banksettlecode", "accountname", "accountno"])
 
-    j = (a.join(d, a.contractserialno == d.d_serialno, "left")
-         .join(c, a.accountingorgid == c.c_orgid, "left")
-         .join(b, a.customerid == b.b_customerid, "left")
-         .join(i, F.col("b_certid") == i.i_zhjhaoma, "left")
-         .join(e1, a.classifyresult == e1.e1_itemno, "left")
-         .join(cl, F.col("d_purposetype") == cl.cl_itemno, "left")
-         .join(f, a.serialno == f.f_objectno, "left")
+    # grouped by join key: loan, then contract, org, customer, accounts, codes
+    yi = year_interest(cat, run).withColumnRenamed("serialno", "yi_serialno")
+    sf = schedule_facts(cat, run, a).withColumnRenamed("serialno", "sf_serialno")
+    j = (a.join(f, a.serialno == f.f_objectno, "left")                            # keyed on the loan
          .join(g, a.serialno == g.g_objectno, "left")
          .join(h, a.serialno == h.h_objectno, "left")
-         .join(year_interest(cat, run), "serialno", "left")
+         .join(yi, a.serialno == F.col("yi_serialno"), "left")
+         .join(sf, a.serialno == F.col("sf_serialno"), "left")
+         .join(d, a.contractserialno == d.d_serialno, "left")                     # the contract
+         .join(cl, F.col("d_purposetype") == cl.cl_itemno, "left")
+         .join(c, a.accountingorgid == c.c_orgid, "left")                         # the org
+         .join(b, a.customerid == b.b_customerid, "left")                         # the customer
+         .join(i, F.col("b_certid") == i.i_zhjhaoma, "left")
          .join(first_mapped_account(cat, run), F.col("h_accountno") == F.col("dz_kehuzhao"), "left")
-         .join(schedule_facts(cat, run, a), "serialno", "left"))
+         .join(e1, a.classifyresult == e1.e1_itemno, "left"))
     return j.select(*[expr.alias(name) for name, expr in _columns().items()])
 
 

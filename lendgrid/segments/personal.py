@@ -212,44 +212,47 @@ def personal_loans(cat: Catalog, run: RunDate) -> DataFrame:
            .groupBy(F.col("loan_no").alias("rll_loan_no")).agg(F.count(F.lit(1)).alias("rll_cnt")))
     maps = cat.read(CODE_MAP).where(F.col("business_type") == MAP_BUSINESS_TYPE)
 
-    j = (a.join(loan_abs, (loan_abs.abs_loan_no == a.loan_no) & (loan_abs.abs_abs_seq == a.abs_seq), "left")
-         .join(e, e.e_loan_no == a.loan_no, "left")
-         .join(g, substr1(a.lnpa_loan_typ, 2) == g.g_loan_grp_code, "left")
-         .join(cust, (a.ctif_id_no == cust.d_id_no) & (a.ctif_id_type == cust.d_id_type)
-               & (a.ctif_iss_ctry == cust.d_iss_ctry), "left")
-         .join(b, b.b_bch_cde == a.bhdt_bch_cde, "left")
-         .join(gb, a.loan_no == gb.gb_loan_no, "left")
+    # grouped by join key (see the corporate segment): loan number, then
+    # application, customer, officer and the small code dimensions
+    loan_no = a.loan_no
+    j = (a.join(e, e.e_loan_no == loan_no, "left")                               # keyed on the loan
+         .join(gb, loan_no == gb.gb_loan_no, "left")
          .join(future_interest(cat, run).withColumnRenamed("loan_no", "ps_loan_no"),
-               a.loan_no == F.col("ps_loan_no"), "left")
-         .join(li, li.li_loan_no == a.loan_no, "left")
-         .join(lp, a.lnpa_loan_typ == lp.lp_loan_typ, "left")
-         .join(lalt1, lalt1.lalt1_ls_appl_seq == a.ls_appl_seq, "left")
+               loan_no == F.col("ps_loan_no"), "left")
+         .join(li, li.li_loan_no == loan_no, "left")
+         .join(gt, loan_no == gt.gt_loan_no, "left")
+         .join(z, z.z_loan_loan_no == loan_no, "left")
+         .join(schedule_facts(cat, run, a).withColumnRenamed("loan_no", "sf_loan_no"),
+               F.col("sf_loan_no") == loan_no, "left")
+         .join(s11, F.col("s11_loan_no") == loan_no, "left")
+         .join(s12, F.col("s12_loan_no") == loan_no, "left")
+         .join(c, c.c_loan_no == loan_no, "left")
+         .join(cjs, cjs.cjs_loan_no == loan_no, "left")
+         .join(st, loan_no == F.col("st_loan_no"), "left")
+         .join(_read_detail(cat, run), F.col("r1_loan_no") == loan_no, "left")
+         .join(rll, loan_no == F.col("rll_loan_no"), "left")
+         .join(loan_abs, (loan_abs.abs_loan_no == loan_no) & (loan_abs.abs_abs_seq == a.abs_seq), "left")
+         .join(lalt1, lalt1.lalt1_ls_appl_seq == a.ls_appl_seq, "left")            # keyed on the application
          .join(lalt2, lalt2.lalt2_ls_appl_seq == a.ls_appl_seq, "left")
          .join(lalt3, lalt3.lalt3_ls_appl_seq == a.ls_appl_seq, "left")
          .join(f, a.ls_appl_seq == f.f_ls_appl_seq, "left")
+         .join(r, F.col("r_ls_appl_seq") == a.ls_appl_seq, "left")
+         .join(l_disb, F.col("r_ls_appl_drawdn_seq") == l_disb.l_ls_appl_drawdn_seq, "left")
+         .join(cust, (a.ctif_id_no == cust.d_id_no) & (a.ctif_id_type == cust.d_id_type)   # the customer
+               & (a.ctif_iss_ctry == cust.d_iss_ctry), "left")
          .join(ww, (a.ctif_id_type == ww.ww_ctif_id_type) & (a.ctif_id_no == ww.ww_ctif_id_no)
                & (a.ctif_iss_ctry == ww.ww_ctif_iss_ctry) & (a.cr_line == ww.ww_cr_line), "left")
-         .join(u, u.u_usr_id == a.aofr_acct_offcr_cde, "left")
+         .join(u, u.u_usr_id == a.aofr_acct_offcr_cde, "left")                      # the officer
          .join(bp, bp.bp_id == F.col("u_ctif_id_no"), "left")
-         .join(gt, a.loan_no == gt.gt_loan_no, "left")
-         .join(r, F.col("r_ls_appl_seq") == a.ls_appl_seq, "left")
-         .join(l_disb, F.col("r_ls_appl_drawdn_seq") == l_disb.l_ls_appl_drawdn_seq, "left")
-         .join(z, z.z_loan_loan_no == a.loan_no, "left")
+         .join(g, substr1(a.lnpa_loan_typ, 2) == g.g_loan_grp_code, "left")         # small code dimensions
+         .join(lp, a.lnpa_loan_typ == lp.lp_loan_typ, "left")
          .join(ga, a.lnpa_loan_typ == ga.ga_lnpa_loan_typ, "left")
+         .join(lt, lt.lt_code == a.loan_target, "left")
+         .join(b, b.b_bch_cde == a.bhdt_bch_cde, "left")
          .join(lbd1, F.col("z_bkbh_bank_bch_cde") == lbd1.lbd1_bch_cde, "left")
          .join(lbd, F.col("l_appl_drawdn_disb_ac_bch") == lbd.lbd_bch_cde, "left")
          .join(kj, F.col("lbd_corebank_bch") == kj.kj_jigouhao, "left")
-         .join(kj1, F.col("lbd1_corebank_bch") == kj1.kj1_jigouhao, "left")
-         .join(schedule_facts(cat, run, a).withColumnRenamed("loan_no", "sf_loan_no"),
-               F.col("sf_loan_no") == a.loan_no, "left")
-         .join(s11, F.col("s11_loan_no") == a.loan_no, "left")
-         .join(s12, F.col("s12_loan_no") == a.loan_no, "left")
-         .join(c, c.c_loan_no == a.loan_no, "left")
-         .join(cjs, cjs.cjs_loan_no == a.loan_no, "left")
-         .join(lt, lt.lt_code == a.loan_target, "left")
-         .join(st, a.loan_no == F.col("st_loan_no"), "left")
-         .join(_read_detail(cat, run), F.col("r1_loan_no") == a.loan_no, "left")
-         .join(rll, a.loan_no == F.col("rll_loan_no"), "left"))
+         .join(kj1, F.col("lbd1_corebank_bch") == kj1.kj1_jigouhao, "left"))
     j = code_map(j, "prps_fin", maps, USEOFUNDS_DICT, "m_new_values")
     j = code_map(j, "cust_ref", maps, GREEN_TYPE_DICT, "m1_new_values")
     m3 = maps.withColumn("ori_values", F.replace("ori_values", F.lit("%"), F.lit("")))
