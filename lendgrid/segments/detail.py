@@ -218,11 +218,12 @@ def loan_detail(cat: Catalog, run: RunDate) -> DataFrame:
     r = cat.snapshot(OD_REPORT, run).where(norm_date("rpt_dt") == F.lit(run.d)).select(
         "lnpa_loan_typ", F.col("loan_no").cast("string").alias("loan_no"), "od_day_count", "od_prcp", "od_int_day_count", "od_bn_int", "od_bw_int",
         "od_int", "od_od_int_day_count")
+    # grouped by join key: the loan key, then the customer key
     j = (loans.join(lb, LOAN_KEY)
-         .join(ii, CUST_KEY).join(c, CUST_KEY)
-         .join(customer_totals(cat, run), CUST_KEY, "left")
          .join(repayment_style(cat, run, loans), LOAN_KEY, "left")
-         .join(r, ["lnpa_loan_typ", "loan_no"], "left"))
+         .join(r, ["lnpa_loan_typ", "loan_no"], "left")
+         .join(ii, CUST_KEY).join(c, CUST_KEY)
+         .join(customer_totals(cat, run), CUST_KEY, "left"))
     j = _purpose_flag(cat, run, j)
     j = lookup_unique(j, realty_flags(cat, run), ["loan_no"], ["realty_flag"], name="realty collateral")
     return j.select(*[expr.alias(name) for name, expr in _columns(run).items()])
