@@ -7,9 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendgrid.functions import decode, money_sum
+from lendgrid.functions import money_sum
 from lendgrid.operators import (
-    code_map, coalesce_lookup, exists_flag, having_multi, latest_by, lookup_unique,
+    code_map, coalesce_lookup, exists_flag, having_multi, lookup_unique,
     membership_flag,
 )
 from lendgrid.plans.frames import (

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lendgrid.functions import concat_null_as_empty, decode, norm_date, substr1
 from lendgrid.operators import lookup_unique, top1_by_max
