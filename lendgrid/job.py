@@ -27,6 +27,10 @@ SegmentFn = Callable[[Catalog, RunDate], DataFrame]
 PROCEDURE = "SP_L_ACCT_LOAN"
 DETAIL_TABLE = "URDM.PL_LBI_R_LOAN_DETAIL_HS"
 PRIOR_LEDGER_TABLE = "URDM.L_ACCT_LOAN"
+# First-loan marks (one row per customer) up to this many rows are broadcast
+# to the materialised ledger, so its full-width rows are never shuffled for
+# the flag; beyond it the flag uses a shuffle join.
+FLAG_BROADCAST_MAX_ROWS = 2_000_000
 
 
 class LedgerJob:
@@ -70,6 +74,7 @@ class LedgerJob:
         if materialize:
             ensure_checkpoint_dir(self.spark)
             union = union.checkpoint(eager=True)
+            return flag_first_loan(union, broadcast_max_rows=FLAG_BROADCAST_MAX_ROWS)
         return flag_first_loan(union)
 
     def execute(self) -> dict[str, int]:

@@ -129,7 +129,8 @@ def split_segments(base: DataFrame, specs: Sequence[tuple[str, Column, Mapping[s
 
 def flag_first_loan(ledger: DataFrame, flag: str = "is_first_report_loan_tag",
                     cust: str = "cust_id", order: tuple[str, ...] = ("drawdown_dt", "loan_num"),
-                    row_key: tuple[str, ...] = ("loan_num", "date_sourcesd")) -> DataFrame:
+                    row_key: tuple[str, ...] = ("loan_num", "date_sourcesd"),
+                    broadcast_max_rows: int | None = None) -> DataFrame:
     """Mark each customer's first loan across all sources with ``Y`` (the rest
     keep their own value, ``N`` when unset), computed before the write
     instead of a MERGE on the written slice. Works on any frame holding the
@@ -137,7 +138,8 @@ def flag_first_loan(ledger: DataFrame, flag: str = "is_first_report_loan_tag",
     possible, so the join shuffles narrow rows."""
     # ranked per customer, matched back on the row key (the source's MERGE
     # matches on loan number and source only)
-    flagged = first_flag(ledger, [cust], list(order), list(row_key), "__first", match_group=False)
+    flagged = first_flag(ledger, [cust], list(order), list(row_key), "__first", match_group=False,
+                         broadcast_max_rows=broadcast_max_rows)
     own = f"`{flag}`" if flag in ledger.columns else "NULL"
     value = f"CASE WHEN __first = 'Y' THEN 'Y' ELSE COALESCE({own}, 'N') END AS `{flag}`"
     cols = [value if c == flag else f"`{c}`" for c in ledger.columns]
