@@ -23,9 +23,12 @@ def _col(c: Column | str) -> Column:
 
 def norm_date(c: Column | str) -> Column:
     """Text in any known layout (or a DATE/TIMESTAMP) -> DATE, NULL when
-    empty/invalid. Text timestamps fall back to the default timestamp parse."""
+    empty/invalid. A text timestamp is read by its date part (before a space
+    or ``T``); years outside 1-9999 are treated as invalid."""
     s = F.trim(_col(c).cast("string"))
-    return F.coalesce(*[F.try_to_date(s, p) for p in DATE_PATTERNS], F.to_date(F.try_to_timestamp(s)))
+    day = F.substring_index(F.substring_index(s, " ", 1), "T", 1)
+    parsed = F.coalesce(*[F.try_to_date(day, p) for p in DATE_PATTERNS])
+    return F.when(F.year(parsed).between(1, 9999), parsed)
 
 
 def as_date(c: Column | str) -> Column:

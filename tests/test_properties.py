@@ -65,3 +65,38 @@ def test_lookup_unique_raises_exactly_on_duplicates(spark, left_keys, right_keys
     else:
         got = sorted((r.k, r.v) for r in lookup_unique(left, right, ["k"], ["v"]).collect())
         assert got == sorted((k, f"v{k}" if k in right_keys else None) for k in left_keys)
+
+
+flag_rows = st.lists(st.tuples(st.sampled_from(["c1", "c2", None]), st.integers(0, 3), st.integers(0, 50)),
+                     min_size=1, max_size=30, unique_by=lambda r: r[2])
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(flag_rows)
+def test_first_flag_equals_row_number(spark, rows):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from lendgrid.operators import first_flag
+    df = spark.createDataFrame(rows, "cust string, d int, loan int")
+    got = {r.loan: r.f for r in first_flag(df, ["cust"], ["d", "loan"], ["loan"], "f").collect()}
+    w = Window.partitionBy("cust").orderBy(F.col("d").asc_nulls_last(), F.col("loan").asc_nulls_last())
+    expect = {r.loan: ("Y" if r.rn == 1 else "N") for r in df.withColumn("rn", F.row_number().over(w)).collect()}
+    assert got == expect
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.dates(min_value=dt.date(1990, 1, 1), max_value=dt.date(2099, 12, 31)), min_size=1, max_size=10),
+       st.lists(st.text(alphabet="0123456789/-ab ", max_size=10), max_size=10))
+def test_norm_date_layouts_and_junk(spark, days, junk):
+    from lendgrid.functions import norm_date
+    texts = []
+    for d in days:
+        texts += [d.strftime("%Y%m%d"), d.isoformat(), d.strftime("%Y/%m/%d")]
+    df = spark.createDataFrame([(t,) for t in texts + junk], "s string")
+    got = [r[0] for r in df.select(norm_date("s")).collect()]
+    assert got[:len(texts)] == [d for d in days for _ in range(3)]
+    for text, value in zip(junk, got[len(texts):]):
+        if value is not None:   # junk only parses when it is a real date in a known layout
+            digits = text.strip().replace("/", "").replace("-", "")
+            assert value.strftime("%Y%m%d") == digits[:8] or value.isoformat() in text
