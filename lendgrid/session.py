@@ -3,6 +3,7 @@ checkpoint folder from the cluster configuration."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -25,6 +26,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", "8g")
+    event_dir = os.environ.get("LENDGRID_EVENT_LOG_DIR")
+    if event_dir:  # stage / task times from the event log, no UI server
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
