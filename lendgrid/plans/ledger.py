@@ -193,9 +193,16 @@ SELECT c.loan_num, c.date_sourcesd, c.od_days, p.od_days AS prev_od_days,
 FROM ledger c LEFT JOIN prior p ON p.loan_num = c.loan_num AND p.date_sourcesd = c.date_sourcesd""")
 def prior_period_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables(spark, sf_dir)
-    cur = ledger_slice(t, RUN).select("loan_num", "date_sourcesd", "od_days")
-    prev = ledger_slice(t, PRIOR).select(F.col("loan_num").alias("p_loan"), F.col("date_sourcesd").alias("p_src"),
-                                         F.col("od_days").alias("prev_od_days"))
+
+    def narrow(run: RunDate) -> DataFrame:
+        # only the typed key and measure columns: the first-loan flag is not
+        # needed here, so neither is its join
+        rows = split_segments(base_measures(t, run), segment_specs(run), run.d8, schema=None)
+        return conform(rows, fill_missing=False)
+
+    cur = narrow(RUN).select("loan_num", "date_sourcesd", "od_days")
+    prev = narrow(PRIOR).select(F.col("loan_num").alias("p_loan"), F.col("date_sourcesd").alias("p_src"),
+                                F.col("od_days").alias("prev_od_days"))
     j = cur.join(prev, (F.col("p_loan") == F.col("loan_num")) & (F.col("p_src") == F.col("date_sourcesd")), "left")
     return j.select("loan_num", "date_sourcesd", "od_days", "prev_od_days",
                     F.when(F.col("p_loan").isNull(), "Y").otherwise("N").alias("new_loan_flg"))
