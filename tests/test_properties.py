@@ -100,3 +100,33 @@ def test_norm_date_layouts_and_junk(spark, days, junk):
         if value is not None:   # junk only parses when it is a real date in a known layout
             digits = text.strip().replace("/", "").replace("-", "")
             assert value.strftime("%Y%m%d") == digits[:8] or value.isoformat() in text
+
+
+seg_rows = st.lists(st.tuples(st.integers(0, 9), st.integers(-5, 5), st.sampled_from(["x", "y", None])),
+                    min_size=1, max_size=25)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seg_rows, st.integers(-5, 5))
+def test_split_segments_equals_union_of_filtered_projections(spark, rows, cut):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from lendgrid.operators.ledger import split_segments, union_segments
+    schema = T.StructType([T.StructField(n, t) for n, t in [
+        ("loan_num", T.StringType()), ("od_days", T.IntegerType()), ("acct_sts", T.StringType()),
+        ("od_flg", T.StringType()), ("date_sourcesd", T.StringType()), ("data_date", T.StringType())]])
+    base = spark.createDataFrame(rows, "id int, v int, s string")
+    # overlapping predicates: the first matching segment takes the row
+    specs = [("A", F.col("v") < cut, {"loan_num": F.col("id").cast("string"), "od_days": F.col("v")}),
+             ("B", F.col("s") == "x", {"loan_num": F.col("id").cast("string"), "acct_sts": F.col("s")}),
+             ("C", F.col("v") >= 0, {"loan_num": F.col("id").cast("string"), "od_flg": F.lit("Y")})]
+    one_pass = split_segments(base, specs, "20240131", schema)
+    taken = F.lit(False)
+    frames = {}
+    for tag, pred, cols in specs:
+        # a NULL predicate does not match (as in CASE WHEN)
+        frames[tag] = base.where(pred & ~taken).select(*[c.alias(n) for n, c in cols.items()])
+        taken = taken | F.coalesce(pred, F.lit(False))
+    unioned = union_segments(frames, "20240131", schema)
+    assert one_pass.exceptAll(unioned).count() == 0 and unioned.exceptAll(one_pass).count() == 0
