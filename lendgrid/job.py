@@ -24,7 +24,7 @@ from lendgrid.sources import RunLog, read_slice, replace_slice
 
 SegmentFn = Callable[[Catalog, RunDate], DataFrame]
 
-PROCEDURE = "SP_L_ACCT_LOAN"
+PROCEDURE = "lendgrid.LedgerJob"  # the run log's procedure column
 DETAIL_TABLE = "URDM.PL_LBI_R_LOAN_DETAIL_HS"
 PRIOR_LEDGER_TABLE = "URDM.L_ACCT_LOAN"
 # First-loan marks (one row per customer) up to this many rows are broadcast
