@@ -6,9 +6,9 @@ Vocabulary files come from the ``public_tokenizers`` package of the workers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import token_counts, token_store
+from . import simhash_vptree, token_counts, token_store
 from .common import read_table, scratch_path
 
 
@@ -23,6 +23,12 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 3-word shingles, at most 2 bits apart."""
+    rows = simhash_vptree.simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by the 49k word vocabulary, written as shards and read back."""
     path = scratch_path(spark, "token-store")
@@ -32,6 +38,7 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op9_simhash": op9_simhash,
     "op10_token_store": op10_token_store,
 }
 #: DuckDB SQL where it can express a query; the others are tested against brute force.
