@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import simhash_vptree, token_counts, token_store
+from . import bestfit_pack, simhash_vptree, token_counts, token_store
 from .common import read_table, scratch_path
 
 
@@ -23,6 +23,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
 
+def op7_bestfit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens of the 50k byte vocabulary, end id 0."""
+    return bestfit_pack.pack(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, at most 2 bits apart."""
     rows = simhash_vptree.simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
@@ -38,6 +43,7 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op7_bestfit_pack": op7_bestfit_pack,
     "op9_simhash": op9_simhash,
     "op10_token_store": op10_token_store,
 }
