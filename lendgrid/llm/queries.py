@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bestfit_pack, simhash_vptree, token_counts, token_store
+from . import bestfit_pack, quality_rules, simhash_vptree, token_counts, token_store
 from .common import read_table, scratch_path
 
 
@@ -28,6 +28,12 @@ def op7_bestfit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit_pack.pack(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document, fences by language and source."""
+    rows = quality_rules.quality_rules(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, at most 2 bits apart."""
     rows = simhash_vptree.simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
@@ -44,6 +50,7 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op7_bestfit_pack": op7_bestfit_pack,
+    "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
     "op10_token_store": op10_token_store,
 }
