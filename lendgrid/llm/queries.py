@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bestfit_pack, quality_rules, simhash_vptree, token_counts, token_store
+from . import bestfit_pack, html_extract, quality_rules, simhash_vptree, token_counts, token_store
 from .common import read_table, scratch_path
 
 
@@ -18,6 +18,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the 32k piece model; over 4096 is marked."""
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), limit=4096)
@@ -48,6 +53,7 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extract": op1_html_extract,
     "op3_token_counts": op3_token_counts,
     "op7_bestfit_pack": op7_bestfit_pack,
     "op8_quality_rules": op8_quality_rules,
