@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bestfit_pack, html_extract, quality_rules, simhash_vptree, token_counts, token_store
+from . import bestfit_pack, html_extract, kneser_ney, quality_rules, simhash_vptree, token_counts, token_store
 from .common import read_table, scratch_path
 
 
@@ -28,6 +28,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and verdict of every document by models of the trusted text of its language."""
+    return kneser_ney.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_bestfit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens of the 50k byte vocabulary, end id 0."""
     return bestfit_pack.pack(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048)
@@ -55,6 +60,7 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_html_extract": op1_html_extract,
     "op3_token_counts": op3_token_counts,
+    "op4_kneser_ney": op4_kneser_ney,
     "op7_bestfit_pack": op7_bestfit_pack,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
