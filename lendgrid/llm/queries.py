@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bestfit_pack, html_extract, kneser_ney, quality_rules, simhash_vptree, token_counts, token_store
+from . import bestfit_pack, decontaminate, html_extract, kneser_ney, quality_rules, simhash_vptree, token_counts, token_store
 from .common import read_table, scratch_path
 
 
@@ -33,6 +33,12 @@ def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, or a longer part of one."""
+    found = decontaminate.find_overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "equal_words", "item_words", "first_word", "end_word")
+
+
 def op7_bestfit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens of the 50k byte vocabulary, end id 0."""
     return bestfit_pack.pack(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048)
@@ -61,6 +67,7 @@ QUERIES = {
     "op1_html_extract": op1_html_extract,
     "op3_token_counts": op3_token_counts,
     "op4_kneser_ney": op4_kneser_ney,
+    "op6_decontaminate": op6_decontaminate,
     "op7_bestfit_pack": op7_bestfit_pack,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
