@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bestfit_pack, decontaminate, html_extract, kneser_ney, quality_rules, simhash_vptree, token_counts, token_store
+from . import bestfit_pack, decontaminate, html_extract, kneser_ney, quality_rules, simhash_vptree, suffix_dedup, token_counts, token_store
 from .common import read_table, scratch_path
 
 
@@ -23,6 +23,13 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that lie in a 100-byte string with an earlier start."""
+    rows = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=100)
+    return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the 32k piece model; over 4096 is marked."""
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), limit=4096)
@@ -65,6 +72,7 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_html_extract": op1_html_extract,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_kneser_ney": op4_kneser_ney,
     "op6_decontaminate": op6_decontaminate,
