@@ -45,10 +45,11 @@ TAIL_QUANTILE, TAIL_MARGIN = 0.995, 1.03
 HELD_WORDS = 300_000
 
 
-def texts_of(docs: DataFrame, *more: str) -> DataFrame:
+def texts_of(docs: DataFrame) -> DataFrame:
     ship_package(docs.sparkSession)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
+                       F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
 def ngram_counts(texts: DataFrame, order: int) -> DataFrame:
@@ -152,7 +153,7 @@ def tail_rank(n: int) -> int:
 
 
 def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int) -> DataFrame:
-    """(doc_id, lang, n_words, mean, tail) of every row, log perplexities per character."""
+    """(doc_id, text_hash, lang, n_words, mean, tail) of every row, log perplexities per character."""
     spark = texts.sparkSession
     of_lang: dict[str, dict] = {}
     for r in entries.toLocalIterator():
@@ -163,7 +164,7 @@ def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int) -> Dat
         scores = {lang: WordScores(e, order) for lang, e in shared.value.items()}
         for batch in batches:
             out: list[list] = [[], [], []]
-            for lang, text in zip(batch.column(1).to_pylist(), batch.column(2)):
+            for lang, text in zip(batch.column(2).to_pylist(), batch.column(3)):
                 words = WORD.findall(text.as_py())
                 mean = tail = None
                 if words and lang in scores:
@@ -173,16 +174,17 @@ def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int) -> Dat
                     mean, tail = float(found[:, 0].sum() / found[:, 1].sum()), float(np.partition(per, len(per) - k)[len(per) - k])
                 for column, value in zip(out, (len(words), mean, tail)):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out[0], pa.int64()), pa.array(out[1], pa.float64()), pa.array(out[2], pa.float64())],
-                                             ["doc_id", "lang", "n_words", "mean", "tail"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(out[0], pa.int64()), pa.array(out[1], pa.float64()), pa.array(out[2], pa.float64())],
+                                             ["doc_id", "text_hash", "lang", "n_words", "mean", "tail"])
 
-    return texts.select("doc_id", "lang", "text").mapInArrow(run, "doc_id long, lang string, n_words long, mean double, tail double")
+    return texts.select("doc_id", "text_hash", "lang", "text").mapInArrow(run, "doc_id long, text_hash long, lang string, n_words long, mean double, tail double")
 
 
 def scores_by_join(texts: DataFrame, entries: DataFrame, order: int) -> DataFrame:
     """The same scores from joins alone: rows -> their words -> the words' n-grams."""
     words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    rows = texts.select("doc_id", "lang", "text").distinct().withColumn("row", F.struct("doc_id", "lang", F.sha2("text", 256).alias("sha")))
+    row = F.struct("doc_id", "lang", F.sha2("text", 256).alias("sha")).alias("row")
+    rows = texts.select(row, "text").dropDuplicates(["row"])
     counted = (rows.select("row", F.explode(words).alias("word")).groupBy("row", "word").agg(F.count("*").alias("n"))
                .withColumn("lang", F.col("row.lang")))
     marked = F.concat(F.lit(START * (order - 1)), F.col("word"), F.lit(END))
@@ -204,17 +206,18 @@ def scores_by_join(texts: DataFrame, entries: DataFrame, order: int) -> DataFram
     scored = ranked.groupBy("row").agg(
         (F.sum(F.col("loss") * F.col("n")) / F.sum(F.col("chars") * F.col("n"))).alias("mean"),
         F.max(F.when(F.col("upto") >= F.col("k"), F.col("loss") / F.col("chars"))).alias("tail"))
-    every = texts.select("doc_id", "lang", F.size(words).cast("long").alias("n_words"), F.struct("doc_id", "lang", F.sha2("text", 256).alias("sha")).alias("row"))
+    every = texts.select("doc_id", "text_hash", "lang", F.size(words).cast("long").alias("n_words"), row)
     return (every.join(scored.withColumnRenamed("row", "scored_row"), F.col("row").eqNullSafe(F.col("scored_row")), "left")
-            .select("doc_id", "lang", "n_words", "mean", "tail"))
+            .select("doc_id", "text_hash", "lang", "n_words", "mean", "tail"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entries: int = MOST_ENTRIES) -> DataFrame:
-    """(doc_id, lang, n_words, trusted, perplexity, tail_perplexity, max_perplexity,
+    """(doc_id, text_hash, lang, n_words, trusted, perplexity, tail_perplexity, max_perplexity,
     max_tail_perplexity, kept) of every row of ``docs``.
 
     Trusted are the rows whose doc_id has labels, all of them of quality 1 and not
-    toxic (a null label is neither). A null text has no words; rows without words
+    toxic (a null label is neither). ``text_hash`` (xxhash64 of the text) tells rows
+    apart that share a doc_id. A null text has no words; rows without words
     and rows of a language without trusted text have no perplexity and are kept, as
     nothing speaks against them. A null lang is a language of its own; a null
     doc_id is never trusted; a repeated row is judged again; empty tables give an
@@ -236,4 +239,11 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entrie
         (F.exp(F.percentile_approx("tail", F.lit(TAIL_QUANTILE), F.lit(10_000)) * TAIL_MARGIN)).alias("max_tail_perplexity"))
     judged = marked.join(limits, "lang", "left").withColumn("perplexity", F.exp("mean")).withColumn("tail_perplexity", F.exp("tail"))
     kept = F.coalesce((F.col("perplexity") <= F.col("max_perplexity")) & (F.col("tail_perplexity") <= F.col("max_tail_perplexity")), F.lit(True))
-    return judged.select("doc_id", "lang", "n_words", "trusted", "perplexity", "tail_perplexity", "max_perplexity", "max_tail_perplexity", kept.alias("kept"))
+    return judged.select("doc_id", "text_hash", "lang", "n_words", "trusted", "perplexity", "tail_perplexity", "max_perplexity", "max_tail_perplexity", kept.alias("kept"))
+
+
+def keep_accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all their columns, that :func:`classify` keeps."""
+    bad = classify(docs, labels).filter("not kept").select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    own = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["bad_id"]) & (own == bad["bad_hash"]), "left_anti")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bestfit_pack, decontaminate, html_extract, kneser_ney, quality_rules, simhash_vptree, suffix_dedup, token_counts, token_store
+from . import bestfit_pack, decontaminate, html_extract, kneser_ney, license_scan, quality_rules, simhash_vptree, suffix_dedup, token_counts, token_store
 from .common import read_table, scratch_path
 
 
@@ -37,7 +37,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity and verdict of every document by models of the trusted text of its language."""
-    return kneser_ney.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    rows = kneser_ney.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return rows.drop("text_hash")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice in every document."""
+    found = license_scan.scan(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "license_id", "containment", "begin_word")
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +82,7 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_kneser_ney": op4_kneser_ney,
+    "op5_license_scan": op5_license_scan,
     "op6_decontaminate": op6_decontaminate,
     "op7_bestfit_pack": op7_bestfit_pack,
     "op8_quality_rules": op8_quality_rules,

@@ -54,7 +54,8 @@ def fingerprint(words: list[bytes], shingle: int, digest) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fp) of every row; ``fp`` holds the 64 bits as a signed long.
+    """(doc_id, text_hash, fp) of every row; ``fp`` holds the 64 bits as a signed long,
+    ``text_hash`` is xxhash64 of the text.
 
     A to Z are lower-cased; words are runs of bytes other than space and the
     control characters tab to carriage return; shingles, repeats included, are
@@ -67,9 +68,9 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
 
         for batch in batches:
             fps = [fingerprint(t.as_py().encode().lower().split(), shingle, xxh64_digest) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "text_hash", "fp"])
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, fp long")
+    return id_and_text(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def distances(points: np.ndarray, vantage) -> np.ndarray:
@@ -196,8 +197,16 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
             .groupBy("leaf").applyInPandas(leaf_links, "u long, v long"))
 
 
+def roots_of(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """The rows' fingerprints, and (fp, root) of each: the smallest of its component."""
+    rows = cut(fingerprints(docs, shingle), "simhash")
+    distinct = cut(rows.select("fp").distinct(), "simhash-distinct")
+    linked = connected(links(distinct, max_bits))
+    return rows, distinct.join(linked, distinct.fp == linked.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_components(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs``.
+    """(doc_id, text_hash, fp, component_id) of every row of ``docs``.
 
     Rows are linked if their fingerprints differ in at most ``max_bits`` bits;
     ``component_id`` is the smallest doc_id reachable over links. Texts without
@@ -206,10 +215,19 @@ def simhash_components(docs: DataFrame, shingle: int, max_bits: int) -> DataFram
     of null ids alone has a null id); a repeated row is returned again; an empty
     table gives an empty table; other columns are not read.
     """
-    rows = cut(fingerprints(docs, shingle), "simhash")
-    distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    roots = connected(links(distinct, max_bits))
-    named = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = named.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    rows, roots = roots_of(docs, shingle, max_bits)
+    # First by fingerprint, then by component: a hot group is a few rows before it is shuffled.
+    least = rows.groupBy("fp").agg(F.min("doc_id").alias("least")).join(roots, "fp")
+    named = least.join(least.groupBy("root").agg(F.min("least").alias("component_id")), "root")
+    return rows.join(named.select("fp", "component_id"), "fp").select("doc_id", "text_hash", "fp", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """One row of ``docs`` of each component, all its columns: the one of the smallest
+    doc_id (null ids last; of rows that share it, the one with the smallest text hash)."""
+    rows, roots = roots_of(docs, shingle, max_bits)
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    first = rows.groupBy("fp").agg(F.min(F.struct(number.alias("_number"), "text_hash")).alias("first")).join(roots, "fp")
+    stay = first.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first._number").alias("_number"), F.col("first.text_hash").alias("_hash"))
+    keyed = docs.withColumns({"_number": number, "_hash": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    return keyed.join(stay, ["_number", "_hash"], "left_semi").dropDuplicates(["_number", "_hash"]).select(*docs.columns)
