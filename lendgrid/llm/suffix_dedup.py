@@ -37,7 +37,9 @@ from .common import ship_package
 
 ANCHOR = 32
 #: Bytes hashed together in a worker; longer texts are cut, with overlaps.
-PIECE = 1 << 21
+PIECE = 1 << 19
+#: Rows of an Arrow batch taken up at a time, and anchors held before they are sent.
+SLICE, HELD_ANCHORS = 500, 500_000
 #: An anchor with more occurrences than this has its suffixes dealt one by one.
 HOT = 2000
 #: Suffixes of a batch of the index family.
@@ -255,10 +257,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, as_text: bool = False) ->
         keys, blocks, held = [], [], 0
         for batch in batches:
             block = batch.column(0).to_numpy(zero_copy_only=False).astype("<u4")
-            for document, _, _, key in runs_of([t.as_py() for t in batch.column(1)], length):
-                keys.append(key), blocks.append(block[document])
-                held += len(key)
-                if held > 1_500_000:
+            for at in range(0, len(batch), SLICE):
+                for document, _, _, key in runs_of([t.as_py() for t in batch.column(1).slice(at, SLICE)], length):
+                    keys.append(key), blocks.append(block[at + document])
+                    held += len(key)
+                if held > HELD_ANCHORS:
                     yield sent(keys, blocks)
                     keys, blocks, held = [], [], 0
         if held:
@@ -334,30 +337,53 @@ def remove_repeats(docs: DataFrame, length: int = 100, as_text: bool = False) ->
 
     # --- 3: the index family of each shard
     def matches(table: pa.Table) -> pa.Table:
-        per: list[list[np.ndarray]] = [[] for _ in range(7)]  # id, hash, document, block, start, one, two
+        # Entries are stretches or, with their fingerprint, single suffixes (of which the text place is -1).
+        per: list[list[np.ndarray]] = [[] for _ in range(9)]  # id, hash, document, block, start, suffixes, text place, one, two
         known: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int64))]
+        texts, size = [], 0
         for block, kind, documents, entries, data in zip(*(_batches(table, c) for c in ("block", "kind", "documents", "entries", "text"))):
             ids, hashes, document, start = unblob(decompress(documents), "<i8", "<i8", "<u4", "<i8")
+            n = len(ids)
             if kind == MATCHED:
-                known.append((document, np.full(len(start), block, np.int32), start))
+                known.append((document, np.full(n, block, np.int32), start))
                 continue
             if kind == FINGERPRINTS:
                 one, two = unblob(entries, "<u8", "<u8")
+                count, place = np.ones(n, np.int64), np.full(n, -1, np.int64)
             else:
-                (count,) = unblob(entries, "<u4")
-                stretch, place, one, two = fingerprints_of(decompress(data), count.astype(np.int64) + length - 1, length)
-                ids, hashes, document, start = ids[stretch], hashes[stretch], document[stretch], start[stretch] + place
-            for column, values in zip(per, (ids, hashes, document, np.full(len(one), block, np.int32), start, one, two)):
+                one = two = np.zeros(n, np.uint64)
+                count = unblob(entries, "<u4")[0].astype(np.int64)
+                texts.append(decompress(data))
+                place = size + np.cumsum(count + length - 1) - (count + length - 1)
+                size += len(texts[-1])
+            for column, values in zip(per, (ids, hashes, document, np.full(n, block, np.int32), start, count, place, one, two)):
                 column.append(values)
         if per[0]:
-            ids, hashes, document, block, start, one, two = (np.concatenate(c) for c in per)
+            text = np.frombuffer(b"".join(texts), np.uint8)
+            del texts
+            ids, hashes, document, block, start, count, place, one, two = (np.concatenate(c) for c in per)
             order = np.lexsort((start, document, hashes, ids))
-            levels, matched = Levels(), np.zeros(len(order), bool)
-            for at in range(0, len(order), BATCH):
-                batch = order[at : at + BATCH]
-                matched[batch] = levels.add(one[batch], two[batch])
-            order = order[matched[order]]
-            known.append((document[order], block[order], start[order]))
+            levels = Levels()
+            upto = np.cumsum(count[order])
+            at = 0
+            while at < len(order):
+                end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + BATCH, "right")))
+                entry = order[at:end]
+                at = end
+                n = count[entry]
+                own = np.repeat(entry, n)
+                within = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+                a, b = one[own], two[own]
+                cut_out = entry[place[entry] >= 0]
+                if len(cut_out):
+                    stretch = np.concatenate([text[p : p + c + length - 1] for p, c in zip(place[cut_out].tolist(), count[cut_out].tolist())])
+                    sizes = count[cut_out] + length - 1
+                    first = np.repeat(np.cumsum(sizes) - sizes - (np.cumsum(count[cut_out]) - count[cut_out]), count[cut_out]) + np.arange(int(count[cut_out].sum()))
+                    of_text = place[own] >= 0
+                    a[of_text], b[of_text] = rolling(stretch, length, 2)[first], rolling(stretch, length, 3)[first]
+                matched = levels.add(a, b)
+                own, within = own[matched], within[matched]
+                known.append((document[own], block[own], start[own] + within))
         document, block, start = (np.concatenate(c) for c in zip(*known))
         # Neighbouring starts of a document are one run.
         first = np.flatnonzero(np.r_[True, (np.diff(document.astype(np.int64)) != 0) | (np.diff(block) != 0) | (np.diff(start) != 1)]) if len(start) else np.zeros(0, np.int64)
