@@ -11,7 +11,8 @@ A document's score is its perplexity per character, and the perplexity of its
 tail: of the words, by falling perplexity, the one behind ``TAIL_SHARE`` of
 them (the ``TAIL_LEAST``-th at least). The mean tells text of another kind, the
 tail tells a few foreign words in text of the same kind. Documents above their
-language's quantiles of trusted documents are rejected.
+language's quantiles of trusted documents are rejected; the quantiles are those
+of one in ``HELD_OUT`` trusted documents, from which the model does not learn.
 
 The model table is broadcast if it has at most ``MOST_ENTRIES`` rows, which
 bounds what reaches the driver and a worker. Beyond that, distinct words meet
@@ -40,7 +41,9 @@ MOST_ENTRIES = 1_000_000
 TAIL_SHARE, TAIL_LEAST = 0.012, 2
 #: Quantiles of the trusted documents' scores, and how far above them a score may lie.
 MEAN_QUANTILE, MEAN_MARGIN = 0.995, 1.15
-TAIL_QUANTILE, TAIL_MARGIN = 0.995, 1.03
+TAIL_QUANTILE, TAIL_MARGIN = 0.99, 1.03
+#: Of so many trusted documents (by text hash) one sets the limits; the others train the model.
+HELD_OUT = 5
 #: Words whose counts or scores a worker holds before it passes them on or forgets them.
 HELD_WORDS = 300_000
 
@@ -89,7 +92,8 @@ def discount(j: int, counts: str = "n") -> Column:
 def model(counts: DataFrame, order: int) -> DataFrame:
     """(lang, k, gram, logp, bow): for every n-gram seen, of 1 to ``order`` characters,
     its interpolated log probability, and the log weight by which the next lower
-    order counts after it (null where it was never a context)."""
+    order counts after it (null where it was never a context). The empty one has
+    the probability of a character never seen."""
     n = F.length("gram")
     # Continuation counts: how many different characters come before an n-gram.
     suffixes = counts.select("lang", F.explode(F.sequence(F.lit(2), F.lit(order))).alias("k"), "gram").select(
@@ -118,7 +122,8 @@ def model(counts: DataFrame, order: int) -> DataFrame:
         probabilities = probabilities.union(p)
     bows = parts.select("lang", F.col("context").alias("gram"), F.log("lower").alias("bow"), "types").distinct()
     empty = bows.filter("gram = ''").select("lang", F.lit(0).alias("k"), "gram", F.log(1 / (F.col("types") + 1)).alias("logp"), "bow")
-    return (probabilities.join(bows.drop("types"), ["lang", "gram"], "left").select("lang", "k", "gram", F.log("p").alias("logp"), "bow")
+    # Contexts of start marks alone are no n-grams: they have a weight and no probability.
+    return (probabilities.join(bows.filter("gram != ''").drop("types"), ["lang", "gram"], "full").select("lang", "k", "gram", F.log("p").alias("logp"), "bow")
             .union(empty).withColumn("k", n.cast("int")))
 
 
@@ -135,14 +140,12 @@ class WordScores(dict):
         marked, total, entries, order = START * (self.order - 1) + word + END, 0.0, self.entries, self.order
         for i in range(len(word) + 1):
             gram = marked[i : i + order]
-            while (entry := entries.get(gram)) is None or not gram:
-                if not gram:
-                    break
-                bow = entries.get(gram[:-1])
-                if bow is not None and bow[1] is not None:
-                    total += bow[1]
+            while (entry := entries.get(gram)) is None or entry[0] is None:
+                context = entries.get(gram[:-1])
+                if context is not None and context[1] is not None:
+                    total += context[1]
                 gram = gram[1:]
-            total += entry[0] if entry else 0.0
+            total += entry[0]
         self[word] = found = (-total, len(word) + 1)
         return found
 
@@ -228,13 +231,14 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entrie
             .agg(F.min(((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int")).alias("good"), F.count_if(F.col("quality").isNull()).alias("unknown"))
             .filter("good = 1 and unknown = 0").select("doc_id", F.lit(True).alias("trusted")))
     texts = texts_of(docs)
-    counts = cut(ngram_counts(texts.join(good, "doc_id", "left_semi"), order), "kn-ngrams")
+    held_out = F.pmod(F.xxhash64("text_hash"), F.lit(HELD_OUT)) == 0
+    counts = cut(ngram_counts(texts.filter(~held_out).join(good, "doc_id", "left_semi"), order), "kn-ngrams")
     entries = cut(model(counts, order), "kn-model")
     score = scores_by_broadcast if entries.count() <= most_entries else scores_by_join
     scored = cut(score(texts, entries, order), "kn-scores")
     marked = scored.join(good, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
     marked = cut(marked, "kn-marked")
-    limits = marked.filter("trusted and mean is not null").groupBy("lang").agg(
+    limits = marked.filter(F.col("trusted") & F.col("mean").isNotNull() & held_out).groupBy("lang").agg(
         (F.exp(F.percentile_approx("mean", F.lit(MEAN_QUANTILE), F.lit(10_000)) * MEAN_MARGIN)).alias("max_perplexity"),
         (F.exp(F.percentile_approx("tail", F.lit(TAIL_QUANTILE), F.lit(10_000)) * TAIL_MARGIN)).alias("max_tail_perplexity"))
     judged = marked.join(limits, "lang", "left").withColumn("perplexity", F.exp("mean")).withColumn("tail_perplexity", F.exp("tail"))
