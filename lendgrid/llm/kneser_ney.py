@@ -41,7 +41,7 @@ MOST_ENTRIES = 1_000_000
 TAIL_SHARE, TAIL_LEAST = 0.012, 2
 #: Quantiles of the trusted documents' scores, and how far above them a score may lie.
 MEAN_QUANTILE, MEAN_MARGIN = 0.995, 1.15
-TAIL_QUANTILE, TAIL_MARGIN = 0.99, 1.03
+TAIL_QUANTILE, TAIL_MARGIN = 0.95, 1.24
 #: Of so many trusted documents (by text hash) one sets the limits; the others train the model.
 HELD_OUT = 5
 #: Words whose counts or scores a worker holds before it passes them on or forgets them.
