@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 MONEY = "decimal(18,2)"
 RATE = "decimal(12,6)"
 TOTAL = "decimal(38,2)"
+RATE_PART = "decimal(12,8)"
+EXACT_RATE = "decimal(30,16)"
 
 
 def _col(c: Column | str) -> Column:
@@ -31,9 +33,7 @@ def rate(c: Column | str) -> Column:
 
 
 def effective_rate(base: Column | str, spread: Column | str, adj_pct: Column | str) -> Column:
-    """Executed rate ``(base + spread) * (1 + adj/100)`` with NULL parts as 0,
-    rounded to 6 places."""
-    b = F.coalesce(rate(base), F.lit(0).cast(RATE))
-    s = F.coalesce(rate(spread), F.lit(0).cast(RATE))
-    a = F.coalesce(rate(adj_pct), F.lit(0).cast(RATE))
-    return F.round((b + s) * (F.lit(1) + a * F.lit(Decimal("0.01"))), 6).cast(RATE)
+    """Executed rate ``(base + spread) * (1 + adj/100)``, exact; NULL where a part is NULL."""
+    b, s = _col(base).cast(RATE_PART), _col(spread).cast(RATE_PART)
+    a = _col(adj_pct).cast(RATE)
+    return ((b + s) * (F.lit(1) + a * F.lit(Decimal("0.01")))).cast(EXACT_RATE)

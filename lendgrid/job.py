@@ -1,9 +1,11 @@
 """The ledger load of one business date.
 
-``LedgerJob`` builds every segment lazily, unions them into the canonical
-ledger, flags each customer's first loan, writes the date's slice with a
-dynamic partition overwrite (other dates untouched, reruns idempotent) and
-appends step rows to the run log. Row counts per segment are collected by an
+``LedgerJob`` builds the chosen segments lazily, unions them with the date's
+other segments as they are stored, flags each customer's first loan over the
+whole date, and writes the slices of the date with a dynamic partition
+overwrite: other dates are untouched, a run of some segments keeps the others,
+and a segment that has no rows now has its slice emptied. Step rows go to the
+run log as the steps happen. Row counts per segment are collected by an
 ``Observation`` during the write, so the data is computed exactly once.
 """
 
@@ -16,21 +18,20 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
-from lendgrid.operators.ledger import flag_first_loan, union_segments
+from lendgrid.operators.ledger import LEDGER, flag_first_loan, union_segments
 from lendgrid.rundate import RunDate
 from lendgrid.segments.catalog import Catalog
 from lendgrid.session import ensure_checkpoint_dir
-from lendgrid.sources import RunLog, read_slice, replace_slice
+from lendgrid.sources import RunLog, clear_slice, read_slice, replace_slice, stored_slice
 
 SegmentFn = Callable[[Catalog, RunDate], DataFrame]
 
 PROCEDURE = "lendgrid.LedgerJob"  # the run log's procedure column
 DETAIL_TABLE = "URDM.PL_LBI_R_LOAN_DETAIL_HS"
 PRIOR_LEDGER_TABLE = "URDM.L_ACCT_LOAN"
-# First-loan marks (one row per customer) up to this many rows are broadcast
-# to the materialised ledger, so its full-width rows are never shuffled for
-# the flag; beyond it the flag uses a shuffle join.
-FLAG_BROADCAST_MAX_ROWS = 2_000_000
+# One slice for each date and source system: what one load deletes and inserts.
+SLICE_COLUMNS = ["data_date", "date_sourcesd"]
+FLAG = "is_first_report_loan_tag"
 
 
 class LedgerJob:
@@ -57,10 +58,23 @@ class LedgerJob:
         replace_slice(df.observe(obs, F.count(F.lit(1)).alias("rows")), self.detail_target, ["rpt_dt"])
         back = read_slice(self.spark, self.detail_target, schema).where(F.col("rpt_dt") == F.lit(self.run.d))
         self.catalog = self.catalog.with_tables({DETAIL_TABLE: back})
-        return int(obs.get["rows"])
+        rows = int(obs.get["rows"])
+        if not rows:  # nothing to insert: the date's old slice goes all the same
+            clear_slice(self.spark, self.detail_target, schema, rpt_dt=self.run.d.isoformat())
+        return rows
+
+    def _stored_others(self) -> DataFrame | None:
+        """The date's segments that this run does not load, as stored; their
+        first-loan marks are taken back, for they are set anew."""
+        stored = stored_slice(self.spark, self.target, LEDGER, data_date=self.run.d8)
+        if stored is None:
+            return None
+        others = stored.where(~F.col("date_sourcesd").isin(*self.segments))
+        return others.withColumn(FLAG, F.when(F.col(FLAG) != "Y", F.col(FLAG)))
 
     def build(self, materialize: bool = True) -> DataFrame:
-        """The flagged ledger slice.
+        """The flagged ledger of the date: the segments of this run and the stored
+        others.
 
         The first-loan flag reads the unioned segments twice (a narrow pass
         ranking each customer's loans and the join back onto every row).
@@ -71,26 +85,34 @@ class LedgerJob:
         recomputing the joins."""
         frames = {tag: fn(self.catalog, self.run) for tag, fn in self.segments.items()}
         union = union_segments(frames, self.run.d8)
-        if materialize:
+        others = self._stored_others()
+        if others is not None:
+            union = union.unionByName(others)
+        if materialize:  # also ends the reading of slices that the write will replace
             ensure_checkpoint_dir(self.spark)
             union = union.checkpoint(eager=True)
-            return flag_first_loan(union, broadcast_max_rows=FLAG_BROADCAST_MAX_ROWS)
         return flag_first_loan(union)
 
     def execute(self) -> dict[str, int]:
         """Build and write the slice; returns rows written per segment. Each
         execution appends its own step rows to the run log."""
-        self.log = RunLog(self.run.d8, PROCEDURE)
+        self.log = RunLog(self.run.d8, PROCEDURE, self.spark, self.run_log_path)
         self.log.log(0, "start", 0)
         try:
             if self.detail is not None:
+                self.log.log(len(self.segments) + 2, "load detail", 0)
                 self.log.log(len(self.segments) + 2, "load detail", 1, self._write_detail())
+            for step, tag in enumerate(self.segments, start=1):
+                self.log.log(step, f"load {tag}", 0)
             ledger = self.build()
             obs = Observation("ledger_rows")
             counted = ledger.observe(obs, *[
                 F.count(F.when(F.col("date_sourcesd") == tag, F.lit(1))).alias(tag) for tag in self.segments])
-            replace_slice(counted, self.target, ["data_date"])
+            replace_slice(counted, self.target, SLICE_COLUMNS)
             counts = {tag: int(obs.get[tag]) for tag in self.segments}
+            for tag, n in counts.items():
+                if not n:
+                    clear_slice(self.spark, self.target, LEDGER, data_date=self.run.d8, date_sourcesd=tag)
             for step, tag in enumerate(self.segments, start=1):
                 self.log.log(step, f"load {tag}", 1, counts[tag])
             self.log.log(len(self.segments) + 1, "done", 1, sum(counts.values()))
@@ -98,9 +120,6 @@ class LedgerJob:
         except Exception as exc:
             self.log.log(-1, f"{type(exc).__name__}: {exc}", -1, 0)
             raise
-        finally:
-            if self.run_log_path:
-                self.log.to_df(self.spark).write.mode("append").parquet(self.run_log_path)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -117,7 +136,7 @@ def main(argv: list[str] | None = None) -> int:
 
     ap = argparse.ArgumentParser(prog="lendgrid.job", description="Load one business date of the loan ledger.")
     ap.add_argument("--date", required=True, help="business date, yyyy-MM-dd or yyyyMMdd")
-    ap.add_argument("--target", required=True, help="ledger location (partitioned by data_date)")
+    ap.add_argument("--target", required=True, help="ledger location (partitioned by data_date, date_sourcesd)")
     ap.add_argument("--detail-target", required=True, help="loan-detail location (partitioned by rpt_dt)")
     ap.add_argument("--run-log", help="run-log location (appended)")
     ap.add_argument("--parquet-root", help="read source tables from Parquet folders under this root")

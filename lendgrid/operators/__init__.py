@@ -4,11 +4,10 @@ from lendgrid.operators.aggregates import agg_join, collect_concat
 from lendgrid.operators.flags import exists_flag, having_multi, membership_flag
 from lendgrid.operators.latest import first_flag, first_last_aggs, latest_by, top1_by_max
 from lendgrid.operators.ledger import flag_first_loan, union_segments
-from lendgrid.operators.lookup import bounded_broadcast, code_map, coalesce_lookup, lookup_unique
+from lendgrid.operators.lookup import code_map, coalesce_lookup, lookup_unique
 
 __all__ = [
     "agg_join",
-    "bounded_broadcast",
     "coalesce_lookup",
     "code_map",
     "collect_concat",

@@ -55,7 +55,6 @@ def first_flag(
     yes: str = "Y",
     no: str = "N",
     match_group: bool = True,
-    broadcast_max_rows: int | None = None,
 ) -> DataFrame:
     """Flag the first row per ``group`` under ascending ``order`` without
     putting a whole group into one task.
@@ -67,20 +66,12 @@ def first_flag(
     ``PARTITION BY``); with ``match_group=False`` on ``row_key`` alone,
     with plain equality (an update matched on the row key). Every input row
     is kept.
-
-    With ``broadcast_max_rows`` the marks (one row per group) are broadcast
-    when a size check proves they hold at most that many rows, so the input
-    rows are not shuffled at all; beyond the bound the join stays a
-    shuffle join.
     """
     extra = [k for k in row_key if k not in order]
     firsts = latest_by(df.select(*group, *order, *extra), group,
                        [F.col(c).asc_nulls_last() for c in [*order, *extra]])
     match = list(dict.fromkeys([*group, *row_key] if match_group else row_key))
     marks = firsts.select(*[F.col(k).alias(f"__m_{k}") for k in match], F.lit(True).alias("__hit"))
-    if broadcast_max_rows is not None:
-        from lendgrid.operators.lookup import bounded_broadcast
-        marks = bounded_broadcast(marks, broadcast_max_rows)
     cond = None
     for k in match:
         if match_group and k in group:

@@ -1,4 +1,4 @@
-"""Key-checked lookups, bounded broadcasts and code maps."""
+"""Key-checked lookups and code maps."""
 
 from __future__ import annotations
 
@@ -8,17 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()`` job, which stops reading
-    once the bound is exceeded. Beyond the bound the frame is returned
-    unhinted, and Spark/AQE picks a shuffle join from runtime statistics.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def lookup_unique(
     left: DataFrame,
     right: DataFrame,
@@ -80,14 +69,12 @@ def code_map(
     dict_code: str,
     out: str,
     default: Column | str | None = None,
-    max_rows: int = 100_000,
 ) -> DataFrame:
     """Translate ``col`` through a code table ``(dict_code, ori_values,
-    new_values)``: one broadcast left join (the code table has a fixed
-    domain; the bound is checked). Missing codes get ``default``."""
+    new_values)`` by a left join, whose strategy Spark picks from the table's
+    size. Missing codes get ``default``."""
     m = mapping.where(F.col("dict_code") == F.lit(dict_code)).select(
         F.col("ori_values").alias("__ori"), F.col("new_values").alias("__new"))
-    m = bounded_broadcast(m, max_rows)
     key = F.col(col) if isinstance(col, str) else col
     j = df.join(m, key == F.col("__ori"), "left")
     dflt = None if default is None else (F.col(default) if isinstance(default, str) else default)

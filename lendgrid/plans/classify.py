@@ -4,11 +4,13 @@ remark composition."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendgrid.functions import (
-    case_map, coalesce_dates, concat_null_as_empty, decode, effective_rate, in_code_set, money, overdue_days,
+    case_map, coalesce_dates, concat_null_as_empty, decode, effective_rate, in_code_set, money, overdue_days, rate,
     prefix_map, rate_text, term_months as term_months_expr, text_after,
 )
 from lendgrid.operators import agg_join, first_last_aggs, latest_by, lookup_unique
@@ -262,14 +264,17 @@ def rate_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("effective_rate", """
 SELECT l_orderkey AS loan_num, l_linenumber AS perd_no,
-  CAST(ROUND((COALESCE(CAST(CAST(l_tax AS DECIMAL(18,2)) * 100 AS DECIMAL(12,6)), 0)
-            + COALESCE(CAST(CAST(l_discount AS DECIMAL(18,2)) * 10 AS DECIMAL(12,6)), 0))
-           * (1 + COALESCE(CAST(l_quantity AS DECIMAL(12,6)), 0) * 0.01), 6) AS DECIMAL(12,6)) AS real_int_rat
+  CAST((CAST(CAST(l_tax AS DECIMAL(18,2)) * 100 AS DECIMAL(12,8))
+        + CAST(NULLIF(CAST(l_discount AS DECIMAL(18,2)), 0.05) * 10 AS DECIMAL(12,8)))
+       * (1 + CAST(NULLIF(CAST(l_quantity AS DECIMAL(12,6)), 7) AS DECIMAL(12,6)) * 0.01) AS DECIMAL(30,16)) AS real_int_rat
 FROM lineitem""")
 def effective_rate_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # some discounts and quantities are taken as unknown, so that rates with a NULL part occur
     li = tables(spark, sf_dir).read("lineitem", "l_orderkey", "l_linenumber", "l_tax", "l_discount", "l_quantity")
+    spread = F.nullif(money("l_discount"), F.lit(Decimal("0.05")))
+    adj = F.nullif(rate("l_quantity"), F.lit(Decimal(7)))
     return li.select(F.col("l_orderkey").alias("loan_num"), F.col("l_linenumber").alias("perd_no"),
-                     effective_rate(money("l_tax") * 100, money("l_discount") * 10, "l_quantity").alias("real_int_rat"))
+                     effective_rate(money("l_tax") * 100, spread * 10, adj).alias("real_int_rat"))
 
 
 @query("term_months", with_sql(LOANS_SQL, SCHED_SQL) + """

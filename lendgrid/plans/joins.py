@@ -19,23 +19,14 @@ from lendgrid.plans.registry import query
 from lendgrid.sources import as_of, dated_dim, event_window
 
 D = RUN.d
-# Nation and region have a fixed domain (25 and 5 rows); the bound is still
-# checked before broadcasting.
-DIM_BOUND = 1000
-
-
-def _dim(t, name, *cols):
-    """A dimension frame, broadcast only when its size bound holds."""
-    df = t.read(name, *cols)
-    return F.broadcast(df) if t.fits(name, DIM_BOUND) else df
 
 
 def _nation(t, *cols):
-    return _dim(t, "nation", *cols)
+    return t.read("nation", *cols)
 
 
 def _region(t, *cols):
-    return _dim(t, "region", *cols)
+    return t.read("region", *cols)
 
 
 @query("enrich_left", with_sql(LOANS_SQL) + """
@@ -203,9 +194,9 @@ def computed_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = t.read("customer", "c_custkey", "c_nationkey", "c_name").select(
         "c_custkey",
         F.when(F.col("c_nationkey") == 0, F.lit(1)).otherwise(F.col("c_nationkey")).alias("org_key"),
-        F.substring("c_name", 10, 1 << 20).alias("name_key"))
+        F.expr("substring(c_name, 10)").alias("name_key"))
     n = _nation(t, "n_nationkey", "n_name")
-    su = t.read("supplier", "s_name").select("s_name", F.substring("s_name", 10, 1 << 20).alias("s_key"))
+    su = t.read("supplier", "s_name").select("s_name", F.expr("substring(s_name, 10)").alias("s_key"))
     j = (loans(t).join(c, F.col("cust_id") == c.c_custkey, "left")
          .join(n, F.col("org_key") == n.n_nationkey, "left")
          .join(su, F.col("name_key") == F.col("s_key"), "left"))

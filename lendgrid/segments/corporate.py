@@ -218,8 +218,8 @@ def corporate_loans(cat: Catalog, run: RunDate) -> DataFrame:
     trn = _rename(trn.where(F.col("relflg").isin(*TRADE_RELATIONS)), "trn", ["objinr", "inr"])
     gle2 = _rename(cat.snapshot(PARTIES, run).where((F.col("dbtcdt") == PARTY_SIDE) & (F.col("dbtdft") == PARTY_ROLE)),
                    "gle2", ["trninr", "act"])
-    # next due date after D (this table is filtered on its start date only)
-    plan = cat.read(DUE_PLAN).where((F.col("begndt") <= d) & (norm_date("daoqriqi") > d))
+    # next due date after D
+    plan = cat.snapshot(DUE_PLAN, run).where(norm_date("daoqriqi") > d)
     kdz = plan.groupBy(F.col("dkjiejuh").alias("kdz_dkjiejuh")).agg(F.min(norm_date("daoqriqi")).alias("kdz_due"))
     ui = _rename(cat.snapshot(USER, run), "ui", ["userid", "certid"])
     bph = _rename(cat.snapshot(PERSON, run), "bph", ["id", "code"])
@@ -340,7 +340,7 @@ def corporate_loans(cat: Catalog, run: RunDate) -> DataFrame:
          .join(nbz1, F.col("repay_acct") == F.col("nbz1_zhanghao"), "left")
          .join(hxbz, (F.col("hxbz_dkjiejuh") == bd.serialno) & (F.col("hxbz_xshjuzhi") == F.col("repay_acct")), "left")
          .join(jg2, F.col("kk_kaihjigo") == jg2.jg2_org_num, "left")
-         .join(nbhs, nbhs.nbhs_nbuhesdm == F.substring(F.col("ky_yeshux09"), 4, 1 << 20), "left")
+         .join(nbhs, nbhs.nbhs_nbuhesdm == F.expr("substring(ky_yeshux09, 4)"), "left")
          .join(kjj, kjj.kjj_kemuhaoo == F.coalesce(F.col("nbhs_kemuhaoo"), F.col("ky_yeshux09")), "left")
          )
     # the source looks the code up only for roles outside the excluded set

@@ -85,11 +85,11 @@ def schedule_facts(cat: Catalog, run: RunDate, loans: DataFrame) -> DataFrame:
     periods in arrears. All in one aggregate over the schedule."""
     d = F.lit(run.d)
     s = cat.snapshot(SCHEDULE, run).withColumn("pay_dt", norm_date("paydate"))
-    z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    prcp_due = (z("payprincipalamt") - z("actualpayprincipalamt")) > 0
-    int_due = (z("payinterestamt") - z("actualpayinterestamt") + z("payinterestpenaltyamt")
-               - z("actualpayinterestpenaltyamt") + z("payprincipalpenaltyamt")
-               - z("actualpayprincipalpenaltyamt")) > 0
+    # a period with an unknown amount is not due: the differences stay NULL, as in the source
+    prcp_due = (F.col("payprincipalamt") - F.col("actualpayprincipalamt")) > 0
+    int_due = (F.col("payinterestamt") - F.col("actualpayinterestamt") + F.col("payinterestpenaltyamt")
+               - F.col("actualpayinterestpenaltyamt") + F.col("payprincipalpenaltyamt")
+               - F.col("actualpayprincipalpenaltyamt")) > 0
     past = F.col("pay_dt") <= d
     future = F.col("pay_dt") >= d
     is_loan = F.col("relativeobjecttype") == LOAN_OBJECT

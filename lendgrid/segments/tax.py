@@ -60,7 +60,8 @@ def _rename(df: DataFrame, prefix: str, cols: list[str]) -> DataFrame:
 def subject_balances(cat: Catalog, run: RunDate) -> DataFrame:
     """Overdue-interest balances per disbursement from two ledger subjects,
     in one filtered aggregate."""
-    bal = cat.snapshot(IOU_BAL, run).where(F.col("sub_code_order") == SUBJECT_ORDER)
+    bal = cat.snapshot(IOU_BAL, run).where(
+        (F.col("sub_code_order") == SUBJECT_ORDER) & F.col("sub_code").isin(OD_INT_SUBJECT, OD_INT_OBS_SUBJECT))
     return bal.groupBy(F.col("disb_no").alias("credit_num")).agg(
         F.sum(F.when(F.col("sub_code") == OD_INT_SUBJECT, F.col("sub_bal"))).alias("i1_sub_bal"),
         F.sum(F.when(F.col("sub_code") == OD_INT_OBS_SUBJECT, F.col("sub_bal"))).alias("i2_sub_bal"),

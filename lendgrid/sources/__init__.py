@@ -9,7 +9,7 @@ from lendgrid.sources.history import (
     history_from_events,
     partition_only,
 )
-from lendgrid.sources.sinks import RunLog, read_slice, replace_slice
+from lendgrid.sources.sinks import RunLog, clear_slice, read_slice, replace_slice, stored_slice
 from lendgrid.sources.tables import Tables
 
 __all__ = [
@@ -22,5 +22,7 @@ __all__ = [
     "history_from_events",
     "partition_only",
     "read_slice",
+    "clear_slice",
     "replace_slice",
+    "stored_slice",
 ]

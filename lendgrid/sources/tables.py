@@ -14,7 +14,6 @@ class Tables:
         self.spark = spark
         self.root = root.rstrip("/")
         self._loaded: dict[str, DataFrame] = {}
-        self._fits: dict[tuple[str, int], bool] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
@@ -27,12 +26,3 @@ class Tables:
         if df is None:
             df = self._loaded[name] = self.spark.read.parquet(self.path(name))
         return df.select(*columns) if columns else df
-
-    def fits(self, name: str, max_rows: int) -> bool:
-        """Whether the table holds at most ``max_rows`` rows (a
-        ``limit(max_rows + 1).count()`` job that stops early), checked once
-        per catalogue."""
-        key = (name, max_rows)
-        if key not in self._fits:
-            self._fits[key] = self.read(name).limit(max_rows + 1).count() <= max_rows
-        return self._fits[key]

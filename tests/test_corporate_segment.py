@@ -189,3 +189,14 @@ def test_corporate_segment_rows(spark):
     assert (d1.remark, d2.remark, d1.orig_term_bc, d1.drawdown_num) == ("RMK-note", "", 14, "W2")
     assert (d1.guaranty_typ_js, d1.cust_id_js, d1.product_type_js, x9.product_type_js) == ("B01", "MF1", "F023", "F051")
     assert (d1.lcstatus, d1.acct_num_cqcs, d1.sp_prov_amt) == ("L1", "C1", d("12.5"))
+
+
+def test_due_plan_is_read_as_of_the_run_date(spark):
+    """Rows that expired by D, begin after it or lie in another month's partition do not count."""
+    own = frames(spark)
+    plan = own["OMI.KN_KLNB_DZQGJH_HS"]
+    stale = spark.createDataFrame([("D1", "20240205", B, RUN.d, P), ("D1", "20240206", B, O, "202312"),
+                                   ("D1", "20240207", dt.date(2024, 2, 1), O, P)], plan.schema)
+    own["OMI.KN_KLNB_DZQGJH_HS"] = plan.unionByName(stale)
+    rows = {r.loan_num: r for r in corporate_loans(Catalog.frames(own), RUN).collect()}
+    assert rows["D1"].next_int_pay_dt == dt.date(2024, 2, 15)

@@ -76,3 +76,8 @@ def test_text_after_and_rate_text(spark):
 def test_effective_rate_exact(spark):
     df = spark.createDataFrame([(Decimal("3.1"), Decimal("0.5"), Decimal("10"))], "b decimal(12,6), s decimal(12,6), a decimal(12,6)")
     assert df.select(effective_rate("b", "s", "a")).first()[0] == Decimal("3.960000")
+    parts = spark.createDataFrame([(Decimal("3.1"), None, Decimal("10")), (None, Decimal(1), Decimal(1)), (Decimal(1), Decimal(1), None),
+                                   (Decimal("3.12345678"), Decimal("0.00000001"), Decimal("33.333333"))],
+                                  "b decimal(14,8), s decimal(14,8), a decimal(12,6)")
+    assert [r[0] for r in parts.select(effective_rate("b", "s", "a")).collect()] == [
+        None, None, None, Decimal("3.12345679") * Decimal("1.33333333")]

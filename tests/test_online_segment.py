@@ -152,6 +152,45 @@ def test_ledger_job_writes_slice_idempotently(spark, catalog):
     assert log.where("step_flag = 1 AND step_desc = 'load NL_3'").select("row_count").distinct().collect()[0][0] == 4
 
 
+def test_unknown_paid_amounts_are_not_overdue(spark):
+    from pyspark.sql import functions as F
+
+    own = build_frames(spark)
+    name = "OMI.NL_ACCT_PAYMENT_SCHEDULE_HS"
+    null = F.lit(None).cast("decimal(20,2)")
+    own[name] = own[name].withColumns({"actualpayprincipalamt": null, "actualpayinterestamt": null})
+    rows = {r.loan_num: r for r in online_loans(Catalog.frames(own), RUN).collect()}
+    assert all(rows[k].p_od_dt is None and rows[k].i_od_dt is None for k in ("L1", "L2", "L3"))
+
+
+def test_partial_and_empty_runs(spark, catalog):
+    """A run of one segment keeps the date's others and other dates; a segment
+    without rows has its slice emptied; marks are set over the whole date."""
+    from pyspark.sql import functions as F
+
+    root = os.path.join(tempfile.mkdtemp(prefix="lendgrid-part-"), "ledger")
+
+    def early(cat, run):  # P1 has an earlier loan here than L1
+        return spark.createDataFrame([("X1", "P1", dt.date(2020, 1, 1))], "loan_num string, cust_id string, drawdown_dt date")
+
+    def nothing(cat, run):
+        return early(cat, run).where("loan_num = 'none'")
+
+    def stored(date=RUN.d8):
+        return {(r.date_sourcesd, r.loan_num): r.is_first_report_loan_tag for r in read_slice(spark, root, LEDGER, data_date=date).collect()}
+
+    other_day = RunDate.parse("20240229")
+    LedgerJob(spark, catalog, other_day, root, {"XL_6": early}).execute()
+    assert LedgerJob(spark, catalog, RUN, root, {"NL_3": online_loans}).execute() == {"NL_3": 4}
+    assert stored()["NL_3", "L1"] == "Y"
+    assert LedgerJob(spark, catalog, RUN, root, {"XL_6": early}).execute() == {"XL_6": 1}
+    assert len(stored()) == 5 and stored()["XL_6", "X1"] == "Y" and stored()["NL_3", "L1"] == "N"
+    assert LedgerJob(spark, catalog, RUN, root, {"XL_6": nothing}).execute() == {"XL_6": 0}
+    assert {k for k, _ in stored()} == {"NL_3"} and stored()["NL_3", "L1"] == "Y"
+    assert LedgerJob(spark, catalog, RUN, root, {"NL_3": lambda c, r: online_loans(c, r).where(F.lit(False))}).execute() == {"NL_3": 0}
+    assert stored() == {} and stored("20240229") == {("XL_6", "X1"): "Y"}
+
+
 def test_ledger_job_logs_failure_and_reraises(spark, catalog):
     root = tempfile.mkdtemp(prefix="lendgrid-fail-")
 

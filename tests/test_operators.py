@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lendgrid.operators import (
-    bounded_broadcast, code_map, collect_concat, exists_flag, first_flag, having_multi, latest_by, lookup_unique,
+    code_map, collect_concat, exists_flag, first_flag, having_multi, latest_by, lookup_unique,
     membership_flag, top1_by_max,
 )
 
@@ -87,15 +87,6 @@ def test_flags(spark):
     assert [r.k for r in having_multi(g, ["k"]).collect()] == ["a"]
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(10)
-    big = spark.range(10_000)
-    j1 = spark.range(100).join(bounded_broadcast(small, 100), "id")
-    j2 = spark.range(100).join(bounded_broadcast(big, 100), "id")
-    assert "broadcast" in j1._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in j2._jdf.queryExecution().analyzed().toString().lower()
-
-
 def test_first_last_aggs_match_row_number(spark):
     from pyspark.sql import Window
 
