@@ -12,7 +12,6 @@ sources     as-of snapshot reads, event windows, history derivation, slice write
 operators   frame-level operators (latest-per-key, key-checked lookups, flags,
             pre-aggregated joins, ledger union and first-loan flag)
 plans       the operators bound to concrete tables: the registered queries
-streaming   intentionally empty (the job is a dated batch; see README)
 """
 
 from lendgrid.rundate import RunDate

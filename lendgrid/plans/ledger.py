@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendgrid.functions import decode, money_sum, overdue_days
 from lendgrid.operators import agg_join, first_flag
@@ -22,7 +23,7 @@ from lendgrid.plans.frames import RUN, SCHED_SQL, loans, schedule, tables, with_
 from lendgrid.plans.registry import query
 from lendgrid.rundate import RunDate
 from lendgrid.session import ensure_checkpoint_dir
-from lendgrid.sources import Tables, read_slice, replace_slice
+from lendgrid.sources import RunLog, Tables, read_slice, replace_slice
 
 OUT_COLS = ["loan_num", "date_sourcesd", "data_date", "cust_id", "drawdown_dt", "drawdown_amt", "maturity_dt",
             "od_days", "od_flg", "acct_sts", "p_od_dt", "i_od_dt", "year_int_incom", "od_loan_acct_bal",
@@ -163,27 +164,42 @@ _OUT_SQL = ", ".join(OUT_COLS)
 def ledger_slice_by_union(t: Tables, run: RunDate) -> DataFrame:
     """The same slice built the way the ledger job builds it from separate
     source systems: one frame per segment, each conformed to the ledger and
-    unioned by name, then flagged."""
+    unioned by name, then flagged. A test holds it against ``ledger_slice``."""
     base = base_measures(t, run)
     return flag_first_loan(union_segments(segments(base, run), run.d8))
 
 
+def narrow_slice(t: Tables, run: RunDate) -> DataFrame:
+    """The slice's rows with the columns the segments fill, without the flag."""
+    return conform(split_segments(base_measures(t, run), segment_specs(run), run.d8, schema=None), fill_missing=False)
+
+
 @query("ledger_union", with_sql(SCHED_SQL, _ledger_sql("1998-06-30")) + f"""
 SELECT {_OUT_SQL} FROM ledger""")
 def ledger_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the job's path (segments unioned by name); the other ledger keys use the
-    # single-pass split, and both are checked against the same SQL
-    return ledger_slice_by_union(tables(spark, sf_dir), RUN).select(*OUT_COLS)
+    # one input here, so one pass; union_segments is for separate source systems
+    return ledger_slice(tables(spark, sf_dir), RUN).select(*OUT_COLS)
 
 
 @query("segment_rowcounts", with_sql(SCHED_SQL, _ledger_sql("1998-06-30")) + """
 SELECT date_sourcesd, COUNT(*) AS row_count FROM ledger GROUP BY date_sourcesd""")
 def segment_rowcounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    led = ledger_slice(tables(spark, sf_dir), RUN)
-    return led.groupBy("date_sourcesd").agg(F.count(F.lit(1)).alias("row_count"))
+    """Rows affected per load, observed while the slice is written (here to a sink
+    that keeps nothing), as the job does it; one row of counts reaches the driver."""
+    log = RunLog(RUN.d8, "segment_rowcounts")
+    tags = [tag for tag, _, _ in segment_specs(RUN)]
+    written, counts = log.observe(narrow_slice(tables(spark, sf_dir), RUN), "segment_rowcounts", {
+        tag: F.count(F.when(F.col("date_sourcesd") == tag, F.lit(1))) for tag in tags})
+    written.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(tag, int(counts.get[tag])) for tag in tags if counts.get[tag]], "date_sourcesd string, row_count long")
 
 
 PRIOR = RunDate(RUN.prior_month)
+_OUT = T.StructType([LEDGER[c] for c in OUT_COLS])
+
+
+def _scratch_ledger(spark: SparkSession) -> str:
+    return ensure_checkpoint_dir(spark).rstrip("/") + f"/lendgrid-ledger-{uuid.uuid4().hex}"
 
 
 @query("prior_period_lookup", with_sql(SCHED_SQL, _ledger_sql("1998-06-30"),
@@ -192,39 +208,35 @@ SELECT c.loan_num, c.date_sourcesd, c.od_days, p.od_days AS prev_od_days,
   CASE WHEN p.loan_num IS NULL THEN 'Y' ELSE 'N' END AS new_loan_flg
 FROM ledger c LEFT JOIN prior p ON p.loan_num = c.loan_num AND p.date_sourcesd = c.date_sourcesd""")
 def prior_period_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current rows against the slice stored for the month before, of which
+    only the keys and the measure are read."""
     t = tables(spark, sf_dir)
-
-    def narrow(run: RunDate) -> DataFrame:
-        # only the typed key and measure columns: the first-loan flag is not
-        # needed here, so neither is its join
-        rows = split_segments(base_measures(t, run), segment_specs(run), run.d8, schema=None)
-        return conform(rows, fill_missing=False)
-
-    cur = narrow(RUN).select("loan_num", "date_sourcesd", "od_days")
-    prev = narrow(PRIOR).select(F.col("loan_num").alias("p_loan"), F.col("date_sourcesd").alias("p_src"),
-                                F.col("od_days").alias("prev_od_days"))
+    root = _scratch_ledger(spark)
+    replace_slice(narrow_slice(t, PRIOR).select("loan_num", "od_days", "data_date", "date_sourcesd"), root, ["data_date", "date_sourcesd"])
+    kept = T.StructType([LEDGER[c] for c in ("loan_num", "od_days", "data_date", "date_sourcesd")])
+    prev = read_slice(spark, root, kept, data_date=PRIOR.d8).select(
+        F.col("loan_num").alias("p_loan"), F.col("date_sourcesd").alias("p_src"), F.col("od_days").alias("prev_od_days"))
+    cur = narrow_slice(t, RUN).select("loan_num", "date_sourcesd", "od_days")
     j = cur.join(prev, (F.col("p_loan") == F.col("loan_num")) & (F.col("p_src") == F.col("date_sourcesd")), "left")
     return j.select("loan_num", "date_sourcesd", "od_days", "prev_od_days",
                     F.when(F.col("p_loan").isNull(), "Y").otherwise("N").alias("new_loan_flg"))
 
 
-@query("replace_slice", with_sql(SCHED_SQL, _ledger_sql("1998-06-30")) + f"""
-SELECT {_OUT_SQL} FROM ledger""")
+@query("replace_slice", with_sql(SCHED_SQL, _ledger_sql("1998-06-30"), _ledger_sql(PRIOR.d.isoformat(), "prior")) + f"""
+SELECT {_OUT_SQL} FROM ledger UNION ALL SELECT {_OUT_SQL} FROM prior""")
 def replace_slice_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the prior slice and the current slice into the shared folder,
-    rewrite the current slice (a rerun), then read the current slice back
-    with the ledger schema. The result must equal the ledger slice exactly:
-    no duplicates from the rerun and the other date untouched."""
+    """Write the slices of two dates into the shared folder, load one segment of
+    the current date again, and read everything back. The result must equal both
+    dates' ledgers: nothing twice, the other segments and the other date untouched."""
     t = tables(spark, sf_dir)
-    root = ensure_checkpoint_dir(spark).rstrip("/") + f"/lendgrid-ledger-{uuid.uuid4().hex}"
-    # first load writes two dates in one job; the rerun rewrites one date.
-    # The current slice is persisted between the two writes (a lost executor
-    # only recomputes its blocks from lineage).
-    current = ledger_slice(t, RUN).persist()
-    replace_slice(ledger_slice(t, PRIOR).unionByName(current), root, ["data_date"])
-    replace_slice(current, root, ["data_date"])
-    current.unpersist()
-    return read_slice(spark, root, LEDGER, data_date=RUN.d8).select(*OUT_COLS)
+    root = _scratch_ledger(spark)
+    by = ["data_date", "date_sourcesd"]
+    current = ledger_slice(t, RUN).select(*OUT_COLS)
+    replace_slice(ledger_slice(t, PRIOR).select(*OUT_COLS).unionByName(current), root, by)
+    # the rerun of one segment, from the rows as they are stored (cut off from the files it replaces)
+    again = read_slice(spark, root, _OUT, data_date=RUN.d8, date_sourcesd="PL_2").select(*OUT_COLS).checkpoint()
+    replace_slice(again, root, by)
+    return read_slice(spark, root, _OUT).select(*OUT_COLS)
 
 
 @query("loan_overview", with_sql(SCHED_SQL) + """,

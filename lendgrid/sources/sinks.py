@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,9 +78,11 @@ class RunLog:
         self.path = path
         self.rows: list[tuple] = []
 
-    def observe(self, df: DataFrame, step: str) -> tuple[DataFrame, Observation]:
+    def observe(self, df: DataFrame, step: str, counts: Mapping[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+        """``df`` with an observation of ``counts`` (by default of all ``rows``)."""
         obs = Observation(step)
-        return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+        counts = {"rows": F.count(F.lit(1))} if counts is None else counts
+        return df.observe(obs, *[c.alias(name) for name, c in counts.items()]), obs
 
     def log(self, step_id: int, desc: str, flag: int, rows: int = 0) -> None:
         self.rows.append((self.data_date, self.procedure, step_id, desc[:DESC_CHARS], flag, int(rows),

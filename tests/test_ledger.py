@@ -53,3 +53,12 @@ def test_split_segments_equals_union(spark):
     one_pass = split_segments(base, segment_specs(RUN), RUN.d8)
     unioned = union_segments(segments(base, RUN), RUN.d8)
     assert one_pass.exceptAll(unioned).count() == 0 and unioned.exceptAll(one_pass).count() == 0
+
+
+def test_single_pass_slice_equals_the_union_of_segments(spark):
+    from lendgrid.plans.frames import RUN, tables
+    from lendgrid.plans.ledger import OUT_COLS, ledger_slice, ledger_slice_by_union
+
+    t = tables(spark, "/root/testdata/sf0.001")
+    one, two = (f(t, RUN).select(*OUT_COLS) for f in (ledger_slice, ledger_slice_by_union))
+    assert one.count() > 0 and one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
