@@ -201,4 +201,5 @@ def test_job_writes_detail_then_reads_it_back(spark):
     led = {r.loan_num: r for r in read_slice(spark, os.path.join(root, "ledger"), LEDGER, data_date=RUN.d8).collect()}
     assert led["DRW1"].od_type_js == "03" and led["DRW1"].loan_type_js == "经营"
     log = spark.read.parquet(os.path.join(root, "log"))
-    assert log.where("step_desc = 'load detail'").first().row_count == 2
+    assert log.where("step_desc = 'load detail' AND step_flag = 1").first().row_count == 2
+    assert log.where("step_desc = 'load detail' AND step_flag = 0").count() == 1
