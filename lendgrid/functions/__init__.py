@@ -3,10 +3,7 @@ built-ins, so it stays inside whole-stage codegen (no Python UDFs)."""
 
 from lendgrid.functions.codes import case_map, decode, in_code_set, prefix_map
 from lendgrid.functions.dates import (
-    as_date,
     coalesce_dates,
-    d8_text,
-    days_between,
     norm_date,
     overdue_days,
     term_months,
@@ -15,12 +12,9 @@ from lendgrid.functions.money import effective_rate, money, money_sum, rate
 from lendgrid.functions.text import concat_null_as_empty, rate_text, substr1, text_after
 
 __all__ = [
-    "as_date",
     "case_map",
     "coalesce_dates",
     "concat_null_as_empty",
-    "d8_text",
-    "days_between",
     "decode",
     "effective_rate",
     "in_code_set",

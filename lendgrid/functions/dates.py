@@ -31,20 +31,6 @@ def norm_date(c: Column | str) -> Column:
     return F.when(F.year(parsed).between(1, 9999), parsed)
 
 
-def as_date(c: Column | str) -> Column:
-    """DATE view of a DATE/TIMESTAMP column (timestamps truncate to the day)."""
-    return F.to_date(_col(c))
-
-
-def d8_text(c: Column | str) -> Column:
-    """DATE -> ``yyyyMMdd`` text."""
-    return F.date_format(_col(c), "yyyyMMdd")
-
-
-def days_between(end: Column | str, start: Column | str) -> Column:
-    return F.datediff(_col(end), _col(start))
-
-
 def _lit_date(d: dt.date | Column) -> Column:
     return d if isinstance(d, Column) else F.lit(d)
 

@@ -57,25 +57,6 @@ LOANS_SQL = """loans AS (
   FROM orders WHERE o_orderdate < TIMESTAMP '1998-07-01')"""
 
 
-def all_loans(t: Tables) -> DataFrame:
-    o = t.read("orders")
-    return o.select(
-        F.col("o_orderkey").alias("loan_num"),
-        F.col("o_custkey").alias("cust_id"),
-        F.to_date("o_orderdate").alias("drawdown_dt"),
-        money("o_totalprice").alias("loan_amt"),
-        F.col("o_orderstatus").alias("loan_sts"),
-        F.col("o_orderpriority").alias("priority"),
-    )
-
-
-ALL_LOANS_SQL = """loans AS (
-  SELECT o_orderkey AS loan_num, o_custkey AS cust_id, CAST(o_orderdate AS DATE) AS drawdown_dt,
-         CAST(o_totalprice AS DECIMAL(18,2)) AS loan_amt, o_orderstatus AS loan_sts,
-         o_orderpriority AS priority
-  FROM orders)"""
-
-
 def schedule(t: Tables) -> DataFrame:
     """Repayment schedule: one row per (loan, period) line. Interest is the
     line amount times its tax rate, in exact decimals."""
@@ -104,9 +85,6 @@ SCHED_SQL = """sched AS (
          l_returnflag AS rtn_flag, l_linestatus AS line_sts
   FROM lineitem)"""
 
-# Full tie-break of a schedule line: (loan, period) is not unique.
-SCHED_TIEBREAK = ("perd_no", "part_id", "supp_id", "due_dt", "prcp_amt")
-
 
 def hist(t: Tables) -> DataFrame:
     """Half-open account-state history per user derived from ``events``."""

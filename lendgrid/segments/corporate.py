@@ -253,11 +253,12 @@ def corporate_loans(cat: Catalog, run: RunDate) -> DataFrame:
     registry = internal_accounts(cat, run)
     nbz = registry.select(F.col("acct").alias("nbz_zhanghao"))
     nbz1 = registry.select(F.col("acct").alias("nbz1_zhanghao"))
-    changes = cat.read(CHANGE_LOG).where((norm_date("jiaoyirq") <= d) & (F.col("zhhujizd") == CHANGE_FIELD))
+    # these logs are undated: the source compares their yyyyMMdd text, which reaches the scan
+    changes = cat.read(CHANGE_LOG).where((F.col("jiaoyirq") <= run.d8) & (F.col("zhhujizd") == CHANGE_FIELD))
     hxbz = latest_by(changes, ["dkjiejuh", "xshjuzhi"], [F.col("xuhaoooo").desc_nulls_last()]).select(
         F.col("dkjiejuh").alias("hxbz_dkjiejuh"), F.col("xshjuzhi").alias("hxbz_xshjuzhi"),
         F.col("beizhuuu").alias("hxbz_beizhuuu"))
-    wb = cat.read(WASTEBOOK).where(norm_date("occurdate").between(F.lit(run.month_start), d)
+    wb = cat.read(WASTEBOOK).where(F.col("occurdate").between(f"{run.month_start:%Y%m%d}", run.d8)
                                    & (F.col("occursubject") == WASTEBOOK_SUBJECT))
     bw = latest_by(wb, ["relativeserialno"], [F.col("serialno").desc_nulls_last()]).select(
         F.col("relativeserialno").alias("bw_relativeserialno"), F.col("serialno").alias("bw_serialno"))

@@ -41,6 +41,7 @@ SETTLED, ACTIVE = "SETL", "ACTV"
 INTEREST_ONLY = "IO"
 DEFAULT_PURPOSE = "18"
 BUSINESS, CONSUMER = "经营", "消费"
+REALTY_LOAN_TYPE = "10"
 BUSINESS_TYPES, CONSUMER_TYPES, PURPOSE_TYPES = ("14", "16"), ("10", "11", "13"), ("12", "18")
 REALTY_TYPE, REALTY_CLASS, REALTY_SOURCE = "SP", "03010204", "02"
 COLLATERAL_KINDS = ("PTY", "LND")
@@ -132,10 +133,12 @@ def month_balances(cat: Catalog, run: RunDate) -> DataFrame:
 
 def _purpose_flag(cat: Catalog, run: RunDate, df: DataFrame) -> DataFrame:
     """Adds ``pf_found`` / ``pf_is_operate`` for the loan's purpose code
-    (NULL purpose means the default code); a key-checked scalar lookup."""
+    (NULL purpose means the default code); a key-checked scalar lookup, made only
+    for the loan types that the source looks up."""
     pf = cat.snapshot(PURPOSE, run).select(F.col("prps_cde").alias("pf_key"), F.col("is_operate").alias("pf_is_operate"),
                                            F.lit(True).alias("pf_found"))
-    keyed = df.withColumn("pf_key", F.coalesce(F.col("prps_fin"), F.lit(DEFAULT_PURPOSE)))
+    looked_up = substr1("lnpa_loan_typ", 2).isin(*PURPOSE_TYPES)
+    keyed = df.withColumn("pf_key", F.when(looked_up, F.coalesce(F.col("prps_fin"), F.lit(DEFAULT_PURPOSE))))
     return lookup_unique(keyed, pf, ["pf_key"], ["pf_is_operate", "pf_found"], name="loan purpose").drop("pf_key")
 
 
@@ -224,7 +227,9 @@ def loan_detail(cat: Catalog, run: RunDate) -> DataFrame:
          .join(ii, CUST_KEY).join(c, CUST_KEY)
          .join(customer_totals(cat, run), CUST_KEY, "left"))
     j = _purpose_flag(cat, run, j)
-    j = lookup_unique(j, realty_flags(cat, run), ["loan_no"], ["realty_flag"], name="realty collateral")
+    # only this type's group depends on its collateral; others may have several
+    j = j.withColumn("realty_key", F.when(substr1("lnpa_loan_typ", 2) == REALTY_LOAN_TYPE, F.col("loan_no")))
+    j = lookup_unique(j, realty_flags(cat, run), {"realty_key": "loan_no"}, ["realty_flag"], name="realty collateral")
     return j.select(*[expr.alias(name) for name, expr in _columns(run).items()])
 
 
@@ -245,7 +250,7 @@ def _columns(run: RunDate) -> dict[str, Column]:
         "loan_grp": (F.when(typ2.isin(*BUSINESS_TYPES), BUSINESS).when(typ2.isin(*PURPOSE_TYPES), purpose_group)
                      .when(typ2.isin(*CONSUMER_TYPES), CONSUMER)),
         "loan_grp2": (F.when(typ2.isin(*BUSINESS_TYPES), BUSINESS).when(typ2.isin(*PURPOSE_TYPES), purpose_group)
-                      .when(typ2 == "10", F.when(realty_business, BUSINESS).otherwise(CONSUMER))
+                      .when(typ2 == REALTY_LOAN_TYPE, F.when(realty_business, BUSINESS).otherwise(CONSUMER))
                       .when(typ2.isin("11", "13"), CONSUMER)),
         "addr_typ": F.col("addr_typ"),
         "loan_target": F.col("loan_target"),

@@ -47,7 +47,7 @@ def cust(**kw):
     return tuple(base[c] for c in CUST_COLS)
 
 
-def test_loan_detail_rows(spark):
+def build_frames(spark):
     loans = [
         loan(lnpa_loan_typ="1401", loan_no="N1", refinc_furchrg_ind="E"),
         loan(lnpa_loan_typ="1201", loan_no="N2", orig_prcp=d("500"), prps_fin="PX"),
@@ -99,7 +99,11 @@ def test_loan_detail_rows(spark):
         "OMI.COL_CLR_INFO_HS": hist(spark, [("CI3", "02", "03010204")], "clrid string, sourcesystem string, clrtypeid string"),
         "OMI.COL_CLR_ASSET_REALTY_HS": hist(spark, [("CI3", "SP")], "clrid string, lsrealtytype string"),
     }
-    df = loan_detail(Catalog.frames(frames), RUN)
+    return frames
+
+
+def test_loan_detail_rows(spark):
+    df = loan_detail(Catalog.frames(build_frames(spark)), RUN)
     assert df.columns == DETAIL_COLUMNS and len(DETAIL_COLUMNS) == 50
     rows = {r.loan_no: r for r in df.collect()}
     assert set(rows) == {"N1", "N2", "N3"}
@@ -116,3 +120,18 @@ def test_loan_detail_rows(spark):
     assert (n1.sum_orig_prcp, n1.sum_orig_opr, n1.sum_orig_con) == (d("2500"), d("2000"), d("500"))
     assert (n3.sum_orig_prcp, n1.loan_ind, n2.loan_ind, n3.loan_ind) == (0, "续贷", "正常", "其它")
     assert n1.rpt_dt == RUN.d and n1.inc_hos == " " and n1.id_no == "ID1" and n1.cust_nam == "Alice"
+
+
+def test_collateral_is_looked_up_for_its_loan_type_only(spark):
+    """Two collaterals fail the lookup on a loan of the type that it decides, and on no other."""
+    import pytest
+
+    def run_with(loan_no):
+        own = build_frames(spark)
+        own["OMI.PL_COLT_IDX_HS"] = own["OMI.PL_COLT_IDX_HS"].unionByName(
+            hist(spark, [(loan_no, "CI3"), (loan_no, "CI3")], "loan_loan_no string, clcm_colt_itm string"))
+        return {r.loan_no: r.loan_grp2 for r in loan_detail(Catalog.frames(own), RUN).select("loan_no", "loan_grp", "loan_grp2").collect()}
+
+    assert run_with("N1") == {"N1": "经营", "N2": "消费", "N3": "经营"}
+    with pytest.raises(Exception, match="realty collateral"):
+        run_with("N3")
