@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -44,8 +45,8 @@ MEAN_QUANTILE, MEAN_MARGIN = 0.995, 1.15
 TAIL_QUANTILE, TAIL_MARGIN = 0.95, 1.24
 #: Of so many trusted documents (by text hash) one sets the limits; the others train the model.
 HELD_OUT = 5
-#: Words whose counts or scores a worker holds before it passes them on or forgets them.
-HELD_WORDS = 300_000
+#: Words whose counts a worker holds before it passes them on, and whose scores it holds, of each language, before it forgets them.
+HELD_WORDS, SCORED_WORDS = 200_000, 100_000
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
@@ -135,7 +136,7 @@ class WordScores(dict):
         self.entries, self.order = entries, order
 
     def __missing__(self, word: str) -> tuple[float, int]:
-        if len(self) >= HELD_WORDS:
+        if len(self) >= SCORED_WORDS:
             self.clear()
         marked, total, entries, order = START * (self.order - 1) + word + END, 0.0, self.entries, self.order
         for i in range(len(word) + 1):
@@ -150,6 +151,22 @@ class WordScores(dict):
         return found
 
 
+_scores: dict[str, dict[str, WordScores]] = {}
+
+
+def word_scores(number: str, shared, order: int) -> dict[str, WordScores]:
+    """The scores of each language from a broadcast model, read once per worker;
+    a worker keeps the last model alone."""
+    if number not in _scores:
+        _scores.clear()
+        of_lang: dict[str, dict] = {}
+        for batch in pa.ipc.open_stream(shared.value):
+            for lang, gram, logp, bow in zip(*(c.to_pylist() for c in batch.columns)):
+                of_lang.setdefault(lang, {})[gram] = (logp, bow)
+        _scores[number] = {lang: WordScores(e, order) for lang, e in of_lang.items()}
+    return _scores[number]
+
+
 def tail_rank(n: int) -> int:
     """Which word, by falling perplexity, is the tail of a text of ``n`` words."""
     return min(n, max(TAIL_LEAST, math.ceil(TAIL_SHARE * n)))
@@ -158,13 +175,16 @@ def tail_rank(n: int) -> int:
 def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int) -> DataFrame:
     """(doc_id, text_hash, lang, n_words, mean, tail) of every row, log perplexities per character."""
     spark = texts.sparkSession
-    of_lang: dict[str, dict] = {}
-    for r in entries.toLocalIterator():
-        of_lang.setdefault(r.lang, {})[r.gram] = (r.logp, r.bow)
-    shared = spark.sparkContext.broadcast(of_lang)
+    table = entries.select("lang", "gram", "logp", "bow").toArrow()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    shared = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
+    del table, sink
+    number = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = {lang: WordScores(e, order) for lang, e in shared.value.items()}
+        scores = word_scores(number, shared, order)
         for batch in batches:
             out: list[list] = [[], [], []]
             for lang, text in zip(batch.column(2).to_pylist(), batch.column(3)):

@@ -29,7 +29,7 @@ def corpus():
     item = " ".join(word() for _ in range(30))
     clean = [" ".join(word() for _ in range(150)) for _ in range(160)]
     rows = [(i if i < 60 else 1000 + i, t) for i, t in enumerate(clean)]
-    rows += [(100, clean[3]), (101, clean[3].upper()), (110, clean[0][:400] + " " + passage + " " + " ".join(word() for _ in range(100))),
+    rows += [(100, clean[3]), (101, clean[3].replace(" ", "  ", 5)), (110, clean[0][:400] + " " + passage + " " + " ".join(word() for _ in range(100))),
              (111, " ".join(word() for _ in range(100)) + " " + passage + " " + " ".join(word() for _ in range(80))),
              (120, " ".join(word() for _ in range(60)) + " " + item + " " + " ".join(word() for _ in range(60))),
              (130, " ".join(word() if j % 15 else "qwxzkv" for j in range(150))), (140, None), (141, "")]
