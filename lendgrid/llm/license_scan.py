@@ -20,8 +20,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import cut
-
 SHINGLE = 5
 WINDOW, STRIDE = 4, 2
 BANDS = 16
@@ -105,23 +103,21 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> Dat
     """
     spark = docs.sparkSession
     of_templates = template_table(spark, TEMPLATES if templates is None else templates)
-    keys = band_keys(of_templates, ["template"], 1).select("template", F.col("place").alias("template_place"), "key").distinct()
+    keys = (band_keys(of_templates.withColumn("n", F.size("words")), ["template", "n"], 1)
+            .select("template", "n", F.col("place").alias("template_place"), "key").distinct())
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    windows = band_keys(shingle_hashes(rows.select("doc_id", "text_hash", words_of(F.col("text")).alias("words"))), ["doc_id", "text_hash"], STRIDE)
-    met = cut(windows.join(F.broadcast(keys), "key")
-              .select("doc_id", "text_hash", "template", (F.col("place") - F.col("template_place")).alias("begin"))
-              .groupBy("doc_id", "text_hash", "template", "begin").agg(F.count("*").alias("votes")), "license-candidates")
-    # The text of the documents met, once each, and in it the words around each place.
-    some = met.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).distinct()
-    found = rows.join(some, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left_semi").dropDuplicates(["doc_id", "text_hash"])
-    found = found.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), words_of(F.col("text")).alias("words"))
-    laid = (met.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))
-            .join(F.broadcast(of_templates.select("template", "license_id", "shingles", F.size("words").alias("n"))), "template"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), words_of(F.col("text")).alias("words"))
+    # The words go along with the windows (as a reference: windows and bands are generated row by row and
+    # meet the broadcast keys at once), so that the words around a hit are at hand without reading the text again.
+    windows = band_keys(shingle_hashes(rows), ["doc_id", "text_hash", "words"], STRIDE)
+    begin = F.col("place") - F.col("template_place")
     slack = F.lit(8) + F.floor(F.col("n") / 5).cast("int")
-    first = F.greatest(F.col("begin") - slack, F.lit(0))
-    region = laid.select("doc_id", "text_hash", "license_id", "shingles", "votes", F.greatest("begin", F.lit(0)).alias("begin"),
-                         F.slice("words", first + 1, F.col("n") + 2 * slack).alias("region"))
+    around = F.slice("words", F.greatest(begin - slack, F.lit(0)) + 1, F.col("n") + 2 * slack)
+    met = (windows.join(F.broadcast(keys), "key")
+           .select("doc_id", "text_hash", "template", begin.alias("begin"), around.alias("region"))
+           .groupBy("doc_id", "text_hash", "template", "begin").agg(F.count("*").alias("votes"), F.first("region").alias("region")))
+    region = (met.join(F.broadcast(of_templates.select("template", "license_id", "shingles")), "template")
+              .withColumn("begin", F.greatest("begin", F.lit(0))))
     share = F.size(F.array_intersect("shingles", shingles_of("region"))) / F.size("shingles")
     held = region.select("doc_id", "text_hash", "license_id", "begin", "votes", share.alias("containment")).filter(F.col("containment") >= CONTAINED)
     best = F.max(F.struct("containment", "votes", (-F.col("begin")).alias("minus_begin"))).alias("b")
