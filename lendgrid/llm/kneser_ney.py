@@ -252,7 +252,8 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entrie
             .filter("good = 1 and unknown = 0").select("doc_id", F.lit(True).alias("trusted")))
     texts = texts_of(docs)
     held_out = F.pmod(F.xxhash64("text_hash"), F.lit(HELD_OUT)) == 0
-    counts = cut(ngram_counts(texts.filter(~held_out).join(good, "doc_id", "left_semi"), order), "kn-ngrams")
+    # By a merge join at every size: the labels grow with the documents.
+    counts = cut(ngram_counts(texts.filter(~held_out).join(good.hint("merge"), "doc_id", "left_semi"), order), "kn-ngrams")
     entries = cut(model(counts, order), "kn-model")
     score = scores_by_broadcast if entries.count() <= most_entries else scores_by_join
     scored = cut(score(texts, entries, order), "kn-scores")
