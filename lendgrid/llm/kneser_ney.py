@@ -10,9 +10,13 @@ probabilities follow order by order from joins of these tables.
 A document's score is its perplexity per character, and the perplexity of its
 tail: of the words, by falling perplexity, the one behind ``TAIL_SHARE`` of
 them (the ``TAIL_LEAST``-th at least). The mean tells text of another kind, the
-tail tells a few foreign words in text of the same kind. Documents above their
+tail tells a few foreign words in text of the same kind. A second model crosses
+word boundaries: a text is read as one letter a word, which says how far back
+the same word stood last, whether it begins with a capital and whether it ends
+with a mark, and n-grams of these letters have their perplexity per word. It
+tells repeated and shuffled words, each of which may be ordinary. Documents above their
 language's quantiles of trusted documents are rejected; the quantiles are those
-of one in ``HELD_OUT`` trusted documents, from which the model does not learn.
+of one in ``HELD_OUT`` trusted documents, from which the model does not learn (for the letters, of all: their n-grams are few).
 
 The model table is broadcast if it has at most ``MOST_ENTRIES`` rows, which
 bounds what reaches the driver and a worker. Beyond that, distinct words meet
@@ -25,6 +29,7 @@ from __future__ import annotations
 import math
 import re
 import uuid
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,6 +41,11 @@ from .common import cut, ship_package
 
 ORDER = 5
 START, END = "\x02", "\x03"
+#: Model keys are languages; those of the letters for words have this before the language.
+TURNS = "\x04"
+#: Words that an n-gram of such letters spans, and the letters: distances by powers of two up to LONGEST_TURN, by four shapes, after the start mark.
+TURN_ORDER, LONGEST_TURN = 3, 8
+LETTERS = START + "".join(chr(0x100 + i) for i in range(4 * (LONGEST_TURN + 1)))
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Rows of a model that is broadcast (some 60 bytes each in a worker).
 MOST_ENTRIES = 1_000_000
@@ -43,6 +53,7 @@ TAIL_SHARE, TAIL_LEAST = 0.012, 2
 #: Quantiles of the trusted documents' scores, and how far above them a score may lie.
 MEAN_QUANTILE, MEAN_MARGIN = 0.995, 1.15
 TAIL_QUANTILE, TAIL_MARGIN = 0.95, 1.24
+TURN_QUANTILE = 0.995
 #: Of so many trusted documents (by text hash) one sets the limits; the others train the model.
 HELD_OUT = 5
 #: Words whose counts a worker holds before it passes them on, and whose scores it holds, of each language, before it forgets them.
@@ -56,26 +67,75 @@ def texts_of(docs: DataFrame) -> DataFrame:
                        F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def ngram_counts(texts: DataFrame, order: int) -> DataFrame:
-    """(lang, gram, n): how often each n-gram of ``order`` characters occurs in all words."""
+class WordIds(dict):
+    """word -> a number of its own, by which its shape is found."""
+
+    def __init__(self):
+        super().__init__()
+        self.shapes = array("b")
+
+    def __missing__(self, word: str) -> int:
+        self.shapes.append(2 * word[0].isupper() + (not word[-1].isalnum()))
+        self[word] = number = len(self)
+        return number
+
+    def ids(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def clear(self) -> None:
+        super().clear()
+        self.shapes = array("b")
+
+
+def turn_codes(ids: np.ndarray, shapes: array) -> np.ndarray:
+    """For every word of a text the n-gram of letters that ends with it, as a number to the base of the letters."""
+    order = np.argsort(ids, kind="stable")
+    again = ids[order[1:]] == ids[order[:-1]]
+    back = np.zeros(len(ids), np.int64)
+    back[order[1:][again]] = (order[1:] - order[:-1])[again]
+    letters = np.minimum(np.frexp(back)[1], LONGEST_TURN).astype(np.int64) * 4 + np.frombuffer(shapes, np.int8)[ids] + 1
+    padded = np.concatenate([np.zeros(TURN_ORDER - 1, np.int64), letters])
+    code = np.zeros(len(ids), np.int64)
+    for i in range(TURN_ORDER):
+        code = code * len(LETTERS) + padded[i : i + len(ids)]
+    return code
+
+
+def turn_gram(code: int) -> str:
+    return "".join(LETTERS[code // len(LETTERS) ** i % len(LETTERS)] for i in range(TURN_ORDER - 1, -1, -1))
+
+
+def ngram_counts(texts: DataFrame, order: int, turns: bool = False) -> DataFrame:
+    """(lang, gram, n): how often each n-gram of ``order`` characters occurs in all words,
+    and with ``turns`` each of TURN_ORDER letters for words, under TURNS + lang."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
+        coded: dict[str, Counter] = {}
+        numbers = WordIds()
 
         def grams() -> Iterator[pa.RecordBatch]:
+            found = {TURNS + lang: Counter({turn_gram(c): n for c, n in codes.items()}) for lang, codes in coded.items()}
             for lang, words in held.items():
-                counts: Counter = Counter()
+                counts = found[lang] = Counter()
                 for word, n in words.items():
                     marked = START * (order - 1) + word + END
                     for i in range(len(word) + 1):
                         counts[marked[i : i + order]] += n
+            for lang, counts in found.items():
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
                                                  ["lang", "gram", "n"])
-            held.clear()
+            held.clear(), coded.clear(), numbers.clear()
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                held.setdefault(lang, Counter()).update(WORD.findall(text.as_py()))
+                words = WORD.findall(text.as_py())
+                held.setdefault(lang, Counter()).update(words)
+                if turns and words:
+                    codes, n = np.unique(turn_codes(numbers.ids(words), numbers.shapes), return_counts=True)
+                    counts = coded.setdefault(lang, Counter())
+                    for code, times in zip(codes.tolist(), n.tolist()):
+                        counts[code] += times
                 if sum(map(len, held.values())) > HELD_WORDS:
                     yield from grams()
         yield from grams()
@@ -128,27 +188,54 @@ def model(counts: DataFrame, order: int) -> DataFrame:
             .union(empty).withColumn("k", n.cast("int")))
 
 
-class WordScores(dict):
-    """word -> (negative log probability, characters with the end mark)."""
+Entries = dict[str, tuple[float | None, float | None]]
 
-    def __init__(self, entries: dict[str, tuple[float, float | None]], order: int):
+
+def loss(marked: str, entries: Entries, order: int) -> float:
+    """Negative log probability of what follows the first ``order`` - 1 characters."""
+    total = 0.0
+    for i in range(len(marked) - order + 1):
+        gram = marked[i : i + order]
+        while (entry := entries.get(gram)) is None or entry[0] is None:
+            context = entries.get(gram[:-1])
+            if context is not None and context[1] is not None:
+                total += context[1]
+            gram = gram[1:]
+        total += entry[0]
+    return -total
+
+
+class WordScores(WordIds):
+    """word -> its number, by which its negative log probability and its characters with the end mark are found."""
+
+    def __init__(self, entries: Entries, order: int, turns: Entries | None):
         super().__init__()
-        self.entries, self.order = entries, order
+        self.entries, self.order, self.turns = entries, order, turns
+        self.losses, self.chars = array("d"), array("q")
+        self.turn_losses = np.full(len(LETTERS) ** TURN_ORDER, np.nan) if turns else None
+
+    def __missing__(self, word: str) -> int:
+        self.losses.append(loss(START * (self.order - 1) + word + END, self.entries, self.order))
+        self.chars.append(len(word) + 1)
+        return super().__missing__(word)
+
+    def clear(self) -> None:
+        super().clear()
+        self.losses, self.chars = array("d"), array("q")
 
-    def __missing__(self, word: str) -> tuple[float, int]:
+    def of_text(self, words: list[str]) -> tuple[float, float, float | None]:
+        """(mean, tail, turn) of a text that has words."""
         if len(self) >= SCORED_WORDS:
             self.clear()
-        marked, total, entries, order = START * (self.order - 1) + word + END, 0.0, self.entries, self.order
-        for i in range(len(word) + 1):
-            gram = marked[i : i + order]
-            while (entry := entries.get(gram)) is None or entry[0] is None:
-                context = entries.get(gram[:-1])
-                if context is not None and context[1] is not None:
-                    total += context[1]
-                gram = gram[1:]
-            total += entry[0]
-        self[word] = found = (-total, len(word) + 1)
-        return found
+        ids = self.ids(words)
+        losses, chars = np.frombuffer(self.losses)[ids], np.frombuffer(self.chars, np.int64)[ids]
+        per, k, turn = losses / chars, len(words) - tail_rank(len(words)), None
+        if self.turn_losses is not None:
+            codes = turn_codes(ids, self.shapes)
+            for code in np.unique(codes[np.isnan(self.turn_losses[codes])]).tolist():
+                self.turn_losses[code] = loss(turn_gram(code), self.turns, TURN_ORDER)
+            turn = float(self.turn_losses[codes].mean())
+        return float(losses.sum() / chars.sum()), float(np.partition(per, k)[k]), turn
 
 
 _scores: dict[str, dict[str, WordScores]] = {}
@@ -163,7 +250,7 @@ def word_scores(number: str, shared, order: int) -> dict[str, WordScores]:
         for batch in pa.ipc.open_stream(shared.value):
             for lang, gram, logp, bow in zip(*(c.to_pylist() for c in batch.columns)):
                 of_lang.setdefault(lang, {})[gram] = (logp, bow)
-        _scores[number] = {lang: WordScores(e, order) for lang, e in of_lang.items()}
+        _scores[number] = {lang: WordScores(e, order, of_lang.get(TURNS + lang)) for lang, e in of_lang.items() if not lang.startswith(TURNS)}
     return _scores[number]
 
 
@@ -172,8 +259,11 @@ def tail_rank(n: int) -> int:
     return min(n, max(TAIL_LEAST, math.ceil(TAIL_SHARE * n)))
 
 
+SCORES = "doc_id long, text_hash long, lang string, n_words long, mean double, tail double, turn double"
+
+
 def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int) -> DataFrame:
-    """(doc_id, text_hash, lang, n_words, mean, tail) of every row, log perplexities per character."""
+    """SCORES of every row, log perplexities per character (turn: per word)."""
     spark = texts.sparkSession
     table = entries.select("lang", "gram", "logp", "bow").toArrow()
     sink = pa.BufferOutputStream()
@@ -186,57 +276,67 @@ def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = word_scores(number, shared, order)
         for batch in batches:
-            out: list[list] = [[], [], []]
+            out: list[list] = [[], [], [], []]
             for lang, text in zip(batch.column(2).to_pylist(), batch.column(3)):
                 words = WORD.findall(text.as_py())
-                mean = tail = None
-                if words and lang in scores:
-                    found = np.array([scores[lang][w] for w in words])
-                    per = found[:, 0] / found[:, 1]
-                    k = tail_rank(len(words))
-                    mean, tail = float(found[:, 0].sum() / found[:, 1].sum()), float(np.partition(per, len(per) - k)[len(per) - k])
-                for column, value in zip(out, (len(words), mean, tail)):
+                found = scores[lang].of_text(words) if words and lang in scores else (None, None, None)
+                for column, value in zip(out, (len(words), *found)):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(out[0], pa.int64()), pa.array(out[1], pa.float64()), pa.array(out[2], pa.float64())],
-                                             ["doc_id", "text_hash", "lang", "n_words", "mean", "tail"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(out[0], pa.int64()), *(pa.array(c, pa.float64()) for c in out[1:])],
+                                             ["doc_id", "text_hash", "lang", "n_words", "mean", "tail", "turn"])
 
-    return texts.select("doc_id", "text_hash", "lang", "text").mapInArrow(run, "doc_id long, text_hash long, lang string, n_words long, mean double, tail double")
+    return texts.select("doc_id", "text_hash", "lang", "text").mapInArrow(run, SCORES)
 
 
 def scores_by_join(texts: DataFrame, entries: DataFrame, order: int) -> DataFrame:
-    """The same scores from joins alone: rows -> their words -> the words' n-grams."""
-    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    row = F.struct("doc_id", "lang", F.sha2("text", 256).alias("sha")).alias("row")
-    rows = texts.select(row, "text").dropDuplicates(["row"])
-    counted = (rows.select("row", F.explode(words).alias("word")).groupBy("row", "word").agg(F.count("*").alias("n"))
-               .withColumn("lang", F.col("row.lang")))
-    marked = F.concat(F.lit(START * (order - 1)), F.col("word"), F.lit(END))
-    places = (counted.select("lang", "word").distinct().withColumn("marked", marked)
-              .select("lang", "word", "marked", F.explode(F.sequence(F.lit(1), F.length("word") + 1)).alias("at")))
+    """The same scores from joins alone: rows -> their words and n-grams of letters -> these units' n-grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, doc_id, text_hash, lang, text in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4)):
+                words, numbers = WORD.findall(text.as_py()), WordIds()
+                counts = Counter(words)
+                codes, times = np.unique(turn_codes(numbers.ids(words), numbers.shapes), return_counts=True) if words else ([], np.zeros(0, np.int64))
+                # The first unit stands for the row itself.
+                units = [None, *(START * (order - 1) + w + END for w in counts), *map(turn_gram, map(int, codes))]
+                n = [len(words), *counts.values(), *times.tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row] * len(n), pa.int64()), pa.array([doc_id] + [None] * (len(n) - 1), pa.int64()), pa.array([text_hash] + [None] * (len(n) - 1), pa.int64()),
+                     pa.array([lang] * len(n), pa.string()), pa.array([None] + [False] * len(counts) + [True] * len(codes), pa.bool_()), pa.array(units, pa.string()), pa.array(n, pa.int64())],
+                    ["row", "doc_id", "text_hash", "lang", "turns", "unit", "n"])
+
+    # One table of all units: the row numbers are given once.
+    units = cut(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text_hash", "lang", "text").mapInArrow(
+        run, "row long, doc_id long, text_hash long, lang string, turns boolean, unit string, n long"), "kn-units")
+    rows = units.filter("unit is null").select("row", "doc_id", "text_hash", "lang", F.col("n").alias("n_words"))
+    model_of = F.when(F.col("turns"), F.concat(F.lit(TURNS), "lang")).otherwise(F.col("lang"))
+    counted = units.filter("unit is not null").select("row", model_of.alias("lang"), "turns", "unit", "n")
+    places = (counted.select("lang", "unit", F.when(F.col("turns"), TURN_ORDER).otherwise(order).alias("most")).distinct()
+              .join(entries.select("lang").distinct(), "lang", "left_semi")
+              .select("*", F.explode(F.expr("sequence(1, length(unit) - most + 1)")).alias("at")))
     # Every place asks all orders; the longest n-gram seen counts, and the weights of the contexts above it.
-    asked = places.select("lang", "word", "at", F.explode(F.sequence(F.lit(0), F.lit(order))).alias("k"), "marked").withColumn(
-        "gram", F.expr(f"substring(marked, at + {order} - k, k)")).withColumn("context", F.expr(f"substring(marked, at + {order} - k, greatest(k - 1, 0))"))
+    asked = places.select("lang", "unit", "at", F.explode(F.expr("sequence(0, most)")).alias("k"), "most").withColumn(
+        "gram", F.expr("substring(unit, at + most - k, k)")).withColumn("context", F.expr("substring(unit, at + most - k, greatest(k - 1, 0))"))
     known = asked.join(entries.select("lang", "gram", "logp"), ["lang", "gram"], "left").join(
         entries.select("lang", F.col("gram").alias("context"), "bow"), ["lang", "context"], "left")
-    longest = known.withColumn("longest", F.max(F.when(F.col("logp").isNotNull(), F.col("k"))).over(Window.partitionBy("lang", "word", "at")))
+    longest = known.withColumn("longest", F.max(F.when(F.col("logp").isNotNull(), F.col("k"))).over(Window.partitionBy("lang", "unit", "at")))
     term = F.when(F.col("k") == F.col("longest"), F.col("logp")).when(F.col("k") > F.col("longest"), F.coalesce("bow", F.lit(0.0))).otherwise(0.0)
-    of_word = longest.groupBy("lang", "word").agg((-F.sum(term)).alias("loss")).join(entries.select("lang").distinct(), "lang", "left_semi").withColumn("chars", F.length("word") + 1)
-    met = counted.join(of_word, ["lang", "word"])
-    before = Window.partitionBy("row").orderBy(F.desc(F.col("loss") / F.col("chars")), "word").rowsBetween(Window.unboundedPreceding, 0)
+    of_unit = longest.groupBy("lang", "unit").agg((-F.sum(term)).alias("loss"))
+    met = counted.join(of_unit, ["lang", "unit"])
+    turn = met.filter("turns").groupBy("row").agg((F.sum(F.col("loss") * F.col("n")) / F.sum("n")).alias("turn"))
+    before = Window.partitionBy("row").orderBy(F.desc(F.col("loss") / F.col("chars")), "unit").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("row")
-    ranked = met.withColumn("n_words", F.sum("n").over(whole)).withColumn("upto", F.sum("n").over(before)).withColumn(
+    ranked = met.filter("not turns").withColumn("chars", F.length("unit") - (order - 1)).withColumn("n_words", F.sum("n").over(whole)).withColumn("upto", F.sum("n").over(before)).withColumn(
         "k", F.least("n_words", F.greatest(F.lit(TAIL_LEAST), F.ceil(F.lit(TAIL_SHARE) * F.col("n_words")))))
     scored = ranked.groupBy("row").agg(
         (F.sum(F.col("loss") * F.col("n")) / F.sum(F.col("chars") * F.col("n"))).alias("mean"),
         F.max(F.when(F.col("upto") >= F.col("k"), F.col("loss") / F.col("chars"))).alias("tail"))
-    every = texts.select("doc_id", "text_hash", "lang", F.size(words).cast("long").alias("n_words"), row)
-    return (every.join(scored.withColumnRenamed("row", "scored_row"), F.col("row").eqNullSafe(F.col("scored_row")), "left")
-            .select("doc_id", "text_hash", "lang", "n_words", "mean", "tail"))
+    return rows.join(scored, "row", "left").join(turn, "row", "left").select("doc_id", "text_hash", "lang", "n_words", "mean", "tail", "turn")
 
 
 def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entries: int = MOST_ENTRIES) -> DataFrame:
-    """(doc_id, text_hash, lang, n_words, trusted, perplexity, tail_perplexity, max_perplexity,
-    max_tail_perplexity, kept) of every row of ``docs``.
+    """(doc_id, text_hash, lang, n_words, trusted, perplexity, tail_perplexity, turn_perplexity,
+    max_perplexity, max_tail_perplexity, max_turn_perplexity, kept) of every row of ``docs``.
 
     Trusted are the rows whose doc_id has labels, all of them of quality 1 and not
     toxic (a null label is neither). ``text_hash`` (xxhash64 of the text) tells rows
@@ -253,18 +353,22 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entrie
     texts = texts_of(docs)
     held_out = F.pmod(F.xxhash64("text_hash"), F.lit(HELD_OUT)) == 0
     # By a merge join at every size: the labels grow with the documents.
-    counts = cut(ngram_counts(texts.filter(~held_out).join(good.hint("merge"), "doc_id", "left_semi"), order), "kn-ngrams")
-    entries = cut(model(counts, order), "kn-model")
+    counts = cut(ngram_counts(texts.filter(~held_out).join(good.hint("merge"), "doc_id", "left_semi"), order, turns=True), "kn-ngrams")
+    of_turns = F.col("lang").startswith(TURNS)
+    entries = cut(model(counts.filter(~of_turns), order).union(model(counts.filter(of_turns), TURN_ORDER)), "kn-model")
     score = scores_by_broadcast if entries.count() <= most_entries else scores_by_join
     scored = cut(score(texts, entries, order), "kn-scores")
     marked = scored.join(good, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
     marked = cut(marked, "kn-marked")
-    limits = marked.filter(F.col("trusted") & F.col("mean").isNotNull() & held_out).groupBy("lang").agg(
-        (F.exp(F.percentile_approx("mean", F.lit(MEAN_QUANTILE), F.lit(10_000)) * MEAN_MARGIN)).alias("max_perplexity"),
-        (F.exp(F.percentile_approx("tail", F.lit(TAIL_QUANTILE), F.lit(10_000)) * TAIL_MARGIN)).alias("max_tail_perplexity"))
-    judged = marked.join(limits, "lang", "left").withColumn("perplexity", F.exp("mean")).withColumn("tail_perplexity", F.exp("tail"))
-    kept = F.coalesce((F.col("perplexity") <= F.col("max_perplexity")) & (F.col("tail_perplexity") <= F.col("max_tail_perplexity")), F.lit(True))
-    return judged.select("doc_id", "text_hash", "lang", "n_words", "trusted", "perplexity", "tail_perplexity", "max_perplexity", "max_tail_perplexity", kept.alias("kept"))
+    limits = marked.filter(F.col("trusted") & F.col("mean").isNotNull()).groupBy("lang").agg(
+        (F.exp(F.percentile_approx(F.when(held_out, F.col("mean")), F.lit(MEAN_QUANTILE), F.lit(10_000)) * MEAN_MARGIN)).alias("max_perplexity"),
+        (F.exp(F.percentile_approx(F.when(held_out, F.col("tail")), F.lit(TAIL_QUANTILE), F.lit(10_000)) * TAIL_MARGIN)).alias("max_tail_perplexity"),
+        (F.exp(F.percentile_approx("turn", F.lit(TURN_QUANTILE), F.lit(10_000)))).alias("max_turn_perplexity"))
+    scores = {"mean": "perplexity", "tail": "tail_perplexity", "turn": "turn_perplexity"}
+    judged = marked.join(limits, "lang", "left").withColumns({name: F.exp(score) for score, name in scores.items()})
+    kept = [F.coalesce(F.col(name) <= F.col(f"max_{name}"), F.lit(True)) for name in scores.values()]
+    return judged.select("doc_id", "text_hash", "lang", "n_words", "trusted", *scores.values(), *(f"max_{name}" for name in scores.values()),
+                         (kept[0] & kept[1] & kept[2]).alias("kept"))
 
 
 def keep_accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:

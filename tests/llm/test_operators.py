@@ -442,6 +442,23 @@ def test_classifier_rejects_foreign_words_and_keeps_clean(spark):
     assert all(x.kept for x in kneser_ney.classify(frame(spark, texts[:3]), labels.filter("quality > 5")).collect())
 
 
+def test_classifier_rejects_repeated_and_shuffled_words(spark):
+    r = random.Random(23)
+    syllables = ["the", "an", "re", "er", "on", "in", "ed", "nd", "ha", "at", "es", "or", "ti", "st"]
+    word = lambda: "".join(r.choices(syllables, k=r.randint(1, 4)))
+    sentence = lambda: " ".join(word() for _ in range(r.randint(5, 9))).capitalize() + "."
+    clean = [" ".join(sentence() for _ in range(18)) for _ in range(100)]
+    again = [" ".join(w for w in clean[80 + i].split()[:8] for _ in range(15)) for i in range(10)]
+    shuffled = [" ".join(r.sample(t.split(), len(t.split()))) for t in clean[85:95]]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    docs = frame(spark, clean + again + shuffled)
+    got = {x.doc_id: x.kept for x in kneser_ney.classify(docs, labels).collect()}
+    assert sum(got[i] for i in range(100)) >= 90
+    assert not any(got[i] for i in range(100, 120))
+    joined = {x.doc_id: x for x in kneser_ney.classify(docs, labels, most_entries=0).collect()}
+    assert {i: x.kept for i, x in joined.items()} == got
+
+
 # --- 1: HTML
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body class="has-sidebar">
