@@ -14,9 +14,19 @@ tail tells a few foreign words in text of the same kind. A second model crosses
 word boundaries: a text is read as one letter a word, which says how far back
 the same word stood last, whether it begins with a capital and whether it ends
 with a mark, and n-grams of these letters have their perplexity per word. It
-tells repeated and shuffled words, each of which may be ordinary. Documents above their
-language's quantiles of trusted documents are rejected; the quantiles are those
-of one in ``HELD_OUT`` trusted documents, from which the model does not learn (for the letters, of all: their n-grams are few).
+tells repeated and shuffled words, each of which may be ordinary. A third model
+is of words again, from text labelled toxic and otherwise good: foul words of a
+language are made like its others, so that trusted text alone does not tell
+them. The log of a word's probability by a mixture of both over that by the
+trusted model is its toxicity, a document's is the mean of its ``FOUL_SHARE``
+most toxic words.
+
+Every document is scored by models that have not read it: labelled texts are
+dealt into two halves by their hash, and a document meets the models of the
+half it would not be in. So all trusted documents both train and set limits,
+which are their language's quantiles; the limit of toxicity lies where it
+catches all but ``FOUL_MISSED`` of the documents labelled toxic, but rejects
+at most 1 - ``FOUL_QUANTILE`` of the trusted ones.
 
 The model table is broadcast if it has at most ``MOST_ENTRIES`` rows, which
 bounds what reaches the driver and a worker. Beyond that, distinct words meet
@@ -41,8 +51,8 @@ from .common import cut, ship_package
 
 ORDER = 5
 START, END = "\x02", "\x03"
-#: Model keys are languages; those of the letters for words have this before the language.
-TURNS = "\x04"
+#: Model keys are languages; those of the letters for words, and those of toxic text, have this before the language.
+TURNS, TOXIC = "\x04", "\x05"
 #: Words that an n-gram of such letters spans, and the letters: distances by powers of two up to LONGEST_TURN, by four shapes, after the start mark.
 TURN_ORDER, LONGEST_TURN = 3, 8
 LETTERS = START + "".join(chr(0x100 + i) for i in range(4 * (LONGEST_TURN + 1)))
@@ -50,14 +60,18 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Rows of a model that is broadcast (some 60 bytes each in a worker).
 MOST_ENTRIES = 1_000_000
 TAIL_SHARE, TAIL_LEAST = 0.012, 2
-#: Quantiles of the trusted documents' scores, and how far above them a score may lie.
-MEAN_QUANTILE, MEAN_MARGIN = 0.995, 1.15
-TAIL_QUANTILE, TAIL_MARGIN = 0.95, 1.24
-TURN_QUANTILE = 0.995
-#: Of so many trusted documents (by text hash) one sets the limits; the others train the model.
-HELD_OUT = 5
-#: Words whose counts a worker holds before it passes them on, and whose scores it holds, of each language, before it forgets them.
-HELD_WORDS, SCORED_WORDS = 200_000, 100_000
+#: Quantiles of the trusted documents' scores.
+MEAN_QUANTILE, TAIL_QUANTILE, TURN_QUANTILE, FOUL_QUANTILE = 0.995, 0.99, 0.995, 0.95
+#: Share of the documents labelled toxic that their limit may miss.
+FOUL_MISSED = 0.03
+#: The most toxic words of a text (share, least number), and the toxic model's weight in the mixture.
+FOUL_SHARE, FOUL_LEAST, FOUL_WEIGHT = 0.03, 2, 0.2
+#: Log ratio at which a word counts as toxic beyond doubt.
+MOST_FOUL = 50.0
+#: A text at the toxic documents' quantile is itself above the limit.
+SLACK = 1e-9
+#: Words whose counts a worker holds before it passes them on, and whose scores it holds, of each language and half, before it forgets them.
+HELD_WORDS, SCORED_WORDS = 200_000, 50_000
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
@@ -131,7 +145,7 @@ def ngram_counts(texts: DataFrame, order: int, turns: bool = False) -> DataFrame
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = WORD.findall(text.as_py())
                 held.setdefault(lang, Counter()).update(words)
-                if turns and words:
+                if turns and words and not lang.startswith(TOXIC):
                     codes, n = np.unique(turn_codes(numbers.ids(words), numbers.shapes), return_counts=True)
                     counts = coded.setdefault(lang, Counter())
                     for code, times in zip(codes.tolist(), n.tolist()):
@@ -206,36 +220,43 @@ def loss(marked: str, entries: Entries, order: int) -> float:
 
 
 class WordScores(WordIds):
-    """word -> its number, by which its negative log probability and its characters with the end mark are found."""
+    """word -> its number, by which its negative log probability, its characters with the end mark and its toxicity are found."""
 
-    def __init__(self, entries: Entries, order: int, turns: Entries | None):
+    def __init__(self, entries: Entries, order: int, turns: Entries | None, toxic: Entries | None):
         super().__init__()
-        self.entries, self.order, self.turns = entries, order, turns
-        self.losses, self.chars = array("d"), array("q")
+        self.entries, self.order, self.turns, self.toxic = entries, order, turns, toxic
+        self.losses, self.chars, self.foul = array("d"), array("q"), array("d")
         self.turn_losses = np.full(len(LETTERS) ** TURN_ORDER, np.nan) if turns else None
 
     def __missing__(self, word: str) -> int:
-        self.losses.append(loss(START * (self.order - 1) + word + END, self.entries, self.order))
+        marked = START * (self.order - 1) + word + END
+        self.losses.append(loss(marked, self.entries, self.order))
         self.chars.append(len(word) + 1)
+        if self.toxic:
+            self.foul.append(math.log(1 - FOUL_WEIGHT + FOUL_WEIGHT * math.exp(min(self.losses[-1] - loss(marked, self.toxic, self.order), MOST_FOUL))))
         return super().__missing__(word)
 
     def clear(self) -> None:
         super().clear()
-        self.losses, self.chars = array("d"), array("q")
+        self.losses, self.chars, self.foul = array("d"), array("q"), array("d")
 
-    def of_text(self, words: list[str]) -> tuple[float, float, float | None]:
-        """(mean, tail, turn) of a text that has words."""
+    def of_text(self, words: list[str]) -> tuple[float, float, float | None, float | None]:
+        """(mean, tail, turn, foul) of a text that has words."""
         if len(self) >= SCORED_WORDS:
             self.clear()
         ids = self.ids(words)
         losses, chars = np.frombuffer(self.losses)[ids], np.frombuffer(self.chars, np.int64)[ids]
         per, k, turn = losses / chars, len(words) - tail_rank(len(words)), None
+        foul = None
+        if self.toxic:
+            most = foul_words(len(words))
+            foul = float(np.partition(np.frombuffer(self.foul)[ids], len(words) - most)[len(words) - most :].mean())
         if self.turn_losses is not None:
             codes = turn_codes(ids, self.shapes)
             for code in np.unique(codes[np.isnan(self.turn_losses[codes])]).tolist():
                 self.turn_losses[code] = loss(turn_gram(code), self.turns, TURN_ORDER)
             turn = float(self.turn_losses[codes].mean())
-        return float(losses.sum() / chars.sum()), float(np.partition(per, k)[k]), turn
+        return float(losses.sum() / chars.sum()), float(np.partition(per, k)[k]), turn, foul
 
 
 _scores: dict[str, dict[str, WordScores]] = {}
@@ -250,20 +271,26 @@ def word_scores(number: str, shared, order: int) -> dict[str, WordScores]:
         for batch in pa.ipc.open_stream(shared.value):
             for lang, gram, logp, bow in zip(*(c.to_pylist() for c in batch.columns)):
                 of_lang.setdefault(lang, {})[gram] = (logp, bow)
-        _scores[number] = {lang: WordScores(e, order, of_lang.get(TURNS + lang)) for lang, e in of_lang.items() if not lang.startswith(TURNS)}
+        _scores[number] = {lang: WordScores(e, order, of_lang.get(TURNS + lang), of_lang.get(TOXIC + lang))
+                           for lang, e in of_lang.items() if not lang.startswith((TURNS, TOXIC))}
     return _scores[number]
 
 
+def foul_words(n: int) -> int:
+    """How many words, by falling toxicity, are the toxicity of a text of ``n`` words."""
+    return min(n, max(FOUL_LEAST, math.ceil(FOUL_SHARE * n)))
+
+
 def tail_rank(n: int) -> int:
     """Which word, by falling perplexity, is the tail of a text of ``n`` words."""
     return min(n, max(TAIL_LEAST, math.ceil(TAIL_SHARE * n)))
 
 
-SCORES = "doc_id long, text_hash long, lang string, n_words long, mean double, tail double, turn double"
+SCORES = "doc_id long, text_hash long, lang string, n_words long, mean double, tail double, turn double, foul double"
 
 
 def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int) -> DataFrame:
-    """SCORES of every row, log perplexities per character (turn: per word)."""
+    """SCORES of every row, log perplexities per character (turn: per word), and the toxicity."""
     spark = texts.sparkSession
     table = entries.select("lang", "gram", "logp", "bow").toArrow()
     sink = pa.BufferOutputStream()
@@ -276,14 +303,14 @@ def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = word_scores(number, shared, order)
         for batch in batches:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for lang, text in zip(batch.column(2).to_pylist(), batch.column(3)):
                 words = WORD.findall(text.as_py())
-                found = scores[lang].of_text(words) if words and lang in scores else (None, None, None)
+                found = scores[lang].of_text(words) if words and lang in scores else (None, None, None, None)
                 for column, value in zip(out, (len(words), *found)):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(out[0], pa.int64()), *(pa.array(c, pa.float64()) for c in out[1:])],
-                                             ["doc_id", "text_hash", "lang", "n_words", "mean", "tail", "turn"])
+                                             ["doc_id", "text_hash", "lang", "n_words", "mean", "tail", "turn", "foul"])
 
     return texts.select("doc_id", "text_hash", "lang", "text").mapInArrow(run, SCORES)
 
@@ -311,7 +338,9 @@ def scores_by_join(texts: DataFrame, entries: DataFrame, order: int) -> DataFram
     rows = units.filter("unit is null").select("row", "doc_id", "text_hash", "lang", F.col("n").alias("n_words"))
     model_of = F.when(F.col("turns"), F.concat(F.lit(TURNS), "lang")).otherwise(F.col("lang"))
     counted = units.filter("unit is not null").select("row", model_of.alias("lang"), "turns", "unit", "n")
-    places = (counted.select("lang", "unit", F.when(F.col("turns"), TURN_ORDER).otherwise(order).alias("most")).distinct()
+    asking = counted.select("lang", "turns", "unit").distinct()
+    asking = asking.union(asking.filter("not turns").withColumn("lang", F.concat(F.lit(TOXIC), "lang")))
+    places = (asking.select("lang", "unit", F.when(F.col("turns"), TURN_ORDER).otherwise(order).alias("most"))
               .join(entries.select("lang").distinct(), "lang", "left_semi")
               .select("*", F.explode(F.expr("sequence(1, length(unit) - most + 1)")).alias("at")))
     # Every place asks all orders; the longest n-gram seen counts, and the weights of the contexts above it.
@@ -322,53 +351,75 @@ def scores_by_join(texts: DataFrame, entries: DataFrame, order: int) -> DataFram
     longest = known.withColumn("longest", F.max(F.when(F.col("logp").isNotNull(), F.col("k"))).over(Window.partitionBy("lang", "unit", "at")))
     term = F.when(F.col("k") == F.col("longest"), F.col("logp")).when(F.col("k") > F.col("longest"), F.coalesce("bow", F.lit(0.0))).otherwise(0.0)
     of_unit = longest.groupBy("lang", "unit").agg((-F.sum(term)).alias("loss"))
+    toxic = F.col("lang").startswith(TOXIC)
+    of_unit = (of_unit.groupBy(F.when(toxic, F.substr("lang", F.lit(len(TOXIC) + 1))).otherwise(F.col("lang")).alias("lang"), "unit")
+               .agg(F.max(F.when(~toxic, F.col("loss"))).alias("loss"), F.max(F.when(toxic, F.col("loss"))).alias("toxic_loss")).filter("loss is not null"))
     met = counted.join(of_unit, ["lang", "unit"])
     turn = met.filter("turns").groupBy("row").agg((F.sum(F.col("loss") * F.col("n")) / F.sum("n")).alias("turn"))
     before = Window.partitionBy("row").orderBy(F.desc(F.col("loss") / F.col("chars")), "unit").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("row")
     ranked = met.filter("not turns").withColumn("chars", F.length("unit") - (order - 1)).withColumn("n_words", F.sum("n").over(whole)).withColumn("upto", F.sum("n").over(before)).withColumn(
         "k", F.least("n_words", F.greatest(F.lit(TAIL_LEAST), F.ceil(F.lit(TAIL_SHARE) * F.col("n_words")))))
+    most = F.least("n_words", F.greatest(F.lit(FOUL_LEAST), F.ceil(F.lit(FOUL_SHARE) * F.col("n_words"))))
+    first = Window.partitionBy("row").orderBy(F.desc("foul"), "unit").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (ranked.withColumn("foul", F.log(1 - FOUL_WEIGHT + FOUL_WEIGHT * F.exp(F.least(F.col("loss") - F.col("toxic_loss"), F.lit(MOST_FOUL)))))
+              .withColumn("foul", F.when(F.col("toxic_loss").isNotNull(), F.col("foul"))).withColumn("most", most)
+              .withColumn("among", F.greatest(F.lit(0), F.least("n", F.col("most") - F.sum("n").over(first) + F.col("n")))))
     scored = ranked.groupBy("row").agg(
+        (F.sum(F.col("foul") * F.col("among")) / F.max("most")).alias("foul"),
         (F.sum(F.col("loss") * F.col("n")) / F.sum(F.col("chars") * F.col("n"))).alias("mean"),
         F.max(F.when(F.col("upto") >= F.col("k"), F.col("loss") / F.col("chars"))).alias("tail"))
-    return rows.join(scored, "row", "left").join(turn, "row", "left").select("doc_id", "text_hash", "lang", "n_words", "mean", "tail", "turn")
+    return rows.join(scored, "row", "left").join(turn, "row", "left").select("doc_id", "text_hash", "lang", "n_words", "mean", "tail", "turn", "foul")
 
 
 def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entries: int = MOST_ENTRIES) -> DataFrame:
-    """(doc_id, text_hash, lang, n_words, trusted, perplexity, tail_perplexity, turn_perplexity,
-    max_perplexity, max_tail_perplexity, max_turn_perplexity, kept) of every row of ``docs``.
+    """(doc_id, text_hash, lang, n_words, trusted, perplexity, tail_perplexity, turn_perplexity, toxicity,
+    max_perplexity, max_tail_perplexity, max_turn_perplexity, max_toxicity, kept) of every row of ``docs``.
 
     Trusted are the rows whose doc_id has labels, all of them of quality 1 and not
-    toxic (a null label is neither). ``text_hash`` (xxhash64 of the text) tells rows
+    toxic (a null label is neither); toxic text is that whose labels are all of
+    quality 1 and one of them toxic. ``text_hash`` (xxhash64 of the text) tells rows
     apart that share a doc_id. A null text has no words; rows without words
     and rows of a language without trusted text have no perplexity and are kept, as
-    nothing speaks against them. A null lang is a language of its own; a null
+    nothing speaks against them. A language without toxic text in both halves has
+    no limit of toxicity. A null lang is a language of its own; a null
     doc_id is never trusted; a repeated row is judged again; empty tables give an
     empty table or no trusted text; columns other than doc_id, text, lang and
     those of the labels are not read.
     """
     good = (labels.groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-            .agg(F.min(((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int")).alias("good"), F.count_if(F.col("quality").isNull()).alias("unknown"))
-            .filter("good = 1 and unknown = 0").select("doc_id", F.lit(True).alias("trusted")))
-    texts = texts_of(docs)
-    held_out = F.pmod(F.xxhash64("text_hash"), F.lit(HELD_OUT)) == 0
+            .agg(F.min((F.col("quality") == 1).cast("int")).alias("good"), F.count_if(F.col("quality").isNull()).alias("unknown"),
+                 F.max((F.coalesce("toxic", F.lit(0)) != 0)).alias("toxic"))
+            .filter("good = 1 and unknown = 0 and doc_id is not null").select("doc_id", "toxic"))
+    # The key of the models that score a text: its half and its language. A labelled text trains those of the other half.
+    half = F.pmod(F.xxhash64("text_hash"), F.lit(2))
+    texts = texts_of(docs).withColumn("lang", F.concat(half.cast("string"), "lang"))
+    trains = F.concat((1 - half).cast("string"), F.substr("lang", F.lit(2)))
     # By a merge join at every size: the labels grow with the documents.
-    counts = cut(ngram_counts(texts.filter(~held_out).join(good.hint("merge"), "doc_id", "left_semi"), order, turns=True), "kn-ngrams")
+    training = texts.join(good.hint("merge"), "doc_id").withColumn("lang", F.concat(F.when(F.col("toxic"), TOXIC).otherwise(""), trains))
+    counts = cut(ngram_counts(training, order, turns=True), "kn-ngrams")
     of_turns = F.col("lang").startswith(TURNS)
     entries = cut(model(counts.filter(~of_turns), order).union(model(counts.filter(of_turns), TURN_ORDER)), "kn-model")
     score = scores_by_broadcast if entries.count() <= most_entries else scores_by_join
-    scored = cut(score(texts, entries, order), "kn-scores")
-    marked = scored.join(good, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
-    marked = cut(marked, "kn-marked")
-    limits = marked.filter(F.col("trusted") & F.col("mean").isNotNull()).groupBy("lang").agg(
-        (F.exp(F.percentile_approx(F.when(held_out, F.col("mean")), F.lit(MEAN_QUANTILE), F.lit(10_000)) * MEAN_MARGIN)).alias("max_perplexity"),
-        (F.exp(F.percentile_approx(F.when(held_out, F.col("tail")), F.lit(TAIL_QUANTILE), F.lit(10_000)) * TAIL_MARGIN)).alias("max_tail_perplexity"),
-        (F.exp(F.percentile_approx("turn", F.lit(TURN_QUANTILE), F.lit(10_000)))).alias("max_turn_perplexity"))
-    scores = {"mean": "perplexity", "tail": "tail_perplexity", "turn": "turn_perplexity"}
-    judged = marked.join(limits, "lang", "left").withColumns({name: F.exp(score) for score, name in scores.items()})
-    kept = [F.coalesce(F.col(name) <= F.col(f"max_{name}"), F.lit(True)) for name in scores.values()]
-    return judged.select("doc_id", "text_hash", "lang", "n_words", "trusted", *scores.values(), *(f"max_{name}" for name in scores.values()),
-                         (kept[0] & kept[1] & kept[2]).alias("kept"))
+    scored = cut(score(texts, entries, order), "kn-scores").withColumn("lang", F.substr("lang", F.lit(2)))
+    marked = cut(scored.join(good, "doc_id", "left").withColumn("trusted", F.coalesce(~F.col("toxic"), F.lit(False))), "kn-marked")
+
+    def quantile(score: str, of: Column, share: float) -> Column:
+        return F.percentile_approx(F.when(of, F.col(score)), F.lit(share), F.lit(10_000))
+
+    trusted = F.col("trusted")
+    limits = marked.filter(F.col("toxic").isNotNull()).groupBy("lang").agg(
+        F.exp(quantile("mean", trusted, MEAN_QUANTILE)).alias("max_perplexity"),
+        F.exp(quantile("tail", trusted, TAIL_QUANTILE)).alias("max_tail_perplexity"),
+        F.exp(quantile("turn", trusted, TURN_QUANTILE)).alias("max_turn_perplexity"),
+        quantile("foul", trusted, FOUL_QUANTILE).alias("most_trusted"), quantile("foul", ~trusted, FOUL_MISSED).alias("least_toxic"))
+    limits = limits.withColumn("max_toxicity", F.when(F.col("least_toxic").isNotNull(), F.greatest("most_trusted", F.col("least_toxic") - SLACK)))
+    scores = {"perplexity": F.exp("mean"), "tail_perplexity": F.exp("tail"), "turn_perplexity": F.exp("turn"), "toxicity": F.col("foul")}
+    judged = marked.join(limits, "lang", "left").withColumns(scores)
+    kept = F.lit(True)
+    for name in scores:
+        kept = kept & F.coalesce(F.col(name) <= F.col(f"max_{name}"), F.lit(True))
+    return judged.select("doc_id", "text_hash", "lang", "n_words", "trusted", *scores, *(f"max_{name}" for name in scores), kept.alias("kept"))
 
 
 def keep_accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:

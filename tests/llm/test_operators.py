@@ -459,6 +459,31 @@ def test_classifier_rejects_repeated_and_shuffled_words(spark):
     assert {i: x.kept for i, x in joined.items()} == got
 
 
+def test_classifier_rejects_toxic_words_made_like_others(spark):
+    r = random.Random(29)
+    syllables = {"en": ["the", "an", "re", "er", "on", "in", "ed", "nd", "ha", "at"], "es": ["que", "la", "do", "ra", "mente", "co", "bo", "es", "ta", "ue"]}
+    texts, langs, quality, new = [], {}, [], []
+    for lang, parts in syllables.items():
+        word = lambda: "".join(r.choices(parts, k=r.randint(1, 4)))
+        clean = lambda: [w for w in (word() for _ in range(160)) if not w.startswith(parts[6] + parts[4])][:120]
+        foul = lambda: [w if r.random() > 0.06 else parts[6] + parts[4] + word() for w in clean()]
+        for k, toxic in [*((k, 0) for k in range(80)), *((k, 1) for k in range(40))]:
+            langs[len(texts)] = lang
+            if k < (60 if not toxic else 25):
+                quality.append((len(texts), 1, toxic))
+            else:
+                new.append((len(texts), toxic))
+            texts.append(" ".join(foul() if toxic else clean()))
+    labels = spark.createDataFrame(quality, "doc_id long, quality int, toxic int")
+    docs = frame(spark, texts, langs=langs)
+    got = {x.doc_id: x for x in kneser_ney.classify(docs, labels).collect()}
+    for lang in syllables:
+        assert sum(got[i].kept for i, toxic in new if toxic and langs[i] == lang) <= 1
+        assert sum(got[i].kept for i, toxic in new if not toxic and langs[i] == lang) >= 16
+    for x in kneser_ney.classify(docs, labels, most_entries=0).collect():
+        assert abs(x.toxicity - got[x.doc_id].toxicity) < 1e-9 and abs(x.turn_perplexity - got[x.doc_id].turn_perplexity) < 1e-9
+
+
 # --- 1: HTML
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body class="has-sidebar">
