@@ -23,8 +23,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import cut, ship_package
 
-#: The masks, 1 for a place that counts (fixed values).
-MASKS = ("11101100110101", "1101001110010111", "111010011011", "11011101")
+#: The masks, 1 for a place that counts, by the items they are for. Whichever words differ in an overlap
+#: that counts, one mask fits between them: cut the item into blocks of three (two) words; at most a fifth of the
+#: words differ, each spoils one block, and so many whole blocks are left that two of them lie within the mask's span.
+THREES = tuple("111" + "000" * gap + "111" for gap in range(5))
+TWOS = ("1111", "110011")
+#: All but one word of five.
+FIVE = ("1111", "10111", "11011", "11101")
 #: Items of fewer words are no evidence and are not looked for.
 LEAST_ITEM = 5
 #: An overlap counts if this share of its words is equal, and it has the whole item or this many equal words.
@@ -76,10 +81,13 @@ def seeds(words: np.ndarray, mask: str, number: int) -> np.ndarray:
     return mix(key)
 
 
-def masks_for(lengths: set[int]) -> list[str]:
-    """The fixed masks, and a full one for every item too short for the shortest of them."""
-    shortest = min(map(len, MASKS))
-    return [*MASKS, *("1" * n for n in sorted(lengths) if LEAST_ITEM <= n < shortest)]
+def masks_for(length: int) -> tuple[str, ...]:
+    """The masks for an item of ``length`` words."""
+    if length < LEAST_ITEM:
+        return ()
+    if length == LEAST_ITEM:
+        return FIVE
+    return TWOS if length in (6, 7, 8, 10, 11) else THREES
 
 
 def bits_of(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,14 +135,17 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = cut(benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
                 .mapInArrow(hashed_items, "item_id long, item binary, n int").filter(F.col("n") >= LEAST_ITEM)
                 .distinct().withColumn("item_key", F.xxhash64("item_id", "item")), "items")
-    short = {r.n for r in items.filter(F.col("n") < min(map(len, MASKS))).select("n").distinct().collect()}
-    masks = masks_for(short)
+    # Which of the three sets of masks the items need.
+    kind = F.when(F.col("n") == LEAST_ITEM, LEAST_ITEM).when(F.col("n").isin(6, 7, 8, 10, 11), 6).otherwise(9)
+    masks = sorted({mask for r in items.select(kind.alias("n")).distinct().collect() for mask in masks_for(r.n)})
 
     def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = np.frombuffer(data.as_py(), np.uint64)
                 for number, mask in enumerate(masks):
+                    if mask not in masks_for(len(words)):
+                        continue
                     found = seeds(words, mask, number)
                     one, two = bits_of(found)
                     yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array([key] * len(found), pa.int64()), pa.array(np.arange(len(found), dtype=np.int32)),
@@ -164,7 +175,8 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 at = at[known[two[at]]]
                 at = at[document[at] == document[at + len(mask) - 1]] if len(at) else at
                 hits.append((at, key[at]))
-            at, key = np.concatenate([h[0] for h in hits]), np.concatenate([h[1] for h in hits])
+            at = np.concatenate([np.zeros(0, np.int64), *(h[0] for h in hits)])
+            key = np.concatenate([np.zeros(0, np.uint64), *(h[1] for h in hits)])
             order = np.argsort(at, kind="stable")
             at, key = at[order], key[order]
             rows = np.unique(document[at])

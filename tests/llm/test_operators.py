@@ -4,6 +4,7 @@ empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -308,6 +309,32 @@ def test_decontamination_exact_and_substituted(spark):
     assert decontaminate.find_overlaps(frame(spark, ["a"]).filter("doc_id < 0"), bench).count() == 0
 
 
+@pytest.mark.parametrize("n", range(5, 25))
+def test_masks_cover_every_substitution(n):
+    fits = [{a + i for i, c in enumerate(m) if c == "1"} for m in decontaminate.masks_for(n) for a in range(n - len(m) + 1)]
+    most = max(k for k in range(n) if n - k >= decontaminate.SIMILAR * n)
+    for changed in itertools.combinations(range(n), most):
+        assert any(places.isdisjoint(changed) for places in fits), changed
+
+
+def test_decontamination_of_short_items_with_substitutions(spark):
+    r = random.Random(37)
+    word = lambda: "".join(r.choices("abcdefghijklmnop", k=r.randint(2, 7)))
+    items = [[word() for _ in range(n)] for n in (5, 6, 7, 8, 9, 10, 11, 12, 15, 17, 20, 40)]
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    texts, want = [], set()
+    for k, item in enumerate(items):
+        most = len(item) // 5
+        for changed in [*(r.sample(range(len(item)), most) for _ in range(6)), range(most, len(item), 5)[:most]]:
+            want.add((len(texts), k))
+            texts.append(" ".join([*(word() for _ in range(20)), *(word() + "x" if j in changed else w for j, w in enumerate(item)), *(word() for _ in range(20))]))
+        # One word more differs in the middle: no overlap that counts.
+        if len(item) < 12:
+            texts.append(" ".join([*(word() for _ in range(20)), *(word() + "x" if j <= most else w for j, w in enumerate(item)), *(word() for _ in range(20))]))
+    found = decontaminate.find_overlaps(frame(spark, texts), bench).collect()
+    assert {(x.doc_id, x.item_id) for x in found} == want
+
+
 # --- 5: licenses
 
 def test_license_scan_equals_brute_force(spark):
