@@ -45,6 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import cut, ship_package
@@ -57,8 +58,8 @@ TURNS, TOXIC = "\x04", "\x05"
 TURN_ORDER, LONGEST_TURN = 3, 8
 LETTERS = START + "".join(chr(0x100 + i) for i in range(4 * (LONGEST_TURN + 1)))
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Rows of a model that is broadcast (some 60 bytes each in a worker).
-MOST_ENTRIES = 1_000_000
+#: Rows of a model that is broadcast (24 bytes each in a worker: hash, probability, weight).
+MOST_ENTRIES = 3_000_000
 TAIL_SHARE, TAIL_LEAST = 0.012, 2
 #: Quantiles of the trusted documents' scores.
 MEAN_QUANTILE, TAIL_QUANTILE, TURN_QUANTILE, FOUL_QUANTILE = 0.995, 0.99, 0.995, 0.95
@@ -72,6 +73,8 @@ MOST_FOUL = 50.0
 SLACK = 1e-9
 #: Words whose counts a worker holds before it passes them on, and whose scores it holds, of each language and half, before it forgets them.
 HELD_WORDS, SCORED_WORDS = 200_000, 50_000
+#: Words whose numbers a worker holds before it scores their texts.
+BATCH_WORDS = 1 << 17
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
@@ -202,21 +205,74 @@ def model(counts: DataFrame, order: int) -> DataFrame:
             .union(empty).withColumn("k", n.cast("int")))
 
 
-Entries = dict[str, tuple[float | None, float | None]]
-
-
-def loss(marked: str, entries: Entries, order: int) -> float:
-    """Negative log probability of what follows the first ``order`` - 1 characters."""
-    total = 0.0
-    for i in range(len(marked) - order + 1):
-        gram = marked[i : i + order]
-        while (entry := entries.get(gram)) is None or entry[0] is None:
-            context = entries.get(gram[:-1])
-            if context is not None and context[1] is not None:
-                total += context[1]
-            gram = gram[1:]
-        total += entry[0]
-    return -total
+_FACTORS = np.random.default_rng(20240611).integers(1 << 32, 1 << 63, size=64, dtype=np.uint64) | np.uint64(1)
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def ending_hashes(points: np.ndarray, order: int) -> list[np.ndarray]:
+    """By length from 0 to ``order``: the hash of the n-gram that ends with each character
+    (of those that reach before the first one, a value without meaning)."""
+    spread, total = mix(points + np.uint64(1)), np.zeros(len(points), np.uint64)
+    found = [mix(total)]
+    for k in range(1, order + 1):
+        total = total.copy()
+        total[k - 1 :] += spread[: len(points) - k + 1] * _FACTORS[k - 1]
+        found.append(mix(total + np.uint64(k)))
+    return found
+
+
+def gram_hashes(grams: list[str]) -> np.ndarray:
+    """The hash of each n-gram, as ``ending_hashes`` has it."""
+    lengths = np.fromiter(map(len, grams), np.int64, len(grams))
+    found = np.zeros(len(grams), np.uint64)
+    for k in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == k)
+        if k == 0:
+            found[at] = mix(np.zeros(1, np.uint64))
+            continue
+        found[at] = ending_hashes(code_points("".join(grams[i] for i in at)), k)[k][k - 1 :: k]
+    return found
+
+
+class Entries:
+    """The n-grams of a model, sorted by hash."""
+
+    def __init__(self, keys: np.ndarray, logp: np.ndarray, bow: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.logp, self.bow = keys[order], logp[order], np.nan_to_num(bow[order])
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, whether it is there) of each hash."""
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
+
+    def losses(self, units: list[str], order: int) -> np.ndarray:
+        """For each unit the negative log probability of what follows its first ``order`` - 1 characters."""
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        hashes = ending_hashes(code_points("".join(units)), order)
+        first = np.cumsum(lengths) - lengths
+        places = lengths - (order - 1)
+        begins = np.cumsum(places) - places
+        open_ = np.arange(places.sum()) + np.repeat(first + order - 1 - begins, places)
+        total = np.zeros(lengths.sum())
+        for k in range(order, -1, -1):
+            at, there = self.find(hashes[k][open_])
+            there &= ~np.isnan(self.logp[at])
+            total[open_[there]] += self.logp[at[there]]
+            open_ = open_[~there]
+            if not len(open_) or not k:
+                break
+            at, there = self.find(hashes[k - 1][open_ - 1])
+            total[open_[there]] += self.bow[at[there]]
+        return -np.add.reduceat(total, first)
 
 
 class WordScores(WordIds):
@@ -226,35 +282,40 @@ class WordScores(WordIds):
         super().__init__()
         self.entries, self.order, self.turns, self.toxic = entries, order, turns, toxic
         self.losses, self.chars, self.foul = array("d"), array("q"), array("d")
-        self.turn_losses = np.full(len(LETTERS) ** TURN_ORDER, np.nan) if turns else None
+        self.new: list[str] = []
+        self.turn_losses = np.full(len(LETTERS) ** TURN_ORDER, np.nan)
 
     def __missing__(self, word: str) -> int:
-        marked = START * (self.order - 1) + word + END
-        self.losses.append(loss(marked, self.entries, self.order))
-        self.chars.append(len(word) + 1)
-        if self.toxic:
-            self.foul.append(math.log(1 - FOUL_WEIGHT + FOUL_WEIGHT * math.exp(min(self.losses[-1] - loss(marked, self.toxic, self.order), MOST_FOUL))))
+        self.new.append(START * (self.order - 1) + word + END)
         return super().__missing__(word)
 
-    def clear(self) -> None:
-        super().clear()
+    def learn(self) -> None:
+        """The scores of the words met since the last call."""
+        if not self.new:
+            return
+        losses = self.entries.losses(self.new, self.order)
+        self.losses.frombytes(losses.tobytes())
+        self.chars.extend(len(marked) - (self.order - 1) for marked in self.new)
+        if self.toxic:
+            ratio = np.minimum(losses - self.toxic.losses(self.new, self.order), MOST_FOUL)
+            self.foul.frombytes(np.log(1 - FOUL_WEIGHT + FOUL_WEIGHT * np.exp(ratio)).tobytes())
+        self.new = []
+
+    def forget(self) -> None:
+        self.clear()
         self.losses, self.chars, self.foul = array("d"), array("q"), array("d")
 
-    def of_text(self, words: list[str]) -> tuple[float, float, float | None, float | None]:
-        """(mean, tail, turn, foul) of a text that has words."""
-        if len(self) >= SCORED_WORDS:
-            self.clear()
-        ids = self.ids(words)
-        losses, chars = np.frombuffer(self.losses)[ids], np.frombuffer(self.chars, np.int64)[ids]
-        per, k, turn = losses / chars, len(words) - tail_rank(len(words)), None
-        foul = None
+    def of_text(self, ids: np.ndarray) -> tuple[float, float, float | None, float | None]:
+        """(mean, tail, turn, foul) of a text that has words, by their numbers."""
+        losses, chars, n = np.frombuffer(self.losses)[ids], np.frombuffer(self.chars, np.int64)[ids], len(ids)
+        per, k, turn, foul = losses / chars, n - tail_rank(n), None, None
         if self.toxic:
-            most = foul_words(len(words))
-            foul = float(np.partition(np.frombuffer(self.foul)[ids], len(words) - most)[len(words) - most :].mean())
-        if self.turn_losses is not None:
+            k_foul = n - foul_words(n)
+            foul = float(np.partition(np.frombuffer(self.foul)[ids], min(k_foul, n - 1))[k_foul:].mean())
+        if self.turns:
             codes = turn_codes(ids, self.shapes)
-            for code in np.unique(codes[np.isnan(self.turn_losses[codes])]).tolist():
-                self.turn_losses[code] = loss(turn_gram(code), self.turns, TURN_ORDER)
+            if len(unknown := np.unique(codes[np.isnan(self.turn_losses[codes])])):
+                self.turn_losses[unknown] = self.turns.losses([turn_gram(c) for c in unknown.tolist()], TURN_ORDER)
             turn = float(self.turn_losses[codes].mean())
         return float(losses.sum() / chars.sum()), float(np.partition(per, k)[k]), turn, foul
 
@@ -267,10 +328,13 @@ def word_scores(number: str, shared, order: int) -> dict[str, WordScores]:
     a worker keeps the last model alone."""
     if number not in _scores:
         _scores.clear()
-        of_lang: dict[str, dict] = {}
-        for batch in pa.ipc.open_stream(shared.value):
-            for lang, gram, logp, bow in zip(*(c.to_pylist() for c in batch.columns)):
-                of_lang.setdefault(lang, {})[gram] = (logp, bow)
+        of_lang: dict[str, Entries] = {}
+        table = pa.ipc.open_stream(shared.value).read_all().combine_chunks()
+        names = table.column("lang").combine_chunks() if table.num_rows else pa.array([], pa.string())
+        for lang in names.unique().to_pylist():
+            part = table.filter(pc.equal(table.column("lang"), lang))
+            key, logp, bow = (part.column(c).to_numpy() for c in ("key", "logp", "bow"))
+            of_lang[lang] = Entries(key.view(np.uint64), logp, bow)
         _scores[number] = {lang: WordScores(e, order, of_lang.get(TURNS + lang), of_lang.get(TOXIC + lang))
                            for lang, e in of_lang.items() if not lang.startswith((TURNS, TOXIC))}
     return _scores[number]
@@ -292,7 +356,13 @@ SCORES = "doc_id long, text_hash long, lang string, n_words long, mean double, t
 def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int) -> DataFrame:
     """SCORES of every row, log perplexities per character (turn: per word), and the toxicity."""
     spark = texts.sparkSession
-    table = entries.select("lang", "gram", "logp", "bow").toArrow()
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = gram_hashes(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys.view(np.int64)), batch.column(2), batch.column(3)], ["lang", "key", "logp", "bow"])
+
+    table = entries.select("lang", "gram", "logp", "bow").mapInArrow(hashed, "lang string, key long, logp double, bow double").toArrow()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema) as writer:
         writer.write_table(table)
@@ -302,15 +372,29 @@ def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = word_scores(number, shared, order)
+
+        def judged(rows: pa.RecordBatch, found: list[tuple[str, np.ndarray]]) -> pa.RecordBatch:
+            for of_lang in scores.values():
+                of_lang.learn()
+            out = [(len(ids), *(scores[lang].of_text(ids) if len(ids) and lang in scores else (None,) * 4)) for lang, ids in found]
+            for of_lang in scores.values():
+                if len(of_lang) >= SCORED_WORDS:
+                    of_lang.forget()
+            n_words, *values = zip(*out)
+            return pa.RecordBatch.from_arrays([*(rows.column(i) for i in range(3)), pa.array(n_words, pa.int64()), *(pa.array(c, pa.float64()) for c in values)],
+                                              ["doc_id", "text_hash", "lang", "n_words", "mean", "tail", "turn", "foul"])
+
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for lang, text in zip(batch.column(2).to_pylist(), batch.column(3)):
+            found, first, held = [], 0, 0
+            for i, (lang, text) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3))):
                 words = WORD.findall(text.as_py())
-                found = scores[lang].of_text(words) if words and lang in scores else (None, None, None, None)
-                for column, value in zip(out, (len(words), *found)):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(out[0], pa.int64()), *(pa.array(c, pa.float64()) for c in out[1:])],
-                                             ["doc_id", "text_hash", "lang", "n_words", "mean", "tail", "turn", "foul"])
+                found.append((lang, scores[lang].ids(words) if lang in scores else np.zeros(len(words), np.int64)))
+                held += len(words)
+                if held > BATCH_WORDS:
+                    yield judged(batch.slice(first, i + 1 - first), found)
+                    found, first, held = [], i + 1, 0
+            if found:
+                yield judged(batch.slice(first), found)
 
     return texts.select("doc_id", "text_hash", "lang", "text").mapInArrow(run, SCORES)
 
