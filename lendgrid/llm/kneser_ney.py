@@ -465,7 +465,8 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entrie
     quality 1 and one of them toxic. ``text_hash`` (xxhash64 of the text) tells rows
     apart that share a doc_id. A null text has no words; rows without words
     and rows of a language without trusted text have no perplexity and are kept, as
-    nothing speaks against them. A language without toxic text in both halves has
+    nothing speaks against them. If all trusted text of a language is in one half, its
+    models score that half too, and the limits are in-sample (stricter than others). A language without toxic text in both halves has
     no limit of toxicity. A null lang is a language of its own; a null
     doc_id is never trusted; a repeated row is judged again; empty tables give an
     empty table or no trusted text; columns other than doc_id, text, lang and
@@ -482,7 +483,13 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entrie
     # By a merge join at every size: the labels grow with the documents.
     training = texts.join(good.hint("merge"), "doc_id").withColumn("lang", F.concat(F.when(F.col("toxic"), TOXIC).otherwise(""), trains))
     counts = cut(ngram_counts(training, order, turns=True), "kn-ngrams")
-    of_turns = F.col("lang").startswith(TURNS)
+    # A language with trusted text in one half alone: its models score both.
+    of_turns, of_toxic = F.col("lang").startswith(TURNS), F.col("lang").startswith(TOXIC)
+    key = F.when(of_turns, F.substr("lang", F.lit(len(TURNS) + 1))).otherwise(F.col("lang"))
+    of_trusted = counts.filter(~of_toxic).select(F.substr(key, F.lit(2)).alias("name"), F.substr(key, F.lit(1), F.lit(1)).alias("half"), of_turns.alias("turns"), "gram", "n")
+    alone = of_trusted.filter("not turns").groupBy("name").agg(F.count_distinct("half").alias("halves")).filter("halves = 1").select("name")
+    other = F.concat(F.when(F.col("turns"), TURNS).otherwise(""), F.when(F.col("half") == "0", "1").otherwise("0"), "name")
+    counts = counts.union(of_trusted.join(alone, "name").select(other.alias("lang"), "gram", "n"))
     entries = cut(model(counts.filter(~of_turns), order).union(model(counts.filter(of_turns), TURN_ORDER)), "kn-model")
     score = scores_by_broadcast if entries.count() <= most_entries else scores_by_join
     scored = cut(score(texts, entries, order), "kn-scores").withColumn("lang", F.substr("lang", F.lit(2)))

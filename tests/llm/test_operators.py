@@ -511,6 +511,16 @@ def test_classifier_rejects_toxic_words_made_like_others(spark):
         assert abs(x.toxicity - got[x.doc_id].toxicity) < 1e-9 and abs(x.turn_perplexity - got[x.doc_id].turn_perplexity) < 1e-9
 
 
+def test_classifier_judges_a_language_with_one_trusted_text(spark):
+    r = random.Random(31)
+    word = lambda letters: "".join(r.choices(letters, k=r.randint(1, 6)))
+    texts = [" ".join(word("abcdefgh") for _ in range(300)), *(" ".join(word("qwxzkv") for _ in range(100)) for _ in range(8))]
+    labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {x.doc_id: x for x in kneser_ney.classify(frame(spark, texts), labels).collect()}
+    assert got[0].kept and got[0].max_perplexity is not None
+    assert not any(got[i].kept for i in range(1, 9))
+
+
 # --- 1: HTML
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body class="has-sidebar">
