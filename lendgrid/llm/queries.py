@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bestfit_pack, decontaminate, html_extract, kneser_ney, license_scan, quality_rules, simhash_vptree, suffix_dedup, token_counts, token_store
+from . import (bestfit_pack, decontaminate, html_extract, kneser_ney, license_scan, line_dedup, quality_rules, simhash_vptree, suffix_dedup, token_counts,
+               token_store)
 from .common import read_table, scratch_path
 
 
@@ -77,6 +78,13 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, those dropped because a later document holds them, and a digest of the rest."""
+    docs = read_table(spark, sf_dir, "documents")
+    rows = line_dedup.kept_texts(docs, line_dedup.keep_bitmaps(docs, least_chars=20, least_docs=3))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_html_extract": op1_html_extract,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -88,6 +96,19 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
     "op10_token_store": op10_token_store,
+    "op12_line_dedup": op12_line_dedup,
 }
 #: DuckDB SQL where it can express a query; the others are tested against brute force.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op12_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place FROM documents),
+keyed AS (
+  SELECT doc_id, place, line,
+    translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+many AS (SELECT k, max(doc_id) AS largest FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+judged AS (SELECT doc_id, place, line, m.k IS NOT NULL AND doc_id <> largest AS lost FROM keyed LEFT JOIN many m USING (k))
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE lost) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM judged GROUP BY doc_id""".strip(),
+}
