@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (bestfit_pack, decontaminate, html_extract, kneser_ney, license_scan, line_dedup, quality_rules, simhash_vptree, suffix_dedup, token_counts,
-               token_store)
+from . import (bestfit_pack, decontaminate, html_extract, kneser_ney, license_scan, line_dedup, quality_rules, simhash_vptree, source_audit, suffix_dedup,
+               token_counts, token_store)
 from .common import read_table, scratch_path
 
 
@@ -78,6 +78,11 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of all sources of each language, and the ten terms that set each source apart."""
+    return source_audit.audit(read_table(spark, sf_dir, "documents"), least_docs=10, top=10)
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document, those dropped because a later document holds them, and a digest of the rest."""
     docs = read_table(spark, sf_dir, "documents")
@@ -96,10 +101,38 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
     "op10_token_store": op10_token_store,
+    "op11_source_audit": op11_source_audit,
     "op12_line_dedup": op12_line_dedup,
 }
 #: DuckDB SQL where it can express a query; the others are tested against brute force.
 ORACLE: dict[str, str] = {
+    "op11_source_audit": r"""
+WITH d AS (SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT row_id, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT row_id) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+sources AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source),
+grp AS (SELECT DISTINCT lang, source FROM d),
+valued AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(s.total, 0) + 2 * l.v) AS p,
+    1 + (1000000000::HUGEINT * (k.n + 2)) // (l.total + 2 * l.v) AS q
+  FROM grp g JOIN kept k ON k.lang = g.lang JOIN langs l ON l.lang = g.lang
+  LEFT JOIN sources s ON s.lang = g.lang AND s.source = g.source
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM valued a JOIN valued b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(p.value, 0) AS BIGINT) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) FROM valued WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM every)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10""".strip(),
     "op12_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place FROM documents),

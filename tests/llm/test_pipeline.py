@@ -16,7 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def test_operators_are_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES) and corpus_pipeline.ORACLE_SQL is None
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "SimHash near-dedup", "suffix-array dedup", "benchmark decontamination", "best-fit packing"]
 
