@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (bestfit_pack, decontaminate, html_extract, kneser_ney, license_scan, line_dedup, quality_rules, simhash_vptree, source_audit, suffix_dedup,
+from . import (bestfit_pack, collocations, decontaminate, html_extract, kneser_ney, license_scan, line_dedup, quality_rules, simhash_vptree, source_audit, suffix_dedup,
                token_counts, token_store)
 from .common import read_table, scratch_path
 
@@ -90,6 +90,11 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language by score."""
+    return collocations.collocations(read_table(spark, sf_dir, "documents"), least=30, longest=4, share=80, top=2000)
+
+
 QUERIES = {
     "op1_html_extract": op1_html_extract,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -103,6 +108,7 @@ QUERIES = {
     "op10_token_store": op10_token_store,
     "op11_source_audit": op11_source_audit,
     "op12_line_dedup": op12_line_dedup,
+    "op13_collocations": op13_collocations,
 }
 #: DuckDB SQL where it can express a query; the others are tested against brute force.
 ORACLE: dict[str, str] = {
@@ -144,4 +150,22 @@ judged AS (SELECT doc_id, place, line, m.k IS NOT NULL AND doc_id <> largest AS
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE lost) AS BIGINT) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT lost), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""".strip(),
+    "op13_collocations": r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM d),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+places AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3), (4)) AS sizes(k)),
+f AS (SELECT lang, k, w[i : i + k - 1] AS ws, count(*) AS n FROM places GROUP BY ALL HAVING count(*) >= 30),
+known AS (SELECT lang, k, ws, array_to_string(ws, ' ') AS phrase, n FROM f),
+cuts AS (SELECT lang, phrase, ws, k, n AS a, unnest(range(1, k)) AS j FROM known WHERE k > 1),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.j, x.n AS l, y.n AS r, (2000000::HUGEINT * c.a) // (x.n + y.n) AS score
+  FROM cuts c JOIN known x ON x.lang = c.lang AND x.ws = c.ws[1 : c.j] JOIN known y ON y.lang = c.lang AND y.ws = c.ws[c.j + 1 : c.k]),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+sizes AS (SELECT lang, ws, k, n, unnest(range(2, k)) AS m FROM known WHERE k > 2),
+inside AS (SELECT lang, n, m, ws, unnest(range(1, k - m + 2)) AS i FROM sizes),
+covered AS (SELECT lang, array_to_string(ws[i : i + m - 1], ' ') AS phrase, max(n) AS n FROM inside GROUP BY ALL),
+kept AS (SELECT x.* FROM lowest x LEFT JOIN covered c USING (lang, phrase) WHERE c.n IS NULL OR 100::HUGEINT * c.n < 80::HUGEINT * x.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, totals.n AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""".strip(),
 }
