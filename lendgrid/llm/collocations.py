@@ -20,10 +20,12 @@ the result exact.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import byte_words
@@ -90,8 +92,13 @@ def longer(prefix: np.ndarray, last: np.ndarray, factor: int = 0x9E3779B97F4A7C1
 class Filters:
     """A Bloom filter for each length up to ``longest``."""
 
-    def __init__(self, longest: int, data: bytes | None = None):
-        self.bits = np.zeros((longest, BLOOM_BITS // 8), np.uint8) if data is None else np.frombuffer(data, np.uint8).reshape(longest, -1)
+    def __init__(self, longest: int, packed: bytes | None = None):
+        self.bits = np.zeros((longest, BLOOM_BITS // 8), np.uint8) if packed is None else np.frombuffer(zlib.decompress(packed), np.uint8).reshape(longest, -1)
+
+    @staticmethod
+    def pack(bits: np.ndarray | None) -> bytes | None:
+        """As it travels to the tasks: filters that are nearly empty, or still equal to those before, get small."""
+        return None if bits is None else zlib.compress(bits.tobytes(), 1)
 
     def has(self, k: int, keys: np.ndarray) -> np.ndarray:
         bits, size = self.bits[k - 1], self.bits.shape[1] * 8
@@ -138,13 +145,11 @@ def _sliced(batch: pa.RecordBatch) -> Iterator[Words]:
         yield Words(texts[a:b], langs[a:b])
 
 
-def count_scan(shard: DataFrame, now: np.ndarray, before: np.ndarray | None, lengths: list[int]) -> DataFrame:
-    """(k, key, n): the phrases of a shard that are active now and were not before, slice by slice."""
-    longest = len(now)
-    filters = shard.sparkSession.sparkContext.broadcast((now.tobytes(), None if before is None else before.tobytes()))
+def count_scan(shard: DataFrame, filters: Broadcast, longest: int, lengths: list[int]) -> DataFrame:
+    """(k, key, n): the phrases of a shard that are active by the filters now and were not by those before, slice by slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_now, of_before = (None if data is None else Filters(longest, data) for data in filters.value)
+        of_now, of_before = (None if packed is None else Filters(longest, packed) for packed in filters.value)
 
         def rows(k: int, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
             keys, n = np.unique(keys, return_counts=True)
@@ -163,11 +168,9 @@ def count_scan(shard: DataFrame, now: np.ndarray, before: np.ndarray | None, len
     return shard.mapInArrow(run, "k int, key long, n long")
 
 
-def exact_scan(texts: DataFrame, reached: np.ndarray) -> DataFrame:
-    """(lang, k, phrase, n): of the phrases in the filters ``reached`` the exact counts, slice by
-    slice; with k = 0 the number of all words."""
-    longest = len(reached)
-    filters = texts.sparkSession.sparkContext.broadcast(reached.tobytes())
+def exact_scan(texts: DataFrame, filters: Broadcast, longest: int) -> DataFrame:
+    """(lang, k, phrase, n): of the phrases in the filters the exact counts, slice by slice; with
+    k = 0 the number of all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Filters(longest, filters.value)
@@ -226,16 +229,18 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, shards: int) ->
             history[step - shards] = None
         if lengths:
             quiet = 0
-            rows = count_scan(dealt.filter(F.col("shard") == step % shards).select("lang", "text"), now, before, lengths)
+            shared = spark.sparkContext.broadcast((Filters.pack(now), Filters.pack(before)))
+            rows = count_scan(dealt.filter(F.col("shard") == step % shards).select("lang", "text"), shared, longest, lengths)
             for k in lengths:
                 rows = rows.union(totals[k]) if k in totals else rows
             summed = cut(rows.groupBy("k", "key").agg(F.sum("n").alias("n")), "phrase-counts")
+            shared.destroy()  # the written counts need no scan again
             totals |= {k: summed.filter(F.col("k") == k) for k in lengths}
             filters.add(summed.filter(F.col("n") >= least))
         else:
             quiet += 1
         step += 1
-    exact = exact_scan(dealt.select("lang", "text"), filters.bits)
+    exact = exact_scan(dealt.select("lang", "text"), spark.sparkContext.broadcast(Filters.pack(filters.bits)), longest)
     return exact.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).filter((F.col("n") >= least) | (F.col("k") == 0))
 
 
