@@ -6,10 +6,11 @@ eight bytes can be read from the start of any word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 PAD = 8
 #: Bytes of text taken as one slice; a single longer text is a slice of its own.
@@ -19,24 +20,26 @@ BIG_ENDIAN = np.array([0] + [(1 << 64) - (1 << 8 * (8 - n)) for n in range(1, 9)
 LITTLE_ENDIAN = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
-def row_slices(texts: Sequence[bytes], most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+def row_slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts have at most ``most`` bytes together, at least one row each."""
     first, held = 0, 0
-    for i, text in enumerate(texts):
-        if held and held + len(text) > most:
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+        if held and held + n > most:
             yield first, i
             first, held = i, 0
-        held += len(text) + 1
+        held += n + 1
     if first < len(texts):
         yield first, len(texts)
 
 
-def joined(texts: Sequence[bytes], table: np.ndarray, separator: bytes = b"\n") -> tuple[np.ndarray, np.ndarray]:
-    """(buffer, first byte of each text): the texts with ``separator`` before each and
+def joined(texts: pa.Array, table: np.ndarray, separator: bytes = b"\n") -> tuple[np.ndarray, np.ndarray]:
+    """(buffer, first byte of each text): the texts (binary) with ``separator`` before each and
     PAD of them behind the last, every byte replaced by ``table``."""
-    buffer = np.frombuffer(separator + separator.join(texts) + separator * PAD, np.uint8)
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    return table[buffer], np.cumsum(lengths + 1) - lengths
+    lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts), separator)[0].as_buffer()
+    buffer = np.full(len(whole) + 1 + PAD, table[separator[0]], np.uint8)
+    np.take(table, np.frombuffer(whole, np.uint8), out=buffer[1:-PAD])
+    return buffer, np.cumsum(lengths + 1) - lengths
 
 
 def spans(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

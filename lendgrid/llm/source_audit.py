@@ -41,7 +41,7 @@ def _text(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
 
 
-def count_slice(langs: pa.Array, sources: pa.Array, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+def count_slice(langs: pa.Array, sources: pa.Array, texts: pa.Array) -> Iterator[pa.RecordBatch]:
     """(lang, term, source, n, docs) of rows that are ordered by lang and source."""
     buffer, first = byte_words.joined(texts, TERM_BYTES, b"\0")
     starts, lengths = byte_words.spans(buffer != 0)
@@ -79,11 +79,11 @@ def slice_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by = pa.table([batch.column(0), batch.column(1), pa.array(np.arange(len(batch)))], ["lang", "source", "row"])
-            texts = batch.column(2).to_pylist()
-            for a, b in byte_words.row_slices(texts):
-                rows = by.slice(a, b - a).sort_by([("lang", "ascending"), ("source", "ascending"), ("row", "ascending")]).combine_chunks()
-                yield from count_slice(rows.column(0).combine_chunks(), rows.column(1).combine_chunks(), [texts[i] for i in rows.column(2).to_pylist()])
+            for a, b in byte_words.row_slices(batch.column(2)):
+                rows = batch.slice(a, b - a)
+                order = pc.sort_indices(pa.table([rows.column(0), rows.column(1), pa.array(np.arange(b - a))], ["lang", "source", "row"]),
+                                        [("lang", "ascending"), ("source", "ascending"), ("row", "ascending")])
+                yield from count_slice(*(column.take(order) for column in rows.columns))
 
     ship_package(docs.sparkSession)
     return docs.select(_text("lang"), _text("source"), _text("text").cast("binary")).mapInArrow(run, "lang string, term string, source string, n long, docs long")

@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lendgrid.llm import byte_words, collocations
@@ -87,7 +88,7 @@ def test_a_phrase_is_counted_once_in_every_shard():
     """Whatever the filters hold now and before, what is counted now was not active before."""
     r = np.random.default_rng(3)
     texts = [(" ".join(r.choice(["a", "b", "c", "d"], 30)) + ".").encode() for _ in range(20)]
-    words = collocations.Words(texts, ["en"] * 20)
+    words = collocations.Words(pa.array(texts, pa.binary()), ["en"] * 20)
     for _ in range(20):
         keys = np.unique(words.keys)
         before, now = collocations.Filters(4), collocations.Filters(4)
@@ -100,7 +101,7 @@ def test_a_phrase_is_counted_once_in_every_shard():
 
 def test_words_and_pieces():
     texts = ["One  two\tthree. four,five", "", "é É", "a b c"]
-    words = collocations.Words([t.encode() for t in texts], ["x"] * 4)
+    words = collocations.Words(pa.array([t.encode() for t in texts], pa.binary()), ["x"] * 4)
     spelled = [bytes(words.buffer[a : a + n]).decode() for a, n in zip(words.starts, words.lengths)]
     assert spelled == ["one", "two", "three", "four", "five", "é", "É", "a", "b", "c"]
     assert words.follows.tolist() == [True, True, False, False, False, True, False, True, True, False] and words.n_words.tolist() == [5, 0, 2, 3]
