@@ -235,7 +235,11 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, shards: int) ->
             rows = count_scan(dealt.filter(F.col("shard") == step % shards).select("lang", "text"), shared, longest, lengths)
             for k in lengths:
                 rows = rows.union(totals[k]) if k in totals else rows
-            summed = cut(rows.groupBy("k", "key").agg(F.sum("n").alias("n")), "phrase-counts")
+            # A row a slice and phrase at most: dealt as they are, since one task seldom has two rows to add up.
+            summed = rows.repartition("key").groupBy("k", "key").agg(F.sum("n").alias("n"))
+            # A length that every shard was scanned for with the filters below it as they are now is complete.
+            complete = [k for k in lengths if (k == 1 and step == shards - 1) or (k > 1 and step >= shards - 1 and (now[: k - 1] == history[step - shards + 1][: k - 1]).all())]
+            summed = cut(summed.filter((F.col("n") >= least) | ~F.col("k").isin(complete)) if complete else summed, "phrase-counts")
             shared.destroy()  # the written counts need no scan again
             totals |= {k: summed.filter(F.col("k") == k) for k in lengths}
             filters.add(summed.filter(F.col("n") >= least))
@@ -243,7 +247,7 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, shards: int) ->
             quiet += 1
         step += 1
     exact = exact_scan(dealt.select("lang", "text"), spark.sparkContext.broadcast(Filters.pack(filters.bits)), longest)
-    return exact.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).filter((F.col("n") >= least) | (F.col("k") == 0))
+    return exact.repartition("lang", "phrase").groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).filter((F.col("n") >= least) | (F.col("k") == 0))
 
 
 def collocations(docs: DataFrame, least: int = 30, longest: int = 4, share: int = 80, top: int = 2000, shards: int = SHARDS) -> DataFrame:
