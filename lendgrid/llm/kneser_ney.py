@@ -45,7 +45,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import cut, ship_package
@@ -71,6 +70,8 @@ FOUL_SHARE, FOUL_LEAST, FOUL_WEIGHT = 0.03, 2, 0.2
 MOST_FOUL = 50.0
 #: A text at the toxic documents' quantile is itself above the limit.
 SLACK = 1e-9
+#: Bits of the filter that tells texts without a label.
+LABEL_BITS = 1 << 24
 #: Words whose counts a worker holds before it passes them on, and whose scores it holds, of each language and half, before it forgets them.
 HELD_WORDS, SCORED_WORDS = 200_000, 50_000
 #: Words whose numbers a worker holds before it scores their texts.
@@ -128,11 +129,18 @@ def ngram_counts(texts: DataFrame, order: int, turns: bool = False) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
-        coded: dict[str, Counter] = {}
+        coded: dict[str, np.ndarray] = {}
+        waiting: dict[str, list[np.ndarray]] = {}
         numbers = WordIds()
 
+        def add_up() -> None:
+            for lang, codes in waiting.items():
+                coded[lang] = coded.get(lang, 0) + np.bincount(np.concatenate(codes), minlength=len(LETTERS) ** TURN_ORDER)
+            waiting.clear()
+
         def grams() -> Iterator[pa.RecordBatch]:
-            found = {TURNS + lang: Counter({turn_gram(c): n for c, n in codes.items()}) for lang, codes in coded.items()}
+            add_up()
+            found = {TURNS + lang: Counter({turn_gram(c): int(n[c]) for c in np.flatnonzero(n).tolist()}) for lang, n in coded.items()}
             for lang, words in held.items():
                 counts = found[lang] = Counter()
                 for word, n in words.items():
@@ -144,17 +152,20 @@ def ngram_counts(texts: DataFrame, order: int, turns: bool = False) -> DataFrame
                                                  ["lang", "gram", "n"])
             held.clear(), coded.clear(), numbers.clear()
 
+        n_waiting = 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = WORD.findall(text.as_py())
                 held.setdefault(lang, Counter()).update(words)
                 if turns and words and not lang.startswith(TOXIC):
-                    codes, n = np.unique(turn_codes(numbers.ids(words), numbers.shapes), return_counts=True)
-                    counts = coded.setdefault(lang, Counter())
-                    for code, times in zip(codes.tolist(), n.tolist()):
-                        counts[code] += times
+                    waiting.setdefault(lang, []).append(turn_codes(numbers.ids(words), numbers.shapes))
+                    n_waiting += len(words)
+                    if n_waiting > BATCH_WORDS:
+                        add_up()
+                        n_waiting = 0
                 if sum(map(len, held.values())) > HELD_WORDS:
                     yield from grams()
+                    n_waiting = 0
         yield from grams()
 
     return texts.select("lang", "text").mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -243,16 +254,32 @@ def gram_hashes(grams: list[str]) -> np.ndarray:
 
 
 class Entries:
-    """The n-grams of a model, sorted by hash."""
+    """The n-grams of a model, sorted by hash.
+
+    As hashes are spread evenly, the first bits of one say where it is: ``first`` has the
+    place of the first hash with these bits, and few places follow that have them too."""
 
     def __init__(self, keys: np.ndarray, logp: np.ndarray, bow: np.ndarray):
         order = np.argsort(keys)
         self.keys, self.logp, self.bow = keys[order], logp[order], np.nan_to_num(bow[order])
+        bits = max(1, len(keys).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, whether it is there) of each hash."""
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
+        last = len(self.keys) - 1
+        at = np.minimum(self.first[(keys >> self.shift).astype(np.int64)], last)
+        met = self.keys[at]
+        there, go_on = met == keys, np.flatnonzero(met < keys)
+        while len(go_on):
+            go_on = go_on[at[go_on] < last]
+            at[go_on] += 1
+            met = self.keys[at[go_on]]
+            own = keys[go_on]
+            there[go_on] = met == own
+            go_on = go_on[met < own]
+        return at, there
 
     def losses(self, units: list[str], order: int) -> np.ndarray:
         """For each unit the negative log probability of what follows its first ``order`` - 1 characters."""
@@ -276,32 +303,44 @@ class Entries:
 
 
 class WordScores(WordIds):
-    """word -> its number, by which its negative log probability, its characters with the end mark and its toxicity are found."""
+    """word -> its number, by which its negative log probability, its characters with the end mark and its toxicity are found.
+
+    When it is full, its words become the old generation: one that is met again is taken over with
+    its scores, so that only words not met for a whole generation are scored again."""
 
     def __init__(self, entries: Entries, order: int, turns: Entries | None, toxic: Entries | None):
         super().__init__()
         self.entries, self.order, self.turns, self.toxic = entries, order, turns, toxic
         self.losses, self.chars, self.foul = array("d"), array("q"), array("d")
         self.new: list[str] = []
+        self.new_at = array("q")
+        self.old: tuple[dict, array, array, array] = ({}, self.losses, self.chars, self.foul)
         self.turn_losses = np.full(len(LETTERS) ** TURN_ORDER, np.nan)
 
     def __missing__(self, word: str) -> int:
-        self.new.append(START * (self.order - 1) + word + END)
+        numbers, losses, chars, foul = self.old
+        if (number := numbers.get(word)) is not None:
+            self.losses.append(losses[number]), self.chars.append(chars[number]), self.foul.append(foul[number])
+        else:
+            self.new.append(START * (self.order - 1) + word + END), self.new_at.append(len(self))
+            self.losses.append(0.0), self.chars.append(len(word) + 1), self.foul.append(0.0)
         return super().__missing__(word)
 
     def learn(self) -> None:
         """The scores of the words met since the last call."""
         if not self.new:
             return
+        at = np.frombuffer(self.new_at, np.int64)
         losses = self.entries.losses(self.new, self.order)
-        self.losses.frombytes(losses.tobytes())
-        self.chars.extend(len(marked) - (self.order - 1) for marked in self.new)
+        np.frombuffer(self.losses)[at] = losses
         if self.toxic:
             ratio = np.minimum(losses - self.toxic.losses(self.new, self.order), MOST_FOUL)
-            self.foul.frombytes(np.log(1 - FOUL_WEIGHT + FOUL_WEIGHT * np.exp(ratio)).tobytes())
-        self.new = []
+            np.frombuffer(self.foul)[at] = np.log(1 - FOUL_WEIGHT + FOUL_WEIGHT * np.exp(ratio))
+        del at
+        self.new, self.new_at = [], array("q")
 
     def forget(self) -> None:
+        self.old = (dict(self), self.losses, self.chars, self.foul)
         self.clear()
         self.losses, self.chars, self.foul = array("d"), array("q"), array("d")
 
@@ -328,13 +367,14 @@ def word_scores(number: str, shared, order: int) -> dict[str, WordScores]:
     a worker keeps the last model alone."""
     if number not in _scores:
         _scores.clear()
+        parts: dict[str, list[bytes]] = {}
+        for lang, data in shared.value:
+            parts.setdefault(lang, []).append(data)
         of_lang: dict[str, Entries] = {}
-        table = pa.ipc.open_stream(shared.value).read_all().combine_chunks()
-        names = table.column("lang").combine_chunks() if table.num_rows else pa.array([], pa.string())
-        for lang in names.unique().to_pylist():
-            part = table.filter(pc.equal(table.column("lang"), lang))
-            key, logp, bow = (part.column(c).to_numpy() for c in ("key", "logp", "bow"))
-            of_lang[lang] = Entries(key.view(np.uint64), logp, bow)
+        for lang, found in parts.items():
+            thirds = [np.frombuffer(data, np.int64).reshape(3, -1) for data in found]
+            key, logp, bow = (np.concatenate([t[i] for t in thirds]) for i in range(3))
+            of_lang[lang] = Entries(key.view(np.uint64), logp.view(np.float64), bow.view(np.float64))
         _scores[number] = {lang: WordScores(e, order, of_lang.get(TURNS + lang), of_lang.get(TOXIC + lang))
                            for lang, e in of_lang.items() if not lang.startswith((TURNS, TOXIC))}
     return _scores[number]
@@ -357,17 +397,19 @@ def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int) -> Dat
     """SCORES of every row, log perplexities per character (turn: per word), and the toxicity."""
     spark = texts.sparkSession
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row a batch and language: the hashes, log probabilities and weights one behind the other."""
         for batch in batches:
-            keys = gram_hashes(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys.view(np.int64)), batch.column(2), batch.column(3)], ["lang", "key", "logp", "bow"])
-
-    table = entries.select("lang", "gram", "logp", "bow").mapInArrow(hashed, "lang string, key long, logp double, bow double").toArrow()
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
-    shared = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
-    del table, sink
+            names = batch.column(0).dictionary_encode()
+            lang, keys = names.indices.to_numpy(), gram_hashes(batch.column(1).to_pylist())
+            values = [keys.view(np.int64), *(batch.column(i).to_numpy(zero_copy_only=False).astype(np.float64) for i in (2, 3))]
+            data = [b"".join(v[lang == i].tobytes() for v in values) for i in range(len(names.dictionary))]
+            yield pa.RecordBatch.from_arrays([names.dictionary, pa.array(data, pa.binary())], ["lang", "data"])
+
+    # At most 24 bytes for each of ``most_entries`` rows, once on the driver and once in a worker.
+    rows = entries.select("lang", "gram", "logp", "bow").mapInArrow(packed, "lang string, data binary").toArrow()
+    shared = spark.sparkContext.broadcast(list(zip(rows.column("lang").to_pylist(), rows.column("data").to_pylist())))
+    del rows
     number = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -480,8 +522,14 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entrie
     half = F.pmod(F.xxhash64("text_hash"), F.lit(2))
     texts = texts_of(docs).withColumn("lang", F.concat(half.cast("string"), "lang"))
     trains = F.concat((1 - half).cast("string"), F.substr("lang", F.lit(2)))
-    # By a merge join at every size: the labels grow with the documents.
-    training = texts.join(good.hint("merge"), "doc_id").withColumn("lang", F.concat(F.when(F.col("toxic"), TOXIC).otherwise(""), trains))
+    # Texts without a label are told by one bit of their id's hash before any text is shuffled: LABEL_BITS bits
+    # in words of 64, a table of fixed size. The rest meets the labels by a merge join, as these grow with the documents.
+    bit_of = F.pmod(F.xxhash64("doc_id"), F.lit(LABEL_BITS))
+    label_bits = (good.select(F.shiftright(bit_of, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {LABEL_BITS}L) & 63 as int))").alias("bit"))
+                  .groupBy("word").agg(F.bit_or("bit").alias("bits")))
+    maybe = (texts.withColumn("word", F.shiftright(bit_of, 6)).join(F.broadcast(label_bits), "word")
+             .filter(F.expr(f"shiftrightunsigned(bits, cast(pmod(xxhash64(doc_id), {LABEL_BITS}L) & 63 as int)) & 1 = 1")).drop("word", "bits"))
+    training = maybe.join(good.hint("merge"), "doc_id").withColumn("lang", F.concat(F.when(F.col("toxic"), TOXIC).otherwise(""), trains))
     counts = cut(ngram_counts(training, order, turns=True), "kn-ngrams")
     # A language with trusted text in one half alone: its models score both.
     of_turns, of_toxic = F.col("lang").startswith(TURNS), F.col("lang").startswith(TOXIC)
@@ -504,7 +552,8 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entrie
         F.exp(quantile("tail", trusted, TAIL_QUANTILE)).alias("max_tail_perplexity"),
         F.exp(quantile("turn", trusted, TURN_QUANTILE)).alias("max_turn_perplexity"),
         quantile("foul", trusted, FOUL_QUANTILE).alias("most_trusted"), quantile("foul", ~trusted, FOUL_MISSED).alias("least_toxic"))
-    limits = limits.withColumn("max_toxicity", F.when(F.col("least_toxic").isNotNull(), F.greatest("most_trusted", F.col("least_toxic") - SLACK)))
+    # One row a language, written so that its size is known: Spark broadcasts it if it is small, and scores are not dealt by language.
+    limits = cut(limits.withColumn("max_toxicity", F.when(F.col("least_toxic").isNotNull(), F.greatest("most_trusted", F.col("least_toxic") - SLACK))), "kn-limits")
     scores = {"perplexity": F.exp("mean"), "tail_perplexity": F.exp("tail"), "turn_perplexity": F.exp("turn"), "toxicity": F.col("foul")}
     judged = marked.join(limits, "lang", "left").withColumns(scores)
     kept = F.lit(True)

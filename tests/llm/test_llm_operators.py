@@ -449,6 +449,40 @@ def test_kneser_ney_probabilities_and_both_ways_of_scoring(spark):
             assert abs(x.mean - sum(loss) / sum(len(w) + 1 for w in found)) < 1e-9
 
 
+def test_model_rows_are_found_by_their_hash():
+    r = np.random.default_rng(5)
+    for n in (1, 2, 7, 5000):
+        keys = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(n % 2))
+        if n == 7:
+            keys = np.array([0, 1, 2, 3, (1 << 64) - 3, (1 << 64) - 2, (1 << 64) - 1], np.uint64)  # all in the first and the last place
+        entries = kneser_ney.Entries(keys, np.arange(len(keys), dtype=float), np.zeros(len(keys)))
+        asked = np.concatenate([keys, keys + np.uint64(1), keys - np.uint64(1), r.integers(0, 1 << 63, 50, dtype=np.uint64)])
+        at, there = entries.find(asked)
+        assert there.tolist() == np.isin(asked, keys).tolist() and (entries.keys[at[there]] == asked[there]).all()
+
+
+def test_scores_outlive_a_generation_of_words():
+    r = random.Random(6)
+    words = ["".join(r.choices("abcde", k=r.randint(1, 5))) for _ in range(300)]
+    grams = sorted({g for w in words[:200] for m in [kneser_ney.START * 2 + w + kneser_ney.END] for i in range(len(w) + 1) for k in range(4) for g in [m[max(0, i + 3 - k) : i + 3]]})
+    keys = kneser_ney.gram_hashes(grams)
+    rng = np.random.default_rng(7)
+    entries, toxic = (kneser_ney.Entries(keys, -rng.random(len(keys)) * 9, -rng.random(len(keys))) for _ in range(2))
+
+    def scores(forget_after):
+        table, found = kneser_ney.WordScores(entries, 3, None, toxic), []
+        for i in range(0, 300, 10):
+            texts = [r2.choices(words[max(0, i - 60) : i + 10], k=12) for r2 in [random.Random(i)] for _ in range(5)]
+            ids = [table.ids(t) for t in texts]
+            table.learn()
+            found += [table.of_text(x) for x in ids]
+            if len(table) >= forget_after:
+                table.forget()
+        return found
+
+    assert scores(1) == scores(40) == scores(10**6)
+
+
 def test_classifier_rejects_foreign_words_and_keeps_clean(spark):
     r = random.Random(17)
     syllables = ["the", "an", "re", "er", "on", "in", "ed", "nd", "ha", "at", "es", "or", "ti", "st"]
