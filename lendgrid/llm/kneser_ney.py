@@ -42,6 +42,7 @@ import uuid
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,8 @@ LETTERS = START + "".join(chr(0x100 + i) for i in range(4 * (LONGEST_TURN + 1)))
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Rows of a model that is broadcast (24 bytes each in a worker: hash, probability, weight).
 MOST_ENTRIES = 3_000_000
+#: Parts in which such a model comes to the driver.
+MODEL_PARTS = 16
 TAIL_SHARE, TAIL_LEAST = 0.012, 2
 #: Quantiles of the trusted documents' scores.
 MEAN_QUANTILE, TAIL_QUANTILE, TURN_QUANTILE, FOUL_QUANTILE = 0.995, 0.99, 0.995, 0.95
@@ -85,6 +88,11 @@ def texts_of(docs: DataFrame) -> DataFrame:
                        F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
+def word_shape(word: str) -> int:
+    """Whether a word begins with a capital (2), and whether it ends with a mark (1)."""
+    return 2 * word[0].isupper() + (not word[-1].isalnum())
+
+
 class WordIds(dict):
     """word -> a number of its own, by which its shape is found."""
 
@@ -93,7 +101,7 @@ class WordIds(dict):
         self.shapes = array("b")
 
     def __missing__(self, word: str) -> int:
-        self.shapes.append(2 * word[0].isupper() + (not word[-1].isalnum()))
+        self.shapes.append(word_shape(word))
         self[word] = number = len(self)
         return number
 
@@ -123,6 +131,30 @@ def turn_gram(code: int) -> str:
     return "".join(LETTERS[code // len(LETTERS) ** i % len(LETTERS)] for i in range(TURN_ORDER - 1, -1, -1))
 
 
+def word_grams(words: Counter, order: int) -> tuple[list[str], np.ndarray]:
+    """The n-grams of ``order`` characters of all words with their marks, and how often each occurs."""
+    if not words:
+        return [], np.zeros(0, np.int64)
+    text = "".join(START * (order - 1) + w + END for w in words)
+    places = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    lengths = places + order - 1
+    begins = np.repeat(np.cumsum(lengths) - lengths - (np.cumsum(places) - places), places) + np.arange(places.sum())
+    points = code_points(text).astype(np.int64)
+    used = np.zeros(points.max() + 1, bool)
+    used[points] = True
+    rank, base = (np.cumsum(used) - 1)[points], int(used.sum())  # characters as small numbers
+    code = rank[begins]
+    for i in range(1, order):
+        if (int(code.max()) + 1) * base >= 1 << 62:
+            code = np.unique(code, return_inverse=True)[1]
+        code = code * base + rank[begins + i]
+    by = np.argsort(code)
+    ordered = code[by]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    n = np.add.reduceat(np.repeat(np.fromiter(words.values(), np.int64, len(words)), places)[by], first)
+    return [text[b : b + order] for b in begins[by[first]].tolist()], n
+
+
 def ngram_counts(texts: DataFrame, order: int, turns: bool = False) -> DataFrame:
     """(lang, gram, n): how often each n-gram of ``order`` characters occurs in all words,
     and with ``turns`` each of TURN_ORDER letters for words, under TURNS + lang."""
@@ -138,18 +170,16 @@ def ngram_counts(texts: DataFrame, order: int, turns: bool = False) -> DataFrame
                 coded[lang] = coded.get(lang, 0) + np.bincount(np.concatenate(codes), minlength=len(LETTERS) ** TURN_ORDER)
             waiting.clear()
 
+        def rows(lang: str, grams: list[str], n) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(n, pa.int64())], ["lang", "gram", "n"])
+
         def grams() -> Iterator[pa.RecordBatch]:
             add_up()
             found = {TURNS + lang: Counter({turn_gram(c): int(n[c]) for c in np.flatnonzero(n).tolist()}) for lang, n in coded.items()}
+            for lang, n in found.items():
+                yield rows(lang, list(n), list(n.values()))
             for lang, words in held.items():
-                counts = found[lang] = Counter()
-                for word, n in words.items():
-                    marked = START * (order - 1) + word + END
-                    for i in range(len(word) + 1):
-                        counts[marked[i : i + order]] += n
-            for lang, counts in found.items():
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                                                 ["lang", "gram", "n"])
+                yield rows(lang, *word_grams(words, order))
             held.clear(), coded.clear(), numbers.clear()
 
         n_waiting = 0
@@ -313,34 +343,39 @@ class WordScores(WordIds):
         self.entries, self.order, self.turns, self.toxic = entries, order, turns, toxic
         self.losses, self.chars, self.foul = array("d"), array("q"), array("d")
         self.new: list[str] = []
-        self.new_at = array("q")
-        self.old: tuple[dict, array, array, array] = ({}, self.losses, self.chars, self.foul)
+        self.old = ({}, self.losses, self.chars, self.foul, self.shapes)
         self.turn_losses = np.full(len(LETTERS) ** TURN_ORDER, np.nan)
 
     def __missing__(self, word: str) -> int:
-        numbers, losses, chars, foul = self.old
-        if (number := numbers.get(word)) is not None:
-            self.losses.append(losses[number]), self.chars.append(chars[number]), self.foul.append(foul[number])
-        else:
-            self.new.append(START * (self.order - 1) + word + END), self.new_at.append(len(self))
-            self.losses.append(0.0), self.chars.append(len(word) + 1), self.foul.append(0.0)
-        return super().__missing__(word)
+        self.new.append(word)
+        self[word] = number = len(self)
+        return number
 
     def learn(self) -> None:
-        """The scores of the words met since the last call."""
+        """The scores of the words met since the last call: those of the old generation, and new ones."""
         if not self.new:
             return
-        at = np.frombuffer(self.new_at, np.int64)
-        losses = self.entries.losses(self.new, self.order)
-        np.frombuffer(self.losses)[at] = losses
-        if self.toxic:
-            ratio = np.minimum(losses - self.toxic.losses(self.new, self.order), MOST_FOUL)
-            np.frombuffer(self.foul)[at] = np.log(1 - FOUL_WEIGHT + FOUL_WEIGHT * np.exp(ratio))
-        del at
-        self.new, self.new_at = [], array("q")
+        known = np.fromiter(map(self.old[0].get, self.new, repeat(-1)), np.int64, len(self.new))
+        losses, chars, foul, shapes = (np.zeros(len(known), t) for t in (np.float64, np.int64, np.float64, np.int8))
+        met, at = np.flatnonzero(known >= 0), np.flatnonzero(known < 0)
+        if len(met):
+            for values, old in zip((losses, chars, foul, shapes), self.old[1:]):
+                values[met] = np.frombuffer(old, values.dtype)[known[met]]
+        if len(at):
+            words = [self.new[i] for i in at.tolist()]
+            marked = [START * (self.order - 1) + w + END for w in words]
+            losses[at] = self.entries.losses(marked, self.order)
+            chars[at] = np.fromiter(map(len, words), np.int64, len(words)) + 1
+            shapes[at] = [word_shape(w) for w in words]
+            if self.toxic:
+                ratio = np.minimum(losses[at] - self.toxic.losses(marked, self.order), MOST_FOUL)
+                foul[at] = np.log(1 - FOUL_WEIGHT + FOUL_WEIGHT * np.exp(ratio))
+        for held, values in zip((self.losses, self.chars, self.foul, self.shapes), (losses, chars, foul, shapes)):
+            held.frombytes(values.tobytes())
+        self.new = []
 
     def forget(self) -> None:
-        self.old = (dict(self), self.losses, self.chars, self.foul)
+        self.old = (dict(self), self.losses, self.chars, self.foul, self.shapes)
         self.clear()
         self.losses, self.chars, self.foul = array("d"), array("q"), array("d")
 
@@ -406,10 +441,9 @@ def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int) -> Dat
             data = [b"".join(v[lang == i].tobytes() for v in values) for i in range(len(names.dictionary))]
             yield pa.RecordBatch.from_arrays([names.dictionary, pa.array(data, pa.binary())], ["lang", "data"])
 
-    # At most 24 bytes for each of ``most_entries`` rows, once on the driver and once in a worker.
-    rows = entries.select("lang", "gram", "logp", "bow").mapInArrow(packed, "lang string, data binary").toArrow()
-    shared = spark.sparkContext.broadcast(list(zip(rows.column("lang").to_pylist(), rows.column("data").to_pylist())))
-    del rows
+    # At most 24 bytes for each of ``most_entries`` rows, on the driver and in a worker; they come a part after the other.
+    rows = entries.select("lang", "gram", "logp", "bow").coalesce(MODEL_PARTS).mapInArrow(packed, "lang string, data binary")
+    shared = spark.sparkContext.broadcast([(r["lang"], bytes(r["data"])) for r in rows.toLocalIterator()])
     number = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
