@@ -5,12 +5,12 @@ page. A line has its text and the number of tags seen in it; their ratio, with
 a logarithm, is its density. Densities are smoothed by a Gaussian over the
 neighbouring lines, and split into content and the rest by two-means threshold
 clustering. Menus, notices and other boilerplate that their element names
-itself (tag, role, class or id) can't be content.
+itself (tag, role, class or id) can't be content. A name that only holds such a
+word among others (``share-price``) is a doubt, which the density decides.
 
-The content lines then select a content region: the article or main element
-that holds most of their text, else the deepest plain container that holds
-nearly all of it, else the page. The region's own lines are the main text, so
-a short paragraph in the middle or at the end of an article isn't lost.
+Every line that the density calls content is main text, and the regions these lines
+select add the short lines among them: all article or main elements if these hold most of it, else the deepest plain container that holds nearly all of it. With
+articles on the page, lines outside of them are not part of one.
 """
 
 from __future__ import annotations
@@ -38,17 +38,24 @@ CONTAINERS = frozenset("article main section div body td".split())
 CLOSES = {**{t: ("p",) for t in BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "dd", "dt", "option", "optgroup"}},
           "li": ("p", "li"), "dd": ("p", "dd", "dt"), "dt": ("p", "dd", "dt"), "tr": ("p", "td", "th", "tr"), "td": ("p", "td", "th"), "th": ("p", "td", "th"),
           "tbody": ("p", "td", "th", "tr", "thead", "tbody"), "option": ("option",)}
-#: Words in a class, id or role that name boilerplate.
+# Words in a class, id or role that name boilerplate, whatever stands beside them; those that do so
+# alone or beside words of place and form; and these.
 NAMED = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent contentinfo cookie cookies"
-    " disqus footer form header menu menus modal nav navbar navigation newsletter notice notices pagination popup popover promo promoted promotion"
-    " related recommended replies reply respond search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription"
-    " toc toolbar tooltip widget widgets complementary alert alertdialog banners masthead topbar".split())
+    "advert adverts advertisement advertising breadcrumb breadcrumbs comment comments commentlist contentinfo cookie cookies disqus footer masthead"
+    " modal navbar newsletter pagination popover popup sidebar sidebars sponsored toolbar tooltip topbar".split())
+AMBIGUOUS = frozenset(
+    "ad ads adv alert alertdialog banner banners complementary consent form header menu menus nav navigation notice notices promo promoted promotion"
+    " recommended related replies reply respond search share sharing signup skip social sponsor subscribe subscription toc widget widgets".split())
+PLACE = frozenset(
+    "area bar bottom box btn button buttons block container content global group holder icon icons inner item items left links link list main mobile"
+    " outer page panel posts post primary right row secondary section site slot sticky sub text title top unit wrap wrapper".split())
 #: A class that begins with these tells what an element has, not what it is.
 ABOUT = frozenset("has is no non not with without".split())
 SPLIT_NAME = re.compile(r"[^a-z0-9]+")
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
-SPACE = re.compile(r"[\s​]+")
+SPACE = re.compile(r"\s+")
+#: What an element's names say of it.
+CONTENT, DOUBT, BOILER = 0, 1, 2
 
 SIGMA = 1.5
 #: Share of the content lines' text that a region has to hold.
@@ -56,39 +63,61 @@ MOST = 0.5
 NEARLY_ALL = 0.9
 
 
-def is_boilerplate(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    if tag in BOILERPLATE:
-        return True
+def named(name: str) -> int:
+    """What one class, id or role says of its element."""
+    words = [w for w in SPLIT_NAME.split(CAMEL.sub("-", name).lower()) if w]
+    if not words or words[0] in ABOUT:
+        return CONTENT
+    if any(w in NAMED for w in words):
+        return BOILER
+    if not any(w in AMBIGUOUS for w in words):
+        return CONTENT
+    return BOILER if all(w in AMBIGUOUS or w in PLACE or w.isdigit() for w in words) else DOUBT
+
+
+def says(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> int:
+    """What an element's tag and attributes say of it. A header within an article has its headline."""
+    if tag in BOILERPLATE and not (tag == "header" and in_article):
+        return BOILER
+    found = CONTENT
     for name, value in attrs:
-        if name in ("class", "id", "role") and value and tag not in ("body", "html", "article", "main"):
-            for one in CAMEL.sub("-", value).lower().split():
-                words = SPLIT_NAME.split(one)
-                if words[0] not in ABOUT and any(w in NAMED for w in words):
-                    return True
-        elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and value and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and value and re.search(r"display\s*:\s*none", value):
+            return BOILER
+        if name in ("class", "id", "role") and value and tag not in ("body", "html", "main"):
+            for one in value.split():
+                if tag == "article":  # listings name their articles by topic and form
+                    found = max(found, BOILER if one.lower() in NAMED | AMBIGUOUS else CONTENT)
+                elif not (tag == "header" and one.lower() == "header"):
+                    found = max(found, named(one))
+    return found
 
 
 class Lines(HTMLParser):
-    """Lines of a page: text, tags, the chain of open containers, whether in boilerplate."""
+    """Lines of a page: text, tags, the chain of open containers, and what the open elements say."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool, bool]] = []  # tag, container number, boilerplate, silent
-        self.containers: list[tuple[str, int, bool]] = [("page", -1, False)]  # tag, parent, boilerplate
-        self.lines: list[tuple[str, int, int, bool]] = []  # text, tags, container, boilerplate
+        self.open: list[tuple[str, int, int, bool]] = []  # tag, container number, what it says, silent
+        self.containers: list[tuple[str, int, int]] = [("page", -1, CONTENT)]  # tag, parent, what it says
+        self.lines: list[tuple[str, int, int, int]] = []  # text, tags, container, what its elements say
         self.text: list[str] = []
         self.tags = 0
 
-    def here(self) -> tuple[int, bool, bool]:
-        return self.open[-1][1:] if self.open else (0, False, False)
+    def here(self) -> tuple[int, int, bool]:
+        return self.open[-1][1:] if self.open else (0, CONTENT, False)
+
+    def in_article(self, container: int) -> bool:
+        while container > 0:
+            if self.containers[container][0] == "article":
+                return True
+            container = self.containers[container][1]
+        return False
 
     def end_line(self) -> None:
         text = SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            container, boilerplate, _ = self.here()
-            self.lines.append((text, self.tags, container, boilerplate))
+            container, said, _ = self.here()
+            self.lines.append((text, self.tags, container, said))
             self.tags = 0
         self.text = []
 
@@ -102,14 +131,14 @@ class Lines(HTMLParser):
             self.text.append(" ")
         if tag in VOID:
             return
-        container, boilerplate, silent = self.here()
-        boilerplate = tag != "main" and (boilerplate or is_boilerplate(tag, attrs))
+        container, said, silent = self.here()
+        said = CONTENT if tag == "main" else max(said, says(tag, attrs, tag == "header" and self.in_article(container)))
         if tag in CONTAINERS:
             role = dict(attrs).get("role")
             itemprop = dict(attrs).get("itemprop")
-            self.containers.append(("main" if role == "main" else "article" if role == "article" or itemprop == "articleBody" else tag, container, boilerplate))
+            self.containers.append(("main" if role == "main" else "article" if role == "article" or itemprop == "articleBody" else tag, container, said))
             container = len(self.containers) - 1
-        self.open.append((tag, container, boilerplate, silent or tag in SILENT))
+        self.open.append((tag, container, said, silent or tag in SILENT))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)  # HTML ignores the slash
@@ -146,9 +175,9 @@ def page_lines(html: str) -> Lines:
     return parser
 
 
-def content_lines(lines: list[tuple[str, int, int, bool]], sigma: float = SIGMA) -> np.ndarray:
+def content_lines(lines: list[tuple[str, int, int, int]], sigma: float = SIGMA) -> np.ndarray:
     """Which lines are content: smoothed densities above a two-means threshold, and not boilerplate."""
-    density = np.array([0.0 if boilerplate else math.log1p(len(text) / max(1, tags)) for text, tags, _, boilerplate in lines])
+    density = np.array([0.0 if said == BOILER else math.log1p(len(text) / max(1, tags)) for text, tags, _, said in lines])
     reach = max(1, math.ceil(3 * sigma))
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
     smooth = np.convolve(density, kernel, "full")[reach : reach + len(density)] / np.convolve(np.ones(len(density)), kernel, "full")[reach : reach + len(density)]
@@ -162,13 +191,18 @@ def content_lines(lines: list[tuple[str, int, int, bool]], sigma: float = SIGMA)
         if np.allclose(new, (low, high)):
             break
         low, high = new
-    own = np.array([not boilerplate for *_, boilerplate in lines])
-    content = (smooth >= (low + high) / 2) & own
-    return content if content.any() else own
-
-
-def region(page: Lines, content: np.ndarray) -> int:
-    """Number of the container that is the content region."""
+    threshold = (low + high) / 2
+    content = (smooth >= threshold) & np.array([said != BOILER for *_, said in lines])
+    # A dense line beside content is content too, though the menu on its other side drags its smoothed density down.
+    for order in (range(1, len(lines)), range(len(lines) - 2, -1, -1)):
+        step = 1 if order.step < 0 else -1
+        for i in order:
+            content[i] |= content[i + step] and lines[i][3] == CONTENT and density[i] >= threshold
+    return content if content.any() else np.array([said == CONTENT for *_, said in lines])
+
+
+def regions(page: Lines, content: np.ndarray) -> tuple[set[int], bool]:
+    """(numbers of the containers that are content regions, whether they are articles)."""
     held = [0] * len(page.containers)
     for (text, _, container, _), is_content in zip(page.lines, content):
         if is_content:
@@ -176,23 +210,32 @@ def region(page: Lines, content: np.ndarray) -> int:
     for i in range(len(held) - 1, 0, -1):  # a container comes after its parent
         held[page.containers[i][1]] += held[i]
     for kind in ("article", "main"):
-        found = [i for i, (tag, _, boilerplate) in enumerate(page.containers) if tag == kind and not boilerplate and held[i]]
-        if found:
-            best = max(found, key=lambda i: (held[i], -i))
-            if held[best] >= MOST * held[0]:
-                return best
-    return max((i for i in range(len(held)) if held[i] >= NEARLY_ALL * held[0] and not page.containers[i][2]), default=0)
+        found = {i for i, (tag, _, said) in enumerate(page.containers) if tag == kind and said != BOILER}
+        outer = {i for i in found if not found & set(ancestors(page, i))}
+        if sum(held[i] for i in outer) >= MOST * held[0] and outer:
+            return outer, True
+    return {max((i for i in range(len(held)) if held[i] >= NEARLY_ALL * held[0] and page.containers[i][2] == CONTENT), default=0)}, False
+
+
+def ancestors(page: Lines, container: int) -> Iterator[int]:
+    while (container := page.containers[container][1]) >= 0:
+        yield container
 
 
 def main_text(html: str) -> str:
     page = page_lines(html)
     if not page.lines:
         return ""
-    best = region(page, content_lines(page.lines))
-    inside = [i == best for i in range(len(page.containers))]
-    for i in range(best + 1, len(inside)):
-        inside[i] = inside[page.containers[i][1]]
-    return "\n".join(text for text, _, container, boilerplate in page.lines if inside[container] and not boilerplate)
+    content = content_lines(page.lines)
+    found, articles = regions(page, content)
+    inside = [i in found for i in range(len(page.containers))]
+    for i in range(1, len(inside)):
+        inside[i] = inside[i] or inside[page.containers[i][1]]
+    kept = []
+    for (text, _, container, said), is_content in zip(page.lines, content):
+        if said != BOILER and (is_content if said == DOUBT else inside[container] or is_content) and (inside[container] or not articles):
+            kept.append(text)
+    return "\n".join(kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -200,8 +243,9 @@ def extract(pages: DataFrame) -> DataFrame:
 
     ``text`` has one line per block, white space in it made one space; it is empty
     if the html is null, empty or holds no text outside boilerplate. A null
-    page_id or url stays null, a repeated row is returned again, an empty table
-    gives an empty table, and columns other than these three are not read.
+    page_id or url stays null, a repeated row is returned again, html of any length is
+    parsed whole, by itself, an empty table gives an empty table, and columns other than these
+    three are not read.
     """
     ship_package(pages.sparkSession)
 
