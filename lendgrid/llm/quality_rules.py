@@ -3,18 +3,23 @@
 Base counts come from the whole text, by DataFrame functions alone. Four ratios
 made of them (and the mean word length, both ways) are then held against fences of
 their own group of documents, a language in a source. A fence comes from the group's
-quantiles, which are read from a mergeable KLL sketch: every task sketches its
-rows, and sketches of a group are merged. Documents meet their group's fences by
-a join, so no cutoff is fixed for all.
+quantiles, which are read from a mergeable sketch: a ratio's values are counted in
+bins whose bounds grow by a fixed factor, so a quantile is known to a fixed relative
+error, and sketches are merged by adding up counts. Unlike sketches that drop values
+at random, the result depends neither on the order of rows nor on how they are
+dealt: the same table has the same verdicts in every run. Documents meet their group's
+fences by a join, so no cutoff is fixed for all.
 
 A fence is ``center +- REACH * max(spread, least)``, with the group's median as
 center, the distance between its lower and upper quartile as spread, and
-``least`` the spread below which differences of that ratio say nothing.
+``least`` the spread below which differences of that ratio say nothing. A group's
+fences are drawn towards its language's, as if the language had ``PRIOR_DOCS``
+documents in the group, so that a few documents do not set fences of their own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import cut
 
@@ -25,10 +30,12 @@ SYMBOLS = "#*$%&|<>"
 RATIOS = {"mean_word_chars": (0.4, True), "symbol_ratio": (0.02, False), "dup_line_ratio": (0.12, False), "repeat_word_ratio": (0.08, False)}
 #: Spreads between the center and the fence.
 REACH = 4.0
-#: Accuracy parameter of the KLL sketches (rank error about 0.5 %).
-SKETCH_K = 400
-#: Groups with fewer documents use the fences of their language.
-LEAST_GROUP = 50
+#: Bounds of the sketch's bins grow by this factor, so a quantile is off by half a percent at most.
+GROWTH = 1.01
+#: Bin of the values below LEAST_VALUE, which are read as zero.
+ZERO_BIN, LEAST_VALUE = -100_000, 1e-6
+#: Weight of a language's fences in those of a group, in documents.
+PRIOR_DOCS = 50
 
 
 def words_of(text: Column) -> Column:
@@ -83,40 +90,41 @@ def with_ratios(rows: DataFrame) -> DataFrame:
 
 
 def sketches(rows: DataFrame) -> DataFrame:
-    """One sketch of every ratio for each language and source."""
-    return rows.groupBy("lang", "source").agg(
-        F.count("*").alias("n_docs"), *(F.kll_sketch_agg_double(r, SKETCH_K).alias(r) for r in RATIOS))
+    """(lang, source, ratio, bin, n): how many documents of each language and source have a ratio in each bin."""
+    bins = [F.struct(F.lit(r).alias("ratio"), F.when(F.col(r) < LEAST_VALUE, ZERO_BIN).otherwise(F.ceil(F.log(r) / F.log(F.lit(GROWTH)))).cast("long").alias("bin")) for r in RATIOS]
+    return (rows.select("lang", "source", F.explode(F.array(*bins)).alias("b")).groupBy("lang", "source", "b.ratio", "b.bin")
+            .agg(F.count("*").alias("n")))
 
 
-def fence_columns(prefix: str = "") -> list[Column]:
-    out = []
-    for r, (least, _) in RATIOS.items():
-        q = {p: F.kll_sketch_get_quantile_double(F.col(r), F.lit(p)) for p in (0.25, 0.5, 0.75)}
-        reach = F.lit(REACH) * F.greatest(q[0.75] - q[0.25], F.lit(least))
-        out += [(q[0.5] - reach).alias(f"{prefix}{r}_low"), (q[0.5] + reach).alias(f"{prefix}{r}_high")]
-    return out
+def sketch_fences(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """The number of documents and the fences (``<ratio>_low``, ``<ratio>_high``) of each group of a sketch."""
+    whole = Window.partitionBy(*keys, "ratio")
+    placed = counts.select(*keys, "ratio", "bin", F.sum("n").over(whole).alias("n_docs"), F.sum("n").over(whole.orderBy("bin")).alias("upto"))
+    at = placed.groupBy(*keys, "ratio", "n_docs").agg(*(F.min(F.when(F.col("upto") >= F.lit(p) * F.col("n_docs"), F.col("bin"))).alias(f"q{i}") for i, p in enumerate((0.25, 0.5, 0.75))))
+    low, center, high = (F.when(F.col(f"q{i}") == ZERO_BIN, 0.0).otherwise(2 * F.pow(F.lit(GROWTH), F.col(f"q{i}")) / (GROWTH + 1)) for i in range(3))
+    least = F.element_at(F.create_map(*(F.lit(x) for r, (spread, _) in RATIOS.items() for x in (r, spread))), F.col("ratio"))
+    reach = F.lit(REACH) * F.greatest(high - low, least)
+    sides = at.select(*keys, "ratio", "n_docs", (center - reach).alias("low"), (center + reach).alias("high"))
+    return sides.groupBy(*keys).agg(F.max("n_docs").alias("n_docs"), *(F.max(F.when(F.col("ratio") == r, F.col(side))).alias(f"{r}_{side}") for r in RATIOS for side in ("low", "high")))
 
 
 def fences(rows: DataFrame) -> DataFrame:
-    """The fences of every language and source, from merged sketches; a group of
-    fewer than ``LEAST_GROUP`` documents has the fences of its language."""
-    of_group = cut(sketches(rows), "sketches")
-    of_lang = (of_group.groupBy("lang").agg(*(F.kll_merge_agg_double(r, SKETCH_K).alias(r) for r in RATIOS))
-               .select("lang", *fence_columns("lang_")))
-    both = of_group.select("lang", "source", "n_docs", *fence_columns()).join(of_lang, "lang")
-    own = F.col("n_docs") >= LEAST_GROUP
+    """The fences of every language and source, drawn towards those of the language."""
+    counts = cut(sketches(rows), "sketches")
+    of_lang = sketch_fences(counts.groupBy("lang", "ratio", "bin").agg(F.sum("n").alias("n")), ["lang"]).drop("n_docs")
     names = [f"{r}_{side}" for r in RATIOS for side in ("low", "high")]
-    return both.select("lang", "source", *(F.when(own, F.col(c)).otherwise(F.col(f"lang_{c}")).alias(c) for c in names))
+    both = sketch_fences(counts, ["lang", "source"]).join(of_lang.withColumnsRenamed({c: f"lang_{c}" for c in names}), "lang")
+    return both.select("lang", "source", *(((F.col("n_docs") * F.col(c) + PRIOR_DOCS * F.col(f"lang_{c}")) / (F.col("n_docs") + PRIOR_DOCS)).alias(c) for c in names))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """Base counts, ratios, fences' verdicts (``<ratio>_ok``), base_failed and kept of every row.
 
-    A null text has no words and fails the base rules; a null lang or source is a
-    group of its own, written as the empty string; a repeated row is judged again;
-    an empty table gives an empty table; columns other than doc_id, text, lang and
-    source are not read. Fences are drawn from the documents that pass the base
-    rules; where there are none, nothing is judged by them.
+    A null text has no words and fails the base rules; a null lang or source is the
+    empty one; a repeated row is judged again; a ratio at its fence is within it; texts of any
+    length are counted whole, in one row; an empty table gives an empty table; columns other
+    than doc_id, text, lang and source are not read. Fences are drawn from the documents that
+    pass the base rules; where there are none, nothing is judged by them.
     """
     failed = (F.col("n_words") < 50) | (F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words"))
     rows = cut(with_ratios(base_counts(docs)).withColumn("base_failed", failed), "base-counts")
