@@ -44,6 +44,8 @@ SLICE, HELD_ANCHORS = 500, 500_000
 HOT = 2000
 #: Suffixes of a batch of the index family.
 BATCH = 1 << 17
+#: Bytes of text in a group of documents that one task takes up, on average.
+GROUP_BYTES = 64 << 20
 #: What a shard is sent.
 STRETCHES, FINGERPRINTS, MATCHED = 0, 1, 2
 NO_ID = np.iinfo(np.int64).max  # sorts rows without an id last
@@ -221,14 +223,17 @@ def remove_repeats(docs: DataFrame, length: int = 100, as_text: bool = False) ->
     Documents are in order of doc_id, rows without one last; rows that share a
     doc_id are in order of a hash of their texts, and of exact repeats of a row one
     counts as the first. A null text is empty. Texts shorter than ``length`` lose
-    nothing. An empty table gives an empty table. Columns that are called like
+    nothing; longer ones than PIECE are hashed in pieces that overlap, so nothing is missed at
+    their bounds. An empty table gives an empty table. Columns that are called like
     the added ones are replaced.
     """
     if length < ANCHOR:
         raise ValueError(f"length has to be {ANCHOR} at least")
     spark = docs.sparkSession
     ship_package(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Blocks, buckets and shards: as many as there are shuffle partitions, and more where the texts would fill them beyond GROUP_BYTES.
+    n_bytes = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // GROUP_BYTES))
     last = "text" if as_text else "kept"
     columns = [c for c in docs.columns if c not in ("text", "n_bytes", "spans", last)]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -409,19 +414,20 @@ def remove_repeats(docs: DataFrame, length: int = 100, as_text: bool = False) ->
         for number, data in enumerate(texts):
             at = of.get(number)
             if at is None:
-                spans.append([]), left.append(data)
+                spans.append([]), left.append([data])
                 continue
             at = at[np.argsort(start[at])]
             s, e = start[at], np.maximum.accumulate(start[at] + count[at] + length - 1)
             first = np.flatnonzero(np.r_[True, s[1:] > e[:-1]])
             s, e = s[first], e[np.r_[first[1:] - 1, len(e) - 1]]
             spans.append([{"start": a, "end": b} for a, b in zip(s.tolist(), e.tolist())])
-            left.append(b"".join(data[a:b] for a, b in zip([0, *e.tolist()], [*s.tolist(), len(data)])))
+            left.append([data[a:b] for a, b in zip([0, *e.tolist()], [*s.tolist(), len(data)])])
         if as_text:
+            # Each stretch by itself: what is left of two cut characters must not become a third one.
             nulls = _batches(table, "_null")
-            final = pa.array([None if null else d.decode("utf-8", "ignore") for d, null in zip(left, nulls)], pa.string())
+            final = pa.array([None if null else "".join(d.decode("utf-8", "ignore") for d in stretches) for stretches, null in zip(left, nulls)], pa.string())
         else:
-            final = pa.array(left, pa.binary())
+            final = pa.array([b"".join(stretches) for stretches in left], pa.binary())
         row = table.column("row").combine_chunks()
         return pa.Table.from_arrays([*(row.field(i) for i in range(row.type.num_fields)), pa.array([len(t) for t in texts], pa.int64()), pa.array(spans, span_type), final],
                                     [f.name for f in schema.fields])

@@ -269,6 +269,39 @@ def test_suffix_dedup_repeated_rows_nulls_and_columns(spark):
     assert suffix_dedup.remove_repeats(frame(spark, [a]).filter("doc_id < 0"), 100).count() == 0
 
 
+@pytest.mark.parametrize("letter", ["é", "あ", "𝄞"])
+def test_cut_characters_do_not_become_others(spark, letter):
+    r = random.Random(14)
+    middle = "".join(r.choices("abcdefgh", k=150))
+    first, other = "x" + letter + middle + letter + "y", "z" + letter + middle + letter + "w"
+    got = {x.doc_id: x.text for x in suffix_dedup.remove_repeats(frame(spark, [first, other, "q" * 99]), 100, as_text=True).select("doc_id", "text").collect()}
+    assert got == {0: first, 1: "zw", 2: "q" * 99}
+    # Other characters with the same last byte before and the same first byte behind: what repeats begins and ends within them.
+    before = next(c for c in map(chr, range(ord(letter) + 1, ord(letter) + 5000)) if len(c.encode()) == len(letter.encode()) and c.encode()[-1] == letter.encode()[-1])
+    behind = chr(ord(letter) + 1)
+    mixed = "z" + before + middle + behind + "w"
+    got = {x.doc_id: x.text for x in suffix_dedup.remove_repeats(frame(spark, [first, mixed]), 100, as_text=True).select("doc_id", "text").collect()}
+    assert got[1] == "zw"
+
+
+def test_a_text_longer_than_a_piece(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PIECE", 400)
+    r = random.Random(15)
+    long = "".join(r.choices("abcdef ", k=5000))
+    texts = [long, "x" + long[390:620] + "y", long[4800:], "".join(r.choices("abcdef ", k=3000)) + long[1000:1300]]
+    rows = suffix_dedup.remove_repeats(frame(spark, texts), 100)
+    got = rows.select("doc_id", "n_bytes", F.col("n_bytes") - F.octet_length("kept"), F.size("spans"), F.sha2("kept", 256)).collect()
+    assert sorted(map(tuple, got)) == brute_repeats(list(enumerate(texts)), 100)
+
+
+def test_groups_follow_the_size_of_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 2000)
+    texts = sample(18, 120, most=80) * 2
+    rows = suffix_dedup.remove_repeats(frame(spark, texts), 100)
+    got = rows.select("doc_id", "n_bytes", F.col("n_bytes") - F.octet_length("kept"), F.size("spans"), F.sha2("kept", 256)).collect()
+    assert sorted(map(tuple, got)) == brute_repeats(list(enumerate(texts)), 100)
+
+
 def test_levels_are_logarithmic():
     levels, r = suffix_dedup.Levels(), np.random.default_rng(10)
     seen = set()
