@@ -4,9 +4,12 @@ built-ins, so it stays inside whole-stage codegen (no Python UDFs)."""
 from lendgrid.functions.codes import case_map, decode, in_code_set, prefix_map
 from lendgrid.functions.dates import (
     coalesce_dates,
+    date_lit,
+    date_texts,
     norm_date,
     overdue_days,
     term_months,
+    text_date_between,
 )
 from lendgrid.functions.money import effective_rate, money, money_sum, rate
 from lendgrid.functions.text import concat_null_as_empty, rate_text, substr1, text_after
@@ -15,6 +18,8 @@ __all__ = [
     "case_map",
     "coalesce_dates",
     "concat_null_as_empty",
+    "date_lit",
+    "date_texts",
     "decode",
     "effective_rate",
     "in_code_set",
@@ -28,4 +33,5 @@ __all__ = [
     "substr1",
     "term_months",
     "text_after",
+    "text_date_between",
 ]

@@ -31,6 +31,44 @@ def norm_date(c: Column | str) -> Column:
     return F.when(F.year(parsed).between(1, 9999), parsed)
 
 
+def date_texts(d: dt.date) -> tuple[str, ...]:
+    """A date in each known layout."""
+    return tuple(p.replace("yyyy", f"{d.year:04d}").replace("MM", f"{d.month:02d}").replace("dd", f"{d.day:02d}") for p in DATE_PATTERNS)
+
+
+def text_date_between(c: Column | str, low: dt.date | None, high: dt.date | None) -> Column:
+    """``norm_date(c) BETWEEN low AND high`` of a text column, with bounds that reach the scan.
+
+    A function of the column hides it from the scan's statistics. Each layout sorts as its
+    dates do, with whatever follows the day, so the dates of a window lie in one range of raw
+    text a layout; texts with spaces before them are one range more. A row group outside all of
+    them is skipped, and the exact test decides about the rest. Bounds are inclusive, None is open.
+    """
+    c = _col(c)
+    after = None if high is None or high == dt.date.max else date_texts(high + dt.timedelta(days=1))
+    raw = (c >= F.lit(" ")) & (c < F.lit("!"))
+    for i in range(len(DATE_PATTERNS)):
+        inside = F.lit(True)
+        if low is not None:
+            inside = inside & (c >= F.lit(date_texts(low)[i]))
+        if after is not None:
+            inside = inside & (c < F.lit(after[i]))
+        raw = raw | inside
+    day, bounds = norm_date(c), [None if d is None else date_lit(d) for d in (low, high)]
+    if low is None and high is None:
+        exact = day.isNotNull()
+    elif high is None:
+        exact = day >= bounds[0]
+    else:
+        exact = day <= bounds[1] if low is None else day.between(*bounds)
+    return raw & exact
+
+
+def date_lit(d: dt.date) -> Column:
+    """A date of any year as a literal."""
+    return F.lit(f"{d.year:04d}-{d.month:02d}-{d.day:02d}").cast("date")
+
+
 def _lit_date(d: dt.date | Column) -> Column:
     return d if isinstance(d, Column) else F.lit(d)
 

@@ -20,11 +20,10 @@ def collect_concat(df: DataFrame, keys: Sequence[str], value: Column | str, sep:
     """Sorted, ``sep``-joined list of the text values per key
     (``CONCAT_WS(sep, COLLECT_LIST(v))`` with a defined order).
 
-    Built in two levels so one key with a huge list is not sorted in one task:
-    values are first joined per ``(key, first chunk_prefix characters)``; since
-    lexicographic order is monotone under truncation, sorting the chunks by
-    prefix and joining them gives the fully sorted list. The second level
-    handles at most one entry per distinct prefix per key.
+    For keys of bounded size (the vouchers of an application): values are first
+    joined per ``(key, first chunk_prefix characters)``, and these chunks, in order,
+    per key. Values with a common start are one chunk, so a key with very many
+    of them is sorted in one task; ``ordered_concat`` is for such keys.
     """
     v = (F.col(value) if isinstance(value, str) else value).cast("string")
     chunks = (df.select(*keys, v.alias("__v")).where(F.col("__v").isNotNull())
@@ -34,3 +33,20 @@ def collect_concat(df: DataFrame, keys: Sequence[str], value: Column | str, sep:
     return chunks.groupBy(*keys).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__p", "__chunk"))),
                                  lambda s: s["__chunk"]), sep).alias(out))
+
+
+def ordered_concat(df: DataFrame, keys: Sequence[str], value: Column | str, sep: str, out: str) -> DataFrame:
+    """``collect_concat`` for keys with any number of values: the same sorted,
+    ``sep``-joined list.
+
+    All rows are range-partitioned by key and value (and, among equal values, by row), so a hot
+    key lies in as many ranges as it fills. A range is a piece of its keys' lists; pieces are
+    sorted and joined each by itself, and a key's pieces are joined by their number. Until
+    that last step, whose output is one text a key, no task holds more of a key than a range.
+    """
+    v = (F.col(value) if isinstance(value, str) else value).cast("string")
+    ranged = (df.select(*keys, v.alias("__v")).where(F.col("__v").isNotNull()).withColumn("__row", F.monotonically_increasing_id())
+              .repartitionByRange(*keys, "__v", "__row").withColumn("__piece", F.spark_partition_id()))
+    pieces = ranged.groupBy(*keys, "__piece").agg(F.array_join(F.array_sort(F.collect_list("__v")), sep).alias("__text"))
+    numbered = F.array_sort(F.collect_list(F.struct("__piece", "__text")))
+    return pieces.groupBy(*keys).agg(F.array_join(F.transform(numbered, lambda s: s["__text"]), sep).alias(out))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendgrid.operators.latest import first_flag
+from lendgrid.operators.latest import first_flag, latest_by
 
 # The 137 ledger column names, in the order the target ledger
 # declares them, and the six segment tags in load order.
@@ -127,6 +127,15 @@ def split_segments(base: DataFrame, specs: Sequence[tuple[str, Column, Mapping[s
     return conform(rows, schema) if schema is not None else rows
 
 
+def first_loans(rows: DataFrame, cust: str = "cust_id", order: tuple[str, ...] = ("drawdown_dt", "loan_num"),
+                row_key: tuple[str, ...] = ("loan_num", "date_sourcesd")) -> DataFrame:
+    """The row keys of each customer's first loan across all sources (``flag_first_loan`` marks
+    these rows): a top-1 per customer, so a customer's rows never meet in one task."""
+    extra = [k for k in row_key if k not in order]
+    firsts = latest_by(rows.select(cust, *order, *extra), [cust], [F.col(c).asc_nulls_last() for c in [*order, *extra]])
+    return firsts.select(*row_key).dropna().distinct()
+
+
 def flag_first_loan(ledger: DataFrame, flag: str = "is_first_report_loan_tag",
                     cust: str = "cust_id", order: tuple[str, ...] = ("drawdown_dt", "loan_num"),
                     row_key: tuple[str, ...] = ("loan_num", "date_sourcesd")) -> DataFrame:

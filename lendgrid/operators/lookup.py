@@ -82,6 +82,13 @@ def code_map(
     return j.withColumn(out, val).drop("__ori", "__new")
 
 
+def code_values(mapping: DataFrame, dict_code: str, prefix: str) -> DataFrame:
+    """One dictionary of a code table as a look-up frame (``{prefix}_key``,
+    ``{prefix}_new_values``) for ``attach_many``."""
+    return mapping.where(F.col("dict_code") == F.lit(dict_code)).select(
+        F.col("ori_values").alias(f"{prefix}_key"), F.col("new_values").alias(f"{prefix}_new_values"))
+
+
 def coalesce_lookup(
     df: DataFrame,
     key: str,

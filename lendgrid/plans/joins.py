@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from lendgrid.functions import money_sum
 from lendgrid.operators import (
-    code_map, coalesce_lookup, exists_flag, having_multi, lookup_unique,
-    membership_flag,
+    Lookup, attach_many, code_map, coalesce_lookup, exists_flag, having_multi, lookup_unique,
+    membership_flag, split_left_join,
 )
 from lendgrid.plans.frames import (
     EV_RUN, HIST_SQL, LOANS_SQL, RUN, SCHED_SQL, hist, loans, schedule, tables, with_sql,
@@ -400,3 +400,52 @@ def filter_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
             | ((F.col("loan_amt") > 300000) & ~(pri == "5-LOW") & (sts != "O"))
             | F.when(sts == "P", F.col("earliest_unpaid_dt")).isNotNull())
     return j.where(cond).select("loan_num", "loan_sts", "priority")
+
+
+@query("attach_many", with_sql(SCHED_SQL) + """,
+asks AS (SELECT *, CASE WHEN perd_no <= 3 THEN supp_id END AS payee_id FROM sched),
+pair AS (SELECT part_id, supp_id, COUNT(*) AS pair_lines, SUM(prcp_amt) AS pair_prcp FROM sched GROUP BY part_id, supp_id),
+drawn AS (SELECT o_custkey, COUNT(*) AS cust_loans FROM orders GROUP BY o_custkey),
+j AS (SELECT a.loan_num, a.perd_no, o.o_custkey AS cust_id, o.o_orderstatus AS loan_sts, p.p_brand AS part_brand, s.s_name AS payee_nam, s.s_nationkey,
+        pair_lines, pair_prcp
+      FROM asks a LEFT JOIN orders o ON o.o_orderkey = a.loan_num AND o.o_orderpriority <> '5-LOW' LEFT JOIN part p ON p.p_partkey = a.part_id
+      LEFT JOIN supplier s ON s.s_suppkey = a.payee_id LEFT JOIN pair ON pair.part_id = a.part_id AND pair.supp_id = a.payee_id)
+SELECT loan_num, perd_no, cust_id, loan_sts, part_brand, payee_nam, pair_lines, pair_prcp, c.c_mktsegment AS cust_segment, cust_loans, n.n_name AS payee_nation
+FROM j LEFT JOIN customer c ON c.c_custkey = j.cust_id LEFT JOIN drawn d ON d.o_custkey = j.cust_id LEFT JOIN nation n ON n.n_nationkey = j.s_nationkey""")
+def attach_many_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven look-ups on six keys, two levels deep: the lines of the schedule are shuffled twice
+    as wide rows, not once for every key."""
+    t = tables(spark, sf_dir)
+    s = schedule(t).select("loan_num", "perd_no", "part_id", "supp_id", "prcp_amt")
+    lines = s.select("loan_num", "perd_no", "part_id", F.when(F.col("perd_no") <= 3, F.col("supp_id")).alias("payee_id"))
+    orders = t.read("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    loan = orders.where(F.col("o_orderpriority") != "5-LOW").select(
+        F.col("o_orderkey").alias("l_key"), F.col("o_custkey").alias("cust_id"), F.col("o_orderstatus").alias("loan_sts"))
+    part = t.read("part", "p_partkey", "p_brand").select(F.col("p_partkey").alias("p_key"), F.col("p_brand").alias("part_brand"))
+    payee = t.read("supplier", "s_suppkey", "s_name", "s_nationkey").select(
+        F.col("s_suppkey").alias("s_key"), F.col("s_name").alias("payee_nam"), "s_nationkey")
+    pair = (s.groupBy(F.col("part_id").alias("pair_part"), F.col("supp_id").alias("pair_supp"))
+            .agg(F.count(F.lit(1)).alias("pair_lines"), money_sum("prcp_amt").alias("pair_prcp")))
+    first = attach_many(lines, [
+        Lookup(loan, ["l_key"], ["loan_num"]), Lookup(part, ["p_key"], ["part_id"]), Lookup(payee, ["s_key"], ["payee_id"]),
+        Lookup(pair, ["pair_part", "pair_supp"], ["part_id", "payee_id"], unique=True)], row_key=["loan_num", "perd_no"])
+    customer = t.read("customer", "c_custkey", "c_mktsegment").select(F.col("c_custkey").alias("c_key"), F.col("c_mktsegment").alias("cust_segment"))
+    drawn = orders.groupBy(F.col("o_custkey").alias("d_key")).agg(F.count(F.lit(1)).alias("cust_loans"))
+    nation = _nation(t, "n_nationkey", "n_name").select(F.col("n_nationkey").alias("n_key"), F.col("n_name").alias("payee_nation"))
+    second = attach_many(first, [
+        Lookup(customer, ["c_key"], ["cust_id"]), Lookup(drawn, ["d_key"], ["cust_id"], unique=True),
+        Lookup(nation, ["n_key"], ["s_nationkey"])], row_key=["loan_num", "perd_no"])
+    return second.select("loan_num", "perd_no", "cust_id", "loan_sts", "part_brand", "payee_nam", "pair_lines", "pair_prcp",
+                         "cust_segment", "cust_loans", "payee_nation")
+
+
+@query("split_left_join", with_sql(SCHED_SQL) + """,
+asks AS (SELECT loan_num, perd_no, CASE WHEN perd_no <= 2 THEN NULL WHEN rtn_flag = 'N' THEN 1 ELSE supp_id END AS payee_id FROM sched)
+SELECT a.loan_num, a.perd_no, a.payee_id, s.s_name AS payee_nam FROM asks a LEFT JOIN supplier s ON s.s_suppkey = a.payee_id""")
+def split_left_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A look-up where some third of the rows has no key and another third the same one."""
+    t = tables(spark, sf_dir)
+    payee = F.when(F.col("perd_no") > 2, F.when(F.col("rtn_flag") == "N", F.lit(1).cast("long")).otherwise(F.col("supp_id")))
+    lines = schedule(t).select("loan_num", "perd_no", payee.alias("payee_id"))
+    names = t.read("supplier", "s_suppkey", "s_name").select(F.col("s_suppkey").alias("s_key"), F.col("s_name").alias("payee_nam"))
+    return split_left_join(lines, names, {"payee_id": "s_key"}).whole().select("loan_num", "perd_no", "payee_id", "payee_nam")

@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendgrid.functions import decode, money_sum, overdue_days
+from lendgrid.job import LedgerJob, read_ledger
 from lendgrid.operators import agg_join, first_flag
 from lendgrid.operators.ledger import LEDGER, conform, flag_first_loan, split_segments, union_segments  # noqa: F401
 from lendgrid.plans.frames import RUN, SCHED_SQL, loans, schedule, tables, with_sql
 from lendgrid.plans.registry import query
 from lendgrid.rundate import RunDate
 from lendgrid.session import ensure_checkpoint_dir
-from lendgrid.sources import RunLog, Tables, read_slice, replace_slice
+from lendgrid.sources import PublishedSlices, RunLog, Tables, read_slice, replace_slice, write_bucketed
 
 OUT_COLS = ["loan_num", "date_sourcesd", "data_date", "cust_id", "drawdown_dt", "drawdown_amt", "maturity_dt",
             "od_days", "od_flg", "acct_sts", "p_od_dt", "i_od_dt", "year_int_incom", "od_loan_acct_bal",
@@ -195,6 +196,8 @@ def segment_rowcounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PRIOR = RunDate(RUN.prior_month)
+#: Buckets of a stored slice; on a cluster about its bytes / 128 MB, the same for all dates.
+SLICE_BUCKETS = 8
 _OUT = T.StructType([LEDGER[c] for c in OUT_COLS])
 
 
@@ -222,6 +225,22 @@ def prior_period_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("p_loan").isNull(), "Y").otherwise("N").alias("new_loan_flg"))
 
 
+@query("colocated_slices", with_sql(SCHED_SQL, _ledger_sql("1998-06-30"), _ledger_sql(PRIOR.d.isoformat(), "prior")) + """
+SELECT c.loan_num, c.date_sourcesd, c.od_days, p.od_days AS prev_od_days, p.p_od_dt AS prev_p_od_dt
+FROM ledger c LEFT JOIN prior p ON p.loan_num = c.loan_num AND p.date_sourcesd = c.date_sourcesd""")
+def colocated_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored slices, dealt and sorted by the row key when they were written, joined as they lie."""
+    t = tables(spark, sf_dir)
+    root, keys = _scratch_ledger(spark), ["loan_num", "date_sourcesd"]
+
+    def stored(run: RunDate) -> DataFrame:
+        rows = narrow_slice(t, run).select(*keys, "od_days", "p_od_dt")
+        return write_bucketed(rows, f"slice_{run.d8}_{uuid.uuid4().hex}", f"{root}/{run.d8}", keys, SLICE_BUCKETS)
+
+    prior = stored(PRIOR).withColumnsRenamed({"od_days": "prev_od_days", "p_od_dt": "prev_p_od_dt"})
+    return stored(RUN).hint("merge").join(prior, keys, "left").select(*keys, "od_days", "prev_od_days", "prev_p_od_dt")
+
+
 @query("replace_slice", with_sql(SCHED_SQL, _ledger_sql("1998-06-30"), _ledger_sql(PRIOR.d.isoformat(), "prior")) + f"""
 SELECT {_OUT_SQL} FROM ledger UNION ALL SELECT {_OUT_SQL} FROM prior""")
 def replace_slice_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,6 +258,36 @@ def replace_slice_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_slice(spark, root, _OUT).select(*OUT_COLS)
 
 
+@query("publish_slices", with_sql(SCHED_SQL, _ledger_sql("1998-06-30"), _ledger_sql(PRIOR.d.isoformat(), "prior")) + f"""
+SELECT {_OUT_SQL} FROM ledger UNION ALL SELECT {_OUT_SQL} FROM prior""")
+def publish_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve slices (two dates, six systems) published by one write to the manifest, then
+    two of them again, then a run that dies before its publication. Readers must see
+    both dates whole: nothing twice, nothing of the run that died."""
+    t = tables(spark, sf_dir)
+    store = PublishedSlices(spark, _scratch_ledger(spark), _OUT, ["data_date", "date_sourcesd"])
+    version = store.stage(ledger_slice(t, PRIOR).select(*OUT_COLS).unionByName(ledger_slice(t, RUN).select(*OUT_COLS)))
+    store.publish(store.staged_counts(version), version)
+    again = store.stage(store.read(data_date=RUN.d8).where(F.col("date_sourcesd").isin("PL_2", "BS_5")))
+    store.publish({(RUN.d8, "PL_2"): 0, (RUN.d8, "BS_5"): 0} | store.staged_counts(again), again)
+    store.stage(store.read(date_sourcesd="CL_1").withColumn("od_days", F.lit(-1)))
+    return store.read().select(*OUT_COLS)
+
+
+@query("first_loan_update", with_sql(SCHED_SQL, _ledger_sql("1998-06-30")) + f"""
+SELECT {_OUT_SQL} FROM ledger""")
+def first_loan_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The date loaded by the ledger job in three partial runs. Each derives the first loans of
+    the whole date and updates the marks of the other systems' rows it changes, so the
+    result equals one load of all six."""
+    base = base_measures(tables(spark, sf_dir), RUN).checkpoint()  # read by all six segments
+    own = segments(base, RUN)
+    root = _scratch_ledger(spark)
+    for tags in (("CL_1", "XL_6"), ("NL_3", "BS_5"), ("PL_2", "WBYXNL_4")):
+        LedgerJob(spark, None, RUN, root, {tag: (lambda catalog, run, rows=own[tag]: rows) for tag in tags}).execute()
+    return read_ledger(spark, root, data_date=RUN.d8).select(*OUT_COLS)
+
+
 @query("loan_overview", with_sql(SCHED_SQL) + """,
 loans AS (SELECT o_orderkey AS loan_num, o_custkey AS cust_id, CAST(o_orderdate AS DATE) AS drawdown_dt,
                  CAST(o_totalprice AS DECIMAL(18,2)) AS loan_amt, o_orderstatus AS loan_sts

@@ -4,18 +4,20 @@ counts, overdue measures and pre-aggregated joins."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendgrid.functions import money_sum, overdue_days as overdue_days_expr
-from lendgrid.operators import agg_join, collect_concat, first_flag, latest_by, lookup_unique, top1_by_max
+from lendgrid.operators import agg_join, collect_concat, first_flag, latest_by, lookup_unique, ordered_concat, top1_by_max
 from lendgrid.plans.frames import (
     EV_RUN, HIST_SQL, LOANS_SQL, RUN, SCHED_SQL, hist, loans, schedule, tables, with_sql,
 )
 from lendgrid.plans.registry import query
 from lendgrid.rundate import RunDate
-from lendgrid.sources import as_of, event_window, partition_only
+from lendgrid.session import ensure_checkpoint_dir
+from lendgrid.sources import PublishedSlices, as_of, as_of_dates, date_window, event_window, partition_only
 
 D = RUN.d
 D_SQL = "DATE '1998-06-30'"
@@ -44,6 +46,49 @@ def asof_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_of(h, EV_RUN).select("user_id", "event_id", "event_type", "value", "begndt", "overdt")
 
 
+def _stored(df: DataFrame, name: str, *partition_cols: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back."""
+    path = ensure_checkpoint_dir(df.sparkSession).rstrip("/") + f"/lendgrid-{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_cols).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@query("asof_stored", with_sql(HIST_SQL) + """
+SELECT user_id, event_id, event_type, value, begndt, overdt FROM hist
+WHERE begndt <= DATE '2024-01-15' AND overdt > DATE '2024-01-15' AND partid = '202401'""")
+def asof_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The as-of read of a history table as it is stored, partitioned by month: of the
+    folders one is read, and the validity bounds reach its scan."""
+    stored = _stored(hist(tables(spark, sf_dir)), "history", "partid")
+    return as_of(stored, EV_RUN).select("user_id", "event_id", "event_type", "value", "begndt", "overdt")
+
+
+@query("asof_dates", with_sql(HIST_SQL) + """,
+days AS (SELECT CAST(d AS DATE) AS as_of_dt FROM generate_series(DATE '2024-01-01', DATE '2024-02-02', INTERVAL 1 DAY) AS g(d))
+SELECT as_of_dt, event_type, COUNT(*) AS n_rows, SUM(value) AS total
+FROM hist JOIN days ON begndt <= as_of_dt AND overdt > as_of_dt GROUP BY as_of_dt, event_type""")
+def asof_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state on 33 days of two months, from one scan of the history."""
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(33)]
+    rows = as_of_dates(hist(tables(spark, sf_dir)), days, part=None)
+    return rows.groupBy("as_of_dt", "event_type").agg(F.count(F.lit(1)).alias("n_rows"), money_sum("value").alias("total"))
+
+
+@query("text_date_window", with_sql(SCHED_SQL) + """
+SELECT loan_num, COUNT(*) AS n_lines, SUM(prcp_amt) AS total_prcp FROM sched
+WHERE due_dt BETWEEN DATE '1998-06-01' AND DATE '1998-06-30' AND perd_no <> 7 GROUP BY loan_num""")
+def text_date_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window over a stored text column of mixed layouts (compact, dashed, slashed, with a time
+    behind it, with a space before it, no date at all)."""
+    due = F.col("due_dt")
+    text = (F.when(F.col("perd_no") == 1, F.date_format(due, "yyyyMMdd")).when(F.col("perd_no") == 2, F.date_format(due, "yyyy/MM/dd"))
+            .when(F.col("perd_no") == 3, F.concat(due.cast("string"), F.lit(" 23:59:59"))).when(F.col("perd_no") == 4, F.concat(F.lit(" "), due.cast("string")))
+            .when(F.col("perd_no") == 7, F.lit("null")).otherwise(due.cast("string")))
+    lines = _stored(schedule(tables(spark, sf_dir)).select("loan_num", "prcp_amt", text.alias("due_text")), "text-dates")
+    inside = date_window(lines, "due_text", RUN.month_start, RUN.d)
+    return inside.groupBy("loan_num").agg(F.count(F.lit(1)).alias("n_lines"), money_sum("prcp_amt").alias("total_prcp"))
+
+
 @query("latest_by_partition", with_sql(HIST_SQL) + """
 SELECT user_id, event_id, event_type, begndt FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY begndt DESC, ts DESC, event_id DESC) AS rn
@@ -400,7 +445,12 @@ SELECT loan_num, last_due_dt,
   CASE WHEN last_due_dt < DATE '1998-06-30' THEN '2' ELSE '1' END AS loan_state
 FROM detail""")
 def detail_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = loan_detail(spark, sf_dir)
+    """The detail as it was written: published as the slice of its date, then read back."""
+    rows = loan_detail(spark, sf_dir).withColumn("rpt_dt", F.lit(D))
+    store = PublishedSlices(spark, ensure_checkpoint_dir(spark).rstrip("/") + f"/lendgrid-detail-{uuid.uuid4().hex}", rows.schema, ["rpt_dt"])
+    version = store.stage(rows)
+    store.publish(store.staged_counts(version), version)
+    d = store.read(rpt_dt=D.isoformat())
     p, i = F.col("od_prcp_amt"), F.col("od_int_amt")
     od_type = F.when((p > 0) & (i > 0), "03").when(p > 0, "01").when(i > 0, "02")
     state = F.when(F.col("last_due_dt") < F.lit(D), "2").otherwise("1")
@@ -520,3 +570,14 @@ def pivot_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         money_sum(F.when(r == "R", F.col("prcp_amt"))).alias("prcp_r"),
         money_sum(F.when(F.col("line_sts") == "O", F.col("int_amt"))).alias("int_open"),
         F.when(F.max(F.when(F.col("line_sts") == "O", 1).otherwise(0)) == 1, "Y").otherwise("N").alias("has_open"))
+
+
+@query("ordered_concat", with_sql(SCHED_SQL) + """
+SELECT rtn_flag, md5(string_agg(CAST(loan_num AS VARCHAR), '|' ORDER BY CAST(loan_num AS VARCHAR))) AS loans_md5, COUNT(*) AS n_loans
+FROM sched GROUP BY rtn_flag""")
+def ordered_concat_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loans of all lines by return flag: three keys, each with a third of all rows."""
+    s = schedule(tables(spark, sf_dir)).select("rtn_flag", F.col("loan_num").cast("string").alias("v"))
+    lists = ordered_concat(s, ["rtn_flag"], "v", "|", "loans")
+    return lists.select("rtn_flag", F.md5(F.col("loans").cast("binary")).alias("loans_md5"),
+                        (F.length("loans") - F.length(F.replace("loans", F.lit("|"), F.lit(""))) + 1).cast("bigint").alias("n_loans"))

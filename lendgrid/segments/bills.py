@@ -16,6 +16,7 @@ from lendgrid.operators import code_map
 from lendgrid.rundate import RunDate
 from lendgrid.segments.catalog import Catalog
 from lendgrid.segments.codes import CULTURE_INDUSTRIES
+from lendgrid.sources import date_window
 
 # Source table names.
 DETAILS = "OMI.BS_BUY_DETAILS_VIEW_HS"
@@ -70,7 +71,7 @@ def bill_loans(cat: Catalog, run: RunDate) -> DataFrame:
                   ["id", "credit_no", "cust_no", "cust_name", "operator_no", "busi_branch_no"])
     btd = _rename(cat.snapshot(DRAFT, run).where(F.col("status") == DRAFT_ACTIVE), "btd",
                   ["contract_id", "detail_id", "acct_date"])
-    acc = _rename(cat.snapshot(BALANCE, run).where(norm_date("start_dt") <= F.lit(run.d)), "acc",
+    acc = _rename(date_window(cat.snapshot(BALANCE, run), "start_dt", None, run.d), "acc",
                   ["detail_id", "status", "end_dt", "update_time", "sale_contract_id"])
     branches = cat.snapshot(BRANCH, run)
     bank = _rename(branches, "bank", ["ubank_no", "brh_zh_full_name"])

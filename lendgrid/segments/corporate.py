@@ -16,11 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendgrid.functions import case_map, concat_null_as_empty, decode, norm_date, rate_text, term_months, text_after
-from lendgrid.operators import code_map, latest_by, lookup_unique
+from lendgrid.operators import Lookup, attach_many, code_values, latest_by, lookup_unique
 from lendgrid.rundate import RunDate
 from lendgrid.segments.catalog import Catalog
 from lendgrid.segments.codes import CULTURE_INDUSTRIES, UPGRADE_INDUSTRIES
-from lendgrid.sources import dated_dim, partition_only
+from lendgrid.sources import date_window, dated_dim, partition_only
 
 # Source table names.
 DUEBILL = "OMI.CL_BUSINESS_DUEBILL_HS"
@@ -247,7 +247,7 @@ def corporate_loans(cat: Catalog, run: RunDate) -> DataFrame:
     ag = _rename(cat.snapshot(AGRI, run), "ag", ["serialno"])
     csp = _rename(cat.snapshot(SPECIAL, run), "csp", ["serialno", "sectiontype"])
     i9 = _rename(cat.snapshot(PROVISION, run), "i9", ["asset_no", "ecl_final"])
-    kx_log = cat.read(INTEREST_LOG).where(norm_date("jixiriqi").between(F.lit(run.year_start), F.lit(run.month_end)))
+    kx_log = date_window(cat.read(INTEREST_LOG), "jixiriqi", run.year_start, run.month_end)
     kx = kx_log.groupBy(F.col("dkjiejuh").alias("kx_dkjiejuh")).agg(
         F.sum(F.col("ysyjlixi") + F.col("ysyjfaxi") - F.col("ysyjxxsh")).alias("kx_s1"))
     registry = internal_accounts(cat, run)
@@ -278,82 +278,66 @@ def corporate_loans(cat: Catalog, run: RunDate) -> DataFrame:
     first_serial = duebills.agg(F.min("serialno")).scalar()
     maps = cat.read(CODE_MAP).where(F.col("business_type") == MAP_BUSINESS_TYPE)
 
-    # Left joins whose conditions only use the driving row commute, so the
-    # chain is grouped by join key: consecutive sort-merge joins on the same
-    # key reuse one hash partitioning of the (wide) driving rows instead of
-    # re-shuffling it at every key change. A join that depends on an earlier
-    # join's copy of the same key uses the driving key plus "that join
-    # matched", which keeps the partitioning and the meaning.
-    serial, contract, customer = bd.serialno, bd.relativeserialno2, bd.customerid
-    j = (bd.join(ai, ai.ai_duebillno == serial, "left")                       # keyed on the duebill
-         .join(hk, serial == hk.hk_dkjiejuh, "left")
-         .join(kd, serial == kd.kd_dkjiejuh, "left")
-         .join(tt, (tt.tt_dkjiejuh == serial) & F.col("kd_dkjiejuh").isNotNull(), "left")
-         .join(kdz, (F.col("kdz_dkjiejuh") == serial) & F.col("kd_dkjiejuh").isNotNull(), "left")
-         .join(kf, serial == kf.kf_dkjiejuh, "left")
-         .join(kkd, (kkd.kkd_dkjiejuh == serial) & F.col("kf_dkjiejuh").isNotNull(), "left")
-         .join(bpd, bpd.bpd_jjh == serial, "left")
-         .join(kz, serial == kz.kz_dkjiejuh, "left")
-         .join(ljqs, F.col("ljqs_dkjiejuh") == serial, "left")
-         .join(i9, i9.i9_asset_no == serial, "left")
-         .join(kx, F.col("kx_dkjiejuh") == serial, "left")
-         .join(bw, serial == F.col("bw_relativeserialno"), "left")
-         .join(be, F.col("be_relativeserialno") == serial, "left")
-         .join(advanced_ids, serial == F.col("adv_id"), "left")
-         .join(bc, contract == bc.bc_serialno, "left")                          # keyed on the contract
-         .join(guarantee_summary(cat, run),
-               (F.col("gc_serialno") == contract) & F.col("bc_serialno").isNotNull(), "left")
-         .join(ag, ag.ag_serialno == contract, "left")
-         .join(csp, contract == csp.csp_serialno, "left")
-         .join(bp, bp.bp_serialno == bd.relativeserialno1, "left")             # keyed on the putout
-         .join(ci, ci.ci_customerid == customer, "left")                        # keyed on the customer
-         .join(t7, customer == t7.t7_customerid, "left")
-         .join(b2, F.col("b2_customerid") == customer, "left")
-         .join(eii, customer == eii.eii_customerid, "left")
-         .join(cii, (F.col("cii_customerid") == customer) & F.col("eii_customerid").isNotNull(), "left")
-         .join(bdold, bdold.bdold_serialno == F.col("ai_oldduebillno"), "left")  # chains on other keys
-         .join(adv, F.col("ai_oldduebillno") == adv.adv_warrant_no, "left")
-         .join(bcold, bcold.bcold_serialno == F.col("bdold_relativeserialno2"), "left")
-         .join(ku, ku.ku_yewusx01 == F.col("kd_chanpdma"), "left")
-         .join(ky, ky.ky_yewubima == F.col("ku_yewubima"), "left")
-         .join(hb, hb.hb_zhanghao == F.col("kf_dkrzhzhh"), "left")
-         .join(ljg, F.col("hb_zhyngyjg") == ljg.ljg_org_num, "left")
-         .join(kh, F.col("kf_dkrzhzhh") == kh.kh_kehuzhao, "left")
-         .join(h, h.h_zhanghao == F.col("kf_dkrzhzhh"), "left")
-         .join(kj, F.col("kh_kaihjigo") == kj.kj_jigouhao, "left")
-         .join(trn, trn.trn_objinr == F.col("bpd_inr"), "left")
-         .join(gle2, gle2.gle2_trninr == F.col("trn_inr"), "left")
-         .join(kk, F.col("gle2_act") == kk.kk_kehuzhao, "left")
-         .join(ui, F.col("bc_manageuserid") == ui.ui_userid, "left")
-         .join(bph, F.col("ui_certid") == bph.bph_id, "left")
-         .join(kj4, decode(bd.mforgid, ORG_REWRITE, bd.mforgid) == kj4.kj4_jigouhao, "left")
-         .join(kh2, F.col("hk_huankzhh") == kh2.kh2_kehuzhao, "left")
-         .join(kj2, F.col("kh2_kaihjigo") == kj2.kj2_jigouhao, "left")
-         .join(kh4, F.col("hk_huankzhh") == kh4.kh4_zhanghao, "left")
-         .join(kj3, F.col("kh4_zhyngyjg") == kj3.kj3_jigouhao, "left")
-         .join(code, code.code_itemno == bd.businesscurrency, "left")
-         .join(bt, bd.businesstype == bt.bt_typeno, "left")
-         .join(kc, kc.kc_kehuzhwm == F.col("cii_mfcustomerid"), "left")
-         .join(xdkh, F.col("kc_kehuhaoo") == F.col("xdkh_mfcustomerid"), "left"))
+    # The look-ups are attached level by level: all whose keys the level before
+    # gave, together, on narrow rows. A join that depends on another look-up's match has
+    # its key only where that one matched.
+    def when_matched(column: str, key: Column) -> Column:
+        return F.when(F.col(column).isNotNull(), key)
+
+    serial, contract, customer = F.col("serialno"), F.col("relativeserialno2"), F.col("customerid")
+    row_key = [serial]
+    j = attach_many(bd, [
+        Lookup(ai, ["ai_duebillno"], [serial]), Lookup(hk, ["hk_dkjiejuh"], [serial]), Lookup(kd, ["kd_dkjiejuh"], [serial]),
+        Lookup(kf, ["kf_dkjiejuh"], [serial]), Lookup(bpd, ["bpd_jjh"], [serial]), Lookup(kz, ["kz_dkjiejuh"], [serial]),
+        Lookup(ljqs, ["ljqs_dkjiejuh"], [serial], unique=True), Lookup(i9, ["i9_asset_no"], [serial]),
+        Lookup(kx, ["kx_dkjiejuh"], [serial], unique=True), Lookup(bw, ["bw_relativeserialno"], [serial], unique=True),
+        Lookup(be, ["be_relativeserialno"], [serial], unique=True), Lookup(advanced_ids, ["adv_id"], [serial], unique=True),
+        Lookup(bc, ["bc_serialno"], [contract]), Lookup(ag, ["ag_serialno"], [contract]), Lookup(csp, ["csp_serialno"], [contract]),
+        Lookup(bp, ["bp_serialno"], [F.col("relativeserialno1")]),
+        Lookup(ci, ["ci_customerid"], [customer]), Lookup(t7, ["t7_customerid"], [customer]),
+        Lookup(b2, ["b2_customerid"], [customer], unique=True), Lookup(eii, ["eii_customerid"], [customer]),
+        Lookup(kj4, ["kj4_jigouhao"], [decode("mforgid", ORG_REWRITE, F.col("mforgid"))]),
+        Lookup(code, ["code_itemno"], [F.col("businesscurrency")]), Lookup(bt, ["bt_typeno"], [F.col("businesstype")]),
+    ], row_key, checks=cat.key_checks)
+    scope = ((F.col("businesstype").like("1%") & ~F.col("businesstype").like(f"{BILL_FINANCING_PREFIX}%"))
+             | (F.col("bc_businesstype") == ENTRUSTED_TYPE))
+    old, entry, repay = F.col("ai_oldduebillno"), F.col("kf_dkrzhzhh"), F.col("hk_huankzhh")
+    j = attach_many(j.where(scope), [
+        Lookup(tt, ["tt_dkjiejuh"], [when_matched("kd_dkjiejuh", serial)]),
+        Lookup(kdz, ["kdz_dkjiejuh"], [when_matched("kd_dkjiejuh", serial)], unique=True),
+        Lookup(kkd, ["kkd_dkjiejuh"], [when_matched("kf_dkjiejuh", serial)]),
+        Lookup(guarantee_summary(cat, run), ["gc_serialno"], [when_matched("bc_serialno", contract)], unique=True),
+        Lookup(cii, ["cii_customerid"], [when_matched("eii_customerid", customer)]),
+        Lookup(bdold, ["bdold_serialno"], [old]), Lookup(adv, ["adv_warrant_no"], [old]),
+        Lookup(ku, ["ku_yewusx01"], ["kd_chanpdma"]), Lookup(hb, ["hb_zhanghao"], [entry]), Lookup(kh, ["kh_kehuzhao"], [entry]),
+        Lookup(h, ["h_zhanghao"], [entry]), Lookup(trn, ["trn_objinr"], ["bpd_inr"]), Lookup(ui, ["ui_userid"], ["bc_manageuserid"]),
+        Lookup(kh2, ["kh2_kehuzhao"], [repay]), Lookup(kh4, ["kh4_zhanghao"], [repay]),
+        Lookup(code_values(maps, GREEN_TYPE_DICT, "m"), ["m_key"], ["bc_greenloanpurpose"]),
+        Lookup(code_values(maps, ACCT_TYP_DICT, "m1"), ["m1_key"], ["bt_typeno"]),
+        Lookup(code_values(maps, BAIL_CURRENCY_DICT, "m2"), ["m2_key"], ["bc_bailcurrency"]),
+    ], row_key, materialize=True, checks=cat.key_checks)
+    j = attach_many(j, [
+        Lookup(bcold, ["bcold_serialno"], ["bdold_relativeserialno2"]), Lookup(ky, ["ky_yewubima"], ["ku_yewubima"]),
+        Lookup(ljg, ["ljg_org_num"], ["hb_zhyngyjg"]), Lookup(kj, ["kj_jigouhao"], ["kh_kaihjigo"]),
+        Lookup(gle2, ["gle2_trninr"], ["trn_inr"]), Lookup(bph, ["bph_id"], ["ui_certid"]),
+        Lookup(kj2, ["kj2_jigouhao"], ["kh2_kaihjigo"]), Lookup(kj3, ["kj3_jigouhao"], ["kh4_zhyngyjg"]),
+        Lookup(kc, ["kc_kehuzhwm"], ["cii_mfcustomerid"]),
+    ], row_key, materialize=True, checks=cat.key_checks)
     j = j.withColumn("entry_acct", _entry_account()).withColumn(
         "repay_acct", F.coalesce(F.col("hk_huankzhh"), F.col("gle2_act")))
-    j = (j.join(nbz, F.col("entry_acct") == F.col("nbz_zhanghao"), "left")
-         .join(nbz1, F.col("repay_acct") == F.col("nbz1_zhanghao"), "left")
-         .join(hxbz, (F.col("hxbz_dkjiejuh") == bd.serialno) & (F.col("hxbz_xshjuzhi") == F.col("repay_acct")), "left")
-         .join(jg2, F.col("kk_kaihjigo") == jg2.jg2_org_num, "left")
-         .join(nbhs, nbhs.nbhs_nbuhesdm == F.expr("substring(ky_yeshux09, 4)"), "left")
-         .join(kjj, kjj.kjj_kemuhaoo == F.coalesce(F.col("nbhs_kemuhaoo"), F.col("ky_yeshux09")), "left")
-         )
+    j = attach_many(j, [
+        Lookup(kk, ["kk_kehuzhao"], ["gle2_act"]), Lookup(xdkh, ["xdkh_mfcustomerid"], ["kc_kehuhaoo"], unique=True),
+        Lookup(nbz, ["nbz_zhanghao"], ["entry_acct"], unique=True), Lookup(nbz1, ["nbz1_zhanghao"], ["repay_acct"], unique=True),
+        Lookup(hxbz, ["hxbz_dkjiejuh", "hxbz_xshjuzhi"], [serial, F.col("repay_acct")], unique=True),
+        Lookup(nbhs, ["nbhs_nbuhesdm"], [F.expr("substring(ky_yeshux09, 4)")]),
+    ], row_key, materialize=True, checks=cat.key_checks)
+    j = (j.join(jg2, F.col("kk_kaihjigo") == jg2.jg2_org_num, "left")
+         .join(kjj, kjj.kjj_kemuhaoo == F.coalesce(F.col("nbhs_kemuhaoo"), F.col("ky_yeshux09")), "left"))
     # the source looks the code up only for roles outside the excluded set
     strategic = (cat.snapshot(CODE_LIB, run).where(~F.col("itemno").isin(*EXCLUDED_STRATEGIC))
                  .select(F.col("itemno").alias("bc_ourrole"), "itemdescribe"))
     j = lookup_unique(j, strategic, ["bc_ourrole"], ["itemdescribe"], name="strategic industry code")
-    j = code_map(j, "bc_greenloanpurpose", maps, GREEN_TYPE_DICT, "m_new_values")
-    j = code_map(j, "bt_typeno", maps, ACCT_TYP_DICT, "m1_new_values")
-    j = code_map(j, "bc_bailcurrency", maps, BAIL_CURRENCY_DICT, "m2_new_values")
-    scope = ((F.col("businesstype").like("1%") & ~F.col("businesstype").like(f"{BILL_FINANCING_PREFIX}%"))
-             | (F.col("bc_businesstype") == ENTRUSTED_TYPE))
-    return j.where(scope).select(*[expr.alias(name) for name, expr in _columns(run, first_serial).items()])
+    return j.select(*[expr.alias(name) for name, expr in _columns(run, first_serial).items()])
 
 
 def _entry_account() -> Column:

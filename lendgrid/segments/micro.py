@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendgrid.functions import decode, norm_date
-from lendgrid.operators import code_map, collect_concat, latest_by, lookup_unique
+from lendgrid.operators import Lookup, attach_many, code_values, collect_concat, latest_by, lookup_unique
 from lendgrid.rundate import RunDate
 from lendgrid.segments.catalog import Catalog
 
@@ -80,9 +81,6 @@ CONSTANTS = {
     "oversea_ann_loan_flag": "N", "pftz_loan_flg": "N", "security_amt": 0, "tax_related_flg": "N",
     "yangtze_river_loan_flg": "N", "int_adjest_amt": 0,
 }
-# Per-deployment display-name overrides of organisations (org number -> name);
-# the source hard-codes one head-office name here.
-ORG_NAME_OVERRIDES: dict[str, str] = {}
 
 
 def _rename(df: DataFrame, prefix: str, cols: list[str]) -> DataFrame:
@@ -98,7 +96,7 @@ def _legacy_id(v: Column) -> Column:
 def _org_names(cat: Catalog, run: RunDate) -> DataFrame:
     jg = cat.snapshot(ORG_PARAM, run)
     name = F.col("jigouzwm")
-    for org, override in ORG_NAME_OVERRIDES.items():
+    for org, override in cat.choices.org_names.items():
         name = F.when(F.col("jigouhao") == org, F.lit(override)).otherwise(name)
     return jg.select("jigouhao", name.alias("jgmc"), "diqdaima")
 
@@ -122,14 +120,25 @@ def month_income(cat: Catalog, run: RunDate) -> DataFrame:
     """Income booked on subject 5001 since the start of the system year,
     per voucher. The system year comes from a one-row parameter table
     (uncorrelated scalar subquery; more than one row is an error)."""
-    p = cat.snapshot(SYS_PARAM, run)
+    def dated(name: str) -> DataFrame:
+        if "Q3" in cat.choices.literal:  # the bounds as the old job has them
+            return cat.read(name).where((F.col("begndt") >= F.lit(run.d)) & (F.col("overdt") < F.lit(run.d)) & (F.col("partid") == run.partid))
+        return cat.snapshot(name, run)
+
+    p = dated(SYS_PARAM)
     for col, value in SYSDATE_PARAM.items():
         p = p.where(F.col(col) == value)
-    year_start = p.select(norm_date(F.concat(F.substring("parvalue", 1, 4), F.lit("0101")))).scalar()
-    log = cat.snapshot(DC_LOG, run)
-    items = cat.snapshot(COM_ITEM, run).where(F.col("up_acc_hrt") == INCOME_SUBJECT).select(
+    year = F.substring("parvalue", 1, 4)
+    year_start = p.select(norm_date(F.concat(year, F.lit("0101")))).scalar()
+    log = dated(DC_LOG)
+    items = dated(COM_ITEM).where(F.col("up_acc_hrt") == INCOME_SUBJECT).select(
         "acc_hrt", "bankid")
-    booked = log.join(items, ["acc_hrt", "bankid"]).where(norm_date("tx_date") > year_start)
+    booked = log.where(norm_date("tx_date") > year_start)
+    if isinstance(log.schema["tx_date"].dataType, T.StringType):
+        # no text of a later day sorts before its year (or begins with a space): a bound on the raw text, known when the scan starts
+        first = p.select(F.min(year)).scalar()
+        booked = booked.where((F.col("tx_date") >= first) | (F.col("tx_date") < F.lit("!")))
+    booked = booked.join(items, ["acc_hrt", "bankid"])
     return booked.groupBy("vchno").agg(F.sum("amt").alias("bb_amt"))
 
 
@@ -228,31 +237,23 @@ def micro_loans(cat: Catalog, run: RunDate) -> DataFrame:
     entry_acct = F.when(F.col("depacc_no").isNull() & ~F.col("vchno").like(f"{OPEN_ACCOUNT_PREFIX}%"),
                         F.col("reppriac_no")).otherwise(F.col("depacc_no"))
     a = a.withColumn("entry_acct", entry_acct)
-    # grouped by join key (see the corporate segment): voucher, contract,
-    # application, customer, accounts, then the small option list
+    # Chains are resolved on the narrow side (the contract's applications, the customer's
+    # registries, the report's code), then all look-ups are attached together.
     sf = schedule_facts(cat, run).withColumnRenamed("vchno", "sf_vchno")
     mi = month_income(cat, run).withColumnRenamed("vchno", "mi_vchno")
-    j = (a.join(b, a.vchno == b.b_vchno, "left")                                  # keyed on the voucher
-         .join(dd, a.vchno == F.col("dd_vchno"), "left")
-         .join(sf, a.vchno == F.col("sf_vchno"), "left")
-         .join(av, a.vchno == av.av_vchno, "left")
-         .join(mi, a.vchno == F.col("mi_vchno"), "left")
-         .join(cc, a.vchno == F.col("cc_vchno"), "left")
-         .join(guarantee_class(cat, run), a.vchno == F.col("xl_vchno"), "left")
-         .join(c, a.contno == c.c_contno, "left")                                # the contract
-         .join(avr, F.col("c_applyno") == F.col("avr_applyno"), "left")
-         .join(e, F.col("c_applyno") == F.col("e_applyno"), "left")
-         .join(d, a.applyno == d.d_applyno, "left")                              # the voucher's application
-         .join(g, a.cifid == g.g_cifid, "left")                                  # the customer
-         .join(eb, (eb.eb_cifid == a.cifid) & F.col("g_cifid").isNotNull(), "left")
-         .join(ib, (ib.ib_cifid == a.cifid) & F.col("g_cifid").isNotNull(), "left")
-         .join(kk, F.col("entry_acct") == kk.kk_kehuzhao, "left")                 # entry account
-         .join(kk4, F.col("entry_acct") == kk4.kk4_acno, "left")
-         .join(kk1, a.reppriac_no == kk1.kk1_kehuzhao, "left")                   # repayment account
-         .join(kk5, a.reppriac_no == kk5.kk5_acno, "left")
-         .join(xcs, a.purpose == xcs.xcs_ddcode, "left"))
+    contract = c.join(avr, F.col("c_applyno") == F.col("avr_applyno"), "left").join(e, F.col("c_applyno") == F.col("e_applyno"), "left")
+    customer = g.join(eb, F.col("eb_cifid") == F.col("g_cifid"), "left").join(ib, F.col("ib_cifid") == F.col("g_cifid"), "left")
+    report = d.join(code_values(maps, GREEN_PURPOSE_DICT, "m1"), F.col("m1_key") == F.col("d_gre_industrytype_cbrc"), "left")
+    voucher, entry, repay = ["vchno"], ["entry_acct"], ["reppriac_no"]
+    j = attach_many(a, [
+        Lookup(b, ["b_vchno"], voucher), Lookup(dd, ["dd_vchno"], voucher, unique=True), Lookup(sf, ["sf_vchno"], voucher),
+        Lookup(av, ["av_vchno"], voucher), Lookup(mi, ["mi_vchno"], voucher, unique=True), Lookup(cc, ["cc_vchno"], voucher, unique=True),
+        Lookup(guarantee_class(cat, run), ["xl_vchno"], voucher), Lookup(contract, ["c_contno"], ["contno"]),
+        Lookup(report, ["d_applyno"], ["applyno"]), Lookup(customer, ["g_cifid"], ["cifid"]),
+        Lookup(kk, ["kk_kehuzhao"], entry), Lookup(kk4, ["kk4_acno"], entry), Lookup(kk1, ["kk1_kehuzhao"], repay),
+        Lookup(kk5, ["kk5_acno"], repay), Lookup(xcs, ["xcs_ddcode"], ["purpose"]),
+    ], row_key=voucher, checks=cat.key_checks)
     j = lookup_unique(j, subject_codes(cat, run), ["core_prdt_no"], ["item_acc_no"], name="subject code")
-    j = code_map(j, "d_gre_industrytype_cbrc", maps, GREEN_PURPOSE_DICT, "m1_new_values")
     return j.select(*[expr.alias(name) for name, expr in _columns().items()])
 
 

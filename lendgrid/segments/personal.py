@@ -11,13 +11,16 @@ the run is read back for overdue type, loan state and loan group.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendgrid.functions import case_map, decode, effective_rate, norm_date, substr1
-from lendgrid.operators import code_map
+from lendgrid.operators import Lookup, attach_many, code_values
 from lendgrid.rundate import RunDate
-from lendgrid.segments.catalog import Catalog
+from lendgrid.segments.catalog import Catalog, Choices
+from lendgrid.sources import date_window
 
 # Source table names.
 LOAN = "OMI.PL_LOAN_HS"
@@ -92,18 +95,16 @@ CONSTANTS = {
     "orig_term_type": "M", "resched_flg": "N", "tax_related_flg": "N", "transfers_loan_flg": "N",
     "int_adjest_amt": 0,
 }
-# Per-deployment rewrite of organisation display names (the source rewrites
-# its head-office name to the legal entity name).
-ORG_NAME_REWRITES: dict[str, str] = {}
 
 
 def _rename(df: DataFrame, prefix: str, cols: list[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{prefix}_{c}") for c in cols])
 
 
-def _org_name(c: Column) -> Column:
+def _org_name(c: Column, rewrites: Mapping[str, str]) -> Column:
+    """The name to show (the source rewrites its head-office name to the legal entity's)."""
     out = c
-    for src, dst in ORG_NAME_REWRITES.items():
+    for src, dst in rewrites.items():
         out = F.when(c == src, F.lit(dst)).otherwise(out)
     return out
 
@@ -161,20 +162,17 @@ def personal_loans(cat: Catalog, run: RunDate) -> DataFrame:
     cust = _rename(cat.snapshot(CUST, run), "d", ["id_no", "id_type", "iss_ctry", "cust_no"])
     branches = cat.snapshot(BRANCH, run)
     b = _rename(branches, "b", ["bch_cde", "dist_cde", "corebank_bch"])
-    lbd1 = _rename(branches, "lbd1", ["bch_cde", "corebank_bch"])
-    lbd = _rename(branches, "lbd", ["bch_cde", "corebank_bch"])
     gb = _rename(cat.snapshot(BAD_DEBT, run), "gb", ["loan_no", "last_appr_dt"])
     li = _rename(cat.snapshot(LOAN_INFO, run), "li", [
         "loan_no", "int_recvl_amt", "odi_recvl_amt", "int_susp_recvl_amt", "int_ndv_recvl_amt", "odi_susp_recvl_amt",
         "odi_ndv_recvl_amt"])
     lp = _rename(cat.snapshot(LOAN_PARA, run), "lp", ["loan_typ", "instm_ln_ind", "irreg_ind"])
-    targets = cat.snapshot(APPL_TARGET, run)
-    lalt1 = _rename(targets.where(F.col("appl_loan_target_field") == TARGET_TU), "lalt1",
-                    ["ls_appl_seq", "appl_loan_target_field"])
-    lalt2 = _rename(targets.where(F.col("appl_loan_target_field") == TARGET_TC), "lalt2",
-                    ["ls_appl_seq", "appl_loan_target_field"])
-    lalt3 = _rename(targets.where(F.col("appl_loan_target_field") == TARGET_TC), "lalt3",
-                    ["ls_appl_seq", "appl_loan_target_field"])
+    # one pass over the target fields, a column for each one that is asked for
+    field = F.col("appl_loan_target_field")
+    lalt = (cat.snapshot(APPL_TARGET, run).where(field.isin(TARGET_TU, TARGET_TC))
+            .groupBy(F.col("ls_appl_seq").alias("lalt_ls_appl_seq"))
+            .agg(F.max(F.when(field == TARGET_TU, field)).alias("lalt1_appl_loan_target_field"),
+                 F.max(F.when(field == TARGET_TC, field)).alias("lalt2_appl_loan_target_field")))
     f = _rename(cat.snapshot(APPL, run), "f", ["ls_appl_seq", "appl_ppsl_pay_way"])
     ww = _rename(cat.snapshot(CREDIT_LINE, run), "ww",
                  ["ctif_id_type", "ctif_id_no", "ctif_iss_ctry", "cr_line", "revv_ind"])
@@ -194,9 +192,6 @@ def personal_loans(cat: Catalog, run: RunDate) -> DataFrame:
     ga = (cat.snapshot(GL_ASSIGN, run).select("ai_recvl_gl", "lnpa_loan_typ")
           .join(gl, F.col("ai_recvl_gl") == F.col("ldgr_cde"), "left").join(km, "gl_ac_no", "left")
           .select(F.col("gl_ac_no").alias("ga_gl_ac_no"), F.col("lnpa_loan_typ").alias("ga_lnpa_loan_typ")))
-    orgs = cat.snapshot(ORG_PARAM, run)
-    kj = _rename(orgs, "kj", ["jigouhao", "jigouzwm"])
-    kj1 = _rename(orgs, "kj1", ["jigouhao", "jigouzwm"])
     s11 = (cat.snapshot(SCHEDULE, run).where(F.col("perd_no") == 0)
            .select(F.col("loan_loan_no").alias("s11_loan_no"), F.col("int_rate").alias("s11_int_rate")))
     s12 = (cat.snapshot(SETTLE_LOG, run).groupBy(F.col("loan_no").alias("s12_loan_no"))
@@ -206,64 +201,56 @@ def personal_loans(cat: Catalog, run: RunDate) -> DataFrame:
     lt = _rename(cat.snapshot(LOAN_TARGET, run), "lt", ["code", "weight_code"])
     st = (cat.snapshot(TERM, run).where(F.col("repaym_opt") == "IO")
           .select(F.col("loan_no").alias("st_loan_no")).distinct())
-    created = norm_date("create_dt")
-    rll = (cat.read(RESTRUCTURE).where((F.col("rstr_typ") == RESTRUCTURE_TYPE)
-                                       & created.between(F.lit(run.month_start), F.lit(run.d)))
+    rll = (date_window(cat.read(RESTRUCTURE).where(F.col("rstr_typ") == RESTRUCTURE_TYPE), "create_dt", run.month_start, run.d)
            .groupBy(F.col("loan_no").alias("rll_loan_no")).agg(F.count(F.lit(1)).alias("rll_cnt")))
     maps = cat.read(CODE_MAP).where(F.col("business_type") == MAP_BUSINESS_TYPE)
 
-    # grouped by join key (see the corporate segment): loan number, then
-    # application, customer, officer and the small code dimensions
-    loan_no = a.loan_no
-    j = (a.join(e, e.e_loan_no == loan_no, "left")                               # keyed on the loan
-         .join(gb, loan_no == gb.gb_loan_no, "left")
-         .join(future_interest(cat, run).withColumnRenamed("loan_no", "ps_loan_no"),
-               loan_no == F.col("ps_loan_no"), "left")
-         .join(li, li.li_loan_no == loan_no, "left")
-         .join(gt, loan_no == gt.gt_loan_no, "left")
-         .join(z, z.z_loan_loan_no == loan_no, "left")
-         .join(schedule_facts(cat, run, a).withColumnRenamed("loan_no", "sf_loan_no"),
-               F.col("sf_loan_no") == loan_no, "left")
-         .join(s11, F.col("s11_loan_no") == loan_no, "left")
-         .join(s12, F.col("s12_loan_no") == loan_no, "left")
-         .join(c, c.c_loan_no == loan_no, "left")
-         .join(cjs, cjs.cjs_loan_no == loan_no, "left")
-         .join(st, loan_no == F.col("st_loan_no"), "left")
-         .join(_read_detail(cat, run), F.col("r1_loan_no") == loan_no, "left")
-         .join(rll, loan_no == F.col("rll_loan_no"), "left")
-         .join(loan_abs, (loan_abs.abs_loan_no == loan_no) & (loan_abs.abs_abs_seq == a.abs_seq), "left")
-         .join(lalt1, lalt1.lalt1_ls_appl_seq == a.ls_appl_seq, "left")            # keyed on the application
-         .join(lalt2, lalt2.lalt2_ls_appl_seq == a.ls_appl_seq, "left")
-         .join(lalt3, lalt3.lalt3_ls_appl_seq == a.ls_appl_seq, "left")
-         .join(f, a.ls_appl_seq == f.f_ls_appl_seq, "left")
-         .join(r, F.col("r_ls_appl_seq") == a.ls_appl_seq, "left")
-         .join(l_disb, F.col("r_ls_appl_drawdn_seq") == l_disb.l_ls_appl_drawdn_seq, "left")
-         .join(cust, (a.ctif_id_no == cust.d_id_no) & (a.ctif_id_type == cust.d_id_type)   # the customer
-               & (a.ctif_iss_ctry == cust.d_iss_ctry), "left")
-         .join(ww, (a.ctif_id_type == ww.ww_ctif_id_type) & (a.ctif_id_no == ww.ww_ctif_id_no)
-               & (a.ctif_iss_ctry == ww.ww_ctif_iss_ctry) & (a.cr_line == ww.ww_cr_line), "left")
-         .join(u, u.u_usr_id == a.aofr_acct_offcr_cde, "left")                      # the officer
-         .join(bp, bp.bp_id == F.col("u_ctif_id_no"), "left")
-         .join(g, substr1(a.lnpa_loan_typ, 2) == g.g_loan_grp_code, "left")         # small code dimensions
-         .join(lp, a.lnpa_loan_typ == lp.lp_loan_typ, "left")
-         .join(ga, a.lnpa_loan_typ == ga.ga_lnpa_loan_typ, "left")
-         .join(lt, lt.lt_code == a.loan_target, "left")
-         .join(b, b.b_bch_cde == a.bhdt_bch_cde, "left")
-         .join(lbd1, F.col("z_bkbh_bank_bch_cde") == lbd1.lbd1_bch_cde, "left")
-         .join(lbd, F.col("l_appl_drawdn_disb_ac_bch") == lbd.lbd_bch_cde, "left")
-         .join(kj, F.col("lbd_corebank_bch") == kj.kj_jigouhao, "left")
-         .join(kj1, F.col("lbd1_corebank_bch") == kj1.kj1_jigouhao, "left"))
-    j = code_map(j, "prps_fin", maps, USEOFUNDS_DICT, "m_new_values")
-    j = code_map(j, "cust_ref", maps, GREEN_TYPE_DICT, "m1_new_values")
+    # Chains are resolved on the narrow side first (an officer's person, the branch and
+    # organisation of an account), so that every look-up is keyed by the driving row and
+    # all are attached together.
+    branch_org = branches.select("bch_cde", "corebank_bch").join(
+        cat.snapshot(ORG_PARAM, run).select("jigouhao", "jigouzwm"), F.col("corebank_bch") == F.col("jigouhao"), "left")
+
+    def at_branch(rows: DataFrame, column: str, branch: str, org: str) -> DataFrame:
+        named = branch_org.select(F.col("bch_cde").alias(f"{branch}_bch_cde"), F.col("corebank_bch").alias(f"{branch}_corebank_bch"),
+                                  F.col("jigouhao").alias(f"{org}_jigouhao"), F.col("jigouzwm").alias(f"{org}_jigouzwm"))
+        return rows.join(named, F.col(column) == F.col(f"{branch}_bch_cde"), "left")
+
+    drawn = at_branch(r.join(l_disb, F.col("r_ls_appl_drawdn_seq") == F.col("l_ls_appl_drawdn_seq"), "left"), "l_appl_drawdn_disb_ac_bch", "lbd", "kj")
+    autopay = at_branch(z, "z_bkbh_bank_bch_cde", "lbd1", "kj1")
+    officer = u.join(bp, F.col("bp_id") == F.col("u_ctif_id_no"), "left")
     m3 = maps.withColumn("ori_values", F.replace("ori_values", F.lit("%"), F.lit("")))
-    j = code_map(j, "endowment_ins_no", m3, GREEN_PURPOSE_DICT, "m3_new_values")
+    loan, application, loan_type = ["loan_no"], ["ls_appl_seq"], ["lnpa_loan_typ"]
+    j = attach_many(a, [
+        Lookup(e, ["e_loan_no"], loan), Lookup(gb, ["gb_loan_no"], loan),
+        Lookup(future_interest(cat, run).withColumnRenamed("loan_no", "ps_loan_no"), ["ps_loan_no"], loan, unique=True),
+        Lookup(li, ["li_loan_no"], loan), Lookup(gt, ["gt_loan_no"], loan), Lookup(autopay, ["z_loan_loan_no"], loan),
+        Lookup(schedule_facts(cat, run, a).withColumnRenamed("loan_no", "sf_loan_no"), ["sf_loan_no"], loan, unique=True),
+        Lookup(s11, ["s11_loan_no"], loan), Lookup(s12, ["s12_loan_no"], loan, unique=True), Lookup(c, ["c_loan_no"], loan),
+        Lookup(cjs, ["cjs_loan_no"], loan), Lookup(st, ["st_loan_no"], loan, unique=True),
+        Lookup(_read_detail(cat, run), ["r1_loan_no"], loan), Lookup(rll, ["rll_loan_no"], loan, unique=True),
+        Lookup(loan_abs, ["abs_loan_no", "abs_abs_seq"], ["loan_no", "abs_seq"]),
+        Lookup(lalt, ["lalt_ls_appl_seq"], application, unique=True), Lookup(f, ["f_ls_appl_seq"], application),
+        Lookup(drawn, ["r_ls_appl_seq"], application),
+        Lookup(cust, ["d_id_no", "d_id_type", "d_iss_ctry"], ["ctif_id_no", "ctif_id_type", "ctif_iss_ctry"]),
+        Lookup(ww, ["ww_ctif_id_type", "ww_ctif_id_no", "ww_ctif_iss_ctry", "ww_cr_line"], ["ctif_id_type", "ctif_id_no", "ctif_iss_ctry", "cr_line"]),
+        Lookup(officer, ["u_usr_id"], ["aofr_acct_offcr_cde"]), Lookup(g, ["g_loan_grp_code"], [substr1("lnpa_loan_typ", 2)]),
+        Lookup(lp, ["lp_loan_typ"], loan_type), Lookup(ga, ["ga_lnpa_loan_typ"], loan_type), Lookup(lt, ["lt_code"], ["loan_target"]),
+        Lookup(b, ["b_bch_cde"], ["bhdt_bch_cde"]),
+        Lookup(code_values(maps, USEOFUNDS_DICT, "m"), ["m_key"], ["prps_fin"]),
+        Lookup(code_values(maps, GREEN_TYPE_DICT, "m1"), ["m1_key"], ["cust_ref"]),
+        Lookup(code_values(m3, GREEN_PURPOSE_DICT, "m3"), ["m3_key"], ["endowment_ins_no"]),
+    ], row_key=loan, checks=cat.key_checks)
 
     sts, debt = F.col("sts"), F.col("debt_sts")
     finish = (F.when((sts == SETTLED) & (debt == NORMAL_DEBT), norm_date(F.coalesce("s12_val_dt", "last_setl_dt")))
               .when((sts == SETTLED) & (debt == CHARGED_OFF), norm_date("gb_last_appr_dt")))
     keep = (~sts.isin(*NOT_DRAWN) & ((sts != SETTLED) | ((sts == SETTLED) & finish.isNotNull()))
             & (F.col("orig_prcp") > 0))
-    return j.where(keep).select(*[expr.alias(name) for name, expr in _columns(run, finish).items()])
+    columns = _columns(run, finish, cat.choices)
+    if "Q4" in cat.choices.literal:
+        columns["mon_int_incom"] = columns.pop("year_int_incom")
+    return j.where(keep).select(*[expr.alias(name) for name, expr in columns.items()])
 
 
 def _acct_typ(with_commercial: bool) -> Column:
@@ -279,7 +266,7 @@ def _acct_typ(with_commercial: bool) -> Column:
     return F.trim(case_map(rules, "010399"))
 
 
-def _columns(run: RunDate, finish: Column) -> dict[str, Column]:
+def _columns(run: RunDate, finish: Column, choices: Choices) -> dict[str, Column]:
     d = F.lit(run.d)
     sts, debt = F.col("sts"), F.col("debt_sts")
     next_due = norm_date("next_due_dt")
@@ -336,7 +323,7 @@ def _columns(run: RunDate, finish: Column) -> dict[str, Column]:
         "i_od_dt": F.col("s10_due"),
         "loans_to_culture_flag": F.when(F.col("lalt2_appl_loan_target_field") == TARGET_TC, "Y").otherwise("N"),
         "loan_acct_bal": F.when((sts == SETTLED) & (debt == CHARGED_OFF), F.lit(0)).otherwise(F.col("os_prcp")),
-        "loan_acct_bank": _org_name(F.coalesce("kj_jigouzwm", "kj1_jigouzwm")),
+        "loan_acct_bank": _org_name(F.coalesce("kj_jigouzwm", "kj1_jigouzwm"), choices.org_rewrites),
         "loan_acct_name": F.coalesce("l_appl_drawdn_disb_name", "z_name"),
         "loan_acct_num": F.coalesce("l_appl_drawdn_disb_ref", "gt_gl_ac_no", "z_acct_no"),
         "loan_fhz_num": F.col("loan_no"),
@@ -360,7 +347,7 @@ def _columns(run: RunDate, finish: Column) -> dict[str, Column]:
         "od_loan_acct_bal": F.when(F.col("sale_ind") == "Y", F.lit(0)).otherwise(F.col("s13_yqdkye")),
         "org_num": F.col("b_corebank_bch"),
         "orig_term": F.col("loan_tnr"),
-        "pay_acct_bank": _org_name(F.coalesce("kj1_jigouzwm", "kj_jigouzwm")),
+        "pay_acct_bank": _org_name(F.coalesce("kj1_jigouzwm", "kj_jigouzwm"), choices.org_rewrites),
         "pay_acct_num": F.col("z_acct_no"),
         "pricing_base_type": F.trim(F.when(F.col("cis_sts") == "LPR", "C")
                                     .when(F.coalesce(F.col("cis_sts"), F.lit("BIR")) == "BIR", "B02").otherwise("Z99")),
@@ -390,7 +377,7 @@ def _columns(run: RunDate, finish: Column) -> dict[str, Column]:
                                          ((unit == "W") & (num == 1), "")], OTHER_INT_DESC),
         # only 'TC' rows are joined here, so the strategic-industry digits never
         # match and the value is always 'N' (kept as the source computes it)
-        "indust_stg_type": decode("lalt3_appl_loan_target_field", {str(i): str(i) for i in range(1, 8)}, "N"),
+        "indust_stg_type": decode("lalt2_appl_loan_target_field", {str(i): str(i) for i in range(1, 8)}, "N"),
         "guaranty_typ": F.col("c_l_type"),
         "acct_typ_js": _acct_typ(with_commercial=True),
         "guaranty_typ_js": F.col("cjs_l_type"),

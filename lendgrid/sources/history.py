@@ -10,10 +10,13 @@ date bounds into the scan.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lendgrid.functions import date_lit, text_date_between
 from lendgrid.rundate import RunDate
 
 OPEN_END = dt.date(9999, 12, 31)
@@ -81,3 +84,38 @@ def history_from_events(events: DataFrame, key: str, ts: str, order_tiebreak: st
         key, ts, order_tiebreak, *payload, "begndt", overdt.alias("overdt"),
         F.date_format("begndt", "yyyyMM").alias("partid"),
     )
+
+
+def date_window(df: DataFrame, column: str, low: dt.date | None, high: dt.date | None) -> DataFrame:
+    """Rows whose date lies within the bounds (inclusive, None is open), whether the column is
+    a DATE or text of mixed layouts; either way the bounds reach the scan."""
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return df.where(text_date_between(column, low, high))
+    day = F.col(column).cast("date")
+    df = df if low is None else df.where(day >= date_lit(low))
+    return df if high is None else df.where(day <= date_lit(high))
+
+
+def as_of_dates(df: DataFrame, dates: Sequence[dt.date], begin: str = "begndt", end: str = "overdt", part: str | None = "partid", out: str = "as_of_dt") -> DataFrame:
+    """The rows of a history table active on each of several dates, in one scan: ``as_of``
+    for all of them, with the date in ``out``.
+
+    Rows meet the dates by month, so a row is compared with the dates of the months it covers
+    and not with all. With ``part`` that is its own partition's month, and the scan reads these
+    partitions alone; without, a row is dealt to every asked month within its validity. The list of
+    dates is given by the caller, so the side that Spark may broadcast has its size.
+    """
+    spark = df.sparkSession
+    if not dates:
+        return df.withColumn(out, F.lit(None).cast("date")).where(F.lit(False))
+    asked = spark.createDataFrame([(d, f"{d:%Y%m}") for d in sorted(set(dates))], f"`{out}` date, __month string")
+    first, last, months = min(dates), max(dates), sorted({f"{d:%Y%m}" for d in dates})
+    rows = df.where((F.col(begin) <= F.lit(last)) & (F.col(end) > F.lit(first)))
+    if part:
+        rows = rows.where(F.col(part).isin(months)).withColumn("__of", F.col(part))
+    else:
+        low, high = F.greatest(F.col(begin), F.lit(first)), F.least(F.date_sub(end, 1), F.lit(last))
+        covered = F.when(low <= high, F.sequence(F.trunc(low, "month"), F.trunc(high, "month"), F.expr("interval 1 month")))
+        rows = rows.withColumn("__day", F.explode(covered)).withColumn("__of", F.date_format("__day", "yyyyMM")).drop("__day").where(F.col("__of").isin(months))
+    active = (F.col("__of") == F.col("__month")) & (F.col(begin) <= F.col(out)) & (F.col(end) > F.col(out))
+    return rows.join(asked, active).drop("__of", "__month")

@@ -49,6 +49,16 @@ def read_slice(spark: SparkSession, path: str, schema: T.StructType, **equals: s
     return df
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Store rows dealt into ``buckets`` by ``keys`` and sorted within them, as a catalog table at
+    ``path``, and read them back. Two tables written with the same keys and buckets are joined
+    on these keys as they lie, without a shuffle."""
+    spark = df.sparkSession
+    # dealt before the write, so that a bucket is one sorted file and not one a task
+    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table))
+    return spark.table(table)
+
+
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("data_date", T.StringType()),
     T.StructField("procedure", T.StringType()),

@@ -41,8 +41,7 @@ def test_ledger_job_runs_all_segments(spark):
     import os
     import tempfile
 
-    from lendgrid.job import LedgerJob
-    from lendgrid.sources import read_slice
+    from lendgrid.job import LedgerJob, read_ledger
 
     pl_frames = personal.build_frames(spark)
     detail = pl_frames.pop("URDM.PL_LBI_R_LOAN_DETAIL_HS")
@@ -63,7 +62,7 @@ def test_ledger_job_runs_all_segments(spark):
     expected = {"CL_1": 3, "PL_2": 3, "NL_3": 4, "WBYXNL_4": 4, "BS_5": 3, "XL_6": 2}
     assert job.execute() == expected
     assert job.execute() == expected                      # rerun replaces the slice
-    led = read_slice(spark, os.path.join(root, "ledger"), LEDGER, data_date=RUN.d8)
+    led = read_ledger(spark, os.path.join(root, "ledger"), data_date=RUN.d8)
     assert led.count() == sum(expected.values())
     log = spark.read.parquet(os.path.join(root, "log"))
     assert log.where("step_flag = -1").count() == 0 and log.where("step_desc = 'done'").count() == 2

@@ -7,11 +7,10 @@ from decimal import Decimal
 
 import pytest
 
-from lendgrid.job import LedgerJob
+from lendgrid.job import LedgerJob, read_ledger
 from lendgrid.operators.ledger import LEDGER
 from lendgrid.rundate import RunDate
 from lendgrid.segments import Catalog, online_loans
-from lendgrid.sources import read_slice
 
 RUN = RunDate(dt.date(2024, 1, 31))
 B, O, P = dt.date(2024, 1, 1), dt.date(9999, 12, 31), "202401"
@@ -143,7 +142,7 @@ def test_ledger_job_writes_slice_idempotently(spark, catalog):
     job = LedgerJob(spark, catalog, RUN, target, {"NL_3": online_loans}, run_log=runlog)
     assert job.execute() == {"NL_3": 4}
     assert job.execute() == {"NL_3": 4}                    # rerun replaces the slice
-    led = read_slice(spark, target, LEDGER, data_date=RUN.d8)
+    led = read_ledger(spark, target, data_date=RUN.d8)
     assert led.count() == 4
     firsts = {r.loan_num: r.is_first_report_loan_tag for r in led.collect()}
     # L1 and L6 both resolve to customer P1; L1 is drawn first
@@ -177,7 +176,7 @@ def test_partial_and_empty_runs(spark, catalog):
         return early(cat, run).where("loan_num = 'none'")
 
     def stored(date=RUN.d8):
-        return {(r.date_sourcesd, r.loan_num): r.is_first_report_loan_tag for r in read_slice(spark, root, LEDGER, data_date=date).collect()}
+        return {(r.date_sourcesd, r.loan_num): r.is_first_report_loan_tag for r in read_ledger(spark, root, data_date=date).collect()}
 
     other_day = RunDate.parse("20240229")
     LedgerJob(spark, catalog, other_day, root, {"XL_6": early}).execute()
@@ -220,4 +219,4 @@ def test_command_line_run_from_parquet_folders(spark, capsys):
     assert main(argv) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out == {"data_date": "20240131", "rows": {"NL_3": 4}}
-    assert read_slice(spark, os.path.join(root, "ledger"), LEDGER, data_date="20240131").count() == 4
+    assert read_ledger(spark, os.path.join(root, "ledger"), data_date="20240131").count() == 4

@@ -186,9 +186,8 @@ def test_job_writes_detail_then_reads_it_back(spark):
     import os
     import tempfile
 
-    from lendgrid.job import LedgerJob
+    from lendgrid.job import LedgerJob, read_ledger
     from lendgrid.operators.ledger import LEDGER
-    from lendgrid.sources import read_slice
 
     frames = build_frames(spark)
     detail = frames.pop("URDM.PL_LBI_R_LOAN_DETAIL_HS")
@@ -198,7 +197,7 @@ def test_job_writes_detail_then_reads_it_back(spark):
                     detail=lambda cat, run: detail.where(detail.rpt_dt == run.d),
                     detail_target=os.path.join(root, "detail"))
     assert job.execute() == {"PL_2": 3}
-    led = {r.loan_num: r for r in read_slice(spark, os.path.join(root, "ledger"), LEDGER, data_date=RUN.d8).collect()}
+    led = {r.loan_num: r for r in read_ledger(spark, os.path.join(root, "ledger"), data_date=RUN.d8).collect()}
     assert led["DRW1"].od_type_js == "03" and led["DRW1"].loan_type_js == "经营"
     log = spark.read.parquet(os.path.join(root, "log"))
     assert log.where("step_desc = 'load detail' AND step_flag = 1").first().row_count == 2
