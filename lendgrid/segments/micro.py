@@ -9,7 +9,7 @@ guarantee classification are built first and left-joined on their keys.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -186,14 +186,13 @@ def guarantee_class(cat: Catalog, run: RunDate) -> DataFrame:
             .otherwise("E"))
     rows = rel.select("vchno", "cifid", "guar_type", "oth_guar_type", "col_no", dbfs.alias("dbfs")).distinct()
     combos = ["vchno", "cifid", "guar_type", "oth_guar_type"]
-    multi = (rel.select(*combos, col4.alias("col4")).distinct()
-             .groupBy(*combos).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-             .select(*[F.col(c).alias(f"m_{c}") for c in combos]))
-    joined = rows.join(multi, (F.col("vchno") == F.col("m_vchno")) & (F.col("cifid") == F.col("m_cifid"))
-                       & (F.col("guar_type") == F.col("m_guar_type"))
-                       & (F.coalesce("oth_guar_type", F.lit("99999")) == F.coalesce("m_oth_guar_type", F.lit("99999"))),
-                       "left")
-    kept = joined.where(F.col("m_vchno").isNull() | F.substring("col_no", 1, 4).isin(*KEPT_COLLATERAL))
+    # Combinations with several kinds (no collateral is one of them) are told by windows over the distinct
+    # rows, so the chain above is computed once.
+    kinds = F.size(F.collect_set(F.coalesce(F.substring("col_no", 1, 4), F.lit("(none)"))).over(Window.partitionBy(*combos)))
+    same = Window.partitionBy("vchno", "cifid", "guar_type", F.coalesce("oth_guar_type", F.lit("99999")))
+    several = (F.max("kinds").over(same) > 1) & F.col("vchno").isNotNull() & F.col("cifid").isNotNull() & F.col("guar_type").isNotNull()
+    judged = rows.withColumn("kinds", kinds).withColumn("several", several)
+    kept = judged.where(~F.col("several") | F.substring("col_no", 1, 4).isin(*KEPT_COLLATERAL))
     purpose = decode("purpose", PURPOSE_TEXT)
     xl = t1.select("vchno", "cifid", purpose.alias("purpose_text")).join(
         kept.select("vchno", "cifid", "dbfs"), ["vchno", "cifid"], "left")
