@@ -18,6 +18,8 @@ All of it is DataFrame functions.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SHINGLE = 5
@@ -25,7 +27,7 @@ WINDOW, STRIDE = 4, 2
 BANDS = 16
 #: Share of a template's shingles that have to stand in the document.
 CONTAINED = 0.8
-#: Bound on the templates, which are broadcast.
+#: Templates of so many words together are broadcast; beyond that the joins are Spark's choice.
 MOST_TEMPLATE_WORDS = 100_000
 
 # Names and notices of public licenses.
@@ -50,9 +52,28 @@ TEMPLATES = [
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
     ("cc-by-nc-nd-4.0", "Licensed under CC BY-NC-ND 4.0."),
     ("cc-by-header", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice"
+     " and this permission notice appear in all copies."),
+    ("bsd-endorsement", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without"
+     " specific prior written permission."),
+    ("lgpl-header", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free"
+     " Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("agpl-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at"
+     " https://www.eclipse.org/legal/epl-2.0/"),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this"
+     " software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of"
+     " this software."),
+    ("boost-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("cc0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
 ]
 
 
+#: What separates words, for counting those of the templates.
+NOT_WORD = re.compile(r"[\W_]+")
+
+
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"), "")
 
@@ -78,14 +99,28 @@ def band_keys(rows: DataFrame, names: list[str], stride: int) -> DataFrame:
 
 
 def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
-    """(template, license_id, words, hashes, shingles) of templates of five words or more."""
-    if sum(len(text.split()) for _, text in templates) > MOST_TEMPLATE_WORDS:
-        raise ValueError(f"the templates have over {MOST_TEMPLATE_WORDS} words")
+    """(template, license_id, words, hashes, shingles) of all templates."""
     rows = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)], "template int, license_id string, text string")
-    rows = shingle_hashes(rows.withColumn("words", words_of(F.col("text")))).filter(F.size("words") >= SHINGLE)
+    rows = shingle_hashes(rows.withColumn("words", words_of(F.col("text"))))
     return rows.select("template", "license_id", "words", "hashes", shingles_of("words").alias("shingles"))
 
 
+def short_notices(rows: DataFrame, of_templates: DataFrame) -> DataFrame:
+    """Where a document holds the words of a template of fewer than ``SHINGLE`` words, in a row: such a
+    template has no shingle, so it is looked for as it is."""
+    short = of_templates.filter((F.size("words") > 0) & (F.size("words") < SHINGLE)).select("license_id", F.array_join("words", " ").alias("phrase"))
+    n = F.size("words")
+
+    def grams_of(k: int) -> Column:
+        every = F.transform(F.sequence(F.lit(0), n - k), lambda i: F.struct(F.array_join(F.slice("words", i + 1, F.lit(k)), " ").alias("phrase"), i.alias("at")))
+        return F.when(n < k, F.array().cast("array<struct<phrase:string,at:int>>")).otherwise(every)
+
+    grams = F.flatten(F.array(*(grams_of(k) for k in range(1, SHINGLE))))
+    held = rows.withColumn("grams", grams).select("doc_id", "text_hash", F.inline_outer("grams")).join(F.broadcast(short), "phrase")
+    return held.groupBy("doc_id", "text_hash", "license_id").agg(F.min("at").alias("begin_word")).select(
+        "doc_id", "text_hash", "license_id", F.lit(1.0).alias("containment"), "begin_word")
+
+
 def shingles_of(words: str) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - SHINGLE, F.lit(0))), lambda i: F.array_join(F.slice(words, i + 1, F.lit(SHINGLE)), " ")))
 
@@ -99,10 +134,16 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> Dat
     Null, empty and very short texts hold no license; ``text_hash`` (xxhash64 of
     the text) tells rows apart that share a doc_id, exact repeats of a row give
     one result; a null doc_id stays null; an empty table gives an empty table;
-    columns other than doc_id and text are not read.
+    columns other than doc_id and text are not read. Texts of any length are cut into windows whole.
+    Of notices that have most words in common each is reported with its own containment. A
+    template of fewer than ``SHINGLE`` words is found where its words stand in a row.
     """
     spark = docs.sparkSession
-    of_templates = template_table(spark, TEMPLATES if templates is None else templates)
+    templates = TEMPLATES if templates is None else templates
+    n_words = [len(NOT_WORD.sub(" ", text).split()) for _, text in templates]
+    small = F.broadcast if sum(n_words) <= MOST_TEMPLATE_WORDS else (lambda df: df)
+    of_all = template_table(spark, templates)
+    of_templates = of_all.filter(F.size("words") >= SHINGLE)
     keys = (band_keys(of_templates.withColumn("n", F.size("words")), ["template", "n"], 1)
             .select("template", "n", F.col("place").alias("template_place"), "key").distinct())
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -113,13 +154,19 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> Dat
     begin = F.col("place") - F.col("template_place")
     slack = F.lit(8) + F.floor(F.col("n") / 5).cast("int")
     around = F.slice("words", F.greatest(begin - slack, F.lit(0)) + 1, F.col("n") + 2 * slack)
-    met = (windows.join(F.broadcast(keys), "key")
+    met = (windows.join(small(keys), "key")
            .select("doc_id", "text_hash", "template", begin.alias("begin"), around.alias("region"))
            .groupBy("doc_id", "text_hash", "template", "begin").agg(F.count("*").alias("votes"), F.first("region").alias("region")))
-    region = (met.join(F.broadcast(of_templates.select("template", "license_id", "shingles")), "template")
+    region = (met.join(small(of_templates.select("template", "license_id", "shingles")), "template")
               .withColumn("begin", F.greatest("begin", F.lit(0))))
     share = F.size(F.array_intersect("shingles", shingles_of("region"))) / F.size("shingles")
     held = region.select("doc_id", "text_hash", "license_id", "begin", "votes", share.alias("containment")).filter(F.col("containment") >= CONTAINED)
     best = F.max(F.struct("containment", "votes", (-F.col("begin")).alias("minus_begin"))).alias("b")
-    return held.groupBy("doc_id", "text_hash", "license_id").agg(best).select(
+    found = held.groupBy("doc_id", "text_hash", "license_id").agg(best).select(
+        "doc_id", "text_hash", "license_id", "b.containment", (-F.col("b.minus_begin")).alias("begin_word"))
+    if min(n_words, default=SHINGLE) >= SHINGLE:
+        return found
+    both = found.union(short_notices(rows, of_all))
+    first = F.max(F.struct("containment", (-F.col("begin_word")).alias("minus_begin"))).alias("b")
+    return both.groupBy("doc_id", "text_hash", "license_id").agg(first).select(
         "doc_id", "text_hash", "license_id", "b.containment", (-F.col("b.minus_begin")).alias("begin_word"))
