@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import cut, id_and_text
 from .tokenizers import load
 
-#: Parts that the pieces of one length are ranked in, so that no length is ranked by one task.
-SALTS = 64
+#: Parts that the pieces of one length are ranked in, at least, and pieces of a part if all had one length.
+LEAST_SALTS, PART_PIECES = 64, 1 << 20
 
 
 def pieces_of(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -198,7 +198,7 @@ def slots(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.nda
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, salt) of every piece of every row."""
+    """(doc_id, piece, start, length, ids_crc32, spread) of every piece of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, end = load(tokenizer), end_id.to_bytes(4, "little")
@@ -214,7 +214,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     rows = id_and_text(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
-    return rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)).cast("int"))
+    return rows.withColumn("spread", F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()))
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
@@ -222,11 +222,14 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFra
 
     A document is its whole text's token ids and ``end_id``; a null text is empty
     and gives one piece with the end id alone. A repeated row is packed again, a
-    null doc_id stays null, an empty table gives an empty table, and columns
-    other than doc_id and text are not read. Only the numbers of pieces by
+    null doc_id stays null, a text of any length is encoded whole, an empty table gives an
+    empty table, and columns other than doc_id and text are not read. Only the numbers of pieces by
     length, at most ``capacity`` rows, reach the driver.
     """
     pieces = cut(tokenized_pieces(docs, tokenizer, end_id, capacity), "pieces")
+    # Most pieces of long documents have one length, the full one: the number of parts follows that of all pieces.
+    salts = max(LEAST_SALTS, -(-pieces.count() // PART_PIECES))
+    pieces = pieces.withColumn("salt", F.pmod("spread", F.lit(salts)).cast("int"))
     by_salt = cut(pieces.groupBy("length", "salt").agg(F.count("*").alias("n")), "piece-counts")
     counts = {r.length: r.n for r in by_salt.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     places = slots(plan(counts, capacity)[0])
@@ -234,7 +237,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFra
     # The rank of a piece among those of its length: those in earlier salts, then within its salt.
     earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     before = by_salt.select("length", "salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    own = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
+    own = Window.partitionBy("length", "salt").orderBy("spread")
     ranked = (pieces.withColumn("own", F.row_number().over(own) - 1).join(before, ["length", "salt"])
               .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("own")).alias("rank")))
 

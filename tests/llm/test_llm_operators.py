@@ -392,6 +392,35 @@ def test_license_scan_equals_brute_force(spark):
     assert license_scan.scan(frame(spark, ["a"]).filter("doc_id < 0")).count() == 0
 
 
+@pytest.mark.parametrize("most_words", [100_000, 3])
+def test_license_templates_of_any_size(spark, monkeypatch, most_words):
+    monkeypatch.setattr(license_scan, "MOST_TEMPLATE_WORDS", most_words)  # beyond it nothing is broadcast
+    templates = [("short", "MIT License"), ("one", "copyleft!"), ("four", "All rights are reserved"), ("none", " ?! "), ("long", " ".join(f"w{i}" for i in range(40))), ("short", "the MIT licence")]
+    texts = ["under the mit, LICENSE of", "mit licenses", None, "", "all rights are", "now all rights are reserved copyleft", "x " + " ".join(f"w{i}" for i in range(3, 40)) + " mit license mit license", "the mit licence"]
+    got = sorted((x.doc_id, x.license_id, x.begin_word) for x in license_scan.scan(frame(spark, texts), templates).collect())
+    assert [(i, name) for i, name, _ in got] == [(0, "short"), (5, "four"), (5, "one"), (6, "long"), (6, "short"), (7, "short")]
+    assert {(i, name): at for i, name, at in got}[0, "short"] == 2 and {(i, name): at for i, name, at in got}[6, "short"] == 38
+
+
+def test_license_bands_retrieve_what_containment_finds(spark):
+    """Recall of the banding against exact containment, over texts with every fifth word of a notice changed at most once a shingle."""
+    r = random.Random(31)
+    texts, want = [], set()
+    notices = [(name, [w for w in re.split(r"[^\w]+|_", text.lower()) if w]) for name, text in license_scan.TEMPLATES]
+    for k in range(400):
+        name, words = r.choice(notices)
+        changed = list(words)
+        if len(words) >= 40:
+            changed[r.randrange(len(words))] = "otherword"
+        texts.append(" ".join([*(f"x{r.random()}".replace(".", "") for _ in range(r.randint(0, 9))), *changed, *(f"y{r.random()}".replace(".", "") for _ in range(r.randint(0, 9)))]))
+        need = {tuple(words[j : j + 5]) for j in range(len(words) - 4)}
+        have = {tuple(changed[j : j + 5]) for j in range(len(changed) - 4)}
+        if len(need & have) >= 0.8 * len(need):
+            want.add((k, name))
+    got = {(x.doc_id, x.license_id) for x in license_scan.scan(frame(spark, texts)).collect()}
+    assert len(want & got) >= 0.98 * len(want)
+
+
 def test_license_scan_is_native(spark):
     plan = license_scan.scan(frame(spark, ["Released under the MIT License."]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
