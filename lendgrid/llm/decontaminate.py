@@ -216,16 +216,19 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             doc_ids, text_hashes, diagonal, words, item_ids, item = (batch.column(i) for i in range(6))
             out: list[list] = [[] for _ in range(7)]
             for i in range(len(batch)):
-                own = np.frombuffer(item[i].as_py(), np.uint64)
-                if found := overlap(np.frombuffer(words[i].as_py(), np.uint64), own, diagonal[i].as_py()):
-                    for column, value in zip(out, (doc_ids[i].as_py(), text_hashes[i].as_py(), item_ids[i].as_py(), found[0], len(own), found[1], found[2])):
+                own, at = np.frombuffer(item[i].as_py(), np.uint64), diagonal[i].as_py()
+                begin = max(at, 0)  # of the words at hand in the document
+                if found := overlap(np.frombuffer(words[i].as_py(), np.uint64), own, at - begin):
+                    for column, value in zip(out, (doc_ids[i].as_py(), text_hashes[i].as_py(), item_ids[i].as_py(), found[0], len(own), found[1] + begin, found[2] + begin)):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["doc_id", "text_hash", "item_id", "equal_words", "item_words", "first_word", "end_word"])
 
     once = suspects.select("doc_id", "text_hash", "words").dropDuplicates(["doc_id", "text_hash"])
-    laid = (diagonals.join(once.withColumnsRenamed({"doc_id": "d", "text_hash": "t"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")))
-            .join(items.select("item_key", "item_id", "item"), "item_key")
-            .select("doc_id", "text_hash", "diagonal", "words", "item_id", "item"))
+    # Of a document only the words beside the item go to the check, 8 bytes each: a long one has many diagonals.
+    beside = F.expr("substring(words, cast(greatest(diagonal, 0) * 8 + 1 as int), n * 8)").alias("words")
+    laid = (diagonals.join(items.select("item_key", "item_id", "item", "n"), "item_key")
+            .join(once.withColumnsRenamed({"doc_id": "d", "text_hash": "t"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")))
+            .select("doc_id", "text_hash", "diagonal", beside, "item_id", "item"))
     overlaps = laid.mapInArrow(verify, "doc_id long, text_hash long, item_id long, equal_words long, item_words long, first_word long, end_word long")
     best = F.max(F.struct("equal_words", (-F.col("first_word")).alias("minus_first"), "item_words", "end_word")).alias("b")
     return overlaps.groupBy("doc_id", "text_hash", "item_id").agg(best).select(

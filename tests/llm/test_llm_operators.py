@@ -318,6 +318,39 @@ def test_levels_are_logarithmic():
 
 # --- 6: decontamination
 
+def test_decontamination_equals_brute_force(spark):
+    """Every item of up to 24 words laid over every document at every place, in documents long and short."""
+    r = random.Random(41)
+    words = ["".join(r.choices("abcdefgh", k=4)) for _ in range(900)]
+    items = [[r.choice(words) for _ in range(n)] for n in [5, 5, 6, 7, 8, 9, 10, 11, 12, 14, 16, 18, 20, 22, 24]]
+    docs = []
+    for _ in range(120):
+        text = [r.choice(words) for _ in range(r.choice([3, 10, 40, 300]))]
+        for _ in range(r.choice([0, 1, 1, 2])):
+            item = list(r.choice(items))
+            for at in r.sample(range(len(item)), r.randint(0, len(item) // 4)):
+                item[at] = r.choice(words)
+            item = item[r.choice([0, 0, 0, 1]) : len(item) - r.choice([0, 0, 0, 2])]
+            at = r.randint(0, len(text))
+            text[at:at] = item
+        docs.append(" ".join(text))
+    long = [r.choice(words) for _ in range(20_000)]
+    for k in range(0, 20_000, 700):
+        long[k : k + 20] = items[12]
+    docs.append(" ".join(long))
+    bench = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(items)], "item_id long, text string")
+    got = {(x.doc_id, x.item_id): x.equal_words for x in decontaminate.find_overlaps(frame(spark, docs), bench).collect()}
+    want = {}
+    for d, text in enumerate(docs):
+        own = decontaminate.word_hashes(text)
+        for i, item in enumerate(items):
+            of_item = decontaminate.word_hashes(" ".join(item))
+            found = [decontaminate.overlap(own, of_item, k)[0] for k in range(1 - len(of_item), len(own)) if decontaminate.overlap(own, of_item, k)]
+            if found:
+                want[d, i] = max(found)
+    assert got == want and len(want) > 60
+
+
 def test_decontamination_exact_and_substituted(spark):
     r = random.Random(11)
     word = lambda: "".join(r.choices("abcdefghijklmnop", k=r.randint(2, 7)))
