@@ -39,6 +39,8 @@ BLOOM_BITS = 1 << 23
 SALTS = 16
 #: Words hashed together in a worker.
 BATCH_WORDS = 1 << 18
+#: Words of at most so many characters whose hashes a worker keeps, and how many; the table is emptied when it is full.
+KEPT_CHARS, MOST_WORDS = 48, 250_000
 
 WORD = re.compile(r"\w+")
 _FACTORS = np.random.default_rng(20240607).integers(1 << 32, 1 << 63, size=64, dtype=np.uint64) | np.uint64(1)
@@ -50,9 +52,11 @@ class WordHashes(dict):
     def __missing__(self, word: str) -> int:
         from xxhash import xxh3_64_intdigest
 
-        if len(self) >= 500_000:
-            self.clear()
-        self[word] = h = xxh3_64_intdigest(word.encode("utf-8", "replace"))
+        h = xxh3_64_intdigest(word.encode("utf-8", "replace"))
+        if len(word) <= KEPT_CHARS:
+            if len(self) >= MOST_WORDS:
+                self.clear()
+            self[word] = h
         return h
 
 

@@ -290,8 +290,10 @@ class Entries:
     place of the first hash with these bits, and few places follow that have them too."""
 
     def __init__(self, keys: np.ndarray, logp: np.ndarray, bow: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.logp, self.bow = keys[order], logp[order], np.nan_to_num(bow[order])
+        if not (keys[1:] >= keys[:-1]).all():
+            order = np.argsort(keys)
+            keys, logp, bow = keys[order], logp[order], bow[order]
+        self.keys, self.logp, self.bow = keys, logp, bow  # a weight is NaN where the n-gram was never a context
         bits = max(1, len(keys).bit_length())
         self.shift = np.uint64(64 - bits)
         self.first = np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
@@ -328,7 +330,7 @@ class Entries:
             if not len(open_) or not k:
                 break
             at, there = self.find(hashes[k - 1][open_ - 1])
-            total[open_[there]] += self.bow[at[there]]
+            total[open_[there]] += np.nan_to_num(self.bow[at[there]])
         return -np.add.reduceat(total, first)
 
 
@@ -402,13 +404,9 @@ def word_scores(number: str, shared, order: int) -> dict[str, WordScores]:
     a worker keeps the last model alone."""
     if number not in _scores:
         _scores.clear()
-        parts: dict[str, list[bytes]] = {}
-        for lang, data in shared.value:
-            parts.setdefault(lang, []).append(data)
         of_lang: dict[str, Entries] = {}
-        for lang, found in parts.items():
-            thirds = [np.frombuffer(data, np.int64).reshape(3, -1) for data in found]
-            key, logp, bow = (np.concatenate([t[i] for t in thirds]) for i in range(3))
+        for lang, data in shared.value.items():
+            key, logp, bow = np.frombuffer(data, np.int64).reshape(3, -1)
             of_lang[lang] = Entries(key.view(np.uint64), logp.view(np.float64), bow.view(np.float64))
         _scores[number] = {lang: WordScores(e, order, of_lang.get(TURNS + lang), of_lang.get(TOXIC + lang))
                            for lang, e in of_lang.items() if not lang.startswith((TURNS, TOXIC))}
@@ -443,7 +441,17 @@ def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int) -> Dat
 
     # At most 24 bytes for each of ``most_entries`` rows, on the driver and in a worker; they come a part after the other.
     rows = entries.select("lang", "gram", "logp", "bow").coalesce(MODEL_PARTS).mapInArrow(packed, "lang string, data binary")
-    shared = spark.sparkContext.broadcast([(r["lang"], bytes(r["data"])) for r in rows.toLocalIterator()])
+    parts: dict[str, list[np.ndarray]] = {}
+    for row in rows.toLocalIterator():
+        parts.setdefault(row["lang"], []).append(np.frombuffer(bytes(row["data"]), np.int64).reshape(3, -1))
+    # In order of the hashes, so that a worker reads them where they are.
+    blobs = {}
+    while parts:
+        lang, found = parts.popitem()
+        whole = np.concatenate(found, axis=1)
+        blobs[lang] = whole[:, np.argsort(whole[0].view(np.uint64))].tobytes()
+    shared = spark.sparkContext.broadcast(blobs)
+    del blobs
     number = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,8 +22,8 @@ from functools import lru_cache
 import numpy as np
 
 PLAIN = re.compile("[\\t\\n\\x20-\\x7e\\xa1-\\u024f]*")
-#: Words kept per worker; the table is emptied when it is full, which costs time only.
-MOST_WORDS = 600_000
+#: Words of at most so many characters kept per worker, and how many; the table is emptied when it is full, which costs time only.
+KEPT_CHARS, MOST_WORDS = 48, 300_000
 WORD_END = "</w>"
 #: Stands for the end of a word in the piece encoder; no UTF-8 text holds this byte.
 END_BYTE = b"\xff"
@@ -78,10 +78,12 @@ class WordIds(dict):
         self.end = END_BYTE if ended else b""
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= MOST_WORDS:
-            self.clear()
         of_rank = self.of_rank
-        self[word] = ids = b"".join([of_rank[r] for r in self.pieces(word.encode() + self.end)])
+        ids = b"".join([of_rank[r] for r in self.pieces(word.encode() + self.end)])
+        if len(word) <= KEPT_CHARS:
+            if len(self) >= MOST_WORDS:
+                self.clear()
+            self[word] = ids
         return ids
 
 
