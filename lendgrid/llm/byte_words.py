@@ -37,8 +37,7 @@ def joined(texts: pa.Array, table: np.ndarray, separator: bytes = b"\n") -> tupl
     PAD of them behind the last, every byte replaced by ``table``."""
     lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
     whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts), separator)[0].as_buffer()
-    buffer = np.full(len(whole) + 1 + PAD, table[separator[0]], np.uint8)
-    np.take(table, np.frombuffer(whole, np.uint8), out=buffer[1:-PAD])
+    buffer = np.frombuffer((separator + whole.to_pybytes() + separator * PAD).translate(table.tobytes()), np.uint8)
     return buffer, np.cumsum(lengths + 1) - lengths
 
 
