@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from lendgrid.operators.latest import first_flag, latest_by
 
-# The 137 ledger column names, in the order the target ledger
-# declares them, and the six segment tags in load order.
+# The 137 ledger column names, in the order in which the loads
+# first name them, and the six segment tags in load order.
 LEDGER_COLUMNS = (
     "acct_num acct_sts acct_sts_fhz acct_sts_xmdk acct_typ acct_typ_desc accu_int_amt accu_int_flg "
     "actual_maturity_dt base_int_rat book_type campus_consu_loan_flg cancel_flg circle_loan_flg "

@@ -26,7 +26,6 @@ import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,12 +69,10 @@ class PublishedSlices:
 
     def manifest(self) -> DataFrame | None:
         """One row a publication and slice, or None where nothing was ever published."""
-        try:
-            return self.spark.read.schema(self._manifest_schema).parquet(f"{self.path}/manifest")
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest")
+        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
             return None
+        return self.spark.read.schema(self._manifest_schema).parquet(f"{self.path}/manifest")
 
     def _entries(self, equals: Mapping[str, str]) -> list[T.Row]:
         """The manifest rows that count: of every slice the last of its rows and the updates
