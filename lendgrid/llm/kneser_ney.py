@@ -46,6 +46,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import cut, ship_package
@@ -426,9 +427,8 @@ def tail_rank(n: int) -> int:
 SCORES = "doc_id long, text_hash long, lang string, n_words long, mean double, tail double, turn double, foul double"
 
 
-def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int) -> DataFrame:
-    """SCORES of every row, log perplexities per character (turn: per word), and the toxicity."""
-    spark = texts.sparkSession
+def broadcast_model(entries: DataFrame) -> Broadcast:
+    """The rows of a model, by language and in order of their hashes."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row a batch and language: the hashes, log probabilities and weights one behind the other."""
@@ -450,8 +450,12 @@ def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int) -> Dat
         lang, found = parts.popitem()
         whole = np.concatenate(found, axis=1)
         blobs[lang] = whole[:, np.argsort(whole[0].view(np.uint64))].tobytes()
-    shared = spark.sparkContext.broadcast(blobs)
-    del blobs
+    return entries.sparkSession.sparkContext.broadcast(blobs)
+
+
+def scores_by_broadcast(texts: DataFrame, entries: DataFrame, order: int, shared: Broadcast | None = None) -> DataFrame:
+    """SCORES of every row, log perplexities per character (turn: per word), and the toxicity."""
+    shared = shared or broadcast_model(entries)
     number = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -581,8 +585,13 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entrie
     other = F.concat(F.when(F.col("turns"), TURNS).otherwise(""), F.when(F.col("half") == "0", "1").otherwise("0"), "name")
     counts = counts.union(of_trusted.join(alone, "name").select(other.alias("lang"), "gram", "n"))
     entries = cut(model(counts.filter(~of_turns), order).union(model(counts.filter(of_turns), TURN_ORDER)), "kn-model")
-    score = scores_by_broadcast if entries.count() <= most_entries else scores_by_join
-    scored = cut(score(texts, entries, order), "kn-scores").withColumn("lang", F.substr("lang", F.lit(2)))
+    if entries.count() <= most_entries:
+        shared = broadcast_model(entries)
+        scored = cut(scores_by_broadcast(texts, entries, order, shared), "kn-scores")
+        shared.destroy()  # the written scores need it no more
+    else:
+        scored = cut(scores_by_join(texts, entries, order), "kn-scores")
+    scored = scored.withColumn("lang", F.substr("lang", F.lit(2)))
     marked = cut(scored.join(good, "doc_id", "left").withColumn("trusted", F.coalesce(~F.col("toxic"), F.lit(False))), "kn-marked")
 
     def quantile(score: str, of: Column, share: float) -> Column:
