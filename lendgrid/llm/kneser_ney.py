@@ -42,7 +42,7 @@ import uuid
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +78,8 @@ SLACK = 1e-9
 LABEL_BITS = 1 << 24
 #: Words whose counts a worker holds before it passes them on, and whose scores it holds, of each language and half, before it forgets them.
 HELD_WORDS, SCORED_WORDS = 200_000, 50_000
+#: Words whose n-grams are numbered together.
+GRAM_WORDS = 1 << 15
 #: Words whose numbers a worker holds before it scores their texts.
 BATCH_WORDS = 1 << 17
 
@@ -132,7 +134,7 @@ def turn_gram(code: int) -> str:
     return "".join(LETTERS[code // len(LETTERS) ** i % len(LETTERS)] for i in range(TURN_ORDER - 1, -1, -1))
 
 
-def word_grams(words: Counter, order: int) -> tuple[list[str], np.ndarray]:
+def word_grams(words: dict[str, int], order: int) -> tuple[list[str], np.ndarray]:
     """The n-grams of ``order`` characters of all words with their marks, and how often each occurs."""
     if not words:
         return [], np.zeros(0, np.int64)
@@ -180,7 +182,11 @@ def ngram_counts(texts: DataFrame, order: int, turns: bool = False) -> DataFrame
             for lang, n in found.items():
                 yield rows(lang, list(n), list(n.values()))
             for lang, words in held.items():
-                yield rows(lang, *word_grams(words, order))
+                total, items = Counter(), iter(words.items())
+                while part := dict(islice(items, GRAM_WORDS)):
+                    for gram, n in zip(*word_grams(part, order)):
+                        total[gram] += int(n)
+                yield rows(lang, list(total), list(total.values()))
             held.clear(), coded.clear(), numbers.clear()
 
         n_waiting = 0
