@@ -428,13 +428,13 @@ def attach_many_q(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("pair_lines"), money_sum("prcp_amt").alias("pair_prcp")))
     first = attach_many(lines, [
         Lookup(loan, ["l_key"], ["loan_num"]), Lookup(part, ["p_key"], ["part_id"]), Lookup(payee, ["s_key"], ["payee_id"]),
-        Lookup(pair, ["pair_part", "pair_supp"], ["part_id", "payee_id"], unique=True)], row_key=["loan_num", "perd_no"])
+        Lookup(pair, ["pair_part", "pair_supp"], ["part_id", "payee_id"], unique=True)], row_key=["loan_num", "perd_no"], materialize=True)
     customer = t.read("customer", "c_custkey", "c_mktsegment").select(F.col("c_custkey").alias("c_key"), F.col("c_mktsegment").alias("cust_segment"))
     drawn = orders.groupBy(F.col("o_custkey").alias("d_key")).agg(F.count(F.lit(1)).alias("cust_loans"))
     nation = _nation(t, "n_nationkey", "n_name").select(F.col("n_nationkey").alias("n_key"), F.col("n_name").alias("payee_nation"))
     second = attach_many(first, [
         Lookup(customer, ["c_key"], ["cust_id"]), Lookup(drawn, ["d_key"], ["cust_id"], unique=True),
-        Lookup(nation, ["n_key"], ["s_nationkey"])], row_key=["loan_num", "perd_no"])
+        Lookup(nation, ["n_key"], ["s_nationkey"])], row_key=["loan_num", "perd_no"], materialize=True)
     return second.select("loan_num", "perd_no", "cust_id", "loan_sts", "part_brand", "payee_nam", "pair_lines", "pair_prcp",
                          "cust_segment", "cust_loans", "payee_nation")
 

@@ -38,6 +38,33 @@ def test_attach_many_equals_left_joins(spark):
     assert rows(again) == rows(driving.join(x, driving.a == x.x_key, "left"))
 
 
+def test_written_driving_rows_equal_left_joins_in_fewer_shuffles(spark):
+    driving, x, y, z, u = frames(spark)
+    driving = driving.union(driving.limit(9)).withColumns({"nothing": F.lit(None), "half": F.col("n") / 2})
+    h = spark.createDataFrame([(0.5, "x"), (1.0, "y"), (1.0, None)], "h_key double, h string")
+    lookups = [Lookup(x, ["x_key"], ["a"]), Lookup(y, ["y_key"], [F.col("b")]), Lookup(z, ["z_key", "z_n"], ["b", "n"]), Lookup(u, ["u_key"], ["id"], unique=True),
+               Lookup(h, ["h_key"], ["half"]), Lookup(x.select(F.col("x_key").alias("only")), ["only"], ["b"])]
+    want = (driving.join(x, driving.a == x.x_key, "left").join(y, driving.b == y.y_key, "left").join(z, (driving.b == z.z_key) & (driving.n == z.z_n), "left")
+            .join(u, driving.id == u.u_key, "left").join(h, F.col("half") == F.col("h_key"), "left").join(x.select(F.col("x_key").alias("only")), F.col("b") == F.col("only"), "left"))
+    got = attach_many(driving, lookups, materialize=True)
+    assert got.columns == want.columns and got.dtypes == want.dtypes and rows(got) == rows(want)
+
+
+    class Held:
+        def __init__(self):
+            self.queryExecution = attach_many(driving, lookups, materialize=True)._jdf.queryExecution()
+
+    assert exchanges(spark, Held) <= 4
+
+
+def test_the_first_level_of_the_query_is_written_once(spark, capsys):
+    from lendgrid.plans import QUERIES
+
+    QUERIES["attach_many"](spark, "/root/testdata/sf0.001").explain()
+    plan = capsys.readouterr().out
+    assert "attach-" in plan and "lineitem" not in plan  # else it is computed twice, for its questions and for the join
+
+
 def test_attach_many_edges(spark):
     driving, x, y, z, u = frames(spark)
     assert attach_many(driving.where("id < 0"), [Lookup(x, ["x_key"], ["a"])]).count() == 0
