@@ -236,12 +236,13 @@ def model(counts: DataFrame, order: int) -> DataFrame:
     taken = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
     parts = cut(seen.join(contexts, ["lang", "k", "context"]).select(
         "lang", "k", "gram", "context", "lower", "types", (F.greatest(F.col("c") - taken, F.lit(0.0)) / F.col("total")).alias("own")), "kn-parts")
-    p = parts.filter("k = 1").select("lang", "k", "gram", (F.col("own") + F.col("lower") / (F.col("types") + 1)).alias("p"))
+    # Each order is written before the next one reads it: as one plan, the driver holds every lower order anew under each higher one.
+    p = cut(parts.filter("k = 1").select("lang", "k", "gram", (F.col("own") + F.col("lower") / (F.col("types") + 1)).alias("p")), "kn-orders")
     every = [p]
     for k in range(2, order + 1):
         below = p.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("p_below"))
-        p = (parts.filter(F.col("k") == k).withColumn("suffix", F.substr("gram", F.lit(2))).join(below, ["lang", "suffix"])
-             .select("lang", "k", "gram", (F.col("own") + F.col("lower") * F.col("p_below")).alias("p")))
+        p = cut(parts.filter(F.col("k") == k).withColumn("suffix", F.substr("gram", F.lit(2))).join(below, ["lang", "suffix"])
+                .select("lang", "k", "gram", (F.col("own") + F.col("lower") * F.col("p_below")).alias("p")), "kn-orders")
         every.append(p)
     probabilities = every[0]
     for p in every[1:]:

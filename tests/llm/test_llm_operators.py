@@ -521,6 +521,18 @@ def brute_model(words, order):
     return p
 
 
+def test_a_higher_order_of_the_model_makes_no_larger_plan(spark, capsys):
+    joins = []
+    for order in (3, 5):
+        counts = spark.createDataFrame([("en", kneser_ney.START * (order - 1) + "a", 3), ("en", "abcde"[:order], 1), ("de", "bcdef"[:order], 2)], "lang string, gram string, n long")
+        model = kneser_ney.model(counts, order)
+        assert model.filter("gram = 'a' and lang = 'en'").count() == 1
+        capsys.readouterr()
+        model.explain(extended=True)
+        joins.append(capsys.readouterr().out.split("== Physical Plan ==")[0].split("== Optimized Logical Plan ==")[1].count("Join "))
+    assert joins[0] == joins[1] == 1  # the orders below are read, not planned again under each higher one
+
+
 def test_kneser_ney_probabilities_and_both_ways_of_scoring(spark):
     texts = sample(16, 25, letters="abc", most=15) + [None, "", "ab ab ab zz"]
     docs = kneser_ney.texts_of(frame(spark, texts + texts[:2], [*range(len(texts)), 0, None]))
