@@ -28,10 +28,13 @@ which are their language's quantiles; the limit of toxicity lies where it
 catches all but ``FOUL_MISSED`` of the documents labelled toxic, but rejects
 at most 1 - ``FOUL_QUANTILE`` of the trusted ones.
 
-The model table is broadcast if it has at most ``MOST_ENTRIES`` rows, which
-bounds what reaches the driver and a worker. Beyond that, distinct words meet
-the sharded model by joins, and documents meet their words' scores by another;
-the scores are the same.
+A text is scored by the models of its language and half alone. So models are
+broadcast some languages and halves at a time, at most ``MOST_ENTRIES`` rows
+together, which bounds what reaches the driver and a worker; each such pass
+reads the documents again and scores its own, and nothing is shuffled. Where
+the models of a language and half have more rows by themselves, its distinct
+words meet the sharded model by joins, and its documents meet their words'
+scores by another; the scores are the same.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ import uuid
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice, repeat
 
 import numpy as np
@@ -59,7 +63,7 @@ TURNS, TOXIC = "\x04", "\x05"
 TURN_ORDER, LONGEST_TURN = 3, 8
 LETTERS = START + "".join(chr(0x100 + i) for i in range(4 * (LONGEST_TURN + 1)))
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Rows of a model that is broadcast (24 bytes each in a worker: hash, probability, weight).
+#: Rows of the models that are broadcast together (24 bytes each in a worker: hash, probability, weight).
 MOST_ENTRIES = 3_000_000
 #: Parts in which such a model comes to the driver.
 MODEL_PARTS = 16
@@ -551,6 +555,42 @@ def scores_by_join(texts: DataFrame, entries: DataFrame, order: int) -> DataFram
     return rows.join(scored, "row", "left").join(turn, "row", "left").select("doc_id", "text_hash", "lang", "n_words", "mean", "tail", "turn", "foul")
 
 
+def passes(sizes: dict[str, int], most_entries: int) -> tuple[list[list[str]], list[str]]:
+    """The keys of texts whose models have at most ``most_entries`` rows together, by first fit
+    from the largest on, and those whose models have more by themselves."""
+    found, rows, alone = [], [], []
+    for key, n in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+        if n > most_entries:
+            alone.append(key)
+            continue
+        i = next((i for i, held in enumerate(rows) if held + n <= most_entries), len(rows))
+        if i == len(rows):
+            found.append([])
+            rows.append(0)
+        found[i].append(key)
+        rows[i] += n
+    return found, alone
+
+
+def written_scores(texts: DataFrame, entries: DataFrame, order: int, most_entries: int) -> DataFrame:
+    """SCORES of every row, as written tables. The first pass has the texts without a model too."""
+    key = F.when(F.col("lang").startswith(TURNS) | F.col("lang").startswith(TOXIC), F.substr("lang", F.lit(2))).otherwise(F.col("lang"))
+    # One row a language and half.
+    shared_by, alone = passes({x["key"]: x["n"] for x in entries.groupBy(key.alias("key")).agg(F.count("*").alias("n")).collect()}, most_entries)
+    shared_by = shared_by or [[]]
+    later = [k for keys in shared_by[1:] for k in keys] + alone
+    found = []
+    for i, keys in enumerate(shared_by):
+        # Texts of a half and language read the models of these alone.
+        own, of_own = (texts, entries) if not later else (texts.filter(F.col("lang").isin(keys) if i else ~F.col("lang").isin(later)), entries.filter(key.isin(keys)))
+        shared = broadcast_model(of_own)
+        found.append(cut(scores_by_broadcast(own, of_own, order, shared), "kn-scores"))
+        shared.destroy()  # the written scores need it no more
+    if alone:
+        found.append(cut(scores_by_join(texts.filter(F.col("lang").isin(alone)), entries.filter(key.isin(alone)), order), "kn-scores"))
+    return reduce(DataFrame.union, found)
+
+
 def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entries: int = MOST_ENTRIES) -> DataFrame:
     """(doc_id, text_hash, lang, n_words, trusted, perplexity, tail_perplexity, turn_perplexity, toxicity,
     max_perplexity, max_tail_perplexity, max_turn_perplexity, max_toxicity, kept) of every row of ``docs``.
@@ -592,13 +632,7 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entrie
     other = F.concat(F.when(F.col("turns"), TURNS).otherwise(""), F.when(F.col("half") == "0", "1").otherwise("0"), "name")
     counts = counts.union(of_trusted.join(alone, "name").select(other.alias("lang"), "gram", "n"))
     entries = cut(model(counts.filter(~of_turns), order).union(model(counts.filter(of_turns), TURN_ORDER)), "kn-model")
-    if entries.count() <= most_entries:
-        shared = broadcast_model(entries)
-        scored = cut(scores_by_broadcast(texts, entries, order, shared), "kn-scores")
-        shared.destroy()  # the written scores need it no more
-    else:
-        scored = cut(scores_by_join(texts, entries, order), "kn-scores")
-    scored = scored.withColumn("lang", F.substr("lang", F.lit(2)))
+    scored = written_scores(texts, entries, order, most_entries).withColumn("lang", F.substr("lang", F.lit(2)))
     marked = cut(scored.join(good, "doc_id", "left").withColumn("trusted", F.coalesce(~F.col("toxic"), F.lit(False))), "kn-marked")
 
     def quantile(score: str, of: Column, share: float) -> Column:

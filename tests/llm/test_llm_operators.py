@@ -652,6 +652,45 @@ def test_classifier_rejects_toxic_words_made_like_others(spark):
         assert abs(x.toxicity - got[x.doc_id].toxicity) < 1e-9 and abs(x.turn_perplexity - got[x.doc_id].turn_perplexity) < 1e-9
 
 
+def test_models_that_are_too_large_together_are_broadcast_in_turn(spark, monkeypatch):
+    r = random.Random(37)
+    syllables = {"en": ["the", "an", "re", "er", "on", "in"], "es": ["que", "la", "do", "ra", "mente", "co"], "de": ["sch", "ei"], "xx": ["q", "z"]}
+    texts, langs = [None, ""], {0: "en", 1: "xx"}
+    for lang, parts in syllables.items():
+        for _ in range(30):
+            langs[len(texts)] = lang
+            texts.append(" ".join("".join(r.choices(parts, k=r.randint(1, 4))) for _ in range(60)))
+    docs = frame(spark, texts, langs=langs)
+    labels = spark.createDataFrame([(i, 1, int(i % 7 == 0)) for i in langs if langs[i] != "xx"], "doc_id long, quality int, toxic int")
+    sizes, sent = {}, []
+    passes, broadcast_model, by_join = kneser_ney.passes, kneser_ney.broadcast_model, kneser_ney.scores_by_join
+    monkeypatch.setattr(kneser_ney, "passes", lambda of, most: sizes.update(of) or passes(of, most))
+    monkeypatch.setattr(kneser_ney, "broadcast_model", lambda entries: sent.append(entries.count()) or broadcast_model(entries))
+    monkeypatch.setattr(kneser_ney, "scores_by_join", lambda *a: pytest.fail("no model is too large by itself"))
+    once = {x.doc_id: x for x in kneser_ney.classify(docs, labels).collect()}
+    assert set(sizes) == {h + lang for h in "01" for lang in ("de", "en", "es")} and sent == [sum(sizes.values())]
+    most = max(sizes.values())
+    sent.clear()
+    assert {x.doc_id: x for x in kneser_ney.classify(docs, labels, most_entries=most).collect()} == once
+    assert len(sent) > 1 and max(sent) <= most and sum(sent) == sum(sizes.values())
+    # The largest is now too large by itself, the others are not.
+    joined = []
+    monkeypatch.setattr(kneser_ney, "scores_by_join", lambda texts, entries, order: joined.append(entries.count()) or by_join(texts, entries, order))
+    sent.clear()
+    for x in kneser_ney.classify(docs, labels, most_entries=most - 1).collect():
+        assert x.kept == once[x.doc_id].kept and x.n_words == once[x.doc_id].n_words and x.trusted == once[x.doc_id].trusted
+        for a, b in zip(x, once[x.doc_id]):
+            assert a == b or abs(a - b) < 1e-9 * abs(b)
+    assert joined and set(joined) == {most} and sum(joined) + sum(sent) == sum(sizes.values())
+
+
+def test_passes_take_every_model_once():
+    sizes = {"0a": 5, "1a": 4, "0b": 3, "1b": 2, "0c": 9, "1c": 1}
+    found, alone = kneser_ney.passes(sizes, 7)
+    assert alone == ["0c"] and found == [["0a", "1b"], ["1a", "0b"], ["1c"]]
+    assert kneser_ney.passes(sizes, 100) == ([["0c", "0a", "1a", "0b", "1b", "1c"]], []) and kneser_ney.passes({}, 7) == ([], [])
+
+
 def test_classifier_judges_a_language_with_one_trusted_text(spark):
     r = random.Random(31)
     word = lambda letters: "".join(r.choices(letters, k=r.randint(1, 6)))
