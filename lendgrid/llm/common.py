@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lendgrid.operators.attach import CLEANUP
 from lendgrid.session import ensure_checkpoint_dir
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,15 +25,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     The written table ends the lineage, so a lost executor costs a reread and
-    never the work above. The explicit schema keeps empty tables readable.
+    never the work above. The explicit schema keeps empty tables readable. With
+    ``free`` the writing job's shuffle files go with it, so that they do not lie on
+    the disk beside those of the next.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    kept = spark.conf.get(CLEANUP, None)
+    if free:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free:
+            spark.conf.set(CLEANUP, kept) if kept else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -229,7 +229,7 @@ def model(counts: DataFrame, order: int) -> DataFrame:
     suffixes = counts.select("lang", F.explode(F.sequence(F.lit(2), F.lit(order))).alias("k"), "gram").select(
         "lang", (F.col("k") - 1).alias("k"), F.expr("right(gram, k)").alias("gram")).distinct()
     continuations = suffixes.groupBy("lang", "k", F.substr("gram", F.lit(2)).alias("gram")).agg(F.count("*").alias("c"))
-    seen = cut(counts.select("lang", F.lit(order).alias("k"), "gram", F.col("n").alias("c")).union(continuations), "kn-counts")
+    seen = cut(counts.select("lang", F.lit(order).alias("k"), "gram", F.col("n").alias("c")).union(continuations), "kn-counts", free=True)
     discounts = seen.groupBy("lang", "k").agg(*(F.count_if(F.col("c") == j).alias(f"n{j}") for j in range(1, 5)), F.count("*").alias("types")).select(
         "lang", "k", "types", *(discount(j).alias(f"d{j}") for j in range(1, 4)))
     seen = seen.withColumn("context", F.expr("left(gram, k - 1)"))
@@ -239,14 +239,14 @@ def model(counts: DataFrame, order: int) -> DataFrame:
                 .withColumn("lower", sum((F.col(f"d{j}") * F.col(f"m{j}") for j in range(1, 4)), F.lit(0.0)) / F.col("total")))
     taken = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
     parts = cut(seen.join(contexts, ["lang", "k", "context"]).select(
-        "lang", "k", "gram", "context", "lower", "types", (F.greatest(F.col("c") - taken, F.lit(0.0)) / F.col("total")).alias("own")), "kn-parts")
+        "lang", "k", "gram", "context", "lower", "types", (F.greatest(F.col("c") - taken, F.lit(0.0)) / F.col("total")).alias("own")), "kn-parts", free=True)
     # Each order is written before the next one reads it: as one plan, the driver holds every lower order anew under each higher one.
-    p = cut(parts.filter("k = 1").select("lang", "k", "gram", (F.col("own") + F.col("lower") / (F.col("types") + 1)).alias("p")), "kn-orders")
+    p = cut(parts.filter("k = 1").select("lang", "k", "gram", (F.col("own") + F.col("lower") / (F.col("types") + 1)).alias("p")), "kn-orders", free=True)
     every = [p]
     for k in range(2, order + 1):
         below = p.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("p_below"))
         p = cut(parts.filter(F.col("k") == k).withColumn("suffix", F.substr("gram", F.lit(2))).join(below, ["lang", "suffix"])
-                .select("lang", "k", "gram", (F.col("own") + F.col("lower") * F.col("p_below")).alias("p")), "kn-orders")
+                .select("lang", "k", "gram", (F.col("own") + F.col("lower") * F.col("p_below")).alias("p")), "kn-orders", free=True)
         every.append(p)
     probabilities = every[0]
     for p in every[1:]:
@@ -623,7 +623,7 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entrie
     maybe = (texts.withColumn("word", F.shiftright(bit_of, 6)).join(F.broadcast(label_bits), "word")
              .filter(F.expr(f"shiftrightunsigned(bits, cast(pmod(xxhash64(doc_id), {LABEL_BITS}L) & 63 as int)) & 1 = 1")).drop("word", "bits"))
     training = maybe.join(good.hint("merge"), "doc_id").withColumn("lang", F.concat(F.when(F.col("toxic"), TOXIC).otherwise(""), trains))
-    counts = cut(ngram_counts(training, order, turns=True), "kn-ngrams")
+    counts = cut(ngram_counts(training, order, turns=True), "kn-ngrams", free=True)
     # A language with trusted text in one half alone: its models score both.
     of_turns, of_toxic = F.col("lang").startswith(TURNS), F.col("lang").startswith(TOXIC)
     key = F.when(of_turns, F.substr("lang", F.lit(len(TURNS) + 1))).otherwise(F.col("lang"))
@@ -631,7 +631,7 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, most_entrie
     alone = of_trusted.filter("not turns").groupBy("name").agg(F.count_distinct("half").alias("halves")).filter("halves = 1").select("name")
     other = F.concat(F.when(F.col("turns"), TURNS).otherwise(""), F.when(F.col("half") == "0", "1").otherwise("0"), "name")
     counts = counts.union(of_trusted.join(alone, "name").select(other.alias("lang"), "gram", "n"))
-    entries = cut(model(counts.filter(~of_turns), order).union(model(counts.filter(of_turns), TURN_ORDER)), "kn-model")
+    entries = cut(model(counts.filter(~of_turns), order).union(model(counts.filter(of_turns), TURN_ORDER)), "kn-model", free=True)
     scored = written_scores(texts, entries, order, most_entries).withColumn("lang", F.substr("lang", F.lit(2)))
     marked = cut(scored.join(good, "doc_id", "left").withColumn("trusted", F.coalesce(~F.col("toxic"), F.lit(False))), "kn-marked")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import os
 import random
 import re
 import zlib
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lendgrid.llm import (bestfit_pack, decontaminate, elias_fano, html_extract, kneser_ney, license_scan, quality_rules, simhash_vptree, suffix_dedup,
                           token_counts, token_store, tokenizers)
+from lendgrid.llm.common import CLEANUP, cut
 from lendgrid.llm.queries import tokenizer_path
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -691,6 +693,17 @@ def test_passes_take_every_model_once():
     assert kneser_ney.passes(sizes, 100) == ([["0c", "0a", "1a", "0b", "1b", "1c"]], []) and kneser_ney.passes({}, 7) == ([], [])
 
 
+def test_a_written_table_takes_its_shuffle_files_along(spark):
+    shuffles = lambda: {p for d, _, names in os.walk(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].getParent()) for p in names if p.startswith("shuffle_")}
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    before = shuffles()
+    assert cut(rows, "t").count() == 7
+    left = shuffles() - before
+    assert left
+    assert cut(rows, "t", free=True).count() == 7
+    assert len(shuffles() - before - left) < len(left) and spark.conf.get(CLEANUP, None) in (None, "false")
+
+
 def test_classifier_judges_a_language_with_one_trusted_text(spark):
     r = random.Random(31)
     word = lambda letters: "".join(r.choices(letters, k=r.randint(1, 6)))
